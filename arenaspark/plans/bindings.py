@@ -61,9 +61,12 @@ def nations(spark: SparkSession, sf: str) -> DataFrame:
     return n.join(r, n["n_regionkey"] == r["r_regionkey"], "left").drop("r_regionkey")
 
 
-def contests(spark: SparkSession, sf: str, venue: bool = False, city: bool = False) -> DataFrame:
+def contests(spark: SparkSession, sf: str, venue: bool = False, city: bool = False,
+             raw_text: bool = False) -> DataFrame:
     """Contest view. ``venue``/``city`` add the part and region enrichments
-    only when a query needs them (left joins on a foreign key: same rows)."""
+    only when a query needs them (left joins on a foreign key: same rows).
+    ``raw_text`` keeps stage / venue / city as stored (not normalised)."""
+    txt = (lambda c: F.col(c)) if raw_text else (lambda c: F.lower(c))
     nat = _dim(spark, sf, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     sup = (_t(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
            .join(nat.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("home_team"),
@@ -73,7 +76,7 @@ def contests(spark: SparkSession, sf: str, venue: bool = False, city: bool = Fal
                  "c_nationkey"))
     ords = (_t(spark, sf, "orders")
             .select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("date"),
-                    F.lower("o_orderpriority").alias("stage"))
+                    txt("o_orderpriority").alias("stage"))
             .join(cus, F.col("o_custkey") == F.col("c_custkey")))
     li = _t(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line_no"),
@@ -90,13 +93,13 @@ def contests(spark: SparkSession, sf: str, venue: bool = False, city: bool = Fal
         "date", "stage",
     ]
     if venue:
-        part = _t(spark, sf, "part").select("p_partkey", F.lower("p_brand").alias("stadium"))
+        part = _t(spark, sf, "part").select("p_partkey", txt("p_brand").alias("stadium"))
         c = c.join(part, F.col("part_key") == F.col("p_partkey"), "left")
         cols.append("stadium")
     if city:
         reg = _dim(spark, sf, "region", ["r_regionkey", "r_name"])
         c = c.join(reg, F.col("home_region") == F.col("r_regionkey"), "left")
-        cols.append(F.lower("r_name").alias("city"))
+        cols.append(txt("r_name").alias("city"))
     return c.select(*cols)
 
 
@@ -259,7 +262,27 @@ def ranking(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def labels(spark: SparkSession, sf: str) -> DataFrame:
-    """Display tag per nation: '[' + first three letters of its region + ']'."""
+    """Display tag per *ranked* nation: '[' + first three letters of its
+    region + ']'. Unranked nations have no tag (they keep their bare name)."""
     nat = nations(spark, sf)
-    return nat.select(F.col("n_name").alias("name"),
-                      F.concat(F.lit("["), F.upper(F.substring("r_name", 1, 3)), F.lit("]")).alias("tag"))
+    rk = ranking(spark, sf).select(F.col("team").alias("n_name"))
+    return nat.join(rk, "n_name", "left_semi").select(
+        F.col("n_name").alias("name"),
+        F.concat(F.lit("["), F.upper(F.substring("r_name", 1, 3)), F.lit("]")).alias("tag"))
+
+
+def cust_panel_next(spark: SparkSession, sf: str) -> DataFrame:
+    """One placeholder row per customer for the edition after the last one in
+    the data (the scoring table of the outcome model): host and strength by
+    the same rules, no result yet."""
+    cp = cust_panel(spark, sf)
+    nxt = cp.agg((F.max("wc_year") + 1).cast("int")).scalar()
+    ents = cp.select("team", "confederation", "custkey", "c_nationkey").distinct()
+    return ents.select(
+        "team", "confederation", nxt.alias("wc_year"),
+        F.lit(None).cast("string").alias("final_stage_reached"),
+        *[F.lit(None).cast("long").alias(c) for c in
+          ("matches_played", "wins", "draws", "losses", "goals_scored", "goals_conceded")],
+        F.when(F.col("c_nationkey") == (nxt * 7) % 25, "Yes").otherwise("No").alias("host_nation"),
+        (F.lit(1400) + (F.col("custkey") * 37 + nxt * 11) % 600).alias("elo_rating_approx"),
+        "custkey", "c_nationkey")

@@ -137,7 +137,7 @@ def _panel_stage(pos: Column) -> Column:
     return e
 
 
-def panel(spark: SparkSession, sf: str) -> DataFrame:
+def panel(spark: SparkSession, sf: str, contest_view: DataFrame | None = None) -> DataFrame:
     """Nation x year panel: record from both sides of every contest, then the
     16 qualifiers of each year by a fixed rule, a stage, host and strength.
 
@@ -145,7 +145,7 @@ def panel(spark: SparkSession, sf: str) -> DataFrame:
     combine: a hot nation never lands whole in one task); the per-year window
     runs over the aggregated (year x nation) rows only.
     """
-    c = contests(spark, sf)
+    c = contest_view if contest_view is not None else contests(spark, sf)
     k = F.struct(F.col("home_key").alias("k"), F.col("home_score").alias("gf"), F.col("away_score").alias("ga"))
     a = F.struct(F.col("away_key").alias("k"), F.col("away_score").alias("gf"), F.col("home_score").alias("ga"))
     lf = c.select(F.year("date").alias("wc_year"), F.inline(F.array(k, a)))
@@ -208,9 +208,9 @@ def cust_panel(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def profiles(spark: SparkSession, sf: str) -> DataFrame:
+def profiles(spark: SparkSession, sf: str, panel_view: DataFrame | None = None) -> DataFrame:
     """All-time row per nation from the panel."""
-    p = panel(spark, sf)
+    p = panel_view if panel_view is not None else panel(spark, sf)
     st = F.col("final_stage_reached")
     g = p.groupBy("team", "confederation").agg(
         F.count(F.lit(1)).alias("total_wc_appearances"),
@@ -235,9 +235,9 @@ def profiles(spark: SparkSession, sf: str) -> DataFrame:
     })
 
 
-def editions(spark: SparkSession, sf: str) -> DataFrame:
+def editions(spark: SparkSession, sf: str, panel_view: DataFrame | None = None) -> DataFrame:
     """One row per year: host nation (by rule), winner, number of qualifiers."""
-    p = panel(spark, sf)
+    p = panel_view if panel_view is not None else panel(spark, sf)
     y = p.groupBy("wc_year").agg(
         F.max(F.when(F.col("final_stage_reached") == "Winner", F.col("team"))).alias("winner"),
         F.count(F.lit(1)).alias("teams"))
@@ -261,21 +261,21 @@ def ranking(spark: SparkSession, sf: str) -> DataFrame:
     return g.select(F.col("n_name").alias("team"), F.row_number().over(w).alias("rank"), "points")
 
 
-def labels(spark: SparkSession, sf: str) -> DataFrame:
+def labels(spark: SparkSession, sf: str, ranking_view: DataFrame | None = None) -> DataFrame:
     """Display tag per *ranked* nation: '[' + first three letters of its
     region + ']'. Unranked nations have no tag (they keep their bare name)."""
     nat = nations(spark, sf)
-    rk = ranking(spark, sf).select(F.col("team").alias("n_name"))
+    rk = (ranking_view if ranking_view is not None else ranking(spark, sf)).select(F.col("team").alias("n_name"))
     return nat.join(rk, "n_name", "left_semi").select(
         F.col("n_name").alias("name"),
         F.concat(F.lit("["), F.upper(F.substring("r_name", 1, 3)), F.lit("]")).alias("tag"))
 
 
-def cust_panel_next(spark: SparkSession, sf: str) -> DataFrame:
+def cust_panel_next(spark: SparkSession, sf: str, cust_view: DataFrame | None = None) -> DataFrame:
     """One placeholder row per customer for the edition after the last one in
     the data (the scoring table of the outcome model): host and strength by
     the same rules, no result yet."""
-    cp = cust_panel(spark, sf)
+    cp = cust_view if cust_view is not None else cust_panel(spark, sf)
     nxt = cp.agg((F.max("wc_year") + 1).cast("int")).scalar()
     ents = cp.select("team", "confederation", "custkey", "c_nationkey").distinct()
     return ents.select(

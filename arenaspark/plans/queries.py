@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from arenaspark.operators import clean, contests as C, model as M, panels as P, profiles as R
 from arenaspark.operators import stats as S, warehouse as W, windows as WD
 from arenaspark.plans import bindings as B
+from arenaspark.plans.workspace import workspace as V
 from arenaspark.specs import ContestSpec, PanelSpec, ProfileSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,39 +47,39 @@ def query(name: str):
 # ----------------------------------------------------------------- contests
 @query("team_stats")
 def q_team_stats(spark, sf):
-    return C.two_sided_stats(B.contests(spark, sf))
+    return C.two_sided_stats(V(spark, sf).contests())
 
 
 @query("win_rate")
 def q_win_rate(spark, sf):
-    return C.two_sided_win_rate(B.contests(spark, sf))
+    return C.two_sided_win_rate(V(spark, sf).contests())
 
 
 @query("titles")
 def q_titles(spark, sf):
-    return C.title_counts(B.editions(spark, sf))
+    return C.title_counts(V(spark, sf).editions())
 
 
 @query("phase_matrix")
 def q_phase_matrix(spark, sf):
-    return C.stage_matrix(B.contests(spark, sf), STAGES)
+    return C.stage_matrix(V(spark, sf).contests(), STAGES)
 
 
 @query("home_advantage")
 def q_home_advantage(spark, sf):
-    return C.side_advantage(B.contests(spark, sf))
+    return C.side_advantage(V(spark, sf).contests())
 
 
 @query("contest_features")
 def q_contest_features(spark, sf):
-    c = C.contest_features(B.contests(spark, sf))
+    c = C.contest_features(V(spark, sf).contests())
     return c.select(*CONTEST_TIE, "date", "home_team", "away_team", "home_score", "away_score",
                     "goal_diff", "result", "year", "decade", "total_goals")
 
 
 @query("harmonise_names")
 def q_harmonise_names(spark, sf):
-    c = clean.harmonise_columns(B.contests(spark, sf), ["home_team", "away_team"])
+    c = clean.harmonise_columns(V(spark, sf).contests(), ["home_team", "away_team"])
     lf = C.long_form(c).where(F.col("team").isNotNull())
     return lf.groupBy("team").agg(F.count(F.lit(1)).alias("contests"))
 
@@ -92,7 +93,7 @@ def q_normalise_text(spark, sf):
 
 @query("clean_rows")
 def q_clean_rows(spark, sf):
-    c = B.contests(spark, sf).select("date", "home_team", "away_team", "home_score", "away_score", "stage")
+    c = V(spark, sf).contests().select("date", "home_team", "away_team", "home_score", "away_score", "stage")
     return clean.clean_rows(c)
 
 
@@ -111,7 +112,7 @@ def q_coerce_types(spark, sf):
 
 @query("unified_matches")
 def q_unified_matches(spark, sf):
-    a = B.contests(spark, sf).select(*CONTEST_TIE, "date", "home_team", "away_team",
+    a = V(spark, sf).contests().select(*CONTEST_TIE, "date", "home_team", "away_team",
                                      "home_score", "away_score", "stage")
     b = clean.rename(B.contests_b(spark, sf), {"home_goals": "home_score", "away_goals": "away_score"})
     u = C.unify_sources(a, b, ["date", "home_team", "away_team"], CONTEST_TIE)
@@ -121,83 +122,83 @@ def q_unified_matches(spark, sf):
 
 @query("goals_by_edition")
 def q_goals_by_edition(spark, sf):
-    return C.goals_by_edition(B.contests(spark, sf))
+    return C.goals_by_edition(V(spark, sf).contests())
 
 
 @query("goals_by_decade")
 def q_goals_by_decade(spark, sf):
-    return C.goals_by_decade(B.contests(spark, sf))
+    return C.goals_by_decade(V(spark, sf).contests())
 
 
 @query("decade_lookup")
 def q_decade_lookup(spark, sf):
-    return C.decade_lookup(C.goals_by_decade(B.contests(spark, sf)), LOOKUP_DECADES)
+    return C.decade_lookup(C.goals_by_decade(V(spark, sf).contests()), LOOKUP_DECADES)
 
 
 @query("score_frequency_top10")
 def q_score_frequency(spark, sf):
-    return C.score_frequency(B.contests(spark, sf), 10)
+    return C.score_frequency(V(spark, sf).contests(), 10)
 
 
 @query("goal_histogram")
 def q_goal_histogram(spark, sf):
-    return C.histogram(C.scored_contests(B.contests(spark, sf)), "total_goals", 15, by=["decade"])
+    return C.histogram(C.scored_contests(V(spark, sf).contests()), "total_goals", 15, by=["decade"])
 
 
 @query("overview_kpis")
 def q_overview_kpis(spark, sf):
-    k = C.overview_kpis(B.contests(spark, sf))
-    top = S.top_k(B.profiles(spark, sf), "titles", 1, tie=["team"]).select("team")
+    k = C.overview_kpis(V(spark, sf).contests())
+    top = S.top_k(V(spark, sf).profiles(), "titles", 1, tie=["team"]).select("team")
     return k.withColumn("most_titles", top.scalar())
 
 
 @query("edition_bounds")
 def q_edition_bounds(spark, sf):
-    p = B.panel(spark, sf)
+    p = V(spark, sf).panel()
     return p.agg(F.min("wc_year").alias("min_year"), F.max("wc_year").alias("max_year"),
                  F.countDistinct("confederation").alias("groups"))
 
 
 @query("group_list")
 def q_group_list(spark, sf):
-    return S.sorted_distinct(B.profiles(spark, sf), "confederation")
+    return S.sorted_distinct(V(spark, sf).profiles(), "confederation")
 
 
 # ------------------------------------------------------------------- panels
 @query("host_vs_visitor")
 def q_host_vs_visitor(spark, sf):
-    return P.host_vs_visitor(B.panel(spark, sf))
+    return P.host_vs_visitor(V(spark, sf).panel())
 
 
 @query("host_wdl_means")
 def q_host_wdl_means(spark, sf):
-    return P.host_wdl_means(B.panel(spark, sf))
+    return P.host_wdl_means(V(spark, sf).panel())
 
 
 @query("host_stage_counts")
 def q_host_stage_counts(spark, sf):
-    return P.host_stage_counts(B.panel(spark, sf))
+    return P.host_stage_counts(V(spark, sf).panel())
 
 
 @query("host_by_edition")
 def q_host_by_edition(spark, sf):
-    return P.host_by_edition(B.panel(spark, sf))
+    return P.host_by_edition(V(spark, sf).panel())
 
 
 @query("host_table")
 def q_host_table(spark, sf):
-    return P.host_table(B.panel(spark, sf))
+    return P.host_table(V(spark, sf).panel())
 
 
 @query("participation_top15")
 def q_participation_top15(spark, sf):
-    return P.participation_counts(B.panel(spark, sf), k=15)
+    return P.participation_counts(V(spark, sf).panel(), k=15)
 
 
 def _selected_panel(spark, sf):
     """Default selection of the heat-map page: the 15 most frequent entities
     (semi-join) within the edition range."""
-    p = B.panel(spark, sf)
+    p = V(spark, sf).panel()
     top = P.participation_counts(p, k=15).select("team")
     return P.filter_members(p, "team", top, lo=EDITIONS[0], hi=EDITIONS[-1], range_col="wc_year")
 
@@ -219,84 +220,84 @@ def q_winrate_by_entity_edition(spark, sf):
 
 @query("decade_top5")
 def q_decade_top5(spark, sf):
-    return P.decade_top(B.panel(spark, sf), k=5)
+    return P.decade_top(V(spark, sf).panel(), k=5)
 
 
 @query("strength_correlation")
 def q_strength_correlation(spark, sf):
-    p = P.enrich_panel(B.panel(spark, sf))
+    p = P.enrich_panel(V(spark, sf).panel())
     return S.correlation(p, "strength", "phase_score")
 
 
 @query("strength_trend")
 def q_strength_trend(spark, sf):
-    p = P.enrich_panel(B.panel(spark, sf))
+    p = P.enrich_panel(V(spark, sf).panel())
     return S.trend_line(p, "strength", "phase_score", n=100, min_points=5)
 
 
 @query("upset_kpis")
 def q_upset_kpis(spark, sf):
-    return P.upset_kpis(B.panel(spark, sf))
+    return P.upset_kpis(V(spark, sf).panel())
 
 
 @query("upsets_by_edition")
 def q_upsets_by_edition(spark, sf):
-    return P.upsets_by_edition(B.panel(spark, sf))
+    return P.upsets_by_edition(V(spark, sf).panel())
 
 
 @query("upset_list")
 def q_upset_list(spark, sf):
-    return P.upset_list(B.panel(spark, sf), max_strength=1800)
+    return P.upset_list(V(spark, sf).panel(), max_strength=1800)
 
 
 @query("group_winrate_decade")
 def q_group_winrate_decade(spark, sf):
-    return P.group_winrate_decade(B.panel(spark, sf))
+    return P.group_winrate_decade(V(spark, sf).panel())
 
 
 @query("group_stage_counts")
 def q_group_stage_counts(spark, sf):
-    return P.group_stage_counts(B.panel(spark, sf))
+    return P.group_stage_counts(V(spark, sf).panel())
 
 
 @query("group_participations")
 def q_group_participations(spark, sf):
-    return P.group_participations(B.panel(spark, sf))
+    return P.group_participations(V(spark, sf).panel())
 
 
 @query("group_participations_edition")
 def q_group_participations_edition(spark, sf):
-    return P.group_participations(B.panel(spark, sf), by_edition=True)
+    return P.group_participations(V(spark, sf).panel(), by_edition=True)
 
 
 @query("outcome_targets")
 def q_outcome_targets(spark, sf):
-    p = P.with_targets(B.panel(spark, sf))
+    p = P.with_targets(V(spark, sf).panel())
     return p.select("team", "wc_year", "final_stage_reached", "target_champion", "target_top4", "target_top8")
 
 
 # ----------------------------------------------------------------- profiles
 def _factor_profiles(spark, sf, min_matches):
     """Profiles with rates, win rate, and the external ranking."""
-    prof = R.with_rates(B.profiles(spark, sf))
-    prof = R.add_win_rate_if_absent(prof, C.two_sided_win_rate(B.contests(spark, sf)))
-    prof = R.join_ranking(prof, B.ranking(spark, sf))
+    prof = R.with_rates(V(spark, sf).profiles())
+    prof = R.add_win_rate_if_absent(prof, C.two_sided_win_rate(V(spark, sf).contests()))
+    prof = R.join_ranking(prof, V(spark, sf).ranking())
     return R.filter_profiles(prof, min_appearances=None, min_matches=min_matches)
 
 
 @query("group_titles_share")
 def q_group_titles_share(spark, sf):
-    return R.group_titles_share(B.profiles(spark, sf))
+    return R.group_titles_share(V(spark, sf).profiles())
 
 
 @query("group_finals")
 def q_group_finals(spark, sf):
-    return R.group_finals(B.profiles(spark, sf))
+    return R.group_finals(V(spark, sf).profiles())
 
 
 @query("profile_ranked")
 def q_profile_ranked(spark, sf):
-    p = R.filter_profiles(R.with_rates(B.profiles(spark, sf)), min_appearances=MIN_APPEARANCES)
+    p = R.filter_profiles(R.with_rates(V(spark, sf).profiles()), min_appearances=MIN_APPEARANCES)
     return p.select("team", "confederation", "total_wc_appearances", "titles", "finals_reached",
                     "semis_reached", "total_matches", "total_wins", "win_rate", "goals_per_match",
                     "conceded_per_match").orderBy(F.desc("titles"), "team")
@@ -304,12 +305,12 @@ def q_profile_ranked(spark, sf):
 
 @query("profile_leaders")
 def q_profile_leaders(spark, sf):
-    return R.profile_leaders(R.filter_profiles(B.profiles(spark, sf), min_appearances=MIN_APPEARANCES))
+    return R.profile_leaders(R.filter_profiles(V(spark, sf).profiles(), min_appearances=MIN_APPEARANCES))
 
 
 @query("profile_bubble")
 def q_profile_bubble(spark, sf):
-    return R.bubble(R.filter_profiles(B.profiles(spark, sf), min_appearances=MIN_APPEARANCES))
+    return R.bubble(R.filter_profiles(V(spark, sf).profiles(), min_appearances=MIN_APPEARANCES))
 
 
 @query("metric_top10")
@@ -353,15 +354,15 @@ def q_factor_leaders(spark, sf):
 
 @query("with_label")
 def q_with_label(spark, sf):
-    p = B.profiles(spark, sf).select("team", "titles")
-    return R.with_label(p, "team", B.labels(spark, sf), out="label")
+    p = V(spark, sf).profiles().select("team", "titles")
+    return R.with_label(p, "team", V(spark, sf).labels(), out="label")
 
 
 # ---------------------------------------------------------------- warehouse
 def _dim_team(spark, sf):
-    c = B.contests(spark, sf)
+    c = V(spark, sf).contests()
     return W.build_dim_team(c, C.two_sided_stats(c), C.two_sided_win_rate(c),
-                            C.title_counts(B.editions(spark, sf)))
+                            C.title_counts(V(spark, sf).editions()))
 
 
 @query("dim_team")
@@ -371,16 +372,16 @@ def q_dim_team(spark, sf):
 
 @query("dim_edition")
 def q_dim_edition(spark, sf):
-    return W.build_dim_edition(B.editions(spark, sf))
+    return W.build_dim_edition(V(spark, sf).editions())
 
 
 @query("dim_stadium")
 def q_dim_stadium(spark, sf):
-    return W.build_dim_stadium(B.contests(spark, sf, venue=True, city=True))
+    return W.build_dim_stadium(V(spark, sf).contests())
 
 
 def _fact_matches(spark, sf):
-    c = B.contests(spark, sf, venue=True, city=True)
+    c = V(spark, sf).contests()
     dim_team = W.build_dim_team(c)
     return W.build_fact_matches(c, dim_team, W.build_dim_stadium(c)), dim_team
 
@@ -392,19 +393,19 @@ def q_fact_matches(spark, sf):
 
 @query("fact_team_performance")
 def q_fact_team_performance(spark, sf):
-    c = B.contests(spark, sf)
+    c = V(spark, sf).contests()
     return W.with_team_id(C.two_sided_stats(c), W.build_dim_team(c))
 
 
 @query("fact_phase_performance")
 def q_fact_phase_performance(spark, sf):
-    c = B.contests(spark, sf)
+    c = V(spark, sf).contests()
     return W.with_team_id(C.stage_matrix(c, STAGES), W.build_dim_team(c))
 
 
 @query("fact_head_to_head")
 def q_fact_head_to_head(spark, sf):
-    return W.head_to_head(B.contests(spark, sf))
+    return W.head_to_head(V(spark, sf).contests())
 
 
 @query("star_join_finals")
@@ -425,17 +426,17 @@ def _cust_spec():
 
 @query("pre_event_features")
 def q_pre_event_features(spark, sf):
-    return WD.pre_event_features(B.cust_panel(spark, sf), null_policy="poison", **_cust_spec())
+    return WD.pre_event_features(V(spark, sf).cust_panel(), null_policy="poison", **_cust_spec())
 
 
 @query("pre_event_features_skip")
 def q_pre_event_features_skip(spark, sf):
-    return WD.pre_event_features(B.cust_panel(spark, sf), null_policy="skip", **_cust_spec())
+    return WD.pre_event_features(V(spark, sf).cust_panel(), null_policy="skip", **_cust_spec())
 
 
 @query("streaks")
 def q_streaks(spark, sf):
-    s = WD.streak_columns(B.cust_panel(spark, sf), "team", "wc_year", **_cust_spec())
+    s = WD.streak_columns(V(spark, sf).cust_panel(), "team", "wc_year", **_cust_spec())
     return s.select("team", "wc_year", "streak", "consecutive_wc_appearances")
 
 
@@ -444,13 +445,13 @@ _MODELS: dict = {}
 
 
 def _training(spark, sf):
-    return WD.pre_event_features(B.cust_panel(spark, sf), null_policy="poison", **_cust_spec())
+    return WD.pre_event_features(V(spark, sf).cust_panel(), null_policy="poison", **_cust_spec())
 
 
 def _scoring(spark, sf):
-    both = B.cust_panel(spark, sf).unionByName(B.cust_panel_next(spark, sf))
+    both = V(spark, sf).cust_panel().unionByName(V(spark, sf).cust_panel_next())
     feats = WD.pre_event_features(both, null_policy="poison", **_cust_spec())
-    nxt = B.cust_panel(spark, sf).agg((F.max("wc_year") + 1).cast("int")).scalar()
+    nxt = V(spark, sf).cust_panel().agg((F.max("wc_year") + 1).cast("int")).scalar()
     return feats.where(F.col("wc_year") == nxt)
 
 

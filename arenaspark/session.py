@@ -26,7 +26,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        b = b.config("spark.driver.memory", os.environ.get("ARENASPARK_DRIVER_MEMORY", "8g"))
     for k, v in ENGINE_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:

@@ -22,6 +22,16 @@ from arenaspark.session import broadcast_if_small, cut_lineage
 from arenaspark.operators.stats import arg_best, top_k
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over all cores before CPU-heavy model work.
+
+    Small inputs arrive in one or two partitions (AQE coalesces small
+    shuffles); a forest fit or a 300-tree prediction on them would run on one
+    core. ``defaultParallelism`` is the cluster's core count.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def assemble(df: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
     """Missing feature values -> 0, then one vector column."""
     filled = df.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features})
@@ -31,22 +41,29 @@ def assemble(df: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> DataFra
 def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     """weight = n / (classes * n_class), as 'balanced' class weighting.
 
-    The per-class counts table has one row per class; it is broadcast only
-    after checking that bound.
+    The per-class counts table has one row per class; the totals are windows
+    over that tiny table, and it is broadcast only after checking its bound.
     """
+    from pyspark.sql import Window
+
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
-    total = df.agg(F.count(F.lit(1)).cast("double")).scalar()
-    classes = df.agg(F.countDistinct(label).cast("double")).scalar()
-    counts = counts.withColumn("weight", total / (classes * F.col("__nc"))).drop("__nc")
+    every = Window.partitionBy()
+    counts = counts.withColumn(
+        "weight", F.sum("__nc").over(every) / (F.count(F.lit(1)).over(every) * F.col("__nc"))).drop("__nc")
     return df.join(broadcast_if_small(counts, 1000), label)
 
 
 def fit_outcome_model(train: DataFrame, label: str = "target_top4",
                       features: Sequence[str] = MODEL_FEATURES, trees: int = MODEL_TREES,
                       depth: int = MODEL_DEPTH, seed: int = MODEL_SEED) -> RandomForestClassificationModel:
-    """Weighted random forest on the assembled features (M2)."""
-    data = balanced_weights(assemble(train, features), label)
-    data = cut_lineage(data.select("features", F.col(label).cast("double").alias("label"), "weight"))
+    """Weighted random forest on the assembled features (M2).
+
+    The assembled training set is spread over all cores and checkpointed
+    once; the class weights and the many tree passes read that checkpoint.
+    """
+    data = cut_lineage(spread(assemble(train, features)
+                              .select("features", F.col(label).cast("double").alias("label"))))
+    data = balanced_weights(data, "label")
     rf = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, weightCol="weight",
                                 featuresCol="features", labelCol="label",
                                 featureSubsetStrategy="sqrt", impurity="gini")
@@ -55,7 +72,7 @@ def fit_outcome_model(train: DataFrame, label: str = "target_top4",
 
 def predict(model: RandomForestClassificationModel, df: DataFrame,
             features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
-    return model.transform(assemble(df, features))
+    return model.transform(assemble(spread(df), features))
 
 
 def training_metrics(model, train: DataFrame, label: str = "target_top4",

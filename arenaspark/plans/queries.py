@@ -472,14 +472,19 @@ def q_feature_importance(spark, sf):
     return M.feature_importance(_model(spark, sf))
 
 
+def _scored(spark, sf):
+    """Scoring table scored once per session (ranking and summary read it)."""
+    return V(spark, sf).derived("scored", lambda: M.score_outcomes(_model(spark, sf), _scoring(spark, sf)))
+
+
 @query("outcome_ranking")
 def q_outcome_ranking(spark, sf):
-    return M.score_outcomes(_model(spark, sf), _scoring(spark, sf))
+    return _scored(spark, sf).orderBy(F.desc("prob_top4"), "team")
 
 
 @query("prediction_summary")
 def q_prediction_summary(spark, sf):
-    return M.prediction_summary(M.score_outcomes(_model(spark, sf), _scoring(spark, sf)))
+    return M.prediction_summary(_scored(spark, sf))
 
 
 # Queries checked only by row count (iterative ML fit: no SQL equivalent)

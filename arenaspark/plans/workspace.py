@@ -70,6 +70,10 @@ class Workspace:
     def cust_panel(self) -> DataFrame:
         return self._view("cust_panel", lambda: B.cust_panel(self.spark, self.sf))
 
+    def derived(self, name: str, build) -> DataFrame:
+        """Materialise any other derived table of this session once."""
+        return self._view(name, build)
+
     def cust_panel_next(self) -> DataFrame:
         return self._view("cust_panel_next", lambda: B.cust_panel_next(self.spark, self.sf, self.cust_panel()))
 

@@ -67,7 +67,9 @@ def fit_outcome_model(train: DataFrame, label: str = "target_top4",
     rf = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, weightCol="weight",
                                 featuresCol="features", labelCol="label",
                                 featureSubsetStrategy="sqrt", impurity="gini")
-    return rf.fit(data)
+    # The fitted model keeps a training summary that references the session;
+    # a copy has no summary, so scoring never has to serialise session state.
+    return rf.fit(data).copy()
 
 
 def predict(model: RandomForestClassificationModel, df: DataFrame,

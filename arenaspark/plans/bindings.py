@@ -81,11 +81,12 @@ def contests(spark: SparkSession, sf: str, venue: bool = False, city: bool = Fal
     li = _t(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line_no"),
         F.col("l_partkey").alias("part_key"), F.col("l_suppkey").alias("supp_key"),
-        F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price"))
+        F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price"),
+        F.col("l_returnflag").alias("return_flag"))
     c = (li.join(ords, F.col("order_key") == F.col("o_orderkey"))
          .join(sup, F.col("supp_key") == F.col("s_suppkey")))
     cols: list[Column] = [
-        "order_key", "line_no", "part_key", "supp_key", "qty", "price",
+        "order_key", "line_no", "part_key", "supp_key", "qty", "price", "return_flag",
         F.col("s_nationkey").alias("home_key"), F.col("c_nationkey").alias("away_key"),
         "home_team", "away_team",
         (F.col("qty").cast("int") % 6).alias("home_score"),
@@ -129,6 +130,18 @@ def contests_b(spark: SparkSession, sf: str) -> DataFrame:
         "date", "stage", F.year("date").alias("wc_year"), F.lit("returned").alias("result_type"))
 
 
+def contests_b_from(contest_view: DataFrame) -> DataFrame:
+    """``contests_b`` derived from an already built contest view: the same
+    returned line items with the sides swapped (identical rows to the
+    raw-table definition, without redoing its joins)."""
+    c = contest_view.where(F.col("return_flag") == "R")
+    return c.select(
+        "order_key", "line_no", "part_key", "supp_key", "qty", "price",
+        F.col("away_team").alias("home_team"), F.col("home_team").alias("away_team"),
+        F.col("away_score").alias("home_goals"), F.col("home_score").alias("away_goals"),
+        "date", "stage", F.year("date").alias("wc_year"), F.lit("returned").alias("result_type"))
+
+
 def _panel_stage(pos: Column) -> Column:
     e = None
     for lo, hi, name in PANEL_STAGES:

@@ -596,6 +596,16 @@ WHERE f.stage = '{Q.FINAL_STAGE}'"""),
         "dim_top10_winrate": sql(["lf", "editions_v"], f"""
 SELECT team_name, win_rate, games_played FROM dim_team WHERE games_played >= {Q.MIN_GAMES_DIM}
 ORDER BY win_rate DESC, team_name LIMIT 10""", [("dim_team", _DIM_TEAM_BODY)]),
+        "warehouse_load": sql(["lf", "editions_v"], f"""
+SELECT 'dim_team' AS "table", count(*) AS rows FROM {_DIM_TEAM_PLAIN}
+UNION ALL SELECT 'dim_edition', count(*) FROM editions_v
+UNION ALL SELECT 'dim_stadium', count(*) FROM {_DIM_STADIUM}
+UNION ALL SELECT 'fact_matches', count(*) FROM contests_v
+UNION ALL SELECT 'fact_team_performance', count(DISTINCT team) FROM lf WHERE team IS NOT NULL
+UNION ALL SELECT 'fact_phase_performance', count(DISTINCT team) FROM lf
+  WHERE team IS NOT NULL AND stage IN ({", ".join(f"'{s}'" for s in Q.STAGES)})
+UNION ALL SELECT 'fact_head_to_head', count(*) FROM (SELECT DISTINCT least(home_team, away_team),
+  greatest(home_team, away_team) FROM contests_v WHERE home_team IS NOT NULL AND away_team IS NOT NULL)"""),
         "pre_event_features": _pre_event_sql("poison"),
         "pre_event_features_skip": _pre_event_sql("skip"),
     }

@@ -114,7 +114,7 @@ def q_coerce_types(spark, sf):
 def q_unified_matches(spark, sf):
     a = V(spark, sf).contests().select(*CONTEST_TIE, "date", "home_team", "away_team",
                                      "home_score", "away_score", "stage")
-    b = clean.rename(B.contests_b(spark, sf), {"home_goals": "home_score", "away_goals": "away_score"})
+    b = clean.rename(V(spark, sf).contests_b(), {"home_goals": "home_score", "away_goals": "away_score"})
     u = C.unify_sources(a, b, ["date", "home_team", "away_team"], CONTEST_TIE)
     return u.select("date", "home_team", "away_team", "home_score", "away_score", "stage",
                     F.col("wc_year").cast("int").alias("wc_year"), "result_type")
@@ -419,6 +419,28 @@ def q_dim_top10_winrate(spark, sf):
     return W.dim_top(spark, _dim_team(spark, sf), MIN_GAMES_DIM, 10)
 
 
+@query("warehouse_load")
+def q_warehouse_load(spark, sf):
+    """Write the seven warehouse tables (S6) and report the rows loaded per
+    table, observed during each write (S7). The tables go under the
+    session's workspace folder; the report is the returned DataFrame."""
+    ws = V(spark, sf)
+    c = ws.contests()
+    dim_team = _dim_team(spark, sf)
+    dim_stadium = W.build_dim_stadium(c)
+    tables = {
+        "dim_team": dim_team,
+        "dim_edition": W.build_dim_edition(ws.editions()),
+        "dim_stadium": dim_stadium,
+        "fact_matches": W.build_fact_matches(c, W.build_dim_team(c), dim_stadium),
+        "fact_team_performance": W.with_team_id(C.two_sided_stats(c), W.build_dim_team(c)),
+        "fact_phase_performance": W.with_team_id(C.stage_matrix(c, STAGES), W.build_dim_team(c)),
+        "fact_head_to_head": W.head_to_head(c),
+    }
+    counts = W.write_warehouse(tables, f"{ws.root}/warehouse")
+    return spark.createDataFrame(sorted(counts.items()), "table string, rows long")
+
+
 # ----------------------------------------------------- pre-event features
 def _cust_spec():
     return dict(gap=B.CUST_GAP, exceptions=B.CUST_GAP_EXCEPTIONS)

@@ -52,6 +52,12 @@ class Workspace:
         """Contest view with venue and city (queries prune what they skip)."""
         return self._view("contests", lambda: B.contests(self.spark, self.sf, venue=True, city=True))
 
+    def contests_b(self) -> DataFrame:
+        """Second contest source (returned items, customer side)."""
+        if not self.materialize:
+            return B.contests_b(self.spark, self.sf)
+        return B.contests_b_from(self.contests())
+
     def panel(self) -> DataFrame:
         return self._view("panel", lambda: B.panel(self.spark, self.sf, self.contests()))
 

@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 
 # Settings this engine relies on. AQE re-plans joins from runtime sizes, splits
 # skewed shuffle partitions and coalesces small ones; ANSI stays on, so every
-# parse is a try_* function.
+# parse is a try_* function. No join is broadcast on a *static estimate*
+# (-1): a side is broadcast either because its row count was checked
+# (``broadcast_if_small``) or because AQE measured its shuffle output below
+# the adaptive threshold at run time.
 ENGINE_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "8MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arenaspark.functions.exprs import harmonise, normalise_text
-from arenaspark.sources.io import coerce
+from arenaspark.sources.io import coerce, try_number
 
 
 def lower_headers(df: DataFrame) -> DataFrame:
@@ -66,7 +66,7 @@ def parse_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 def parse_numbers(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Coerced numeric parse, bad values -> null."""
-    cols = {c: F.col(c).cast("string").try_cast(t) for c, t in columns.items() if c in df.columns}
+    cols = {c: try_number(F.col(c).cast("string"), t) for c, t in columns.items() if c in df.columns}
     return df.withColumns(cols) if cols else df
 
 

@@ -133,6 +133,37 @@ def dim_top(spark: SparkSession, dim_team: DataFrame, min_games: int = 10, k: in
         """, dim=dim_team, min_games=min_games, k=k)
 
 
+def load_warehouse(spark: SparkSession, contests: DataFrame, editions: DataFrame, stages: list[str],
+                   root: str, spec: ContestSpec = ContestSpec()) -> dict[str, int]:
+    """Build and replace the seven warehouse tables (S6); rows per table.
+
+    Dimensions are written first and read back, so the facts look up the
+    keys of the written dimensions (each dimension is computed once, and the
+    facts never depend on recomputing it).
+    """
+    from arenaspark.operators.contests import stage_matrix, title_counts, two_sided_stats, two_sided_win_rate
+
+    root = root.rstrip("/")
+    stats = two_sided_stats(contests, spec)
+    dims = {
+        "dim_team": build_dim_team(contests, stats, two_sided_win_rate(contests, spec),
+                                   title_counts(editions), spec),
+        "dim_edition": build_dim_edition(editions),
+        "dim_stadium": build_dim_stadium(contests, spec),
+    }
+    counts = write_warehouse(dims, root)
+    dim_team = spark.read.parquet(f"{root}/dim_team")
+    dim_stadium = spark.read.parquet(f"{root}/dim_stadium")
+    facts = {
+        "fact_matches": build_fact_matches(contests, dim_team, dim_stadium, spec),
+        "fact_team_performance": with_team_id(stats, dim_team),
+        "fact_phase_performance": with_team_id(stage_matrix(contests, stages, spec), dim_team),
+        "fact_head_to_head": head_to_head(contests, spec),
+    }
+    counts.update(write_warehouse(facts, root))
+    return counts
+
+
 def write_warehouse(tables: dict[str, DataFrame], root: str, fmt: str = "parquet",
                     partition_by: dict[str, list[str]] | None = None) -> dict[str, int]:
     """Replace every table under ``root`` (S6); returns rows written per

@@ -425,19 +425,7 @@ def q_warehouse_load(spark, sf):
     table, observed during each write (S7). The tables go under the
     session's workspace folder; the report is the returned DataFrame."""
     ws = V(spark, sf)
-    c = ws.contests()
-    dim_team = _dim_team(spark, sf)
-    dim_stadium = W.build_dim_stadium(c)
-    tables = {
-        "dim_team": dim_team,
-        "dim_edition": W.build_dim_edition(ws.editions()),
-        "dim_stadium": dim_stadium,
-        "fact_matches": W.build_fact_matches(c, W.build_dim_team(c), dim_stadium),
-        "fact_team_performance": W.with_team_id(C.two_sided_stats(c), W.build_dim_team(c)),
-        "fact_phase_performance": W.with_team_id(C.stage_matrix(c, STAGES), W.build_dim_team(c)),
-        "fact_head_to_head": W.head_to_head(c),
-    }
-    counts = W.write_warehouse(tables, f"{ws.root}/warehouse")
+    counts = W.load_warehouse(spark, ws.contests(), ws.editions(), STAGES, f"{ws.root}/warehouse")
     return spark.createDataFrame(sorted(counts.items()), "table string, rows long")
 
 

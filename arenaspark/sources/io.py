@@ -78,18 +78,39 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return raw.select(*cols)
 
 
+# Text that a numeric cast could accept: sign, digits, optional fraction and
+# exponent, an optional d/f suffix, or the special values. Anything else is
+# null without calling the cast: a failed ANSI cast raises (and try_cast
+# catches) an exception per row, which dominates on columns of 'N/A'.
+_NUMBER_SHAPE = (r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[dDfF]?"
+                 r"|(?i:inf|infinity|nan))\s*$")
+
+
+def try_number(c, data_type) -> "F.Column":
+    """Coerced numeric parse: null unless the text parses as ``data_type``."""
+    return F.when(c.rlike(_NUMBER_SHAPE), c.try_cast(data_type))
+
+
 def coerce(c, data_type: T.DataType):
     """Coerced parse: a value that does not parse becomes null."""
     if isinstance(data_type, T.DateType):
-        return F.coalesce(F.try_to_date(c, "yyyy-MM-dd"), F.try_to_date(c, "dd/MM/yyyy"))
+        # Only text shaped like a date reaches the parser: a failed parse costs
+        # an exception per row, which dominates on columns of non-dates.
+        t = F.trim(c)
+        # ISO text: the native cast (fast path, no pattern formatter)
+        iso = F.when(t.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), t.try_cast("date"))
+        dmy = F.when(t.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"), F.try_to_date(t, "d/M/yyyy"))
+        return F.coalesce(iso, dmy)
     if isinstance(data_type, T.TimestampType):
         return F.try_to_timestamp(c)
     if isinstance(data_type, T.BooleanType):
         return F.lower(F.trim(c)).isin("true", "yes", "1")
     if isinstance(data_type, (T.IntegerType, T.LongType, T.ShortType)):
         # "4.0" is an integer too; cast through double, keep only whole values
-        d = c.try_cast("double")
+        d = try_number(c, "double")
         return F.when(d == F.floor(d), d.try_cast(data_type))
+    if isinstance(data_type, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return try_number(c, data_type)
     return c.try_cast(data_type)
 
 

@@ -170,8 +170,10 @@ def goals_by_decade(df: DataFrame, spec: ContestSpec = ContestSpec()) -> DataFra
 
 def decade_lookup(by_decade: DataFrame, decades: Iterable[int]) -> DataFrame:
     """One decade's value or null when absent (A34), for each wanted decade."""
-    spark = by_decade.sparkSession
-    wanted = spark.createDataFrame([(int(d),) for d in decades], "decade int")
+    # the wanted decades are a literal parameter list: built inside the JVM
+    # and broadcast (its size is the length of that list)
+    wanted = by_decade.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(int(d)) for d in decades])).alias("decade"))
     return F.broadcast(wanted).join(by_decade.select("decade", "goals_per_match"), "decade", "left")
 
 

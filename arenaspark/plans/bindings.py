@@ -268,10 +268,13 @@ def ranking(spark: SparkSession, sf: str) -> DataFrame:
         F.sum(F.round(F.col("s_acctbal") * 100).cast("long")).alias("points"))
     g = g.where(F.col("suppliers") >= RANKING_MIN_SUPPLIERS)
     nat = _dim(spark, sf, "nation", ["n_nationkey", "n_name"])
-    g = g.join(nat, g["s_nationkey"] == nat["n_nationkey"])
-    # one row per nation: this window sees at most #nations rows
-    w = Window.orderBy(F.desc("points"), F.asc("n_name"))
-    return g.select(F.col("n_name").alias("team"), F.row_number().over(w).alias("rank"), "points")
+    g = g.join(nat, g["s_nationkey"] == nat["n_nationkey"]).withColumn("__neg", -F.col("points"))
+    # rank 1..n by (points desc, name): the distributed dense-key operator,
+    # not a window over one partition
+    from arenaspark.operators.windows import dense_keys
+
+    r = dense_keys(g.select("n_name", "points", "__neg"), ["__neg", "n_name"], "rank")
+    return r.select(F.col("n_name").alias("team"), F.col("rank").cast("int").alias("rank"), "points")
 
 
 def labels(spark: SparkSession, sf: str, ranking_view: DataFrame | None = None) -> DataFrame:

@@ -25,6 +25,28 @@ ENGINE_CONF = {
 }
 
 
+def scale_settings(shuffle_bytes: int, total_cores: int,
+                   target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a cluster run.
+
+    ``shuffle_bytes`` is the expected size of the largest shuffle (the
+    contest view after column pruning, not the raw input). Partitions aim at
+    ``target_partition_bytes`` so one sorts or hashes in executor memory
+    without heavy spill, with at least 3 and at most 20 waves of the cores
+    (more reducers only multiply shuffle blocks). AQE then coalesces the
+    partitions that turn out small and splits skewed ones.
+    """
+    want = int(shuffle_bytes // target_partition_bytes) + 1
+    parts = min(max(3 * total_cores, want), 20 * total_cores)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "arenaspark") -> SparkSession:
     """A session with the engine defaults; on a cluster pass no master."""

@@ -37,6 +37,19 @@ def contest_features(df: DataFrame, spec: ContestSpec = ContestSpec()) -> DataFr
     return df.withColumns(cols)
 
 
+def with_calendar(df: DataFrame, date: str | None = "date", year: str | None = None) -> DataFrame:
+    """Derived year and decade (the accessors' calendar columns, P11): from a
+    date column (coerced parse first), or from an existing year column."""
+    if date is not None and date in df.columns:
+        from arenaspark.operators.clean import parse_dates
+
+        df = parse_dates(df, [date])
+        return df.withColumns({"year": F.year(date), "decade": decade_of(F.year(date))})
+    if year is not None and year in df.columns:
+        return df.withColumn("decade", decade_of(F.col(year).cast("int")))
+    return df
+
+
 def long_form(df: DataFrame, spec: ContestSpec = ContestSpec(),
               keep: Sequence[str] = ()) -> DataFrame:
     """One row per (contest, side): team, opponent, side, goals_for, goals_against.

@@ -106,3 +106,11 @@ def test_overview_kpis(spark):
     k = C.overview_kpis(df).first()
     assert (k.total_matches, k.total_teams, k.total_editions) == (2, 2, 2)
     assert k.avg_goals == 2.5             # zero-filled totals 1 and 4
+
+
+def test_with_calendar(spark):
+    df = spark.createDataFrame([("1998-07-12",), ("bad",), (None,)], "date string")
+    got = rows(C.with_calendar(df), "year", "decade")
+    assert got == [(1998, 1990), (None, None), (None, None)]
+    p = spark.createDataFrame([(2002,)], "wc_year int")
+    assert C.with_calendar(p, date=None, year="wc_year").first().decade == 2000

@@ -32,6 +32,26 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
+def align_features(df: DataFrame, renames: dict[str, str] | None = None,
+                   flags: Sequence[str] = ("host_nation", "is_debut"),
+                   features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
+    """Give a scoring table the training table's feature columns (P27):
+    rename (e.g. a current-strength column to ``elo_rating``), turn yes/no
+    text flags into 0/1, and coerce every feature to a number."""
+    from arenaspark.functions.exprs import yes_no_flag
+    from arenaspark.sources.io import try_number
+
+    out = df
+    for old, new in (renames or {}).items():
+        if old in out.columns:
+            out = out.withColumn(new, F.col(old))
+    for f in flags:
+        if f in out.columns and dict(out.dtypes)[f] == "string":
+            out = out.withColumn(f, yes_no_flag(f))
+    return out.withColumns({f: try_number(F.col(f).cast("string"), "double") if f in out.columns
+                            else F.lit(None).cast("double") for f in features})
+
+
 def assemble(df: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
     """Missing feature values -> 0, then one vector column."""
     filled = df.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features})

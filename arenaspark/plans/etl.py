@@ -9,12 +9,13 @@ Everything stays lazy until the writes.
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenaspark.operators import clean, contests as C, warehouse as W
+from arenaspark.operators import clean, contests as C, model as M, warehouse as W
 from arenaspark.operators.windows import pre_event_features
 from arenaspark.session import has_at_most
 from arenaspark.sources.io import read_catalog, read_csv, write_csv
@@ -27,6 +28,8 @@ RANKING = "fifa_ranking_2022-10-06"
 HEAD_TO_HEAD = "wc_head_to_head"
 APPEARANCES = "wc_team_appearances"
 ALLTIME = "wc_team_alltime_stats"
+SCORING = "wc_prediction_features_2026"
+SCORING_RENAMES = {"elo_rating_2026": "elo_rating"}
 
 NAME_COLUMNS = ["home_team", "away_team", "team", "winner", "host_country"]
 TEXT_COLUMNS = ["stadium", "stage", "city"]
@@ -108,11 +111,13 @@ def build_tables(catalog: dict[str, DataFrame]) -> Tables:
                   others[ALLTIME], wc, others[RANKING])
 
 
-def run(spark: SparkSession, raw_root: str, out_root: str) -> dict[str, int]:
-    """extract -> transform -> load -> pre-event feature table (batch entry).
+def run(spark: SparkSession, raw_root: str, out_root: str, with_model: bool = True) -> dict[str, int]:
+    """extract -> transform -> load -> pre-event feature table -> model (batch entry).
 
     Returns rows written per table. The feature table is built from the raw
     appearance file (not the harmonised one), as in the flow being rebuilt.
+    When a scoring file is present, the outcome model is fitted on the
+    feature table and its ranked predictions are exported (S8).
     """
     catalog = {**read_catalog(spark, f"{raw_root}/matches"), **read_catalog(spark, f"{raw_root}/compets")}
     t = build_tables(catalog)
@@ -142,4 +147,12 @@ def run(spark: SparkSession, raw_root: str, out_root: str) -> dict[str, int]:
         return counts
     feats = pre_event_features(panel).orderBy("team", "wc_year")
     counts["ml_dataset_historical"] = write_csv(feats, f"{out_root}/processed/ml_dataset_historical")
+    scoring_path = f"{raw_root}/compets/{SCORING}.csv"
+    if with_model and os.path.exists(scoring_path):
+        train = spark.read.option("header", True).csv(f"{out_root}/processed/ml_dataset_historical")
+        train = M.align_features(train).withColumn("target_top4", F.col("target_top4").try_cast("int"))
+        model = M.fit_outcome_model(train)
+        scoring = M.align_features(read_csv(spark, scoring_path), SCORING_RENAMES)
+        ranked = M.score_outcomes(model, scoring)
+        counts["predictions"] = write_csv(ranked, f"{out_root}/processed/predictions")
     return counts

@@ -29,6 +29,9 @@ def layout():
           "match_id,wc_year,stage,date,home_team,away_team,home_goals,away_goals,stadium,city\n"
           "m1,1974,Final,1974-07-07,Germany,Netherlands,9,9,Olympiastadion,Munich\n"
           "m2,1986,Final,1986-06-29,Argentina,FRG,3,2,Azteca,Mexico City\n")
+    write(f"{root}/raw/compets/wc_prediction_features_2026.csv",
+          "team,confederation,elo_rating_2026,wc_titles,wc_appearances,host_nation,is_debut,consecutive_wc_appearances\n"
+          "Argentina,CONMEBOL,2100,3,18,No,No,14\nCanada,CONCACAF,1750,0,2,Yes,No,1\nCuracao,CONCACAF,1500,0,0,No,Yes,0\n")
     write(f"{root}/raw/compets/wc_head_to_head.csv",
           "team_a,team_b,total_wc_matches\nArgentina,Netherlands,2\n")
     write(f"{root}/raw/compets/wc_team_appearances.csv",
@@ -66,3 +69,7 @@ def test_run_writes_warehouse_and_features(spark):
     got = {r.wc_year: r for r in feats.collect()}
     assert got["1934"].win_rate_before == "0.75" and got["1958"].win_rate_before == "0.0"
     assert got["1958"].consecutive_wc_appearances == "2"
+    assert counts["predictions"] == 3
+    pred = spark.read.option("header", True).csv(f"{root}/out/processed/predictions")
+    assert {r.team for r in pred.collect()} == {"Argentina", "Canada", "Curacao"}
+    assert all(0.0 <= float(r.prob_top4) <= 100.0 for r in pred.collect())

@@ -147,7 +147,8 @@ def stage_labels(df: DataFrame, editions: Sequence[int], spec: PanelSpec = Panel
     """Entity x edition matrix of the stage label, absent = 'not qualified' (A17).
 
     When two rows share (entity, edition) after harmonising (T8), the label of
-    the best stage is kept (ties: the smaller label), which is deterministic.
+    the best stage is kept (equal scores: the larger label), which is
+    deterministic.
     """
     p = enrich_panel(df, spec).withColumn(
         "__rank", F.struct(F.col("phase_score"), F.col(spec.stage)))

@@ -11,7 +11,8 @@ filter pushdown. This mirrors the batch design being rebuilt: build the
 unified history once, then answer every page from it.
 
 Set ``spark.conf.set("arenaspark.materialize", "false")`` to get the purely
-lazy views instead (same results, no writes).
+lazy views instead (same results, no writes), and ``arenaspark.workspace.dir``
+to place the views in another shared folder (a warehouse location).
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ class Workspace:
         self.materialize = spark.conf.get("arenaspark.materialize", "true").lower() != "false"
         tag = hashlib.sha1(self.sf.encode()).hexdigest()[:10]
         app = spark.sparkContext.applicationId
-        self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/arenaspark-views/{app}/{tag}"
+        base = spark.conf.get("arenaspark.workspace.dir", None) or ensure_checkpoint_dir(spark)
+        self.root = f"{base.rstrip('/')}/arenaspark-views/{app}/{tag}"
         self._done: dict[str, str] = {}
 
     def _view(self, name: str, build) -> DataFrame:

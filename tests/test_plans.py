@@ -74,3 +74,22 @@ def test_mode_in_top_and_bounds(spark):
     b = S.bounds(df, "p").first()
     assert (b.min_value, b.max_value) == (1.0, 9.0)
     assert [r.grp for r in S.sorted_distinct(df, "grp").collect()] == ["X", "Y"]
+
+
+def test_lazy_and_materialised_views_agree(spark):
+    """The workspace only changes where views live, never the results."""
+    name = "team_stats"
+    mat = rows(Q.REGISTRY[name](spark, SF_SMALL))
+    spark.conf.set("arenaspark.materialize", "false")
+    try:
+        lazy = rows(Q.REGISTRY[name](spark, SF_SMALL))
+    finally:
+        spark.conf.set("arenaspark.materialize", "true")
+    assert mat == lazy
+
+
+def test_scale_settings_bounds():
+    from arenaspark.session import scale_settings
+    big = int(scale_settings(20 * 1024 ** 4, 8000)["spark.sql.shuffle.partitions"])
+    small = int(scale_settings(1024 ** 3, 64)["spark.sql.shuffle.partitions"])
+    assert 3 * 8000 <= big <= 20 * 8000 and small == 3 * 64

@@ -74,3 +74,11 @@ def test_filter_members_semi_join(spark):
     sel = spark.createDataFrame([("a",), ("a",)], "team string")
     out = P.filter_members(df, "team", sel, lo=1994, hi=1998, range_col="wc_year")
     assert rows(out, "team", "wc_year") == [("a", 1994), ("a", 1998)]
+
+
+def test_normalise_keeps_null(spark):
+    # T5: a missing stage stays missing (no 'nan' text), scores 0 on the scale
+    from arenaspark.functions.exprs import normalise_text
+    df = spark.createDataFrame([(" Final ",), (None,)], "s string")
+    assert [r[0] for r in df.select(normalise_text("s")).collect()] == ["final", None]
+    assert [r[0] for r in df.select(stage_score("s")).collect()] == [0, 0]

@@ -87,3 +87,14 @@ def test_dense_keys_are_1_to_n_in_order(spark):
     got = dense_keys(df, ["name"], "id", partitions=6).collect()
     pairs = sorted((r.name, r.id) for r in got)
     assert [p[1] for p in pairs] == list(range(1, 501))
+
+
+def test_no_nan_in_features(spark):
+    # Spark orders NaN above every number, so a NaN would turn "played > 0" true;
+    # running totals keep missing values as null, never NaN
+    from arenaspark.plans import bindings as B
+    f = pre_event_features(B.cust_panel(spark, "/root/testdata/sf0.001"),
+                           gap=B.CUST_GAP, exceptions=B.CUST_GAP_EXCEPTIONS)
+    cols = ["win_rate_before", "goals_scored_per_match_before", "goals_conceded_per_match_before", "elo_rating"]
+    assert f.where(" OR ".join(f"isnan({c})" for c in cols)).count() == 0
+    assert f.where("win_rate_before IS NULL").count() == 0   # played and wins are null together

@@ -96,12 +96,14 @@ _BOUND_CACHE: dict = {}
 def has_at_most(df: DataFrame, max_rows: int, cache_key: str | None = None) -> bool:
     """True when ``df`` holds at most ``max_rows`` rows.
 
-    Runs ``limit(max_rows + 1).count()``: each task stops after max_rows + 1
-    rows, so the check costs little even on a large table.
+    ``take(max_rows + 1)`` of a one-column projection scans partitions
+    incrementally and stops as soon as the bound is exceeded: on a large
+    table it reads only its first partitions; on a small one the driver
+    receives at most ``max_rows + 1`` one-byte rows. Meant for small bounds.
     """
     if cache_key is not None and (cache_key, max_rows) in _BOUND_CACHE:
         return _BOUND_CACHE[(cache_key, max_rows)]
-    ok = df.limit(max_rows + 1).count() <= max_rows
+    ok = len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
     if cache_key is not None:
         _BOUND_CACHE[(cache_key, max_rows)] = ok
     return ok

@@ -180,7 +180,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return int(obs.get["rows"])
 
 
-def write_csv(df: DataFrame, path: str, single_file_max_rows: int = 1_000_000) -> int:
+def write_csv(df: DataFrame, path: str, single_file_max_rows: int = 100_000) -> int:
     """CSV sink with a header and no index.
 
     A single part file is produced only when the table is proven small;

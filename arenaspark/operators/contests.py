@@ -70,11 +70,21 @@ def _side(side: str, c: Column) -> Column:
     return F.when(F.col("side") == side, c)
 
 
-def two_sided_stats(df: DataFrame, spec: ContestSpec = ContestSpec()) -> DataFrame:
-    """Per-entity goals and games for each side and in total.
+A1_COLUMNS = ["team", "goals_scored_home", "home_games", "goals_conceded_home", "goals_scored_away",
+              "away_games", "goals_conceded_away", "goals_scored", "goals_conceded", "games_played",
+              "goal_diff", "goals_per_game", "conceded_per_game"]
+A2_COLUMNS = ["team", "win_rate", "total_wins", "total_games"]
+
+
+def two_sided_summary(df: DataFrame, spec: ContestSpec = ContestSpec()) -> DataFrame:
+    """Every per-entity two-sided statistic from ONE aggregate (A1 + A2).
 
-    games per side count *non-null* scores (trap T3); sums of all-null groups
-    are 0 (trap T11); null entity names form no group (trap T10).
+    goals and games per side and in total, rates, wins and the pooled win
+    rate. Games per side count *non-null* scores (trap T3) while total_games
+    counts rows, so a contest with a missing score is a game but not a win
+    (T4); sums of all-null groups are 0 (T11); null names form no group (T10).
+    Queries that need only some columns get only those aggregates: Catalyst
+    prunes the unused ones.
     """
     lf = long_form(df, spec).where(F.col("team").isNotNull())
     gf, ga = F.col("goals_for"), F.col("goals_against")
@@ -86,11 +96,14 @@ def two_sided_stats(df: DataFrame, spec: ContestSpec = ContestSpec()) -> DataFra
         F.coalesce(F.sum(_side("away", gf)).cast("long"), z).alias("goals_scored_away"),
         F.count(_side("away", gf)).alias("away_games"),
         F.coalesce(F.sum(_side("away", ga)).cast("long"), z).alias("goals_conceded_away"),
+        F.count_if(gf > ga).alias("total_wins"),
+        F.count(F.lit(1)).alias("total_games"),
     )
     return agg.withColumns({
         "goals_scored": F.col("goals_scored_home") + F.col("goals_scored_away"),
         "goals_conceded": F.col("goals_conceded_home") + F.col("goals_conceded_away"),
         "games_played": F.col("home_games") + F.col("away_games"),
+        "win_rate": F.bround(safe_ratio("total_wins", "total_games"), ROUND),
     }).withColumns({
         "goal_diff": F.col("goals_scored") - F.col("goals_conceded"),
         "goals_per_game": F.bround(safe_ratio("goals_scored", "games_played"), ROUND),
@@ -98,19 +111,14 @@ def two_sided_stats(df: DataFrame, spec: ContestSpec = ContestSpec()) -> DataFra
     })
 
 
+def two_sided_stats(df: DataFrame, spec: ContestSpec = ContestSpec()) -> DataFrame:
+    """Per-entity goals and games for each side and in total."""
+    return two_sided_summary(df, spec).select(*A1_COLUMNS)
+
+
 def two_sided_win_rate(df: DataFrame, spec: ContestSpec = ContestSpec()) -> DataFrame:
-    """Pooled win rate over both sides (A2, J2): total_games counts rows, a
-    contest with a missing score is a game but not a win (T3, T4)."""
-    lf = long_form(df, spec).where(F.col("team").isNotNull())
-    agg = lf.groupBy("team").agg(
-        F.count_if(F.col("goals_for") > F.col("goals_against")).alias("total_wins"),
-        F.count(F.lit(1)).alias("total_games"),
-    )
-    return agg.select(
-        "team",
-        F.bround(safe_ratio("total_wins", "total_games"), ROUND).alias("win_rate"),
-        "total_wins", "total_games",
-    )
+    """Pooled win rate over both sides."""
+    return two_sided_summary(df, spec).select(*A2_COLUMNS)
 
 
 def title_counts(editions: DataFrame, winner: str = "winner") -> DataFrame:

@@ -27,9 +27,16 @@ def entity_names(contests: DataFrame, spec: ContestSpec = ContestSpec()) -> Data
 def build_dim_team(contests: DataFrame, team_stats: DataFrame | None = None,
                    win_rate: DataFrame | None = None, titles: DataFrame | None = None,
                    spec: ContestSpec = ContestSpec()) -> DataFrame:
-    """team_id, team_name, games_played, win_rate, titles."""
+    """team_id, team_name, games_played, win_rate, titles.
+
+    When one table carries both games_played and win_rate (the one-aggregate
+    summary), it is joined once.
+    """
     d = dense_keys(entity_names(contests, spec), ["team_name"], "team_id")
-    if team_stats is not None:
+    if team_stats is not None and win_rate is None and "win_rate" in team_stats.columns:
+        d = d.join(team_stats.select(F.col("team").alias("team_name"), "games_played", "win_rate"),
+                   "team_name", "left")
+    if team_stats is not None and win_rate is not None:
         d = d.join(team_stats.select(F.col("team").alias("team_name"), "games_played"), "team_name", "left")
     if win_rate is not None:
         d = d.join(win_rate.select(F.col("team").alias("team_name"), "win_rate"), "team_name", "left")
@@ -141,13 +148,13 @@ def load_warehouse(spark: SparkSession, contests: DataFrame, editions: DataFrame
     keys of the written dimensions (each dimension is computed once, and the
     facts never depend on recomputing it).
     """
-    from arenaspark.operators.contests import stage_matrix, title_counts, two_sided_stats, two_sided_win_rate
+    from arenaspark.operators.contests import A1_COLUMNS, stage_matrix, title_counts, two_sided_summary
 
     root = root.rstrip("/")
-    stats = two_sided_stats(contests, spec)
+    summary = two_sided_summary(contests, spec)
+    stats = summary.select(*A1_COLUMNS)
     dims = {
-        "dim_team": build_dim_team(contests, stats, two_sided_win_rate(contests, spec),
-                                   title_counts(editions), spec),
+        "dim_team": build_dim_team(contests, summary, None, title_counts(editions), spec),
         "dim_edition": build_dim_edition(editions),
         "dim_stadium": build_dim_stadium(contests, spec),
     }

@@ -361,8 +361,8 @@ def q_with_label(spark, sf):
 # ---------------------------------------------------------------- warehouse
 def _dim_team(spark, sf):
     c = V(spark, sf).contests()
-    return W.build_dim_team(c, C.two_sided_stats(c), C.two_sided_win_rate(c),
-                            C.title_counts(V(spark, sf).editions()))
+    # games_played and win_rate come from one two-sided aggregate
+    return W.build_dim_team(c, C.two_sided_summary(c), None, C.title_counts(V(spark, sf).editions()))
 
 
 @query("dim_team")

@@ -93,3 +93,12 @@ def test_scale_settings_bounds():
     big = int(scale_settings(20 * 1024 ** 4, 8000)["spark.sql.shuffle.partitions"])
     small = int(scale_settings(1024 ** 3, 64)["spark.sql.shuffle.partitions"])
     assert 3 * 8000 <= big <= 20 * 8000 and small == 3 * 64
+
+
+def test_summary_prunes_unused_aggregates(spark):
+    # A1 and A2 share one aggregate definition; the win-rate query keeps only its two counts
+    p = plan(Q.REGISTRY["win_rate"](spark, SF_SMALL))
+    assert "partial_sum" not in p and "partial_count" in p
+    # the dimension needs games and win rate: both from counts of the same single aggregate
+    p = plan(Q.REGISTRY["dim_team"](spark, SF_SMALL))
+    assert "partial_sum" not in p

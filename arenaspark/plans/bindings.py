@@ -62,10 +62,12 @@ def nations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def contests(spark: SparkSession, sf: str, venue: bool = False, city: bool = False,
-             raw_text: bool = False) -> DataFrame:
+             raw_text: bool = False, keep_raw_text: bool = False) -> DataFrame:
     """Contest view. ``venue``/``city`` add the part and region enrichments
     only when a query needs them (left joins on a foreign key: same rows).
-    ``raw_text`` keeps stage / venue / city as stored (not normalised)."""
+    ``raw_text`` keeps stage / venue / city as stored (not normalised);
+    ``keep_raw_text`` adds the stored text next to the normalised columns
+    (raw_stage, raw_stadium, raw_city)."""
     txt = (lambda c: F.col(c)) if raw_text else (lambda c: F.lower(c))
     nat = _dim(spark, sf, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     sup = (_t(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
@@ -76,7 +78,7 @@ def contests(spark: SparkSession, sf: str, venue: bool = False, city: bool = Fal
                  "c_nationkey"))
     ords = (_t(spark, sf, "orders")
             .select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("date"),
-                    txt("o_orderpriority").alias("stage"))
+                    txt("o_orderpriority").alias("stage"), F.col("o_orderpriority").alias("raw_stage"))
             .join(cus, F.col("o_custkey") == F.col("c_custkey")))
     li = _t(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line_no"),
@@ -94,13 +96,20 @@ def contests(spark: SparkSession, sf: str, venue: bool = False, city: bool = Fal
         "date", "stage",
     ]
     if venue:
-        part = _t(spark, sf, "part").select("p_partkey", txt("p_brand").alias("stadium"))
+        part = _t(spark, sf, "part").select("p_partkey", txt("p_brand").alias("stadium"),
+                                            F.col("p_brand").alias("raw_stadium"))
         c = c.join(part, F.col("part_key") == F.col("p_partkey"), "left")
         cols.append("stadium")
+        if keep_raw_text:
+            cols.append("raw_stadium")
     if city:
         reg = _dim(spark, sf, "region", ["r_regionkey", "r_name"])
         c = c.join(reg, F.col("home_region") == F.col("r_regionkey"), "left")
         cols.append(txt("r_name").alias("city"))
+        if keep_raw_text:
+            cols.append(F.col("r_name").alias("raw_city"))
+    if keep_raw_text:
+        cols.append("raw_stage")
     return c.select(*cols)
 
 

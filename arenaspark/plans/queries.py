@@ -86,8 +86,9 @@ def q_harmonise_names(spark, sf):
 
 @query("normalise_text")
 def q_normalise_text(spark, sf):
-    c = clean.normalise_columns(B.contests(spark, sf, venue=True, city=True, raw_text=True),
-                                ["stadium", "stage", "city"])
+    raw = V(spark, sf).contests().select(F.col("raw_stadium").alias("stadium"),
+                                         F.col("raw_stage").alias("stage"), F.col("raw_city").alias("city"))
+    c = clean.normalise_columns(raw, ["stadium", "stage", "city"])
     return c.groupBy("stadium", "stage", "city").agg(F.count(F.lit(1)).alias("contests"))
 
 

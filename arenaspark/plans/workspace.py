@@ -51,8 +51,10 @@ class Workspace:
 
     # ----------------------------------------------------------- the views
     def contests(self) -> DataFrame:
-        """Contest view with venue and city (queries prune what they skip)."""
-        return self._view("contests", lambda: B.contests(self.spark, self.sf, venue=True, city=True))
+        """Contest view with venue, city and the stored text (queries prune
+        what they skip)."""
+        return self._view("contests", lambda: B.contests(self.spark, self.sf, venue=True, city=True,
+                                                         keep_raw_text=True))
 
     def contests_b(self) -> DataFrame:
         """Second contest source (returned items, customer side)."""

@@ -75,15 +75,15 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
 
 def fit_outcome_model(train: DataFrame, label: str = "target_top4",
                       features: Sequence[str] = MODEL_FEATURES, trees: int = MODEL_TREES,
-                      depth: int = MODEL_DEPTH, seed: int = MODEL_SEED) -> RandomForestClassificationModel:
+                      depth: int = MODEL_DEPTH, seed: int = MODEL_SEED, return_data: bool = False):
     """Weighted random forest on the assembled features (M2).
 
     The assembled training set is spread over all cores and checkpointed
     once; the class weights and the many tree passes read that checkpoint.
     """
-    data = cut_lineage(spread(assemble(train, features)
-                              .select("features", F.col(label).cast("double").alias("label"))))
-    data = balanced_weights(data, "label")
+    assembled = cut_lineage(spread(assemble(train, features)
+                                   .select("features", F.col(label).cast("double").alias("label"))))
+    data = balanced_weights(assembled, "label")
     rf = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, weightCol="weight",
                                 featuresCol="features", labelCol="label",
                                 featureSubsetStrategy="sqrt", impurity="gini",
@@ -93,7 +93,8 @@ def fit_outcome_model(train: DataFrame, label: str = "target_top4",
                                 cacheNodeIds=True, checkpointInterval=10)
     # The fitted model keeps a training summary that references the session;
     # a copy has no summary, so scoring never has to serialise session state.
-    return rf.fit(data).copy()
+    model = rf.fit(data).copy()
+    return (model, assembled) if return_data else model
 
 
 def predict(model: RandomForestClassificationModel, df: DataFrame,
@@ -105,8 +106,12 @@ def training_metrics(model, train: DataFrame, label: str = "target_top4",
                      features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
     """In-sample accuracy, per-class precision / recall / F1 / support (M3),
     all from one pass of confusion counts."""
-    p = predict(model, train, features).select(F.col(label).cast("int").alias("y"),
-                                                F.col("prediction").cast("int").alias("p"))
+    if "features" in train.columns:
+        # already assembled (the checkpointed training set of the fit)
+        p = model.transform(train)
+    else:
+        p = predict(model, train, features)
+    p = p.select(F.col(label).cast("int").alias("y"), F.col("prediction").cast("int").alias("p"))
     c = p.agg(*[F.count_if((F.col("y") == y) & (F.col("p") == q)).alias(f"c{y}{q}")
                 for y in (0, 1) for q in (0, 1)])
     rows = []

@@ -466,16 +466,22 @@ def _scoring(spark, sf):
     return feats.where(F.col("wc_year") == nxt)
 
 
-def _model(spark, sf):
+def _fitted(spark, sf):
+    """(model, checkpointed assembled training set), fitted once per session."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
-        _MODELS[key] = M.fit_outcome_model(_training(spark, sf))
+        _MODELS[key] = M.fit_outcome_model(_training(spark, sf), return_data=True)
     return _MODELS[key]
 
 
+def _model(spark, sf):
+    return _fitted(spark, sf)[0]
+
+
 @query("model_training_metrics")
 def q_model_training_metrics(spark, sf):
-    return M.training_metrics(_model(spark, sf), _training(spark, sf))
+    model, assembled = _fitted(spark, sf)
+    return M.training_metrics(model, assembled, label="label")
 
 
 @query("feature_importance")

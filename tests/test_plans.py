@@ -102,3 +102,14 @@ def test_summary_prunes_unused_aggregates(spark):
     # the dimension needs games and win rate: both from counts of the same single aggregate
     p = plan(Q.REGISTRY["dim_team"](spark, SF_SMALL))
     assert "partial_sum" not in p
+
+
+def test_row_bound_check_edges(spark):
+    from arenaspark.session import broadcast_if_small, has_at_most
+    df = spark.range(100).repartition(7)
+    assert has_at_most(df, 100) and not has_at_most(df, 99)
+    assert has_at_most(df.where("id < 0"), 0)
+    # over the bound: no hint and no estimate-based broadcast; the planner shuffles
+    # (AQE may still broadcast later on a measured size)
+    assert "SortMergeJoin" in plan(spark.range(500).join(broadcast_if_small(df, 10), "id"))
+    assert "BroadcastHashJoin" in plan(spark.range(500).join(broadcast_if_small(df, 1000), "id"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenaspark.llm import pii, simhash
+from arenaspark.llm import licenses, pii, simhash, warc
 from arenaspark.llm.common import read
 
 
@@ -20,5 +20,16 @@ def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-REGISTRY = {f.__name__: f for f in (op1_pii, op2_simhash)}
+def op3_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    """License phrases and template labels of every document."""
+    return licenses.scan_licenses(read(spark, sf, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Captures of all pages, read back from the archives."""
+    return warc.captures(read(spark, sf, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+REGISTRY = {f.__name__: f for f in (op1_pii, op2_simhash, op3_licenses, op4_warc)}
 ORACLE: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenaspark.llm import licenses, pii, simhash, warc
+from arenaspark.llm import licenses, packing, pii, quality, simhash, warc
 from arenaspark.llm.common import read
 
 
@@ -31,5 +31,15 @@ def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-REGISTRY = {f.__name__: f for f in (op1_pii, op2_simhash, op3_licenses, op4_warc)}
+def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Pieces of all documents packed into sequences of 2048 tokens."""
+    return packing.pack(read(spark, sf, "documents"))
+
+
+def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality counts and the learned verdict of every document."""
+    return quality.quality_verdicts(read(spark, sf, "documents"), read(spark, sf, "labels")).drop("text_hash")
+
+
+REGISTRY = {f.__name__: f for f in (op1_pii, op2_simhash, op3_licenses, op4_warc, op5_packing, op6_quality)}
 ORACLE: dict[str, str] = {}

@@ -144,7 +144,8 @@ def _char_table() -> dict[str, str]:
 
 
 _CHARS = _char_table()
-_HOMOGLYPH = re.compile("[" + re.escape("".join(_CHARS)) + "]")
+_HOMOGLYPH = re.compile("[" + re.escape("".join(c for c in _CHARS if c < "\U00010000")) + "\U0001d400-\U0001d7ff]")
+_NOT_PLAIN = re.compile("[\xa0-\xbf\u0131\u017f\u0250-\U0010ffff]")  # no homoglyph lies outside these ranges
 
 # Digit words and what may stand between them.
 _DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6",
@@ -168,9 +169,10 @@ _LEFT_REACH = 160  # characters before an at-sign searched for the local part's
 
 
 def homoglyph_edits(text: str) -> list[Edit]:
-    if text.isascii():
+    if text.isascii() or not _NOT_PLAIN.search(text):
         return []
-    return [(m.start(), m.end(), _CHARS[m.group()]) for m in _HOMOGLYPH.finditer(text)]
+    return [(m.start(), m.end(), _CHARS.get(m.group(), m.group())) for m in _HOMOGLYPH.finditer(text)
+            if m.group() in _CHARS]
 
 
 def spelled_digit_edits(text: str) -> list[Edit]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenaspark.llm import licenses, packing, pii, quality, simhash, warc
+from arenaspark.llm import langid, licenses, packing, pii, quality, simhash, tokenfile, warc
 from arenaspark.llm.common import read
 
 
@@ -41,5 +41,16 @@ def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_verdicts(read(spark, sf, "documents"), read(spark, sf, "labels")).drop("text_hash")
 
 
-REGISTRY = {f.__name__: f for f in (op1_pii, op2_simhash, op3_licenses, op4_warc, op5_packing, op6_quality)}
+def op7_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """Token ids of all documents, read back from the token files."""
+    return tokenfile.token_files(read(spark, sf, "documents"))
+
+
+def op10_language(spark: SparkSession, sf: str) -> DataFrame:
+    """Predicted language of every document."""
+    return langid.identify(read(spark, sf, "documents"))
+
+
+REGISTRY = {f.__name__: f for f in (op1_pii, op2_simhash, op3_licenses, op4_warc, op5_packing, op6_quality, op7_tokens,
+                                    op10_language)}
 ORACLE: dict[str, str] = {}

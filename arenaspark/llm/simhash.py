@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arenaspark.llm.common import shared_table
+from arenaspark.llm.common import shared_table, small_side
 from arenaspark.llm.components import components
 
 SHINGLE_WORDS, SEED, MAX_BITS = 3, 42, 3
@@ -141,13 +141,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """Pipeline stage: of each near-duplicate class the row with the smallest id stays.
 
     A repeated id (repeated rows) keeps one row: the one with the smallest content hash."""
-    kept = (near_duplicates(docs, id_col, text_col)
-            .where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id")).distinct())
-    rows = docs.join(kept, docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
-    twice = (rows.groupBy(id_col).agg(F.count("*").alias("__n")).where("__n > 1").select(F.col(id_col).alias("__id")))
-    once = rows.join(twice, rows[id_col].eqNullSafe(F.col("__id")), "left_anti")
-    again = rows.join(twice, rows[id_col].eqNullSafe(F.col("__id")), "left_semi")
-    again = (again.groupBy(id_col).agg(F.min(F.struct(F.xxhash64(*docs.columns).alias("h"),
-                                                      *[F.col(c) for c in docs.columns])).alias("r"))
-             .select("r.*").select(*docs.columns))
-    return once.unionByName(again)
+    classes = shared_table(near_duplicates(docs, id_col, text_col), "classes")
+    own = F.col(id_col)
+    copies = classes.where(~own.eqNullSafe(F.col("component_id"))).select(own.alias("__id")).distinct()
+    kept = docs.join(small_side(copies, 1_000_000), docs[id_col].eqNullSafe(F.col("__id")), "left_anti")
+    twice = shared_table(classes.where(own.eqNullSafe(F.col("component_id"))).groupBy(own.alias("__id")).count()
+                         .where("count > 1").select("__id"), "repeated-ids")
+    if not twice.limit(1).count():
+        return kept
+    side = small_side(twice, 1_000_000)
+    on = docs[id_col].eqNullSafe(F.col("__id"))
+    first = F.min(F.struct(F.xxhash64(*docs.columns).alias("h"), *[F.col(c) for c in docs.columns])).alias("r")
+    again = kept.join(side, on, "left_semi").groupBy(id_col).agg(first).select("r.*").select(*docs.columns)
+    return kept.join(side, on, "left_anti").unionByName(again)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenaspark.llm import decontam, langid, licenses, packing, pii, quality, simhash, tokenfile, warc
+from arenaspark.llm import decontam, langid, licenses, packing, passages, pii, quality, simhash, tokenfile, warc
 from arenaspark.llm.common import read
 
 
@@ -51,11 +51,16 @@ def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.contaminated(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
 
 
+def op9_passages(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with a passage that another document has too."""
+    return passages.repeated_passages(read(spark, sf, "documents"))
+
+
 def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     """Predicted language of every document."""
     return langid.identify(read(spark, sf, "documents"))
 
 
 REGISTRY = {f.__name__: f for f in (op1_pii, op2_simhash, op3_licenses, op4_warc, op5_packing, op6_quality, op7_tokens,
-                                    op8_decontamination, op10_language)}
+                                    op8_decontamination, op9_passages, op10_language)}
 ORACLE: dict[str, str] = {}

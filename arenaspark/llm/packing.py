@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arenaspark.llm.common import shared_table
-from arenaspark.llm.tokens import PieceEncoder, batches_of, ids_crc32, public_tokenizer
+from arenaspark.llm.tokens import batches_of, ids_crc32, public_tokenizer, worker_encoder
 
 CAPACITY = 2048
 END_ID = 0
@@ -145,7 +145,7 @@ def piece_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     path = tokenizer_path or public_tokenizer(TOKENIZER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = PieceEncoder(path), TaskContext.get().partitionId()
+        encoder, task = worker_encoder(path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for b in batches:
             texts, keys = b.column(1).to_pylist(), b.column(0)

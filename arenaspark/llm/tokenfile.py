@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from arenaspark.llm.common import scratch_path, small_side
 from arenaspark.llm.mixcoder import pack_chunk, unpack_chunk
-from arenaspark.llm.tokens import PieceEncoder, batches_of, ids_crc32, public_tokenizer
+from arenaspark.llm.tokens import batches_of, ids_crc32, public_tokenizer, worker_encoder
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -33,7 +33,7 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
     model = tokenizer_path or public_tokenizer(TOKENIZER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, file_no, chunk_no = PieceEncoder(model), TaskContext.get().partitionId(), 0
+        encoder, file_no, chunk_no = worker_encoder(model), TaskContext.get().partitionId(), 0
         keys: list = []
         held: list[np.ndarray] = []
         total = 0

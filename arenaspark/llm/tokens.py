@@ -1,10 +1,13 @@
 """Token ids of whole texts with the public tokenizers, at the cost of the distinct words.
 
 Both tokenizers cut a text into words before any merge, and no merge crosses a
-word. So a batch is cut at places that are certain word borders, each distinct
-piece is encoded once per task (a bounded cache), and the ids of a text are the
-ids of its pieces in order. Texts with control characters that Python and the
-tokenizers class differently, or with a special token's string, are encoded whole.
+word. A single space between two other characters is always such a border, so a
+text is split there, each distinct word is encoded once per worker process (a
+bounded cache), and the ids of a text are the ids of its words in order. Words
+share the ids of their parts (letters, marks) the same way. Texts with runs of
+white space are cut by pattern instead; texts with control characters that
+Python and the tokenizers class differently, or with a special token's string,
+are encoded whole.
 """
 
 from __future__ import annotations
@@ -12,71 +15,161 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
-CACHE_PIECES = 300_000  # pieces kept per task; beyond it the cache starts anew
+CACHE_WORDS = 1_000_000  # words, and as many parts, kept per worker; beyond it the cache starts anew
 
 # Latin letters, and marks that may directly follow a word.
 _LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _MARKS = re.escape(".,;:!?#*$%&|")
-_PIECE = re.compile(
+_PART = re.compile(
     rf"\s+(?!\S)| ?[{_LATIN}]++(?=[\s{_MARKS}]|\Z)| ?[{_MARKS}]+(?=\s|\Z)| ?\S+|\s")
-_WHOLE = re.compile(r"[\x1c-\x1f]|<\|")
+_SIMPLE = re.compile(rf" ?(?:[{_LATIN}]+|[{_MARKS}]+)")
+_CONTROL = re.compile("[\x00\x1c-\x1f]")
+_FIRST = "\x00"  # marks the first word of a text, which has no space before it
 
 
-class PieceEncoder:
+@lru_cache(1)
+def _byte_letters() -> dict[int, str]:
+    """Character -> the letters that byte-level models write for its UTF-8 bytes.
+
+    Printable bytes stand for themselves, the others for the characters from 256 on, in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in plain]
+    letter = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in (*range(0x20, 0x7F), *range(0xC0, 0x250))}
+
+
+class _Parts(dict):
+    """Part -> its ids as bytes, learnt when first asked for."""
+
+    def __init__(self, encoder: "WordEncoder"):
+        super().__init__()
+        self.tokenize, self.form, self.ids = encoder.tokenizer.model.tokenize, encoder.prepare, encoder._ids
+
+    def __missing__(self, part: str) -> bytes:
+        core = part[1:] if part[0] == " " else part
+        if self.form and (core.isalpha() and core.isascii() or _SIMPLE.fullmatch(part)):
+            own = [t.id for t in self.tokenize(self.form(part))]
+        else:
+            own = self.ids(part)
+        self[part] = got = array("I", own).tobytes()
+        return got
+
+
+class WordEncoder:
     """Ids of texts from the tokenizer file ``path``, without special tokens added."""
 
-    def __init__(self, path: str, cache_pieces: int = CACHE_PIECES):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache_pieces = cache_pieces
+        self.cache_words = cache_words
+        self.prepare = self._find_preparation()
         self._reset()
 
     def _reset(self) -> None:
+        self.parts = _Parts(self)
         self.places: dict[str, int] = {}
         self.flat = np.zeros(0, dtype=np.uint32)
         self.starts = np.zeros(0, dtype=np.int64)
         self.lens = np.zeros(0, dtype=np.int64)
 
-    def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _find_preparation(self):
+        """How a part of letters or marks alone reaches the model: as bytes with its space, or lower-cased without.
 
-    def _learn(self, pieces: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        Such a part is one word to the tokenizer, so its ids are the model's own; None if neither form fits."""
+        table = _byte_letters()
+
+        def as_bytes(p: str) -> str:
+            if p.isascii():
+                return table[32] + p[1:] if p[0] == " " else p
+            return p.translate(table)
+
+        probes = [" the", "Word", " école", "###", " Ünï", ",", " Straße", "ÉÀÇ", " ǅ", " |", " Ÿþ", "...", " a"]
+        for form in (as_bytes, lambda p: as_bytes(p.strip().lower())):
+            if all([t.id for t in self.tokenizer.model.tokenize(form(p))] == self._ids(p) for p in probes):
+                return form
+        return None
+
+    def _by_parts(self, text: str) -> bytes:
+        """Ids of a text or word, as 32-bit integers, from the ids of its parts."""
+        return b"".join(map(self.parts.__getitem__, _PART.findall(text)))
+
+    def _add(self, made: list[bytes]) -> range:
+        """Append ids; their places."""
         at = len(self.lens)
-        lens = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
-        flat = np.fromiter((i for ids in got for i in ids), dtype=np.uint32, count=int(lens.sum()))
+        lens = np.fromiter(map(len, made), dtype=np.int64, count=len(made)) // 4
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lens) - lens])
         self.lens = np.concatenate([self.lens, lens])
-        self.flat = np.concatenate([self.flat, flat])
-        self.places.update((p, at + i) for i, p in enumerate(pieces))
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(made), dtype=np.uint32)])
+        return range(at, at + len(made))
+
+    def _learn(self, fresh: list[str]) -> None:
+        safe, cut = [], self._by_parts
+        for w in fresh:
+            if w == _FIRST or not (w == "" or w[0].isspace() or w[-1].isspace()):
+                safe.append(w)
+            else:
+                self.places[w] = -1  # beside more white space: the border is not certain
+        self.places.update(zip(safe, self._add([cut(w[1:] if w[0] == _FIRST else " " + w) for w in safe])))
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self._ids(text), dtype=np.uint32)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids one after the other, number of ids of each text); null counts as empty."""
-        cut = [None if _WHOLE.search(t) else _PIECE.findall(t) for t in (t or "" for t in texts)]
-        if len(self.places) > self.cache_pieces:
+        if not texts:
+            return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+        if len(self.places) > self.cache_words or len(self.parts) > self.cache_words:
             self._reset()
-        fresh = list({p for c in cut if c for p in c} - self.places.keys())
+        words: list[list[str]] = []
+        for t in texts:
+            t = t or ""
+            own = t.split(" ")
+            own[0] = _FIRST + own[0]
+            words.append([] if "<|" in t or _CONTROL.search(t) else own)
+        fresh = list(set().union(*words) - self.places.keys())
         if fresh:
             self._learn(fresh)
-        place = self.places.__getitem__
-        out, counts = [], np.zeros(len(texts), dtype=np.int64)
-        for k, c in enumerate(cut):
-            if c is None:
-                ids = self.whole(texts[k])
-            else:
-                at = np.fromiter(map(place, c), dtype=np.int64, count=len(c))
-                n = self.lens[at]
-                ends = np.cumsum(n)
-                total = int(ends[-1]) if len(c) else 0
-                ids = self.flat[np.repeat(self.starts[at] - ends + n, n) + np.arange(total)]
-            out.append(ids)
-            counts[k] = len(ids)
-        return (np.concatenate(out) if out else np.zeros(0, dtype=np.uint32)), counts
+        count = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        at = np.fromiter(map(self.places.__getitem__, chain.from_iterable(words)), dtype=np.int64, count=int(count.sum()))
+        first = np.cumsum(count) - count
+        unsafe = np.unique(np.searchsorted(first, np.flatnonzero(at < 0), side="right") - 1).tolist()
+        special = sorted({*np.flatnonzero(count == 0).tolist(), *unsafe})
+        if special:
+            made = {k: self._by_parts(texts[k]) if count[k] else array("I", self._ids(texts[k] or "")).tobytes()
+                    for k in special}
+            keep = (len(self.flat), len(self.lens))
+            places = dict(zip(made, self._add(list(made.values()))))
+            pieces, lo = [], 0
+            for k in special:
+                pieces += [at[lo:first[k]], np.array([places[k]])]
+                lo = first[k] + count[k]
+            at = np.concatenate([*pieces, at[lo:]])
+            count[special] = 1
+            first = np.cumsum(count) - count
+        n = self.lens[at]
+        ends = np.cumsum(n)
+        ids = self.flat[np.repeat(self.starts[at] - ends + n, n) + np.arange(int(ends[-1]))]
+        per_text = np.add.reduceat(n, first)
+        if special:  # texts encoded as a whole are no words to remember
+            self.flat, self.lens, self.starts = self.flat[:keep[0]], self.lens[:keep[1]], self.starts[:keep[1]]
+        return ids, per_text
+
+
+@lru_cache(2)
+def worker_encoder(path: str) -> WordEncoder:
+    """The worker process's encoder of a tokenizer file; later tasks find its cache filled."""
+    return WordEncoder(path)
 
 
 def batches_of(texts: list[str | None], max_chars: int = 1 << 22) -> list[slice]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arenaspark.functions.exprs import harmonise, normalise_text
-from arenaspark.sources.io import coerce, try_number
+from arenaspark.sources.io import coerce, parse_number
 
 
 def lower_headers(df: DataFrame) -> DataFrame:
@@ -66,17 +66,32 @@ def parse_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 def parse_numbers(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Coerced numeric parse, bad values -> null."""
-    cols = {c: try_number(F.col(c).cast("string"), t) for c, t in columns.items() if c in df.columns}
+    cols = {}
+    for c, t in columns.items():
+        if c not in df.columns:
+            continue
+        kind = df.schema[c].dataType
+        if kind.simpleString() == t:
+            if t in ("double", "float"):
+                cols[c] = F.when(~F.isnan(c), F.col(c))
+        elif isinstance(kind, T.IntegralType) and t in ("int", "bigint", "double"):
+            cols[c] = F.col(c).try_cast(t)
+        else:
+            cols[c] = parse_number(F.col(c).cast("string"), t)
     return df.withColumns(cols) if cols else df
 
 
-def clean_rows(df: DataFrame) -> DataFrame:
+def clean_rows(df: DataFrame, order_column: str | None = None) -> DataFrame:
     """Full-row de-duplication, then drop rows that are entirely null.
 
-    ``distinct`` is a hash aggregate with map-side combine, so heavily
-    repeated rows collapse before the shuffle.
+    An aggregate with map-side combine, so heavily repeated rows collapse
+    before the shuffle. Of equal rows ``order_column`` (which does not count as
+    content) keeps the smallest value.
     """
-    return df.distinct().na.drop(how="all")
+    if order_column is None:
+        return df.distinct().na.drop(how="all")
+    own = [c for c in df.columns if c != order_column]
+    return df.groupBy(*own).agg(F.min(order_column).alias(order_column)).na.drop(how="all", subset=own)
 
 
 def drop_incomplete(df: DataFrame, subset: Iterable[str]) -> DataFrame:

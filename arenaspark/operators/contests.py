@@ -127,22 +127,39 @@ def title_counts(editions: DataFrame, winner: str = "winner") -> DataFrame:
             .groupBy(F.col(winner).alias("team")).agg(F.count(F.lit(1)).alias("titles")))
 
 
-def _safe_name(v: str) -> str:
-    return "".join(ch if ch.isalnum() else "_" for ch in str(v)).strip("_")
+def _safe_names(values: Sequence[str]) -> list[str]:
+    """Column names for ``values``; those that would collide get a number."""
+    out: list[str] = []
+    for v in values:
+        base = name = "".join(ch if ch.isalnum() else "_" for ch in str(v)).strip("_")
+        n = 2
+        while name in out:
+            name, n = f"{base}_{n}", n + 1
+        out.append(name)
+    return out
+
+
+def stage_counts(df: DataFrame, spec: ContestSpec = ContestSpec()) -> DataFrame:
+    """Appearances per entity and stage, long form: team, stage, appearances.
+
+    The primary form: no stage list, so no stage can be left out."""
+    lf = long_form(df, spec, keep=[spec.stage]).where(F.col("team").isNotNull() & F.col(spec.stage).isNotNull())
+    return lf.groupBy("team", F.col(spec.stage).alias("stage")).agg(F.count(F.lit(1)).alias("appearances"))
 
 
 def stage_matrix(df: DataFrame, stages: Sequence[str], spec: ContestSpec = ContestSpec(),
                  prefix: str = "stage_") -> DataFrame:
     """Entity x stage appearance counts, 0 for none.
 
-    The stage list is a parameter (no extra job to discover it); the pivot is
-    a conditional aggregate, so both sides and all stages cost one shuffle.
+    The stage list is a parameter (no extra job to discover it); stages outside
+    it are counted in ``<prefix>other``, so no entity and no appearance is lost.
+    The pivot is a conditional aggregate: both sides and all stages cost one shuffle.
     """
-    lf = (long_form(df, spec, keep=[spec.stage])
-          .where(F.col("team").isNotNull() & F.col(spec.stage).isin(list(stages))))
-    return lf.groupBy("team").agg(*[
-        F.count_if(F.col(spec.stage) == s).alias(prefix + _safe_name(s)) for s in stages
-    ])
+    stage = F.col(spec.stage)
+    lf = long_form(df, spec, keep=[spec.stage]).where(F.col("team").isNotNull() & stage.isNotNull())
+    return lf.groupBy("team").agg(
+        *[F.count_if(stage == s).alias(prefix + name) for s, name in zip(stages, _safe_names([*stages, "other"]))],
+        F.count_if(~stage.isin(list(stages))).alias(prefix + _safe_names([*stages, "other"])[-1]))
 
 
 def side_advantage(df: DataFrame, spec: ContestSpec = ContestSpec()) -> DataFrame:
@@ -244,11 +261,12 @@ def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[Column | str],
                payload: Sequence[str] | None = None) -> DataFrame:
     """Keep-first de-duplication on ``key``.
 
-    Expressed as ``min(struct(order..., payload...))`` per key: a hash
-    aggregate with map-side combine, so a key repeated in a third of all rows
-    is reduced inside each task before the shuffle (a row_number window would
-    sort the whole hot key in one task). ``order`` must end with enough
-    columns to make the choice deterministic.
+    Expressed as ``min(struct(order..., payload...))`` per key. The struct is
+    no fixed-width value, so Spark plans a sort aggregate: each task sorts its
+    own rows by key and reduces them to one per key before the shuffle, and a
+    key repeated in a third of all rows sends one row per task (a row_number
+    window would gather and sort the whole hot key in one task). ``order`` must
+    end with enough columns to make the choice deterministic.
     """
     payload = [c for c in (payload or df.columns) if c not in key]
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]

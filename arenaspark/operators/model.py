@@ -19,17 +19,20 @@ from pyspark.sql import functions as F
 
 from arenaspark.constants import MODEL_DEPTH, MODEL_FEATURES, MODEL_SEED, MODEL_TREES
 from arenaspark.session import broadcast_if_small, cut_lineage
-from arenaspark.operators.stats import arg_best, top_k
+from arenaspark.operators.stats import arg_best, mode_in_top
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over all cores before CPU-heavy model work.
+    """Spread the rows over all cores before CPU-heavy model work.
 
     Small inputs arrive in one or two partitions (AQE coalesces small
     shuffles); a forest fit or a 300-tree prediction on them would run on one
-    core. ``defaultParallelism`` is the cluster's core count.
+    core. A rebalance by the session's partition count (at least one per core)
+    never merges a large input into fewer, larger partitions than that.
     """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    conf = df.sparkSession.conf
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, int(conf.get("spark.sql.shuffle.partitions"))))
 
 
 def align_features(df: DataFrame, renames: dict[str, str] | None = None,
@@ -39,7 +42,7 @@ def align_features(df: DataFrame, renames: dict[str, str] | None = None,
     rename (e.g. a current-strength column to ``elo_rating``), turn yes/no
     text flags into 0/1, and coerce every feature to a number."""
     from arenaspark.functions.exprs import yes_no_flag
-    from arenaspark.sources.io import try_number
+    from arenaspark.sources.io import parse_number
 
     out = df
     for old, new in (renames or {}).items():
@@ -48,7 +51,7 @@ def align_features(df: DataFrame, renames: dict[str, str] | None = None,
     for f in flags:
         if f in out.columns and dict(out.dtypes)[f] == "string":
             out = out.withColumn(f, yes_no_flag(f))
-    return out.withColumns({f: try_number(F.col(f).cast("string"), "double") if f in out.columns
+    return out.withColumns({f: parse_number(F.col(f).cast("string"), "double") if f in out.columns
                             else F.lit(None).cast("double") for f in features})
 
 
@@ -142,14 +145,14 @@ def feature_importance(model: RandomForestClassificationModel,
 
 
 def score_outcomes(model, df: DataFrame, entity: str = "team", group: str = "confederation",
-                   strength: str = "elo_rating", features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
-    """P(top 4) x 100 to one decimal, highest first (M5)."""
-    p = predict(model, df, features)
+                   strength: str = "elo_rating", features: Sequence[str] = MODEL_FEATURES,
+                   ranked: bool = True) -> DataFrame:
+    """P(top 4) x 100 to one decimal, highest first unless not ``ranked`` (M5)."""
+    p = predict(model, df.select(*dict.fromkeys([entity, group, strength, *features])), features)
     prob = vector_to_array("probability")[1]
-    return (p.select(F.col(entity).alias("team"), F.col(group).alias("confederation"),
-                     F.col(strength).alias("elo_rating"),
-                     F.bround(prob * 100, 1).alias("prob_top4"))
-            .orderBy(F.desc("prob_top4"), "team"))
+    out = p.select(F.col(entity).alias("team"), F.col(group).alias("confederation"),
+                   F.col(strength).alias("elo_rating"), F.bround(prob * 100, 1).alias("prob_top4"))
+    return out.orderBy(F.desc("prob_top4"), "team") if ranked else out
 
 
 def prediction_summary(scored: DataFrame, k: int = 10) -> DataFrame:
@@ -161,11 +164,9 @@ def prediction_summary(scored: DataFrame, k: int = 10) -> DataFrame:
         arg_best("elo_rating", "team").alias("best_elo_team"),
         F.max("elo_rating").alias("best_elo"),
     )
-    top = top_k(scored, "prob_top4", k, tie=["team"])
-    dom = (top.groupBy("confederation").agg(F.count(F.lit(1)).alias("n"))
-           .orderBy(F.desc("n"), "confederation").limit(1))
+    dom = mode_in_top(scored, "prob_top4", "confederation", k, tie=["team"])
     # the single winning row enters as two scalar subqueries (no join needed)
     return head.withColumns({
         "dominant_confederation": dom.select("confederation").scalar(),
-        "dominant_count": dom.select("n").scalar(),
+        "dominant_count": dom.select("count").scalar(),
     })

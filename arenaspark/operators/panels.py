@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arenaspark.constants import (
@@ -14,6 +14,7 @@ from arenaspark.constants import (
 from arenaspark.functions.exprs import (
     decade_of, normalise_text, outcome_targets, safe_ratio, stage_score, truthy, two_label,
 )
+from arenaspark.operators.stats import safe_corr
 from arenaspark.specs import PanelSpec
 
 ROUND = 6
@@ -159,6 +160,23 @@ def stage_labels(df: DataFrame, editions: Sequence[int], spec: PanelSpec = Panel
     ])
 
 
+def stage_grid(df: DataFrame, lo: Column, hi: Column, spec: PanelSpec = PanelSpec(),
+               absent: str = "not qualified") -> DataFrame:
+    """Entity x edition grid in long form: best stage score and label.
+
+    Every entity gets every edition from ``lo`` to ``hi`` (columns, such as
+    scalar subqueries of the data's own bounds); absent: score -1 and the label
+    ``absent``. Two rows of one entity and edition: the best stage counts (T8).
+    """
+    p = enrich_panel(df, spec).where(F.col(spec.edition).between(lo, hi))
+    best = p.groupBy(F.col(spec.entity).alias("team"), F.col(spec.edition).cast("int").alias("edition")).agg(
+        F.max(F.struct("phase_score", F.col(spec.stage).alias("label"))).alias("best"))
+    cells = best.select("team").distinct().select("team", F.explode(F.sequence(lo.cast("int"), hi.cast("int"))).alias("edition"))
+    return cells.join(best, ["team", "edition"], "left").select(
+        "team", "edition", F.coalesce("best.phase_score", F.lit(-1)).alias("phase_score"),
+        F.when(F.col("best").isNull(), F.lit(absent)).otherwise(F.col("best.label")).alias("stage"))
+
+
 def winrate_by_entity_edition(df: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
     """Per-row win rate, 0 when not played (P10)."""
     p = enrich_panel(df, spec)
@@ -202,7 +220,7 @@ def upset_kpis(df: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
     p = enrich_panel(df, spec).where(F.col("strength").isNotNull())
     s, ps = F.col("strength"), F.col("phase_score")
     return p.agg(
-        F.bround(F.corr(s, ps.cast("double")), ROUND).alias("strength_stage_corr"),
+        F.bround(safe_corr(s, ps), ROUND).alias("strength_stage_corr"),
         F.count_if((s < UPSET_STRENGTH) & (ps >= UPSET_DEFAULT_STAGE_SCORE)).alias("upsets"),
         F.count_if((s >= FAVOURITE_STRENGTH) & (ps >= FAVOURITE_MIN_STAGE_SCORE)).alias("favourites_far"),
         F.count(F.lit(1)).alias("rated_rows"),

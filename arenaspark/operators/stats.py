@@ -44,10 +44,19 @@ def arg_best(value: str, label: str, lowest: bool = False, tie: str | None = Non
     return F.min_by(F.col(label), F.struct(v.isNull(), key, F.col(tie)))
 
 
+def safe_corr(x, y) -> Column:
+    """Pearson correlation, null where either side does not vary (``corr`` would divide by zero)."""
+    x, y = (F.col(c).cast("double") if isinstance(c, str) else c.cast("double") for c in (x, y))
+    # complete pairs only, as corr does
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    sx, sy = F.stddev_pop(x), F.stddev_pop(y)
+    return F.when((sx > 0) & (sy > 0), F.covar_pop(x, y) / (sx * sy))
+
+
 def correlation(df: DataFrame, x: str, y: str) -> DataFrame:
     """Pearson correlation of two columns over complete rows."""
     return (df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-            .agg(F.bround(F.corr(F.col(x).cast("double"), F.col(y).cast("double")), ROUND).alias("corr")))
+            .agg(F.bround(safe_corr(x, y), ROUND).alias("corr")))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], min_rows: int = 3) -> DataFrame:
@@ -58,17 +67,18 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], min_rows: int = 3)
     """
     complete = df.where(F.lit(True) if not columns else
                         F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in columns)))
-    pairs = [(a, b) for a in columns for b in columns]
+    names = list(columns)
     aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, (a, b) in enumerate(pairs):
-        if a == b:
-            e = F.when(F.stddev_pop(F.col(a).cast("double")) > 0, F.lit(1.0))
-        else:
-            e = F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
-        aggs.append(F.bround(e, ROUND).alias(f"__c{i}"))
+    for i, a in enumerate(names):  # the matrix is symmetric: one aggregate per unordered pair
+        for j, b in enumerate(names[i:], i):
+            if i == j:
+                e = F.when(F.stddev_pop(F.col(a).cast("double")) > 0, F.lit(1.0))
+            else:
+                e = safe_corr(a, b)
+            aggs.append(F.bround(e, ROUND).alias(f"__c{i}_{j}"))
     one = complete.agg(*aggs)
-    stack = "stack({n}, {items}) as (col_a, col_b, corr)".format(
-        n=len(pairs), items=", ".join(f"'{a}', '{b}', __c{i}" for i, (a, b) in enumerate(pairs)))
+    cells = [f"'{a}', '{b}', __c{min(i, j)}_{max(i, j)}" for i, a in enumerate(names) for j, b in enumerate(names)]
+    stack = f"stack({len(cells)}, {', '.join(cells)}) as (col_a, col_b, corr)"
     return one.where(F.col("__n") > min_rows).selectExpr(stack)
 
 

@@ -13,14 +13,17 @@ from pyspark.sql import functions as F
 
 from arenaspark.functions.exprs import goal_diff, result_code
 from arenaspark.operators.windows import dense_keys
+from arenaspark.session import broadcast_if_small
 from arenaspark.sources.io import write_table
 from arenaspark.specs import ContestSpec
 
 
+DIM_MAX_ROWS = 200_000  # rows up to which a dimension is broadcast
+
+
 def entity_names(contests: DataFrame, spec: ContestSpec = ContestSpec()) -> DataFrame:
-    """Distinct union of home and away names, nulls dropped."""
-    return (contests.select(F.col(spec.home).alias("team_name"))
-            .union(contests.select(F.col(spec.away).alias("team_name")))
+    """Distinct union of home and away names, nulls dropped (U3); one scan for both sides."""
+    return (contests.select(F.explode(F.array(spec.home, spec.away)).alias("team_name"))
             .where(F.col("team_name").isNotNull()).distinct())
 
 
@@ -53,15 +56,22 @@ def build_dim_edition(editions: DataFrame) -> DataFrame:
 
 
 def build_dim_stadium(contests: DataFrame, spec: ContestSpec = ContestSpec()) -> DataFrame:
-    """Distinct (stadium, city) pairs with a stadium, keyed 1..n."""
-    pairs = (contests.select(F.col(spec.venue).alias("stadium"), F.col(spec.city).alias("city"))
+    """Distinct (stadium, city) pairs with a stadium, keyed 1..n (U6, W7); city null when contests have none."""
+    city = F.col(spec.city) if spec.city in contests.columns else F.lit(None).cast("string")
+    pairs = (contests.select(F.col(spec.venue).alias("stadium"), city.alias("city"))
              .where(F.col("stadium").isNotNull()).distinct())
     return dense_keys(pairs, ["stadium", "city"], "stadium_id")
 
 
 def build_fact_matches(contests: DataFrame, dim_team: DataFrame, dim_stadium: DataFrame | None,
                        spec: ContestSpec = ContestSpec()) -> DataFrame:
-    """One row per contest with team and stadium foreign keys."""
+    """One row per contest with team and stadium foreign keys.
+
+    Dimensions are broadcast behind a row count (``DIM_MAX_ROWS``), so the facts
+    are not shuffled on a few hot names; a larger dimension joins by shuffle.
+    Without a stage or venue in the contests those columns are null or absent.
+    """
+    dim_team = broadcast_if_small(dim_team.select("team_name", "team_id"), DIM_MAX_ROWS)
     h = dim_team.select(F.col("team_name").alias("__h"), F.col("team_id").alias("home_team_id"))
     a = dim_team.select(F.col("team_name").alias("__a"), F.col("team_id").alias("away_team_id"))
     f = (contests.join(h, contests[spec.home] == h["__h"], "left")
@@ -69,19 +79,22 @@ def build_fact_matches(contests: DataFrame, dim_team: DataFrame, dim_stadium: Da
     cols = [F.col(spec.date).alias("date"), F.year(spec.date).alias("edition_year"),
             "home_team_id", "away_team_id"]
     if dim_stadium is not None:
-        s = dim_stadium.select(F.col("stadium").alias("__s"), F.col("city").alias("__c"), "stadium_id")
-        f = f.join(s, (F.col(spec.venue) == s["__s"]) & (F.col(spec.city) == s["__c"]), "left")
+        s = broadcast_if_small(dim_stadium.select(F.col("stadium").alias("__s"), F.col("city").alias("__c"), "stadium_id"),
+                               DIM_MAX_ROWS)
+        city = F.col(spec.city) if spec.city in contests.columns else F.lit(None).cast("string")
+        f = f.join(s, (F.col(spec.venue) == s["__s"]) & city.eqNullSafe(s["__c"]), "left")
         cols.append("stadium_id")
     cols += [F.col(spec.home_score).alias("home_score"), F.col(spec.away_score).alias("away_score"),
              goal_diff(spec.home_score, spec.away_score).alias("goal_diff"),
-             F.col(spec.stage).alias("stage"), result_code(spec.home_score, spec.away_score).alias("result")]
+             (F.col(spec.stage) if spec.stage in contests.columns else F.lit(None).cast("string")).alias("stage"),
+             result_code(spec.home_score, spec.away_score).alias("result")]
     return f.select(*cols)
 
 
 def with_team_id(df: DataFrame, dim_team: DataFrame, team: str = "team") -> DataFrame:
     """Replace the team name by its surrogate key (fact_team_performance,
     fact_phase_performance)."""
-    d = dim_team.select(F.col("team_name").alias("__t"), "team_id")
+    d = broadcast_if_small(dim_team.select(F.col("team_name").alias("__t"), "team_id"), DIM_MAX_ROWS)
     return df.join(d, df[team] == d["__t"], "left").drop("__t", team)
 
 

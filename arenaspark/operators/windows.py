@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from arenaspark.constants import EDITION_GAP, EDITION_GAP_EXCEPTIONS
 from arenaspark.functions.exprs import outcome_targets, yes_no_flag
+from arenaspark.operators.clean import parse_numbers
+from arenaspark.session import shared_table
 from arenaspark.specs import PanelSpec
 
 
@@ -54,22 +56,24 @@ def pre_event_features(panel: DataFrame, spec: PanelSpec = PanelSpec(), null_pol
         reproduced does (trap T1);
       * ``"skip"`` -- missing values are ignored by the running sums.
     Rates are rounded half-even to 3 places (T9). Rows without an edition are
-    dropped first.
+    dropped first; text that is no number counts as missing, and so do the host,
+    group and strength columns when the panel has none.
     """
     if null_policy not in ("poison", "skip"):
         raise ValueError("null_policy must be 'poison' or 'skip'")
     e, t = spec.entity, spec.edition
     strength = strength or spec.strength
-    df = panel.withColumn(t, F.col(t).cast("string").try_cast("double").cast("int")) \
-        .where(F.col(t).isNotNull())
+    df = parse_numbers(panel, {t: "int", spec.played: "double", spec.wins: "double", spec.goals_for: "double",
+                               spec.goals_against: "double", strength: "double"}).where(F.col(t).isNotNull())
+    # columns that a source may lack: nothing known
+    df = df.withColumns({c: F.lit(None).cast(kind) for c, kind in
+                         ((spec.host, "string"), (spec.group, "string"), (strength, "double")) if c not in df.columns})
     tg = outcome_targets(spec.stage)
     df = df.withColumns({
         "target_champion": tg["target_champion"], "target_top4": tg["target_top4"],
         "target_top8": tg["target_top8"],
-        "__played": F.col(spec.played).cast("string").try_cast("double"),
-        "__wins": F.col(spec.wins).cast("string").try_cast("double"),
-        "__gf": F.col(spec.goals_for).cast("string").try_cast("double"),
-        "__ga": F.col(spec.goals_against).cast("string").try_cast("double"),
+        "__played": F.col(spec.played).cast("double"), "__wins": F.col(spec.wins).cast("double"),
+        "__gf": F.col(spec.goals_for).cast("double"), "__ga": F.col(spec.goals_against).cast("double"),
     })
     w = Window.partitionBy(e).orderBy(t)
     pre = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -98,7 +102,7 @@ def pre_event_features(panel: DataFrame, spec: PanelSpec = PanelSpec(), null_pol
         "win_rate_before": rate("__p_wins"),
         "goals_scored_per_match_before": rate("__p_gf"),
         "goals_conceded_per_match_before": rate("__p_ga"),
-        "elo_rating": F.col(strength).cast("string").try_cast("double"),
+        "elo_rating": F.col(strength).cast("double"),
         "host_nation_flag": yes_no_flag(spec.host, host_words),
     })
     df = streak_columns(df, e, t, gap, exceptions)
@@ -116,11 +120,12 @@ def dense_keys(df: DataFrame, order: Sequence[str], key_name: str,
     """Surrogate keys 1..n in natural-key order, computed in parallel.
 
     ``row_number()`` over a global ``orderBy`` would pull every row into one
-    task. Instead: range-partition on the natural key into a *fixed* number of
-    partitions (so AQE cannot re-cut them), sort inside each partition, take
-    the position inside the partition from ``monotonically_increasing_id``,
-    and add the row count of all earlier partitions. Only one row per
-    partition (id, count) is combined globally and broadcast back.
+    task. Instead: range-partition on the natural key, sort inside each
+    partition, take the position inside the partition from
+    ``monotonically_increasing_id``, and write the rows with partition and
+    position to a shared table. Row counts per partition come from that table,
+    so rows and counts agree whatever the columns; the counts of all earlier
+    partitions (one row per partition, broadcast) are added.
     ``order`` must be unique per row.
     """
     spark = df.sparkSession
@@ -130,6 +135,7 @@ def dense_keys(df: DataFrame, order: Sequence[str], key_name: str,
          .withColumn("__pid", F.spark_partition_id()))
     s = s.withColumn("__local", F.monotonically_increasing_id()
                      - F.shiftleft(F.col("__pid").cast("long"), 33) + 1)
+    s = shared_table(s, "dense-keys")
     counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.withColumn(
         "__offset",

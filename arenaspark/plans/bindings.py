@@ -7,12 +7,12 @@
 * ``contests_b`` a second contest source with other column names (returned
                  line items seen from the customer side), for the union and
                  keep-first de-duplication.
-* ``panel``      nation x order year, 16 qualifiers per year, with a stage.
+* ``panel``      nation x order year, every nation of the year, with a stage.
 * ``cust_panel`` customer x order year for the leakage-free feature step.
 * ``profiles``   all-time sums of ``panel`` per nation.
 * ``editions``   one row per year: host, winner, qualifier count.
-* ``ranking``    nations ranked by supplier balance (nations with few
-                 suppliers are unranked).
+* ``ranking``    nations ranked by supplier balance; some are spelled
+                 differently there, so the join by name leaves them unranked.
 * ``labels``     display tag per nation (region code).
 
 Every view is lazy: Catalyst prunes the columns a query does not use and
@@ -31,18 +31,18 @@ from arenaspark.session import broadcast_if_small
 
 DIM_MAX_ROWS = 10_000
 
-# Stage of a nation by its position in the year (1 = winner ... 16)
+# Stage of a nation by its position in the year (1 = winner); the last reaches to the end
 PANEL_STAGES = [
     (1, 1, "Winner"), (2, 2, "Runner-up"), (3, 3, "Third place"), (4, 4, "Fourth place"),
-    (5, 8, "Quarter-finals"), (9, 12, "Round of 16"), (13, 16, "Group stage"),
+    (5, 8, "Quarter-finals"), (9, 12, "Round of 16"), (13, None, "Group stage"),
 ]
-QUALIFIERS = 16
 # Stage labels of the customer panel, weakest first
 CUST_STAGES = ["Group stage", "Round of 16", "Quarter-finals", "Semi-finals",
                "Fourth place", "Third place", "Runner-up", "Winner"]
 CUST_GAP = 1
 CUST_GAP_EXCEPTIONS = ((1997, 1999),)
-RANKING_MIN_SUPPLIERS = 3
+# The ranking spells every eighth nation its own way (trap T17)
+RANKING_SPELLING = (8, 7, "Rep. of ")
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -51,7 +51,7 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def _dim(spark: SparkSession, sf: str, name: str, cols: list[str]) -> DataFrame:
     df = _t(spark, sf, name).select(*cols)
-    return broadcast_if_small(df, DIM_MAX_ROWS, cache_key=f"{sf}/{name}")
+    return broadcast_if_small(df, DIM_MAX_ROWS)
 
 
 def nations(spark: SparkSession, sf: str) -> DataFrame:
@@ -154,14 +154,14 @@ def contests_b_from(contest_view: DataFrame) -> DataFrame:
 def _panel_stage(pos: Column) -> Column:
     e = None
     for lo, hi, name in PANEL_STAGES:
-        cond = pos.between(lo, hi)
+        cond = pos >= lo if hi is None else pos.between(lo, hi)
         e = F.when(cond, F.lit(name)) if e is None else e.when(cond, F.lit(name))
     return e
 
 
 def panel(spark: SparkSession, sf: str, contest_view: DataFrame | None = None) -> DataFrame:
-    """Nation x year panel: record from both sides of every contest, then the
-    16 qualifiers of each year by a fixed rule, a stage, host and strength.
+    """Nation x year panel: record from both sides of every contest, position
+    within the year by a fixed rule, the stage it stands for, host and strength.
 
     The record is one partial aggregate over the contest view (map-side
     combine: a hot nation never lands whole in one task); the per-year window
@@ -181,7 +181,7 @@ def panel(spark: SparkSession, sf: str, contest_view: DataFrame | None = None) -
     )
     order = (F.col("k") * 7 + F.col("wc_year") * 11 + F.col("wins")) % 101
     w = Window.partitionBy("wc_year").orderBy(order.desc(), F.col("k").asc())
-    q = rec.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= QUALIFIERS)
+    q = rec.withColumn("pos", F.row_number().over(w))
     nat = nations(spark, sf)
     q = q.join(nat, q["k"] == nat["n_nationkey"], "left")
     return q.select(
@@ -258,7 +258,7 @@ def profiles(spark: SparkSession, sf: str, panel_view: DataFrame | None = None)
 
 
 def editions(spark: SparkSession, sf: str, panel_view: DataFrame | None = None) -> DataFrame:
-    """One row per year: host nation (by rule), winner, number of qualifiers."""
+    """One row per year: host nation (by rule), winner, number of nations."""
     p = panel_view if panel_view is not None else panel(spark, sf)
     y = p.groupBy("wc_year").agg(
         F.max(F.when(F.col("final_stage_reached") == "Winner", F.col("team"))).alias("winner"),
@@ -269,14 +269,13 @@ def editions(spark: SparkSession, sf: str, panel_view: DataFrame | None = None)
 
 
 def ranking(spark: SparkSession, sf: str) -> DataFrame:
-    """Nations ranked by summed supplier balance (in cents); nations with
-    fewer than RANKING_MIN_SUPPLIERS suppliers are not ranked (trap T17)."""
+    """Nations ranked by summed supplier balance (in cents), under the names of
+    the ranking, some of which the other views spell differently (trap T17)."""
     s = _t(spark, sf, "supplier").select("s_nationkey", "s_acctbal")
-    g = s.groupBy("s_nationkey").agg(
-        F.count(F.lit(1)).alias("suppliers"),
-        F.sum(F.round(F.col("s_acctbal") * 100).cast("long")).alias("points"))
-    g = g.where(F.col("suppliers") >= RANKING_MIN_SUPPLIERS)
-    nat = _dim(spark, sf, "nation", ["n_nationkey", "n_name"])
+    g = s.groupBy("s_nationkey").agg(F.sum(F.round(F.col("s_acctbal") * 100).cast("long")).alias("points"))
+    every, rest, prefix = RANKING_SPELLING
+    spelled = F.when(F.col("n_nationkey") % every == rest, F.concat(F.lit(prefix), "n_name")).otherwise(F.col("n_name"))
+    nat = _dim(spark, sf, "nation", ["n_nationkey", "n_name"]).withColumn("n_name", spelled)
     g = g.join(nat, g["s_nationkey"] == nat["n_nationkey"]).withColumn("__neg", -F.col("points"))
     # rank 1..n by (points desc, name): the distributed dense-key operator,
     # not a window over one partition

@@ -7,7 +7,7 @@ half-even to the same number of places as the Spark side.
 
 from __future__ import annotations
 
-from arenaspark.constants import ENTITY_ALIASES, STAGE_ORDER
+from arenaspark.constants import ENTITY_ALIASES, MODEL_FEATURES, STAGE_ORDER
 from arenaspark.plans import bindings as B
 from arenaspark.plans import queries as Q
 
@@ -24,8 +24,12 @@ def _alias_case(col: str) -> str:
     return f"(CASE {col} {arms} ELSE {col} END)"
 
 
+_OLD_NAMES = "[" + ", ".join(f"'{n}'" for n in Q.ALIAS_NAMES) + "]"
+
+
 def _panel_stage_case() -> str:
-    arms = " ".join(f"WHEN pos BETWEEN {lo} AND {hi} THEN '{name}'" for lo, hi, name in B.PANEL_STAGES)
+    arms = " ".join(f"WHEN pos >= {lo}{'' if hi is None else f' AND pos <= {hi}'} THEN '{name}'"
+                    for lo, hi, name in B.PANEL_STAGES)
     return f"CASE {arms} END"
 
 
@@ -85,8 +89,7 @@ VIEWS = {
   FROM (SELECT *, row_number() OVER (PARTITION BY wc_year
                  ORDER BY (k * 7 + wc_year * 11 + wins) % 101 DESC, k) AS pos FROM panel_rec) p
   LEFT JOIN nation n ON p.k = n.n_nationkey
-  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE pos <= {B.QUALIFIERS}""",
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
     "panel_e": f"""
   SELECT *, CAST(floor(wc_year / 10) * 10 AS INTEGER) AS decade,
          COALESCE(lower(trim(host_nation)) IN ('true', 'yes', '1', 'oui'), false) AS is_host,
@@ -120,11 +123,12 @@ VIEWS = {
                count(*) AS teams FROM panel_v GROUP BY wc_year) y
   LEFT JOIN nation n ON (y.wc_year * 7) % 25 = n.n_nationkey""",
     "ranking_v": f"""
-  SELECT n.n_name AS team, CAST(row_number() OVER (ORDER BY g.points DESC, n.n_name) AS INTEGER) AS rank, g.points
-  FROM (SELECT s_nationkey, count(*) AS suppliers,
-               sum(CAST(round(s_acctbal * 100) AS BIGINT)) AS points FROM supplier GROUP BY s_nationkey) g
-  JOIN nation n ON g.s_nationkey = n.n_nationkey
-  WHERE g.suppliers >= {B.RANKING_MIN_SUPPLIERS}""",
+  SELECT team, CAST(row_number() OVER (ORDER BY points DESC, team) AS INTEGER) AS rank, points
+  FROM (SELECT CASE WHEN n.n_nationkey % {B.RANKING_SPELLING[0]} = {B.RANKING_SPELLING[1]}
+                    THEN '{B.RANKING_SPELLING[2]}' || n.n_name ELSE n.n_name END AS team, g.points
+        FROM (SELECT s_nationkey, sum(CAST(round(s_acctbal * 100) AS BIGINT)) AS points
+              FROM supplier GROUP BY s_nationkey) g
+        JOIN nation n ON g.s_nationkey = n.n_nationkey)""",
     "factor_v": """
   SELECT p.*, rk.ranking FROM profile_r p
   LEFT JOIN (SELECT team, min(rank) AS ranking FROM ranking_v GROUP BY team) rk ON p.team = rk.team""",
@@ -149,11 +153,14 @@ VIEWS = {
   LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
 }
 
+VIEWS["cust_profile_v"] = VIEWS["profile_v"].replace("FROM panel_v", "FROM cust_panel_v")
+
 # Dependencies between views, so a query lists only what it reads directly.
 DEPS = {
     "lf": ["contests_v"], "panel_rec": ["contests_v"], "panel_v": ["panel_rec"],
     "panel_e": ["panel_v"], "profile_v": ["panel_v"], "profile_r": ["profile_v"],
     "editions_v": ["panel_v"], "factor_v": ["profile_r", "ranking_v"], "cust_panel_v": ["cust_rec"],
+    "cust_profile_v": ["cust_panel_v"],
 }
 
 
@@ -182,7 +189,10 @@ def sql(uses: list[str], body: str, extra: list[tuple[str, str]] = ()) -> str:
 def _stage_cols() -> str:
     return ",\n  ".join(
         f"count_if(stage = '{s}') AS stage_{''.join(ch if ch.isalnum() else '_' for ch in s).strip('_')}"
-        for s in Q.STAGES)
+        for s in Q.STAGES) + f",\n  count_if(stage NOT IN ({_STAGE_LIST})) AS stage_other"
+
+
+_STAGE_LIST = ", ".join(f"'{s}'" for s in Q.STAGES)
 
 
 _TEAM_STATS_BODY = """
@@ -218,13 +228,13 @@ _BY_DECADE = f"""(SELECT decade, round_even(avg(total_goals), 6) AS goals_per_ma
 _SELECTED = f"""(SELECT * FROM panel_e WHERE team IN (
    SELECT team FROM (SELECT team, count(wc_year) AS participations FROM panel_v
                      WHERE team IS NOT NULL GROUP BY team
-                     ORDER BY participations DESC, team LIMIT 15))
-   AND wc_year >= {Q.EDITIONS[0]} AND wc_year <= {Q.EDITIONS[-1]})"""
+                     ORDER BY participations DESC, team LIMIT 15)))"""
 
-
-def _year_pivot(expr_for_year, fill) -> str:
-    return ",\n  ".join(
-        f"COALESCE(max(CASE WHEN wc_year = {y} THEN {expr_for_year} END), {fill}) AS y{y}" for y in Q.EDITIONS)
+_STAGE_GRID = f"""(SELECT c.team, c.edition, COALESCE(b.phase_score, -1) AS phase_score,
+    CASE WHEN b.team IS NULL THEN 'not qualified' ELSE b.final_stage_reached END AS stage
+  FROM (SELECT team, CAST(unnest(generate_series((SELECT min(wc_year) FROM panel_v), (SELECT max(wc_year) FROM panel_v)))
+                          AS INTEGER) AS edition FROM (SELECT DISTINCT team FROM {_SELECTED})) c
+  LEFT JOIN {_SELECTED} b ON c.team = b.team AND c.edition = b.wc_year)"""
 
 
 def _pre_event_ctes(policy: str) -> list[tuple[str, str]]:
@@ -325,6 +335,46 @@ _FACT = f"""(SELECT f.date, CAST(year(f.date) AS INTEGER) AS edition_year, h.tea
       LEFT JOIN {_DIM_TEAM_PLAIN} a ON f.away_team = a.team_name
       LEFT JOIN {_DIM_STADIUM} s ON f.stadium = s.stadium AND f.city = s.city)"""
 
+_FACT_TEAM = f"""
+SELECT ts.* EXCLUDE (team), d.team_id FROM ({_TEAM_STATS_BODY}) ts
+LEFT JOIN {_DIM_TEAM_PLAIN} d ON ts.team = d.team_name"""
+_FACT_PHASE = f"""
+SELECT pm.* EXCLUDE (team), d.team_id FROM (
+  SELECT team,
+    {_stage_cols()}
+  FROM lf WHERE team IS NOT NULL AND stage IS NOT NULL GROUP BY team) pm
+LEFT JOIN {_DIM_TEAM_PLAIN} d ON pm.team = d.team_name"""
+_HEAD_TO_HEAD = """
+SELECT *, team_a_goals - team_b_goals AS goal_difference_a,
+       CAST(year(last_wc_meeting_date) AS INTEGER) AS last_wc_meeting_year
+FROM (SELECT team_a, team_b, count(*) AS total_wc_matches, count_if(ga > gb) AS team_a_wins,
+             count_if(ga = gb) AS draws, count_if(ga < gb) AS team_b_wins,
+             CAST(COALESCE(sum(ga), 0) AS BIGINT) AS team_a_goals,
+             CAST(COALESCE(sum(gb), 0) AS BIGINT) AS team_b_goals, max(d) AS last_wc_meeting_date
+      FROM (SELECT least(home_team, away_team) AS team_a, greatest(home_team, away_team) AS team_b,
+                   CASE WHEN home_team = least(home_team, away_team) THEN home_score ELSE away_score END AS ga,
+                   CASE WHEN home_team = least(home_team, away_team) THEN away_score ELSE home_score END AS gb,
+                   date AS d
+            FROM contests_v WHERE home_team IS NOT NULL AND away_team IS NOT NULL)
+      GROUP BY team_a, team_b)"""
+_WAREHOUSE_SUMS = "\nUNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", count(*) AS rows, count(*) AS observed, CAST(sum({e}) AS BIGINT) AS content FROM {t}"
+    for t, e in Q.WAREHOUSE_SUMS.items())
+
+
+def _assembled_sql() -> str:
+    """Feature matrix and class weights over the same feature SQL."""
+    ctes = [*_pre_event_ctes("poison"), ("feats", f"""
+  SELECT team, wc_year, target_top4, wc_appearances, wc_titles, elo_rating, host_nation, {_LAGGED_STREAK},
+         CAST(wc_appearances = 0 AS INTEGER) AS is_debut FROM w3""")]
+    cols = ", ".join(f"CAST(COALESCE({c}, 0) AS DOUBLE) AS f_{c}" for c in MODEL_FEATURES)
+    return sql(["cust_panel_v"], f"""
+SELECT team, wc_year, target_top4,
+  round_even((SELECT count(*) FROM feats) / ((SELECT count(DISTINCT target_top4) FROM feats)
+             * count(*) OVER (PARTITION BY target_top4)), 9) AS weight,
+  {cols} FROM feats""", ctes)
+
+
 _FACTOR = f"(SELECT * FROM factor_v WHERE total_matches >= {{m}})"
 
 
@@ -340,7 +390,9 @@ def oracle_sql() -> dict[str, str]:
         "phase_matrix": sql(["lf"], f"""
 SELECT team,
   {_stage_cols()}
-FROM lf WHERE team IS NOT NULL AND stage IN ({", ".join(f"'{s}'" for s in Q.STAGES)}) GROUP BY team"""),
+FROM lf WHERE team IS NOT NULL AND stage IS NOT NULL GROUP BY team"""),
+        "phase_counts": sql(["lf"], """
+SELECT team, stage, count(*) AS appearances FROM lf WHERE team IS NOT NULL AND stage IS NOT NULL GROUP BY team, stage"""),
         "home_advantage": sql(["contests_v"], """
 SELECT round_even(h, 6) AS home_win_rate, round_even(a, 6) AS away_win_rate,
        round_even(h - a, 6) AS home_advantage_index
@@ -355,8 +407,9 @@ SELECT {tie}, date, home_team, away_team, home_score, away_score,
 FROM contests_v"""),
         "harmonise_names": sql(["contests_v"], f"""
 SELECT team, count(*) AS contests FROM (
-  SELECT {_alias_case('home_team')} AS team FROM contests_v
-  UNION ALL SELECT {_alias_case('away_team')} AS team FROM contests_v)
+  SELECT {_alias_case('name')} AS team FROM (
+    SELECT COALESCE({_OLD_NAMES}[home_key + 1], home_team) AS name FROM contests_v
+    UNION ALL SELECT COALESCE({_OLD_NAMES}[away_key + 1], away_team) AS name FROM contests_v))
 WHERE team IS NOT NULL GROUP BY team"""),
         "normalise_text": sql(["contests_v"], """
 SELECT lower(trim(raw_stadium)) AS stadium, lower(trim(raw_stage)) AS stage, lower(trim(raw_city)) AS city,
@@ -364,16 +417,21 @@ SELECT lower(trim(raw_stadium)) AS stadium, lower(trim(raw_stage)) AS stage, low
 FROM contests_v GROUP BY 1, 2, 3"""),
         "clean_rows": sql(["contests_v"], """
 SELECT DISTINCT date, home_team, away_team, home_score, away_score, stage FROM contests_v
-WHERE NOT (date IS NULL AND home_team IS NULL AND away_team IS NULL AND home_score IS NULL
+WHERE line_no <> 7
+  AND NOT (date IS NULL AND home_team IS NULL AND away_team IS NULL AND home_score IS NULL
            AND away_score IS NULL AND stage IS NULL)"""),
         "coerce_types": """
 SELECT o_orderkey,
-  TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS prio_digit,
+  CASE WHEN o_orderkey % 6 IN (0, 1, 3) THEN TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END AS prio_digit,
   TRY_CAST(o_orderpriority AS INTEGER) AS prio_as_int,
-  TRY_CAST(substr(CAST(o_orderdate AS VARCHAR), 1, 10) AS DATE) AS order_day,
+  CASE WHEN o_orderkey % 8 < 6 THEN CAST(o_orderdate AS DATE) END AS order_day,
   TRY_CAST(o_orderstatus AS DATE) AS status_as_date,
-  TRY_CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE) AS total_price
+  CASE WHEN o_orderkey % 5 IN (0, 3) THEN o_totalprice END AS total_price
 FROM orders""",
+        "csv_round_trip": """
+SELECT c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS c_nationkey, c_acctbal,
+  CASE WHEN c_custkey % 3 <> 0 THEN CAST(c_custkey AS BIGINT) END AS code, CAST(NULL AS VARCHAR) AS note, 0 AS flag
+FROM customer""",
         "unified_matches": sql(["contests_v", "contests_b_v"], f"""
 SELECT date, home_team, away_team, home_score, away_score, stage, wc_year, result_type FROM (
   SELECT *, row_number() OVER (PARTITION BY date, home_team, away_team ORDER BY src, {tie}) AS rn FROM (
@@ -440,14 +498,8 @@ FROM panel_e WHERE is_host"""),
         "participation_top15": sql(["panel_v"], """
 SELECT team, count(wc_year) AS participations FROM panel_v WHERE team IS NOT NULL
 GROUP BY team ORDER BY participations DESC, team LIMIT 15"""),
-        "stage_heatmap": sql(["panel_e"], f"""
-SELECT team,
-  {_year_pivot('phase_score', -1)}
-FROM {_SELECTED} GROUP BY team"""),
-        "stage_labels": sql(["panel_e"], f"""
-SELECT team,
-  {_year_pivot('final_stage_reached', "'not qualified'")}
-FROM {_SELECTED} GROUP BY team"""),
+        "stage_heatmap": sql(["panel_e"], f"SELECT team, edition, phase_score FROM {_STAGE_GRID}"),
+        "stage_labels": sql(["panel_e"], f"SELECT team, edition, stage FROM {_STAGE_GRID}"),
         "winrate_by_entity_edition": sql(["panel_e"], f"""
 SELECT team, wc_year AS edition, round_even(win_rate, 6) AS win_rate_ed FROM {_SELECTED}"""),
         "decade_top5": sql(["panel_e"], """
@@ -481,6 +533,9 @@ WHERE strength IS NOT NULL AND strength < 1750 AND phase_score >= 2 GROUP BY 1""
         "upset_list": sql(["panel_e"], """
 SELECT team, wc_year AS edition, strength, final_stage_reached AS stage, confederation AS group_name, phase_score
 FROM panel_e WHERE strength IS NOT NULL AND strength < 1800 AND phase_score >= 2"""),
+        "upset_list_floor": sql(["panel_e"], f"""
+SELECT team, wc_year AS edition, strength, final_stage_reached AS stage, confederation AS group_name, phase_score
+FROM panel_e WHERE strength IS NOT NULL AND strength < 1800 AND strength >= {Q.STRENGTH_FLOOR} AND phase_score >= 2"""),
         "group_winrate_decade": sql(["panel_e"], """
 SELECT decade, confederation AS group_name, round_even(avg(win_rate), 6) AS win_rate
 FROM panel_e WHERE confederation IS NOT NULL GROUP BY 1, 2"""),
@@ -514,6 +569,21 @@ FROM profile_v WHERE confederation IS NOT NULL GROUP BY 1"""),
 SELECT team, confederation, total_wc_appearances, titles, finals_reached, semis_reached, total_matches,
        total_wins, win_rate, goals_per_match, conceded_per_match
 FROM profile_r WHERE total_wc_appearances >= {Q.MIN_APPEARANCES}"""),
+        "profile_group": sql(["profile_v"], f"""
+SELECT team, confederation, titles, total_matches, win_rate FROM profile_v
+WHERE total_wc_appearances >= {Q.MIN_APPEARANCES} AND confederation = '{Q.GROUP}'"""),
+        "titles_top15": sql(["profile_v"], """
+SELECT team, confederation, total_wc_appearances, titles, finals_reached, semis_reached FROM profile_v
+WHERE titles IS NOT NULL ORDER BY titles DESC, team LIMIT 15"""),
+        "win_rate_top20": sql(["profile_v"], f"""
+SELECT team, win_rate, total_matches FROM profile_v WHERE total_matches >= {tm} AND win_rate IS NOT NULL
+ORDER BY win_rate DESC, team LIMIT 20"""),
+        "win_rate_joined": sql(["profile_v", "lf"], f"""
+SELECT p.team, p.total_matches, w.win_rate FROM profile_v p LEFT JOIN ({_WIN_RATE_BODY}) w ON p.team = w.team"""),
+        "group_mode_top10": sql(["profile_v"], """
+SELECT confederation, count(*) AS count FROM (
+  SELECT confederation FROM profile_v WHERE total_wins IS NOT NULL ORDER BY total_wins DESC, team LIMIT 10)
+GROUP BY confederation ORDER BY count DESC, confederation LIMIT 1"""),
         "profile_leaders": sql(["profile_v"], f"""
 SELECT count(*) AS entities,
   (SELECT team FROM p WHERE titles IS NOT NULL ORDER BY titles DESC, team LIMIT 1) AS most_titles,
@@ -535,13 +605,21 @@ ORDER BY win_rate DESC, team LIMIT 10"""),
 SELECT team, conceded_per_match, total_matches FROM {_FACTOR.format(m=tm)} WHERE conceded_per_match IS NOT NULL
 ORDER BY conceded_per_match ASC, team LIMIT 10"""),
         "factor_correlation_matrix": _corr_matrix(),
-        "experience_trend": sql(["factor_v"], f"""
+        "experience_trend": sql(["cust_profile_v"], f"""
 SELECT round_even(slope, 6) AS slope, round_even(intercept, 6) AS intercept, points, x_min, x_max FROM (
   SELECT regr_slope(CAST(win_rate AS DOUBLE), CAST(total_wc_appearances AS DOUBLE)) AS slope,
          regr_intercept(CAST(win_rate AS DOUBLE), CAST(total_wc_appearances AS DOUBLE)) AS intercept,
          regr_count(CAST(win_rate AS DOUBLE), CAST(total_wc_appearances AS DOUBLE)) AS points,
          min(CAST(total_wc_appearances AS DOUBLE)) AS x_min, max(CAST(total_wc_appearances AS DOUBLE)) AS x_max
-  FROM {_FACTOR.format(m=fm)} WHERE win_rate IS NOT NULL AND total_wc_appearances IS NOT NULL)
+  FROM (SELECT * FROM cust_profile_v WHERE total_matches >= {fm}) WHERE win_rate IS NOT NULL AND total_wc_appearances IS NOT NULL)
+WHERE points > 2"""),
+        "experience_titles_trend": sql(["cust_profile_v"], f"""
+SELECT round_even(slope, 6) AS slope, round_even(intercept, 6) AS intercept, points, x_min, x_max FROM (
+  SELECT regr_slope(CAST(titles AS DOUBLE), CAST(total_wc_appearances AS DOUBLE)) AS slope,
+         regr_intercept(CAST(titles AS DOUBLE), CAST(total_wc_appearances AS DOUBLE)) AS intercept,
+         regr_count(CAST(titles AS DOUBLE), CAST(total_wc_appearances AS DOUBLE)) AS points,
+         min(CAST(total_wc_appearances AS DOUBLE)) AS x_min, max(CAST(total_wc_appearances AS DOUBLE)) AS x_max
+  FROM (SELECT * FROM cust_profile_v WHERE total_matches >= {fm}) WHERE titles IS NOT NULL AND total_wc_appearances IS NOT NULL)
 WHERE points > 2"""),
         "attack_defence_profile": sql(["factor_v"], f"""
 SELECT team, goals_per_match, conceded_per_match,
@@ -565,28 +643,9 @@ FROM profile_v p LEFT JOIN (
 SELECT year AS edition_year, host_country, winner, teams FROM editions_v"""),
         "dim_stadium": sql(["contests_v"], f"SELECT * FROM {_DIM_STADIUM}"),
         "fact_matches": sql(["lf"], f"SELECT * FROM {_FACT}"),
-        "fact_team_performance": sql(["lf"], f"""
-SELECT ts.* EXCLUDE (team), d.team_id FROM ({_TEAM_STATS_BODY}) ts
-LEFT JOIN {_DIM_TEAM_PLAIN} d ON ts.team = d.team_name"""),
-        "fact_phase_performance": sql(["lf"], f"""
-SELECT pm.* EXCLUDE (team), d.team_id FROM (
-  SELECT team,
-    {_stage_cols()}
-  FROM lf WHERE team IS NOT NULL AND stage IN ({", ".join(f"'{s}'" for s in Q.STAGES)}) GROUP BY team) pm
-LEFT JOIN {_DIM_TEAM_PLAIN} d ON pm.team = d.team_name"""),
-        "fact_head_to_head": sql(["contests_v"], """
-SELECT *, team_a_goals - team_b_goals AS goal_difference_a,
-       CAST(year(last_wc_meeting_date) AS INTEGER) AS last_wc_meeting_year
-FROM (SELECT team_a, team_b, count(*) AS total_wc_matches, count_if(ga > gb) AS team_a_wins,
-             count_if(ga = gb) AS draws, count_if(ga < gb) AS team_b_wins,
-             CAST(COALESCE(sum(ga), 0) AS BIGINT) AS team_a_goals,
-             CAST(COALESCE(sum(gb), 0) AS BIGINT) AS team_b_goals, max(d) AS last_wc_meeting_date
-      FROM (SELECT least(home_team, away_team) AS team_a, greatest(home_team, away_team) AS team_b,
-                   CASE WHEN home_team = least(home_team, away_team) THEN home_score ELSE away_score END AS ga,
-                   CASE WHEN home_team = least(home_team, away_team) THEN away_score ELSE home_score END AS gb,
-                   date AS d
-            FROM contests_v WHERE home_team IS NOT NULL AND away_team IS NOT NULL)
-      GROUP BY team_a, team_b)"""),
+        "fact_team_performance": sql(["lf"], _FACT_TEAM),
+        "fact_phase_performance": sql(["lf"], _FACT_PHASE),
+        "fact_head_to_head": sql(["contests_v"], _HEAD_TO_HEAD),
         "star_join_finals": sql(["lf"], f"""
 SELECT f.date, h.team_name AS home_team, a.team_name AS away_team, f.home_score, f.away_score
 FROM {_FACT} f
@@ -596,16 +655,12 @@ WHERE f.stage = '{Q.FINAL_STAGE}'"""),
         "dim_top10_winrate": sql(["lf", "editions_v"], f"""
 SELECT team_name, win_rate, games_played FROM dim_team WHERE games_played >= {Q.MIN_GAMES_DIM}
 ORDER BY win_rate DESC, team_name LIMIT 10""", [("dim_team", _DIM_TEAM_BODY)]),
-        "warehouse_load": sql(["lf", "editions_v"], f"""
-SELECT 'dim_team' AS "table", count(*) AS rows FROM {_DIM_TEAM_PLAIN}
-UNION ALL SELECT 'dim_edition', count(*) FROM editions_v
-UNION ALL SELECT 'dim_stadium', count(*) FROM {_DIM_STADIUM}
-UNION ALL SELECT 'fact_matches', count(*) FROM contests_v
-UNION ALL SELECT 'fact_team_performance', count(DISTINCT team) FROM lf WHERE team IS NOT NULL
-UNION ALL SELECT 'fact_phase_performance', count(DISTINCT team) FROM lf
-  WHERE team IS NOT NULL AND stage IN ({", ".join(f"'{s}'" for s in Q.STAGES)})
-UNION ALL SELECT 'fact_head_to_head', count(*) FROM (SELECT DISTINCT least(home_team, away_team),
-  greatest(home_team, away_team) FROM contests_v WHERE home_team IS NOT NULL AND away_team IS NOT NULL)"""),
+        "warehouse_load": sql(["lf", "editions_v"], _WAREHOUSE_SUMS, [
+            ("dim_team", _DIM_TEAM_BODY), ("dim_edition", "SELECT year AS edition_year, * EXCLUDE (year) FROM editions_v"),
+            ("dim_stadium", f"SELECT * FROM {_DIM_STADIUM}"), ("fact_matches", f"SELECT * FROM {_FACT}"),
+            ("fact_team_performance", _FACT_TEAM), ("fact_phase_performance", _FACT_PHASE),
+            ("fact_head_to_head", _HEAD_TO_HEAD)]),
+        "assembled_features": _assembled_sql(),
         "pre_event_features": _pre_event_sql("poison"),
         "pre_event_features_skip": _pre_event_sql("skip"),
     }

@@ -8,14 +8,19 @@ limit is the feature (top-k reports).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from arenaspark.constants import ENTITY_ALIASES, MODEL_FEATURES
 from arenaspark.operators import clean, contests as C, model as M, panels as P, profiles as R
 from arenaspark.operators import stats as S, warehouse as W, windows as WD
 from arenaspark.plans import bindings as B
 from arenaspark.plans.workspace import workspace as V
+from arenaspark.sources import io
 from arenaspark.specs import ContestSpec, PanelSpec, ProfileSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,16 +29,29 @@ REGISTRY: dict[str, Query] = {}
 # Parameters of the registered queries (the reference's defaults, bound to this data)
 STAGES = ["1-urgent", "2-high", "3-medium", "4-not specified", "5-low"]
 FINAL_STAGE = "1-urgent"
-EDITIONS = list(range(1995, 2002))
 LOOKUP_DECADES = [1930, 1990, 2000, 2010]
 MIN_APPEARANCES = 3
-MIN_MATCHES_FACTORS = 5
+MIN_MATCHES_FACTORS = 10
 MIN_MATCHES_TOP = 10
 MIN_GAMES_DIM = 10
 CORR_COLUMNS = ["total_wc_appearances", "titles", "win_rate", "goals_per_match",
                 "conceded_per_match", "ranking"]
+# What each warehouse table is summed over when its content is checked
+WAREHOUSE_SUMS = {
+    "dim_team": "team_id * games_played + titles",
+    "dim_edition": "edition_year * teams",
+    "dim_stadium": "stadium_id * length(stadium)",
+    "fact_matches": "home_team_id * 31 + away_team_id * 7 + stadium_id + home_score - away_score",
+    "fact_team_performance": "team_id * goals_scored + games_played",
+    "fact_phase_performance": "team_id * stage_1_urgent + stage_other",
+    "fact_head_to_head": "total_wc_matches * team_a_goals + team_b_wins",
+}
 CONTEST_TIE = ["order_key", "line_no", "part_key", "supp_key", "qty", "price"]
 
+GROUP = "ASIA"
+STRENGTH_FLOOR = 1500
+ALIAS_NAMES = sorted(ENTITY_ALIASES)
+
 CS, PS, RS = ContestSpec(), PanelSpec(), ProfileSpec()
 
 
@@ -65,6 +83,11 @@ def q_phase_matrix(spark, sf):
     return C.stage_matrix(V(spark, sf).contests(), STAGES)
 
 
+@query("phase_counts")
+def q_phase_counts(spark, sf):
+    return C.stage_counts(V(spark, sf).contests())
+
+
 @query("home_advantage")
 def q_home_advantage(spark, sf):
     return C.side_advantage(V(spark, sf).contests())
@@ -79,8 +102,11 @@ def q_contest_features(spark, sf):
 
 @query("harmonise_names")
 def q_harmonise_names(spark, sf):
-    c = clean.harmonise_columns(V(spark, sf).contests(), ["home_team", "away_team"])
-    lf = C.long_form(c).where(F.col("team").isNotNull())
+    """Names of the first nations are spelled by the alias table's old names."""
+    old = F.array(*[F.lit(n) for n in ALIAS_NAMES])
+    raw = lambda key, name: F.coalesce(F.get(old, key), F.col(name)).alias(name)
+    c = V(spark, sf).contests().select(raw("home_key", "home_team"), raw("away_key", "away_team"), "home_score", "away_score")
+    lf = C.long_form(clean.harmonise_columns(c, ["home_team", "away_team"])).where(F.col("team").isNotNull())
     return lf.groupBy("team").agg(F.count(F.lit(1)).alias("contests"))
 
 
@@ -94,23 +120,51 @@ def q_normalise_text(spark, sf):
 
 @query("clean_rows")
 def q_clean_rows(spark, sf):
-    c = V(spark, sf).contests().select("date", "home_team", "away_team", "home_score", "away_score", "stage")
+    """Contests of the seventh line lose every value: rows that are entirely null."""
+    cols = ["date", "home_team", "away_team", "home_score", "away_score", "stage"]
+    c = V(spark, sf).contests().select(*[F.when(F.col("line_no") != 7, F.col(x)).alias(x) for x in cols])
     return clean.clean_rows(c)
 
 
 @query("coerce_types")
 def q_coerce_types(spark, sf):
+    """Order columns written as text in turn in the forms a dirty source has."""
+    digit, price, day = F.substring("o_orderpriority", 1, 1), F.col("o_totalprice").cast("string"), F.col("o_orderdate").cast("date")
+    turn = lambda n, forms: F.element_at(F.array(*forms), (F.col("o_orderkey") % n + 1).cast("int"))
     o = spark.read.parquet(f"{sf}/orders.parquet").select(
         "o_orderkey",
-        F.substring("o_orderpriority", 1, 1).alias("prio_digit"),
+        turn(6, [digit, F.concat(digit, F.lit(".0")), F.concat(digit, F.lit("d")), F.concat(F.lit(" "), digit, F.lit(" ")),
+                 F.concat(digit, F.lit(".5")), F.lit("nan")]).alias("prio_digit"),
         F.col("o_orderpriority").alias("prio_as_int"),
-        F.substring(F.col("o_orderdate").cast("string"), 1, 10).alias("order_day"),
+        turn(8, [day.cast("string"), F.concat(day.cast("string"), F.lit(" 15:00:00")), F.date_format(day, "yyyy/MM/dd"),
+                 F.date_format(day, "MM/dd/yyyy"), F.date_format(day, "MMMM d, yyyy"), F.date_format(day, "d MMM yyyy"),
+                 F.lit("31/31/2020"), F.lit("soon")]).alias("order_day"),
         F.col("o_orderstatus").alias("status_as_date"),
-        F.col("o_totalprice").cast("string").alias("total_price"))
+        turn(5, [price, F.concat(price, F.lit("f")), F.lit("NaN"), F.concat(F.lit("+"), price), F.lit("N/A")]).alias("total_price"))
     o = clean.parse_numbers(o, {"prio_digit": "int", "prio_as_int": "int", "total_price": "double"})
     return clean.parse_dates(o, ["order_day", "status_as_date"])
 
 
+@query("csv_round_trip")
+def q_csv_round_trip(spark, sf):
+    """Customers written as CSV, read back with a declared schema and conformed."""
+    cols = ["c_custkey", "c_name", "c_nationkey", "c_acctbal"]
+
+    def write(path: str) -> str:
+        c = spark.read.parquet(f"{sf}/customer.parquet").select(
+            *cols, F.when(F.col("c_custkey") % 3 == 0, F.lit("N/A")).otherwise(F.col("c_custkey").cast("string")).alias("code"))
+        io.write_csv(c, path)
+        return path
+
+    schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+                           T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
+                           T.StructField("code", T.LongType())])
+    back = io.read_csv(spark, V(spark, sf).once("customer-csv", write), schema)
+    return io.conform(back, {"c_custkey": T.LongType(), "c_name": T.StringType(), "c_nationkey": T.IntegerType(),
+                             "c_acctbal": T.DoubleType(), "code": T.LongType(), "note": T.StringType(), "flag": T.IntegerType()},
+                      {"flag": 0})
+
+
 @query("unified_matches")
 def q_unified_matches(spark, sf):
     a = V(spark, sf).contests().select(*CONTEST_TIE, "date", "home_team", "away_team",
@@ -198,20 +252,25 @@ def q_participation_top15(spark, sf):
 
 def _selected_panel(spark, sf):
     """Default selection of the heat-map page: the 15 most frequent entities
-    (semi-join) within the edition range."""
+    (semi-join) over the data's whole edition range."""
     p = V(spark, sf).panel()
-    top = P.participation_counts(p, k=15).select("team")
-    return P.filter_members(p, "team", top, lo=EDITIONS[0], hi=EDITIONS[-1], range_col="wc_year")
+    return P.filter_members(p, "team", P.participation_counts(p, k=15).select("team"))
+
+
+def _stage_grid(spark, sf):
+    edges = S.bounds(V(spark, sf).panel(), "wc_year")
+    lo, hi = (edges.select(F.col(c).cast("int")).scalar() for c in ("min_value", "max_value"))
+    return P.stage_grid(_selected_panel(spark, sf), lo, hi)
 
 
 @query("stage_heatmap")
 def q_stage_heatmap(spark, sf):
-    return P.stage_heatmap(_selected_panel(spark, sf), EDITIONS)
+    return _stage_grid(spark, sf).select("team", "edition", "phase_score")
 
 
 @query("stage_labels")
 def q_stage_labels(spark, sf):
-    return P.stage_labels(_selected_panel(spark, sf), EDITIONS)
+    return _stage_grid(spark, sf).select("team", "edition", "stage")
 
 
 @query("winrate_by_entity_edition")
@@ -251,6 +310,12 @@ def q_upset_list(spark, sf):
     return P.upset_list(V(spark, sf).panel(), max_strength=1800)
 
 
+@query("upset_list_floor")
+def q_upset_list_floor(spark, sf):
+    """Upsets with the page's strength floor."""
+    return P.upset_list(V(spark, sf).panel(), max_strength=1800, min_strength=STRENGTH_FLOOR)
+
+
 @query("group_winrate_decade")
 def q_group_winrate_decade(spark, sf):
     return P.group_winrate_decade(V(spark, sf).panel())
@@ -279,9 +344,8 @@ def q_outcome_targets(spark, sf):
 
 # ----------------------------------------------------------------- profiles
 def _factor_profiles(spark, sf, min_matches):
-    """Profiles with rates, win rate, and the external ranking."""
+    """Profiles with rates, win rate, and the external ranking."""
     prof = R.with_rates(V(spark, sf).profiles())
-    prof = R.add_win_rate_if_absent(prof, C.two_sided_win_rate(V(spark, sf).contests()))
     prof = R.join_ranking(prof, V(spark, sf).ranking())
     return R.filter_profiles(prof, min_appearances=None, min_matches=min_matches)
 
@@ -304,6 +368,39 @@ def q_profile_ranked(spark, sf):
                     "conceded_per_match").orderBy(F.desc("titles"), "team")
 
 
+@query("profile_group")
+def q_profile_group(spark, sf):
+    """One group's profiles."""
+    p = R.filter_profiles(V(spark, sf).profiles(), min_appearances=MIN_APPEARANCES, group=GROUP)
+    return p.select("team", "confederation", "titles", "total_matches", "win_rate")
+
+
+@query("titles_top15")
+def q_titles_top15(spark, sf):
+    return S.top_k(V(spark, sf).profiles(), "titles", 15, tie=["team"]).select(
+        "team", "confederation", "total_wc_appearances", "titles", "finals_reached", "semis_reached")
+
+
+@query("win_rate_top20")
+def q_win_rate_top20(spark, sf):
+    p = R.filter_profiles(V(spark, sf).profiles(), min_appearances=None, min_matches=MIN_MATCHES_TOP)
+    return S.top_k(p, "win_rate", 20, tie=["team"]).select("team", "win_rate", "total_matches")
+
+
+@query("win_rate_joined")
+def q_win_rate_joined(spark, sf):
+    """Profiles that lack a win rate take it from the contests."""
+    p = V(spark, sf).profiles().drop("win_rate")
+    p = R.add_win_rate_if_absent(p, C.two_sided_win_rate(V(spark, sf).contests()))
+    return p.select("team", "total_matches", "win_rate")
+
+
+@query("group_mode_top10")
+def q_group_mode_top10(spark, sf):
+    """The commonest group among the ten with most wins."""
+    return S.mode_in_top(V(spark, sf).profiles(), "total_wins", "confederation", 10, tie=["team"])
+
+
 @query("profile_leaders")
 def q_profile_leaders(spark, sf):
     return R.profile_leaders(R.filter_profiles(V(spark, sf).profiles(), min_appearances=MIN_APPEARANCES))
@@ -333,8 +430,17 @@ def q_factor_correlation_matrix(spark, sf):
 
 @query("experience_trend")
 def q_experience_trend(spark, sf):
-    t = S.linear_trend(_factor_profiles(spark, sf, MIN_MATCHES_FACTORS), "total_wc_appearances",
-                       "win_rate", min_points=2)
+    """Over customers: nations play every year, so their experience does not vary."""
+    p = R.filter_profiles(V(spark, sf).cust_profiles(), min_appearances=None, min_matches=MIN_MATCHES_FACTORS)
+    t = S.linear_trend(p, "total_wc_appearances", "win_rate", min_points=2)
+    return t.select(F.bround("slope", 6).alias("slope"), F.bround("intercept", 6).alias("intercept"),
+                    "points", "x_min", "x_max")
+
+
+@query("experience_titles_trend")
+def q_experience_titles_trend(spark, sf):
+    p = R.filter_profiles(V(spark, sf).cust_profiles(), min_appearances=None, min_matches=MIN_MATCHES_FACTORS)
+    t = S.linear_trend(p, "total_wc_appearances", "titles", min_points=2)
     return t.select(F.bround("slope", 6).alias("slope"), F.bround("intercept", 6).alias("intercept"),
                     "points", "x_min", "x_max")
 
@@ -381,27 +487,30 @@ def q_dim_stadium(spark, sf):
     return W.build_dim_stadium(V(spark, sf).contests())
 
 
-def _fact_matches(spark, sf):
-    c = V(spark, sf).contests()
-    dim_team = W.build_dim_team(c)
-    return W.build_fact_matches(c, dim_team, W.build_dim_stadium(c)), dim_team
+def _warehouse(spark, sf) -> tuple[str, dict[str, int]]:
+    """(folder, rows written per table) of the warehouse, loaded once per session."""
+    ws = V(spark, sf)
+    return ws.once("warehouse", lambda path: (path, W.load_warehouse(spark, ws.contests(), ws.editions(), STAGES, path)))
+
+
+def _table(spark, sf, name: str) -> DataFrame:
+    return spark.read.parquet(f"{_warehouse(spark, sf)[0]}/{name}")
 
 
 @query("fact_matches")
 def q_fact_matches(spark, sf):
-    return _fact_matches(spark, sf)[0]
+    """Keys looked up in the written dimensions."""
+    return W.build_fact_matches(V(spark, sf).contests(), _table(spark, sf, "dim_team"), _table(spark, sf, "dim_stadium"))
 
 
 @query("fact_team_performance")
 def q_fact_team_performance(spark, sf):
-    c = V(spark, sf).contests()
-    return W.with_team_id(C.two_sided_stats(c), W.build_dim_team(c))
+    return W.with_team_id(C.two_sided_stats(V(spark, sf).contests()), _table(spark, sf, "dim_team"))
 
 
 @query("fact_phase_performance")
 def q_fact_phase_performance(spark, sf):
-    c = V(spark, sf).contests()
-    return W.with_team_id(C.stage_matrix(c, STAGES), W.build_dim_team(c))
+    return W.with_team_id(C.stage_matrix(V(spark, sf).contests(), STAGES), _table(spark, sf, "dim_team"))
 
 
 @query("fact_head_to_head")
@@ -411,23 +520,23 @@ def q_fact_head_to_head(spark, sf):
 
 @query("star_join_finals")
 def q_star_join_finals(spark, sf):
-    fact, dim_team = _fact_matches(spark, sf)
-    return W.star_join(spark, fact, dim_team, FINAL_STAGE)
+    return W.star_join(spark, _table(spark, sf, "fact_matches"), _table(spark, sf, "dim_team"), FINAL_STAGE)
 
 
 @query("dim_top10_winrate")
 def q_dim_top10_winrate(spark, sf):
-    return W.dim_top(spark, _dim_team(spark, sf), MIN_GAMES_DIM, 10)
+    return W.dim_top(spark, _table(spark, sf, "dim_team"), MIN_GAMES_DIM, 10)
 
 
 @query("warehouse_load")
 def q_warehouse_load(spark, sf):
-    """Write the seven warehouse tables (S6) and report the rows loaded per
-    table, observed during each write (S7). The tables go under the
-    session's workspace folder; the report is the returned DataFrame."""
-    ws = V(spark, sf)
-    counts = W.load_warehouse(spark, ws.contests(), ws.editions(), STAGES, f"{ws.root}/warehouse")
-    return spark.createDataFrame(sorted(counts.items()), "table string, rows long")
+    """The seven warehouse tables read back after the load (S6): rows, rows
+    observed during each write (S7), and a content sum over keys and measures."""
+    observed = _warehouse(spark, sf)[1]
+    parts = [_table(spark, sf, name).agg(F.count(F.lit(1)).alias("rows"), F.expr(f"sum({e})").cast("long").alias("content"))
+             .select(F.lit(name).alias("table"), "rows", F.lit(observed[name]).cast("long").alias("observed"), "content")
+             for name, e in WAREHOUSE_SUMS.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ----------------------------------------------------- pre-event features
@@ -478,6 +587,16 @@ def _model(spark, sf):
     return _fitted(spark, sf)[0]
 
 
+@query("assembled_features")
+def q_assembled_features(spark, sf):
+    """The feature vector and class weight of every training row (M1, P27, weights of M2)."""
+    f = M.align_features(_training(spark, sf)).select("team", "wc_year", "target_top4", *MODEL_FEATURES)
+    f = M.balanced_weights(M.assemble(f), "target_top4")
+    v = vector_to_array("features")
+    return f.select("team", "wc_year", "target_top4", F.bround("weight", 9).alias("weight"),
+                    *[v[i].alias(f"f_{name}") for i, name in enumerate(MODEL_FEATURES)])
+
+
 @query("model_training_metrics")
 def q_model_training_metrics(spark, sf):
     model, assembled = _fitted(spark, sf)
@@ -491,7 +610,7 @@ def q_feature_importance(spark, sf):
 
 def _scored(spark, sf):
     """Scoring table scored once per session (ranking and summary read it)."""
-    return V(spark, sf).derived("scored", lambda: M.score_outcomes(_model(spark, sf), _scoring(spark, sf)))
+    return V(spark, sf).derived("scored", lambda: M.score_outcomes(_model(spark, sf), _scoring(spark, sf), ranked=False))
 
 
 @query("outcome_ranking")

@@ -25,29 +25,58 @@ from pyspark.sql import DataFrame, SparkSession
 from arenaspark.plans import bindings as B
 from arenaspark.session import ensure_checkpoint_dir
 
-_LOCK = threading.RLock()
+_LOCK = threading.Lock()  # held for a dictionary access only
 _SPACES: dict = {}
+SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+def _state(spark: SparkSession, sf: str) -> str:
+    """Names, sizes and times of the source files: views of another state are not used."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    seen = []
+    for t in SOURCE_TABLES:
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf}/{t}.parquet")
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            seen += [f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}" for f in fs.listStatus(p)]
+    return hashlib.sha1("|".join(seen).encode()).hexdigest()[:10]
 
 
 class Workspace:
-    def __init__(self, spark: SparkSession, sf: str):
+    def __init__(self, spark: SparkSession, sf: str, state: str = ""):
         self.spark, self.sf = spark, sf.rstrip("/")
         self.materialize = spark.conf.get("arenaspark.materialize", "true").lower() != "false"
         tag = hashlib.sha1(self.sf.encode()).hexdigest()[:10]
         app = spark.sparkContext.applicationId
         base = spark.conf.get("arenaspark.workspace.dir", None) or ensure_checkpoint_dir(spark)
-        self.root = f"{base.rstrip('/')}/arenaspark-views/{app}/{tag}"
-        self._done: dict[str, str] = {}
+        self.root = f"{base.rstrip('/')}/arenaspark-views/{app}/{tag}-{state}"
+        self._done: dict = {}
+        self._locks: dict[str, threading.RLock] = {}
+
+    def once(self, name: str, make):
+        """What ``make(path)`` returned when first asked for under ``name``; path is a folder of its own."""
+        with _LOCK:
+            own = self._locks.setdefault(name, threading.RLock())
+        with own:  # one writer per name; others and other data sets go on
+            if name not in self._done:
+                self._done[name] = make(f"{self.root}/{name}")
+        return self._done[name]
 
     def _view(self, name: str, build) -> DataFrame:
         if not self.materialize:
             return build()
-        with _LOCK:
-            if name not in self._done:
-                path = f"{self.root}/{name}"
-                build().write.mode("overwrite").parquet(path)
-                self._done[name] = path
-        return self.spark.read.parquet(self._done[name])
+
+        def write(path: str) -> str:
+            build().write.mode("overwrite").parquet(path)
+            return path
+
+        return self.spark.read.parquet(self.once(name, write))
+
+    def clear(self) -> None:
+        """Remove the written views; they are built anew when next asked for."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        self._done.clear()
 
     # ----------------------------------------------------------- the views
     def contests(self) -> DataFrame:
@@ -80,6 +109,10 @@ class Workspace:
     def cust_panel(self) -> DataFrame:
         return self._view("cust_panel", lambda: B.cust_panel(self.spark, self.sf))
 
+    def cust_profiles(self) -> DataFrame:
+        """All-time row per customer; customers miss years, so experience varies."""
+        return self._view("cust_profiles", lambda: B.profiles(self.spark, self.sf, self.cust_panel()))
+
     def derived(self, name: str, build) -> DataFrame:
         """Materialise any other derived table of this session once."""
         return self._view(name, build)
@@ -89,9 +122,15 @@ class Workspace:
 
 
 def workspace(spark: SparkSession, sf: str) -> Workspace:
+    """The session's workspace over ``sf``; changed source files get a new one and the old one's views go."""
     key = (spark.sparkContext.applicationId, sf.rstrip("/"),
            spark.conf.get("arenaspark.materialize", "true"))
+    state = _state(spark, sf.rstrip("/"))
     with _LOCK:
-        if key not in _SPACES:
-            _SPACES[key] = Workspace(spark, sf)
-        return _SPACES[key]
+        old = _SPACES.get(key)
+        if old is None or old[0] != state:
+            _SPACES[key] = (state, Workspace(spark, sf, state))
+        space = _SPACES[key][1]
+    if old is not None and old[0] != state:
+        old[1].clear()
+    return space

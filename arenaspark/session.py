@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,8 +72,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) is a scratch folder created and set.
+    ``spark.checkpoint.dir`` is read from the session. Only in local mode, where
+    the driver is the one executor, is a scratch folder made when it is unset; on
+    a cluster a machine-local folder would lose data, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -79,6 +82,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="arenaspark-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
@@ -90,30 +95,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_BOUND_CACHE: dict = {}
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
+    Cuts the lineage, and what is read twice from it is the same rows in the
+    same files both times."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-def has_at_most(df: DataFrame, max_rows: int, cache_key: str | None = None) -> bool:
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` holds at most ``max_rows`` rows.
 
-    ``take(max_rows + 1)`` of a one-column projection scans partitions
-    incrementally and stops as soon as the bound is exceeded: on a large
-    table it reads only its first partitions; on a small one the driver
-    receives at most ``max_rows + 1`` one-byte rows. Meant for small bounds.
-    """
-    if cache_key is not None and (cache_key, max_rows) in _BOUND_CACHE:
-        return _BOUND_CACHE[(cache_key, max_rows)]
-    ok = len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
-    if cache_key is not None:
-        _BOUND_CACHE[(cache_key, max_rows)] = ok
-    return ok
+    Counts behind a limit, so each task stops after ``max_rows + 1`` rows and
+    only one number reaches the driver. Checked anew at every call: a table that
+    has grown is noticed."""
+    return df.select(F.lit(1).alias("one")).limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000,
-                       cache_key: str | None = None) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast hint only behind a proven row bound; otherwise leave the
     strategy to Catalyst/AQE (sort-merge or shuffled hash join)."""
-    if has_at_most(df, max_rows, cache_key):
+    if has_at_most(df, max_rows):
         return F.broadcast(df)
     return df
 

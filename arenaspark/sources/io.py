@@ -10,32 +10,28 @@ the job (Spark 4 runs with ANSI on). Ragged rows are padded with nulls
 from __future__ import annotations
 
 import os
-from pathlib import Path
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arenaspark.session import has_at_most
-
 DEFAULT_NULL_TOKENS = ("", "N/A")
 
 
-def _is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark reads (S3)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def _list_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
-    if _is_local(folder):
-        p = Path(folder.replace("file:", "", 1) if folder.startswith("file:") else folder)
-        if not p.is_dir():
-            raise FileNotFoundError(f"{folder} does not exist")
-        return sorted(str(f) for f in p.glob(f"*{suffix}") if f.is_file())
-    # Remote store: list names only (the content column is never read).
-    rows = (spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}")
-            .load(folder).select("path").collect())
-    return sorted(r.path for r in rows)
+    """Paths of the folder's files with the suffix; a listing, no job."""
+    if not exists(spark, folder):
+        raise FileNotFoundError(f"{folder} does not exist")
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    return sorted(f.getPath().toString() for f in found if f.getPath().getName().endswith(suffix))
 
 
 def _stem(path: str) -> str:
@@ -48,14 +44,17 @@ def _stem(path: str) -> str:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              null_tokens: Iterable[str] = DEFAULT_NULL_TOKENS,
-             missing_ok: bool = False) -> DataFrame:
+             missing_ok: bool = False, order_column: str | None = None) -> DataFrame:
     """Read one CSV file or folder.
 
     With ``schema``: text read, null tokens -> null, ``try_cast`` to the
     declared type. Without: every column stays a string (no inference pass).
     A missing file gives an empty typed frame when ``missing_ok``.
+    ``order_column`` adds the row's place in the source, taken at the scan: file,
+    start of the file block, and the running number of the task that reads the
+    block. It orders rows as they stand in the file, however the file is split.
     """
-    if _is_local(path) and not Path(path.replace("file:", "", 1)).exists():
+    if not exists(spark, path):
         if missing_ok and schema is not None:
             return empty_frame(spark, schema)
         raise FileNotFoundError(f"{path} does not exist")
@@ -75,51 +74,85 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
         if not isinstance(f.dataType, T.StringType):
             c = coerce(c, f.dataType)
         cols.append(c.alias(f.name))
+    if order_column:
+        cols.append(F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                             F.monotonically_increasing_id().alias("row")).alias(order_column))
     return raw.select(*cols)
 
 
-# Text that a numeric cast could accept: sign, digits, optional fraction and
-# exponent, an optional d/f suffix, or the special values. Anything else is
-# null without calling the cast: a failed ANSI cast raises (and try_cast
-# catches) an exception per row, which dominates on columns of 'N/A'.
-_NUMBER_SHAPE = (r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[dDfF]?"
-                 r"|(?i:inf|infinity|nan))\s*$")
-
-
-def try_number(c, data_type) -> "F.Column":
-    """Coerced numeric parse: null unless the text parses as ``data_type``."""
-    return F.when(c.rlike(_NUMBER_SHAPE), c.try_cast(data_type))
+# Shapes of text that a parser is tried on. Anything else is null without a
+# call: a failed ANSI cast raises (and try_cast catches) an exception per row,
+# which dominates on columns of 'N/A'.
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+_WHOLE = r"^\s*[+-]?[0-9]+\s*$"
+_INFINITE = r"^\s*[+-]?(?i:inf|infinity)\s*$"
+
+# Date forms tried in this order: shape, pattern (None: the native cast of the
+# text before any time of day). An all-number date is read month first, then day first.
+DATE_FORMS = (
+    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$", None),
+    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", "yyyy/M/d"),
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "M/d/yyyy"),
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "d/M/yyyy"),
+    (r"^[A-Za-z]{4,9} [0-9]{1,2}, [0-9]{4}$", "MMMM d, yyyy"),
+    (r"^[A-Za-z]{3} [0-9]{1,2}, [0-9]{4}$", "MMM d, yyyy"),
+    (r"^[0-9]{1,2} [A-Za-z]{4,9} [0-9]{4}$", "d MMMM yyyy"),
+    (r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4}$", "d MMM yyyy"),
+)
+
+
+def parse_number(c, data_type) -> "F.Column":
+    """Coerced numeric parse: null unless the text is a number of ``data_type``.
+
+    The one parser of this engine. A type suffix ("12d") and "nan" are not
+    numbers; an infinity is one for floating types; for whole types "4.0" is 4
+    and "4.5" is null.
+    """
+    kind = data_type if isinstance(data_type, str) else data_type.simpleString()
+    if kind in ("int", "integer", "bigint", "long", "smallint", "short", "tinyint", "byte"):
+        d = F.when(c.rlike(_NUMBER), c.try_cast("double"))
+        whole = F.when((d == F.floor(d)) & (F.abs(d) < 9.0e18), d.try_cast("bigint").try_cast(kind))
+        return F.when(c.rlike(_WHOLE), F.trim(c).try_cast(kind)).otherwise(whole)
+    number = F.when(c.rlike(_NUMBER), F.trim(c).try_cast(data_type))
+    if kind in ("double", "float"):
+        sign = F.when(F.trim(c).startswith("-"), -1.0).otherwise(1.0)
+        return F.when(c.rlike(_INFINITE), (sign * F.lit(float("inf"))).cast(kind)).otherwise(number)
+    return number
+
+
+def parse_date(c, forms=DATE_FORMS) -> "F.Column":
+    """Coerced date parse: the first of ``forms`` that the text has and that gives a date, else null."""
+    t = F.trim(c)
+    tries = []
+    for shape, pattern in forms:
+        if pattern is None:
+            value = F.regexp_extract(t, r"^([^ T]*)", 1).try_cast("date")
+        else:
+            value = F.try_to_date(F.initcap(t), pattern)
+        tries.append(F.when(t.rlike(shape), value))
+    return F.coalesce(*tries)
 
 
 def coerce(c, data_type: T.DataType):
     """Coerced parse: a value that does not parse becomes null."""
     if isinstance(data_type, T.DateType):
-        # Only text shaped like a date reaches the parser: a failed parse costs
-        # an exception per row, which dominates on columns of non-dates.
-        t = F.trim(c)
-        # ISO text: the native cast (fast path, no pattern formatter)
-        iso = F.when(t.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), t.try_cast("date"))
-        dmy = F.when(t.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"), F.try_to_date(t, "d/M/yyyy"))
-        return F.coalesce(iso, dmy)
+        return parse_date(c)
     if isinstance(data_type, T.TimestampType):
         return F.try_to_timestamp(c)
     if isinstance(data_type, T.BooleanType):
         return F.lower(F.trim(c)).isin("true", "yes", "1")
-    if isinstance(data_type, (T.IntegerType, T.LongType, T.ShortType)):
-        # "4.0" is an integer too; cast through double, keep only whole values
-        d = try_number(c, "double")
-        return F.when(d == F.floor(d), d.try_cast(data_type))
-    if isinstance(data_type, (T.DoubleType, T.FloatType, T.DecimalType)):
-        return try_number(c, data_type)
+    if isinstance(data_type, T.NumericType):
+        return parse_number(c, data_type)
     return c.try_cast(data_type)
 
 
 def read_catalog(spark: SparkSession, folder: str,
                  schemas: dict[str, T.StructType] | None = None,
-                 fmt: str = "csv") -> dict[str, DataFrame]:
+                 fmt: str = "csv", order_column: str | None = None) -> dict[str, DataFrame]:
     """``{file stem: DataFrame}`` for every file of a folder.
 
     A missing folder is an error, as in the batch pipeline being rebuilt.
+    ``order_column`` as in ``read_csv``.
     """
     schemas = schemas or {}
     suffix = ".csv" if fmt == "csv" else ".parquet"
@@ -127,7 +160,7 @@ def read_catalog(spark: SparkSession, folder: str,
     for path in _list_files(spark, folder, suffix):
         stem = _stem(path)
         if fmt == "csv":
-            out[stem] = read_csv(spark, path, schemas.get(stem))
+            out[stem] = read_csv(spark, path, schemas.get(stem), order_column=order_column)
         else:
             out[stem] = spark.read.parquet(path)
     return out
@@ -180,13 +213,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return int(obs.get["rows"])
 
 
-def write_csv(df: DataFrame, path: str, single_file_max_rows: int = 100_000) -> int:
+def write_csv(df: DataFrame, path: str, single_file: bool = False) -> int:
     """CSV sink with a header and no index.
 
-    A single part file is produced only when the table is proven small;
-    otherwise each task writes its own part (no funnel through one task).
+    Each task writes its own part. ``single_file`` is the caller's word that the
+    table is small (a report): its rows then pass through one task.
     """
-    if has_at_most(df, single_file_max_rows):
+    if single_file:
         df = df.coalesce(1)
     from pyspark.sql import Observation
 

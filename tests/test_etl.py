@@ -5,7 +5,6 @@ import os
 import tempfile
 
 from arenaspark.plans import etl
-from arenaspark.sources.io import read_catalog
 from conftest import rows
 
 
@@ -45,8 +44,7 @@ def layout():
 
 def test_build_tables(spark):
     root = layout()
-    cat = {**read_catalog(spark, f"{root}/raw/matches"), **read_catalog(spark, f"{root}/raw/compets")}
-    t = etl.build_tables(cat)
+    t = etl.build_tables(etl.read_sources(spark, f"{root}/raw"))
     m = t.matches
     # harmonised names, normalised text, de-duplicated: the second source's copy of the 1974 final loses
     assert rows(m, "home_team", "away_team", "home_score", "stage") == [
@@ -56,7 +54,11 @@ def test_build_tables(spark):
     st = {r.team: r for r in t.team_stats.collect()}
     assert st["Netherlands"].games_played == 2 and st["Germany"].goals_conceded == 4
     assert rows(t.titles, "team", "titles") == [("Argentina", 1), ("Germany", 1)]
-    assert t.phase_performance.columns == ["team", "final"]
+    assert rows(t.phase_performance, "team", "stage", "appearances") == [
+        ("Argentina", "final", 2), ("Germany", "final", 2), ("Netherlands", "final", 2)]
+    # typed columns
+    assert dict(t.worldcup.dtypes)["year"] == "int" and dict(t.team_appearances.dtypes)["wins"] == "int"
+    assert dict(t.head_to_head.dtypes)["total_wc_matches"] == "int"
     assert t.home_advantage.first().home_win_rate == 1.0
 
 
@@ -73,3 +75,36 @@ def test_run_writes_warehouse_and_features(spark):
     pred = spark.read.option("header", True).csv(f"{root}/out/processed/predictions")
     assert {r.team for r in pred.collect()} == {"Argentina", "Canada", "Curacao"}
     assert all(0.0 <= float(r.prob_top4) <= 100.0 for r in pred.collect())
+
+
+def test_first_row_of_the_file_wins(spark):
+    """Many rows per key in both sources, cut into many splits: the first source's first row stays."""
+    root = tempfile.mkdtemp(prefix="arenaspark-etl-", dir="/tmp")
+    line = "1990-06-{:02d},t{},u{},{},{},group\n"
+    head = "date,home_team,away_team,home_score,away_score,stage\n"
+    write(f"{root}/matches/matches_1930_2022.csv",
+          head + "".join(line.format(i % 5 + 1, i % 30, i % 3, i // 30, 0) for i in range(3000)))
+    write(f"{root}/compets/wc_matches_historical.csv",
+          head.replace("score", "goals") + "".join(line.format(i % 7 + 1, i % 30, i % 3, i + 5000, 0) for i in range(3000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        m = etl.build_tables(etl.read_sources(spark, root)).matches
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want: dict = {}
+    for source, days, off, per in ((1, 5, 0, 30), (2, 7, 5000, 1)):
+        for i in range(3000):
+            want.setdefault((f"1990-06-{i % days + 1:02d}", f"t{i % 30}", f"u{i % 3}"), i // per + off)
+    assert {(str(r.date), r.home_team, r.away_team): r.home_score for r in m.collect()} == want
+
+
+def test_optional_columns_may_be_absent(spark):
+    root = tempfile.mkdtemp(prefix="arenaspark-etl-", dir="/tmp")
+    write(f"{root}/matches/matches_1930_2022.csv", "date,home_team,away_team,home_score,away_score,stadium\n1990-06-01,a,b,1.0,0,x\n")
+    write(f"{root}/compets/wc_team_appearances.csv", "team,wc_year,final_stage_reached,matches_played,wins,goals_scored,"
+                                                     "goals_conceded\na,1990,Winner,7,6,15,5\n")
+    counts = etl.run(spark, root, f"{root}/out", with_model=False)
+    assert counts["fact_matches"] == 1 and counts["dim_stadium"] == 1 and counts["dim_edition"] == 0
+    f = spark.read.parquet(f"{root}/out/warehouse/fact_matches").first()
+    assert (f.home_score, f.stage, f.stadium_id) == (1, None, 1)

@@ -33,19 +33,16 @@ def test_balanced_weights(spark):
 
 
 def test_streaming_team_table_equals_batch(spark):
-    from arenaspark.operators.contests import two_sided_stats
-    from arenaspark.streaming import running_team_table
+    from arenaspark.operators.contests import two_sided_summary
+    from arenaspark.streaming import latest_team_table, running_team_table
 
     d = tempfile.mkdtemp(prefix="arenaspark-stream-", dir="/tmp")
     c = B.contests(spark, SF_SMALL).select("home_team", "away_team", "home_score", "away_score", "date", "stage")
     c.where("date < '1998-01-01'").write.parquet(d + "/src/p1")
     running_team_table(spark, d + "/src/*", c.schema, d + "/out", checkpoint=d + "/ckpt").awaitTermination()
-    for q in spark.streams.active:
-        q.awaitTermination()
     c.where("date >= '1998-01-01'").write.parquet(d + "/src/p2")
     running_team_table(spark, d + "/src/*", c.schema, d + "/out", checkpoint=d + "/ckpt").awaitTermination()
-    for q in spark.streams.active:
-        q.awaitTermination()
-    got = spark.read.parquet(d + "/out/team_stats")
-    exp = two_sided_stats(c)
+    assert len(spark.streams.active) == 0
+    got = latest_team_table(spark, d + "/out")
+    exp = two_sided_summary(c)
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0

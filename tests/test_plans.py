@@ -4,7 +4,6 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from arenaspark.operators import clean, stats as S
 from arenaspark.plans import bindings as B
 from arenaspark.plans import queries as Q
@@ -12,16 +11,16 @@ from conftest import SF_SMALL, rows
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"]
-MODEL = Q.NO_ORACLE | {"warehouse_load"}
+MODEL = Q.NO_ORACLE
 
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - MODEL))
+@pytest.mark.parametrize("name", sorted(set(Q.REGISTRY) - MODEL))
 def test_no_cross_join_no_python(spark, name):
-    p = plan(E.queries()[name](spark, SF_SMALL))
+    p = plan(Q.REGISTRY[name](spark, SF_SMALL))
     for bad in FORBIDDEN:
         assert bad not in p, f"{name} plans {bad}"
 
@@ -51,10 +50,38 @@ def test_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in p
 
 
-def test_keep_first_is_an_aggregate(spark):
+def test_keep_first_is_a_sort_aggregate_reduced_before_the_shuffle(spark):
     p = plan(Q.REGISTRY["unified_matches"](spark, SF_SMALL))
     assert "Window" not in p
-    assert any(a in p for a in ("HashAggregate", "ObjectHashAggregate", "SortAggregate"))
+    assert p.count("SortAggregate") == 2 and "partial_min" in p
+
+
+def finished_plan(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_fact_matches_shuffles_no_fact(spark):
+    p = finished_plan(Q.REGISTRY["fact_matches"](spark, SF_SMALL))
+    assert p.count("BroadcastHashJoin") == 3
+    assert "Exchange hashpartitioning" not in p and "SortMergeJoin" not in p
+
+
+def test_star_join_reads_the_written_warehouse(spark):
+    files = Q.REGISTRY["star_join_finals"](spark, SF_SMALL).inputFiles()
+    assert files and all("/warehouse/fact_matches/" in f or "/warehouse/dim_team/" in f for f in files)
+
+
+def test_correlation_matrix_has_one_aggregate_per_pair(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0)], "a double, b double, c double")
+    p = S.correlation_matrix(df, ["a", "b", "c"])._jdf.queryExecution().analyzed().toString()
+    assert p.count("covar_pop(") == 3
+
+
+def test_correlation_of_a_constant_is_null(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0), (None, 4.0)], "a double, b double")
+    assert S.correlation(df, "a", "b").first()["corr"] is None
 
 
 def test_harmonise_with_table_never_fans_out(spark):

@@ -51,6 +51,49 @@ def test_missing_file_and_catalog(spark):
         pass
 
 
+def test_one_parser_for_numbers(spark):
+    texts = ["4", "4.0", " 7 ", "-3", "+2", "1e3", "4.5", "12d", "3f", "nan", "inf", "-Infinity", "N/A", "", None, "9223372036854775807"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    ints = {r.t: r.t2 for r in clean.parse_numbers(df.withColumn("t2", F.col("t")), {"t2": "bigint"}).collect()}
+    reals = {r.t: r.t2 for r in clean.parse_numbers(df.withColumn("t2", F.col("t")), {"t2": "double"}).collect()}
+    want = {"4": 4, "4.0": 4, " 7 ": 7, "-3": -3, "+2": 2, "1e3": 1000, "9223372036854775807": 9223372036854775807}
+    assert ints == {t: want.get(t) for t in texts}
+    for t, v in {"4": 4.0, "4.5": 4.5, "1e3": 1000.0, "inf": float("inf"), "-Infinity": float("-inf")}.items():
+        assert reals[t] == v
+    assert all(reals[t] is None for t in ("12d", "3f", "nan", "N/A", "", None))
+    nan = spark.createDataFrame([(float("nan"),), (1.0,)], "x double")
+    assert [r.x for r in clean.parse_numbers(nan, {"x": "double"}).collect()] == [None, 1.0]
+
+
+def test_date_forms(spark):
+    forms = {"1930-07-13": "1930-07-13", "1930-07-13 15:00:00": "1930-07-13", "1930-07-13T15:00:00Z": "1930-07-13",
+             "1930/07/13": "1930-07-13", "07/13/1930": "1930-07-13", "13/07/1930": "1930-07-13", "01/02/2000": "2000-01-02",
+             "July 13, 1930": "1930-07-13", "jul 13, 1930": "1930-07-13", "13 July 1930": "1930-07-13",
+             "31/31/2020": None, "2020-02-30": None, "soon": None}
+    df = spark.createDataFrame([(t, t) for t in forms], "t string, d string")
+    got = {r.t: (str(r.d) if r.d else None) for r in clean.parse_dates(df, ["d"]).collect()}
+    assert got == forms
+
+
+def test_source_order_survives_splits(spark):
+    """Keep-first takes the first row of the file for every key, however the file is cut."""
+    d = scratch()
+    path = os.path.join(d, "m.csv")
+    with open(path, "w") as f:
+        f.write("k,v\n" + "".join(f"{i % 450},{i}\n" for i in range(20000)))
+    from arenaspark.operators.contests import keep_first
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        df = io.read_csv(spark, path, order_column="o")
+        assert df.rdd.getNumPartitions() > 8
+        kept = keep_first(clean.clean_rows(df, "o"), ["k"], ["o"])
+        for _ in range(2):
+            assert {(int(r.k), int(r.v)) for r in kept.collect()} == {(i, i) for i in range(450)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_conform_and_clean(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (None, None)], "x int, y string")
     c = io.conform(df, {"y": T.StringType(), "z": T.IntegerType()}, {"z": 0})
@@ -69,7 +112,9 @@ def test_write_table_reports_rows(spark):
     df = spark.range(123).withColumn("g", F.col("id") % 3)
     assert io.write_table(df, os.path.join(d, "t"), partition_by=["g"]) == 123
     assert spark.read.parquet(os.path.join(d, "t")).count() == 123
-    assert io.write_csv(df, os.path.join(d, "c")) == 123
+    assert io.write_csv(df.repartition(3), os.path.join(d, "p")) == 123
+    assert len([f for f in os.listdir(os.path.join(d, "p")) if f.endswith(".csv")]) == 3
+    assert io.write_csv(df.repartition(3), os.path.join(d, "c"), single_file=True) == 123
     assert len([f for f in os.listdir(os.path.join(d, "c")) if f.endswith(".csv")]) == 1
 
 

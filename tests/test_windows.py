@@ -89,6 +89,30 @@ def test_dense_keys_are_1_to_n_in_order(spark):
     assert [p[1] for p in pairs] == list(range(1, 501))
 
 
+def test_dense_keys_with_payload_at_scale(spark):
+    """Keys are exactly 1..n in order over many partitions, whatever columns ride along."""
+    n = 3_000_000
+    df = spark.range(n).select(F.format_string("k%08d", F.pmod(F.col("id") * 7919, F.lit(n))).alias("name"),
+                               F.md5(F.col("id").cast("string")).alias("payload"))
+    got = dense_keys(df, ["name"], "id", partitions=11)
+    assert got.columns == ["name", "payload", "id"]
+    want = F.substring("name", 2, 8).cast("long") + 1
+    r = got.agg(F.count("*"), F.countDistinct("id"), F.min("id"), F.max("id"), F.count_if(F.col("id") != want)).first()
+    assert tuple(r) == (n, n, 1, n, 0)
+
+
+def test_dirty_numbers_in_the_panel(spark):
+    # "nan" and suffixed text are missing values; a year that is no number drops its row
+    rows_ = [("x", "2000", "Winner", "4", "2"), ("x", "nan", "Winner", "4", "4"), ("x", "2004.0", "", "4d", "1"),
+             ("x", "2008", "", "4", "1")]
+    df = spark.createDataFrame(rows_, "team string, wc_year string, final_stage_reached string, matches_played string, "
+                                      "wins string").withColumns({"goals_scored": F.lit("1"), "goals_conceded": F.lit("1")})
+    got = {r.wc_year: r for r in pre_event_features(df).collect()}  # no host, group or strength column
+    assert sorted(got) == [2000, 2004, 2008]
+    assert got[2004].win_rate_before == 0.5 and got[2008].win_rate_before == 0.0
+    assert got[2000].host_nation == 0 and got[2000].confederation is None and got[2000].elo_rating is None
+
+
 def test_no_nan_in_features(spark):
     # Spark orders NaN above every number, so a NaN would turn "played > 0" true;
     # running totals keep missing values as null, never NaN

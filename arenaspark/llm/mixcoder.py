@@ -28,7 +28,7 @@ import numpy as np
 MAGIC = b"MIXC"
 BLOCK_IDS = 1024
 MAX_ID = 65_534
-_SLOTS = 2048  # places per block and order, at least twice the ids of a block
+_SLOTS = 1024  # places per block and order, as many as a block has ids
 # first id of each size class, and the end of the last
 _BOUNDS = np.array([0, 256, 1024, 4096, 16384, 65536], dtype=np.int64)
 _SYMBOLS = len(_BOUNDS) + 1  # order-2 hit, order-1 hit, five size classes

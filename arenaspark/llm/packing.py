@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arenaspark.llm.common import shared_table
-from arenaspark.llm.tokens import batches_of, ids_crc32, public_tokenizer, worker_encoder
+from arenaspark.llm.tokens import ids_crc32, public_tokenizer, slices_of, worker_encoder
 
 CAPACITY = 2048
 END_ID = 0
@@ -148,8 +148,8 @@ def piece_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         encoder, task = worker_encoder(path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for b in batches:
-            texts, keys = b.column(1).to_pylist(), b.column(0)
-            for part in batches_of(texts):
+            texts, keys = b.column(1), b.column(0)
+            for part in slices_of(texts):
                 ids, counts = encoder.encode(texts[part])
                 rows, at = [], 0
                 for k, n in enumerate(counts.tolist(), part.start):

@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 
 from arenaspark.llm.common import scratch_path, small_side
 from arenaspark.llm.mixcoder import pack_chunk, unpack_chunk
-from arenaspark.llm.tokens import batches_of, ids_crc32, public_tokenizer, worker_encoder
+from arenaspark.llm.tokens import ids_crc32, public_tokenizer, slices_of, worker_encoder
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
-CHUNK_IDS = 3 << 20
+CHUNK_IDS = 4 << 20
 BROADCAST_CHUNKS = 200_000
 
 
@@ -47,8 +47,8 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
                 names=["file_no", "chunk_no", "n_ids", "keys", "counts", "payload"])
 
         for b in batches:
-            texts, own = b.column(1).to_pylist(), b.column(0).to_pylist()
-            for part in batches_of(texts):
+            texts, own = b.column(1), b.column(0).to_pylist()
+            for part in slices_of(texts):
                 ids, counts = encoder.encode(texts[part])
                 at = 0
                 for k, n in enumerate(counts.tolist(), part.start):

@@ -17,9 +17,10 @@ import re
 import zlib
 from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 CACHE_WORDS = 1_000_000  # words, and as many parts, kept per worker; beyond it the cache starts anew
 
@@ -29,7 +30,7 @@ _MARKS = re.escape(".,;:!?#*$%&|")
 _PART = re.compile(
     rf"\s+(?!\S)| ?[{_LATIN}]++(?=[\s{_MARKS}]|\Z)| ?[{_MARKS}]+(?=\s|\Z)| ?\S+|\s")
 _SIMPLE = re.compile(rf" ?(?:[{_LATIN}]+|[{_MARKS}]+)")
-_CONTROL = re.compile("[\x00\x1c-\x1f]")
+_WHOLE = r"[\x00\x1c-\x1f]|<\|"
 _FIRST = "\x00"  # marks the first word of a text, which has no space before it
 
 
@@ -49,18 +50,32 @@ class _Parts(dict):
 
     def __init__(self, encoder: "WordEncoder"):
         super().__init__()
-        self.tokenize, self.form, self.ids = encoder.tokenizer.model.tokenize, encoder.prepare, encoder._ids
+        self.tokenize, self.ids = encoder.tokenizer.model.tokenize, encoder._ids
+        self.form = encoder.prepare
 
     def __missing__(self, part: str) -> bytes:
         core = part[1:] if part[0] == " " else part
         if self.form and (core.isalpha() and core.isascii() or _SIMPLE.fullmatch(part)):
-            own = [t.id for t in self.tokenize(self.form(part))]
+            own = [t.id for t in self.tokenize(self.form(part, core))]
         else:
             own = self.ids(part)
         self[part] = got = array("I", own).tobytes()
         return got
 
 
+def _with_space(part: str, core: str) -> str:
+    """The bytes of a part and its space, as byte-level models write them."""
+    table = _byte_letters()
+    core = core if core.isascii() else core.translate(table)
+    return table[32] + core if part[0] == " " else core
+
+
+def _lower(part: str, core: str) -> str:
+    """The bytes of a part in lower case, without its space."""
+    core = core.lower()
+    return core if core.isascii() else core.translate(_byte_letters())
+
+
 class WordEncoder:
     """Ids of texts from the tokenizer file ``path``, without special tokens added."""
 
@@ -84,24 +99,17 @@ class WordEncoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _find_preparation(self):
-        """How a part of letters or marks alone reaches the model: as bytes with its space, or lower-cased without.
+        """How a part of letters or marks alone reaches the model.
 
         Such a part is one word to the tokenizer, so its ids are the model's own; None if neither form fits."""
-        table = _byte_letters()
-
-        def as_bytes(p: str) -> str:
-            if p.isascii():
-                return table[32] + p[1:] if p[0] == " " else p
-            return p.translate(table)
-
         probes = [" the", "Word", " école", "###", " Ünï", ",", " Straße", "ÉÀÇ", " ǅ", " |", " Ÿþ", "...", " a"]
-        for form in (as_bytes, lambda p: as_bytes(p.strip().lower())):
-            if all([t.id for t in self.tokenizer.model.tokenize(form(p))] == self._ids(p) for p in probes):
+        for form in (_with_space, _lower):
+            if all([t.id for t in self.tokenizer.model.tokenize(form(p, p.lstrip(" ")))] == self._ids(p) for p in probes):
                 return form
         return None
 
     def _by_parts(self, text: str) -> bytes:
-        """Ids of a text or word, as 32-bit integers, from the ids of its parts."""
+        """Ids of a text, as 32-bit integers, from the ids of its parts."""
         return b"".join(map(self.parts.__getitem__, _PART.findall(text)))
 
     def _add(self, made: list[bytes]) -> range:
@@ -113,46 +121,55 @@ class WordEncoder:
         self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(made), dtype=np.uint32)])
         return range(at, at + len(made))
 
-    def _learn(self, fresh: list[str]) -> None:
-        safe, cut = [], self._by_parts
-        for w in fresh:
-            if w == _FIRST or not (w == "" or w[0].isspace() or w[-1].isspace()):
-                safe.append(w)
+    def _places(self, words: list[str]) -> np.ndarray:
+        """Place of each word; -1 beside more white space, where the border is not certain."""
+        known, part, cut, join = self.places, self.parts.__getitem__, _PART.findall, b"".join
+        safe, made = [], []
+        for w in words:
+            if w in known:
+                continue
+            if w[:1] == _FIRST:
+                text = w[1:]
+                if text and text[-1].isspace():
+                    known[w] = -1
+                    continue
+            elif not w or w[0].isspace() or w[-1].isspace():
+                known[w] = -1
+                continue
             else:
-                self.places[w] = -1  # beside more white space: the border is not certain
-        self.places.update(zip(safe, self._add([cut(w[1:] if w[0] == _FIRST else " " + w) for w in safe])))
+                text = " " + w
+            safe.append(w)
+            made.append(join(map(part, cut(text))))
+        known.update(zip(safe, self._add(made)))
+        return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self._ids(text), dtype=np.uint32)
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids one after the other, number of ids of each text); null counts as empty."""
-        if not texts:
+        column = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        if not len(column):
             return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
         if len(self.places) > self.cache_words or len(self.parts) > self.cache_words:
             self._reset()
-        words: list[list[str]] = []
-        for t in texts:
-            t = t or ""
-            own = t.split(" ")
-            own[0] = _FIRST + own[0]
-            words.append([] if "<|" in t or _CONTROL.search(t) else own)
-        fresh = list(set().union(*words) - self.places.keys())
-        if fresh:
-            self._learn(fresh)
-        count = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        at = np.fromiter(map(self.places.__getitem__, chain.from_iterable(words)), dtype=np.int64, count=int(count.sum()))
+        words = pc.split_pattern(column, " ")
+        count = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
         first = np.cumsum(count) - count
-        unsafe = np.unique(np.searchsorted(first, np.flatnonzero(at < 0), side="right") - 1).tolist()
-        special = sorted({*np.flatnonzero(count == 0).tolist(), *unsafe})
+        coded = words.flatten().dictionary_encode()
+        at = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        begin = pc.list_element(words, 0)
+        at[first] = self._places(list(dict.fromkeys(_FIRST + w for w in begin.to_pylist())))[
+            begin.dictionary_encode().indices.to_numpy()]
+        whole = set(np.flatnonzero(pc.match_substring_regex(column, _WHOLE).to_numpy(zero_copy_only=False)).tolist())
+        special = sorted(whole.union((np.searchsorted(first, np.flatnonzero(at < 0), side="right") - 1).tolist()))
         if special:
-            made = {k: self._by_parts(texts[k]) if count[k] else array("I", self._ids(texts[k] or "")).tobytes()
-                    for k in special}
-            keep = (len(self.flat), len(self.lens))
-            places = dict(zip(made, self._add(list(made.values()))))
+            kept = len(self.flat), len(self.lens)
+            made = [array("I", self._ids(column[k].as_py())).tobytes() if k in whole else self._by_parts(column[k].as_py())
+                    for k in special]
             pieces, lo = [], 0
-            for k in special:
-                pieces += [at[lo:first[k]], np.array([places[k]])]
+            for k, place in zip(special, self._add(made)):
+                pieces += [at[lo:first[k]], np.array([place])]
                 lo = first[k] + count[k]
             at = np.concatenate([*pieces, at[lo:]])
             count[special] = 1
@@ -161,8 +178,8 @@ class WordEncoder:
         ends = np.cumsum(n)
         ids = self.flat[np.repeat(self.starts[at] - ends + n, n) + np.arange(int(ends[-1]))]
         per_text = np.add.reduceat(n, first)
-        if special:  # texts encoded as a whole are no words to remember
-            self.flat, self.lens, self.starts = self.flat[:keep[0]], self.lens[:keep[1]], self.starts[:keep[1]]
+        if special:  # whole texts are no words to remember
+            self.flat, self.lens, self.starts = self.flat[:kept[0]], self.lens[:kept[1]], self.starts[:kept[1]]
         return ids, per_text
 
 
@@ -172,8 +189,18 @@ def worker_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def slices_of(texts: pa.Array, max_bytes: int = 1 << 22) -> list[slice]:
+    """Slices of ``texts`` of about ``max_bytes`` bytes, so that memory follows the slice."""
+    if not len(texts):
+        return []
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    part = (ends - 1) // max_bytes
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    return [slice(int(a), int(b)) for a, b in zip([0, *cuts], [*cuts, len(texts)])]
+
+
 def batches_of(texts: list[str | None], max_chars: int = 1 << 22) -> list[slice]:
-    """Slices of ``texts`` of about ``max_chars`` characters, so that memory follows the slice."""
+    """The same for a list of strings, by characters."""
     out, lo, n = [], 0, 0
     for i, t in enumerate(texts):
         n += len(t or "")

@@ -257,5 +257,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that contain a benchmark item."""
-    leaks = shared_table(contaminated(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("__id")).distinct(), "leaks")
-    return docs.join(small_side(leaks, 1_000_000), docs[id_col].eqNullSafe(F.col("__id")), "left_anti")
+    leaks = small_side(shared_table(contaminated(docs, benchmark, id_col, text_col)
+                                    .select(F.col(id_col).alias("leak_id")).distinct(), "leaks"), 1_000_000)
+    return docs.join(leaks, docs[id_col].eqNullSafe(leaks["leak_id"]), "left_anti")

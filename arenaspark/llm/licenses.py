@@ -51,7 +51,7 @@ TEMPLATES = (
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("public-domain", "This is free and unencumbered software released into the public domain"),
 )
-THRESHOLD = 0.85
+THRESHOLD = 0.9
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # runs of separators in text of any case, and in text with ASCII letters lower-cased

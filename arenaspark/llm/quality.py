@@ -192,7 +192,7 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that the base rule or a learned rule rejects."""
     poor = (quality_verdicts(docs, labels, id_col, text_col).where("not kept")
-            .select(F.col(id_col).alias("__id"), F.col("text_hash").alias("__h")).distinct())
-    poor = shared_table(poor, "rejected")
-    on = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__h"))
-    return docs.join(small_side(poor, 1_000_000), on, "left_anti")
+            .select(F.col(id_col).alias("poor_id"), F.col("text_hash").alias("poor_hash")).distinct())
+    poor = small_side(shared_table(poor, "rejected"), 1_000_000)
+    on = docs[id_col].eqNullSafe(poor["poor_id"]) & (F.xxhash64(docs[text_col]) == poor["poor_hash"])
+    return docs.join(poor, on, "left_anti")

@@ -143,14 +143,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     A repeated id (repeated rows) keeps one row: the one with the smallest content hash."""
     classes = shared_table(near_duplicates(docs, id_col, text_col), "classes")
     own = F.col(id_col)
-    copies = classes.where(~own.eqNullSafe(F.col("component_id"))).select(own.alias("__id")).distinct()
-    kept = docs.join(small_side(copies, 1_000_000), docs[id_col].eqNullSafe(F.col("__id")), "left_anti")
-    twice = shared_table(classes.where(own.eqNullSafe(F.col("component_id"))).groupBy(own.alias("__id")).count()
-                         .where("count > 1").select("__id"), "repeated-ids")
+    copies = small_side(classes.where(~own.eqNullSafe(F.col("component_id"))).select(own.alias("copy_id")).distinct(), 1_000_000)
+    kept = docs.join(copies, docs[id_col].eqNullSafe(copies["copy_id"]), "left_anti")
+    twice = shared_table(classes.where(own.eqNullSafe(F.col("component_id"))).groupBy(own.alias("twice_id")).count()
+                         .where("count > 1").select("twice_id"), "repeated-ids")
     if not twice.limit(1).count():
         return kept
     side = small_side(twice, 1_000_000)
-    on = docs[id_col].eqNullSafe(F.col("__id"))
-    first = F.min(F.struct(F.xxhash64(*docs.columns).alias("h"), *[F.col(c) for c in docs.columns])).alias("r")
-    again = kept.join(side, on, "left_semi").groupBy(id_col).agg(first).select("r.*").select(*docs.columns)
+    on = docs[id_col].eqNullSafe(side["twice_id"])
+    first = F.min(F.struct(F.xxhash64(*docs.columns).alias("order"), F.struct(*docs.columns).alias("row"))).alias("first")
+    again = kept.join(side, on, "left_semi").groupBy(id_col).agg(first).select("first.row.*")
     return kept.join(side, on, "left_anti").unionByName(again)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenaspark.llm import decontam, langid, licenses, packing, passages, pii, quality, simhash, tokenfile, warc
+from arenaspark.llm import decontam, langid, licenses, oracle, packing, passages, pii, quality, simhash, tokenfile, warc
 from arenaspark.llm.common import read
 
 
@@ -63,4 +63,5 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
 
 REGISTRY = {f.__name__: f for f in (op1_pii, op2_simhash, op3_licenses, op4_warc, op5_packing, op6_quality, op7_tokens,
                                     op8_decontamination, op9_passages, op10_language)}
-ORACLE: dict[str, str] = {}
+# SQL has no XXH64, Luhn offsets, tokenizers, learned rules, chains or vectors: those queries are tested against brute force
+ORACLE = {"op3_licenses": oracle.licenses_sql(), "op4_warc": oracle.WARC_SQL}

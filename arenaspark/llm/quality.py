@@ -160,7 +160,11 @@ def learn_rules(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", lab
     marks = rows.groupBy("bad").agg(*[F.percentile_approx(f, points, 1000).alias(f) for f in features]).collect()
     if len(marks) < 2:
         return []
-    cuts = {f: sorted({float(v) for r in marks for v in r[f]}) for f in features}
+    seen = {f: sorted({float(v) for r in marks for v in r[f]}) for f in features}
+    # thresholds lie halfway between neighbouring quantiles, so that a rule keeps a margin to what it separates
+    cuts = {f: [(a + b) / 2 for a, b in zip(v, v[1:])] for f, v in seen.items() if len(v) > 1}
+    if not cuts:
+        return []
     below = lambda f: lambda c: c < F.col(f)
     binned = [F.size(F.filter(F.array(*map(F.lit, at)), below(f))).alias(f"bin_{f}") for f, at in cuts.items()]
     rows = shared_table(rows.select("*", *binned, (F.pmod(F.xxhash64("id"), F.lit(3)) == 0).alias("pruning")), "labelled-binned")

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_WORDS = 1_000_000  # words, and as many parts, kept per worker; beyond it the cache starts anew
+CACHE_WORDS = 500_000  # words and parts kept per worker, about 120 MB; beyond it the cache starts anew
 
 # Latin letters, and marks that may directly follow a word.
 _LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
@@ -151,7 +151,7 @@ class WordEncoder:
         column = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
         if not len(column):
             return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
-        if len(self.places) > self.cache_words or len(self.parts) > self.cache_words:
+        if len(self.places) + len(self.parts) > self.cache_words:
             self._reset()
         words = pc.split_pattern(column, " ")
         count = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)

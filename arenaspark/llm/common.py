@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +37,33 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give a worker's freed memory back to the system, for workers are kept between tasks and stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it trims by itself or not at all
+        pass
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], rows: int = 512):
+    """``run`` over slices of at most ``rows`` rows, with memory given back when the task ends."""
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, b.num_rows, rows):
+                yield b.slice(i, rows)
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(sliced(batches))
+        finally:
+            release_memory()
+
+    return wrapped
+
+
 def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint for ``df`` if it has at most ``max_rows`` rows; beyond
     that the plain frame, which joins by shuffle."""

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arenaspark.llm.common import shared_table, small_side
+from arenaspark.llm.common import lean, shared_table, small_side
 from arenaspark.llm.tokens import batches_of
 
 WINDOW = 8
@@ -36,7 +36,7 @@ ENOUGH_WINDOWS = 6  # 13 words in a row
 MIN_SHARE = 0.5
 MIN_CONSISTENCY = 0.7
 BLOCK_HASHES = 1_000_000
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 
 # Number words and units.
 _NUMBERS = frozenset(
@@ -170,7 +170,7 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
                 yield _batch(rows, b.column(0).type)
 
     src = benchmark.select(id_col, text_col)
-    return src.mapInArrow(run, f"key {src.schema[id_col].dataType.simpleString()}, {_FIELDS}")
+    return src.mapInArrow(lean(run), f"key {src.schema[id_col].dataType.simpleString()}, {_FIELDS}")
 
 
 def _picker(hashes: np.ndarray):
@@ -208,7 +208,7 @@ def document_hits(docs: DataFrame, hashes: np.ndarray, lengths: list[int], id_co
                     yield _batch(rows, b.column(0).type)
 
     src = docs.select(id_col, text_col)
-    return src.mapInArrow(run, f"key {src.schema[id_col].dataType.simpleString()}, {_FIELDS}")
+    return src.mapInArrow(lean(run), f"key {src.schema[id_col].dataType.simpleString()}, {_FIELDS}")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

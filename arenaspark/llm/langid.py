@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arenaspark.llm.common import shared_table
+from arenaspark.llm.common import lean, shared_table
 
 DIMENSIONS = 512
 ALPHABET = 48  # border, a-z, and 21 classes that other letters are dealt to by code point
@@ -85,7 +85,7 @@ def document_vectors(docs: DataFrame, id_col: str, text_col: str, label_col: str
 
     label = F.col(label_col).cast("string") if label_col else F.lit(None).cast("string")
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), label.alias("label"))
-    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, label string, has_letter boolean, vector binary")
+    return src.mapInArrow(lean(run), f"id {src.schema['id'].dataType.simpleString()}, label string, has_letter boolean, vector binary")
 
 
 def prototypes(vectors: DataFrame) -> dict[str, np.ndarray]:
@@ -103,7 +103,7 @@ def prototypes(vectors: DataFrame) -> dict[str, np.ndarray]:
                 [pa.array(list(sums)), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))],
                 names=["label", "part"])
 
-    parts = vectors.select("label", "vector").mapInArrow(add, "label string, part array<double>")
+    parts = vectors.select("label", "vector").mapInArrow(lean(add), "label string, part array<double>")
     # sums of halves and small integers of a fixed step: rounding to 1e-6 makes them free of the order of addition
     sums = (parts.select("label", F.posexplode("part").alias("i", "x")).groupBy("label", "i")
             .agg(F.sum(F.col("x").cast("decimal(28,10)")).alias("x"))
@@ -148,4 +148,4 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     kind = vectors.schema["id"].dataType.simpleString()
     return vectors.select("id", held.alias("held_out"), "vector").mapInArrow(
-        predict, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double")
+        lean(predict), f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double")

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arenaspark.llm.common import shared_table
+from arenaspark.llm.common import lean, shared_table
 from arenaspark.llm.tokens import ids_crc32, public_tokenizer, slices_of, worker_encoder
 
 CAPACITY = 2048
@@ -169,7 +169,7 @@ def piece_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         names=[id_col, "piece", "start", "length", "ids_crc32", "task", "task_rank", "ids"])
 
     src = docs.select(id_col, text_col)
-    out = src.mapInArrow(run, f"`{id_col}` {src.schema[id_col].dataType.simpleString()}, piece int, start bigint, "
+    out = src.mapInArrow(lean(run, 2048), f"`{id_col}` {src.schema[id_col].dataType.simpleString()}, piece int, start bigint, "
                               "length bigint, ids_crc32 bigint, task int, task_rank bigint, ids array<bigint>")
     return out if with_ids else out.drop("ids")
 

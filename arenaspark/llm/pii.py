@@ -23,6 +23,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from arenaspark.llm.common import lean
+
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int]
 Edit = tuple[int, int, str]
@@ -299,7 +301,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     src = docs.select(id_col, text_col)
     kind = src.schema[id_col].dataType.simpleString()
-    return src.mapInArrow(run, f"`{id_col}` {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
+    return src.mapInArrow(lean(run), f"`{id_col}` {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
                                "base_sha256 string, spans string")
 
 
@@ -321,4 +323,4 @@ def mask_pii(docs: DataFrame, text_col: str = "text", length_col: str | None = "
                 arrays[len_at] = pa.array([o if t is None else len(t) for o, t in zip(old.to_pylist(), texts)], old.type)
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

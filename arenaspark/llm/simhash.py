@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arenaspark.llm.common import shared_table, small_side
+from arenaspark.llm.common import lean, shared_table, small_side
 from arenaspark.llm.components import components
 
 SHINGLE_WORDS, SEED, MAX_BITS = 3, 42, 3
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=[id_col, "fp"])
 
     src = docs.select(id_col, text_col)
-    return src.mapInArrow(run, f"`{id_col}` {src.schema[id_col].dataType.simpleString()}, fp bigint")
+    return src.mapInArrow(lean(run), f"`{id_col}` {src.schema[id_col].dataType.simpleString()}, fp bigint")
 
 
 def _signed(mask: int) -> int:

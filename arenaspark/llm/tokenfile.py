@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from arenaspark.llm.common import scratch_path, small_side
+from arenaspark.llm.common import lean, scratch_path, small_side
 from arenaspark.llm.mixcoder import pack_chunk, unpack_chunk
 from arenaspark.llm.tokens import ids_crc32, public_tokenizer, slices_of, worker_encoder
 
@@ -63,7 +63,7 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
 
     rows = (docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
             .repartitionByRange("key").sortWithinPartitions("key", F.xxhash64("text")))
-    rows.mapInArrow(run, "file_no int, chunk_no int, n_ids bigint, keys array<bigint>, counts array<bigint>, payload binary"
+    rows.mapInArrow(lean(run, 2048), "file_no int, chunk_no int, n_ids bigint, keys array<bigint>, counts array<bigint>, payload binary"
                     ).write.parquet(path)
 
 
@@ -98,7 +98,7 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id", wit
     chunks = spark.read.schema("file_no int, chunk_no int, n_ids bigint, keys array<bigint>, counts array<bigint>, "
                                "payload binary").parquet(path)
     docs = chunks.select("file_no", "chunk_no", "keys", "counts", "payload").mapInArrow(
-        run, f"file_no int, chunk_no int, `{id_col}` bigint, at bigint, n_tokens bigint, ids_crc32 bigint, ids array<bigint>")
+        lean(run, 2048), f"file_no int, chunk_no int, `{id_col}` bigint, at bigint, n_tokens bigint, ids_crc32 bigint, ids array<bigint>")
     starts = small_side(chunk_starts(chunks.select("file_no", "chunk_no", "n_ids")), BROADCAST_CHUNKS)
     return docs.join(starts, ["file_no", "chunk_no"]).select(
         id_col, (F.col("chunk_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))

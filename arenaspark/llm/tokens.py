@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_WORDS = 500_000  # words and parts kept per worker, about 120 MB; beyond it the cache starts anew
+CACHE_WORDS = 250_000  # words and parts kept per worker, about 60 MB; beyond it the cache starts anew
 
 # Latin letters, and marks that may directly follow a word.
 _LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"

@@ -187,3 +187,12 @@ def test_copies_are_links(spark):
     rows = [(5, long), (3, long), (9, long), (1, short), (2, short)]
     got = {r.doc_id: (r.class_id, r.n_links, r.n_copies, r.spans) for r in passages.repeated_passages(docs(spark, rows)).collect()}
     assert got == {i: (3, 2, 3, "0:55") for i in (3, 5, 9)}
+
+
+def test_longer_passages_behind_a_very_common_line(spark):
+    """A line that very many documents hold is no passage; the few that share more around it are found."""
+    rng = random.Random(11)
+    line, tail = words(rng, 40), words(rng, 15)
+    rows = [(i, " ".join(words(rng, 45) + line + (tail if i % 6 == 3 else []) + words(rng, 45))) for i in range(180)]
+    got = {r.doc_id: r.class_id for r in passages.repeated_passages(docs(spark, rows)).collect()}
+    assert got == {i: 3 for i in range(180) if i % 6 == 3}

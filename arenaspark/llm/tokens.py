@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_WORDS = 250_000  # words and parts kept per worker, about 60 MB; beyond it the cache starts anew
+CACHE_WORDS = 250_000  # words and parts kept per task, about 60 MB; beyond it the cache starts anew
 
 # Latin letters, and marks that may directly follow a word.
 _LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
@@ -183,9 +183,8 @@ class WordEncoder:
         return ids, per_text
 
 
-@lru_cache(2)
 def worker_encoder(path: str) -> WordEncoder:
-    """The worker process's encoder of a tokenizer file; later tasks find its cache filled."""
+    """A task's encoder; it ends with the task, so that idle workers hold no tokenizer and no cache."""
     return WordEncoder(path)
 
 

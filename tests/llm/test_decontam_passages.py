@@ -196,3 +196,17 @@ def test_longer_passages_behind_a_very_common_line(spark):
     rows = [(i, " ".join(words(rng, 45) + line + (tail if i % 6 == 3 else []) + words(rng, 45))) for i in range(180)]
     got = {r.doc_id: r.class_id for r in passages.repeated_passages(docs(spark, rows)).collect()}
     assert got == {i: 3 for i in range(180) if i % 6 == 3}
+
+
+def test_passages_of_one_chain_are_told_apart():
+    """A common header and footer around own content: both are passages, whatever lies between."""
+    rng, hasher = random.Random(21), passages.WordHasher()
+    for n, gap in ((60, 40), (60, 100), (60, 150), (200, 120), (200, 500), (200, 30)):
+        head, foot = words(rng, n), words(rng, n)
+        a = hasher(" ".join(words(rng, 20) + head + words(rng, gap) + foot + words(rng, 20)))
+        b = hasher(" ".join(words(rng, 35) + head + words(rng, gap + 3) + foot + words(rng, 5)))
+        inside = np.zeros(len(a), bool)
+        for x0, x1, y0, y1, equal in passages.align(a, b):
+            assert min(x1 - x0, y1 - y0) >= passages.MIN_WORDS and equal >= passages.MIN_IDENTITY * max(x1 - x0, y1 - y0)
+            inside[x0:x1] = True
+        assert inside[20:20 + n].all() and inside[20 + n + gap:20 + 2 * n + gap].all()

@@ -210,3 +210,25 @@ def test_passages_of_one_chain_are_told_apart():
             assert min(x1 - x0, y1 - y0) >= passages.MIN_WORDS and equal >= passages.MIN_IDENTITY * max(x1 - x0, y1 - y0)
             inside[x0:x1] = True
         assert inside[20:20 + n].all() and inside[20 + n + gap:20 + 2 * n + gap].all()
+
+
+def test_middle_holders_of_a_common_line_meet(spark):
+    """Two documents share more than a very common line, and neither is an end holder of the line's seeds."""
+    rng = random.Random(31)
+    line = words(rng, 45)
+    rows, pairs = [(i, " ".join(words(rng, 45) + line + words(rng, 45))) for i in range(150)], []
+    for i in range(1000, 1040, 2):
+        tail = words(rng, 10)
+        pairs.append((i, i + 1))
+        rows += [(j, " ".join(words(rng, 45) + line + tail + words(rng, 45))) for j in (i, i + 1)]
+    got = {r.doc_id: r.class_id for r in passages.repeated_passages(docs(spark, rows)).collect()}
+    assert got == {j: i for i, k in pairs for j in (i, k)}
+
+
+def test_group_sizes_are_links(spark):
+    """Windows that more than a few texts hold are links of all their holders, though only one of them is paired."""
+    rng = random.Random(32)
+    line, tail = words(rng, 45), words(rng, 6)
+    rows = [(i, " ".join(words(rng, 45) + line + (tail if i % 6 == 3 else words(rng, 6)) + words(rng, 45))) for i in range(240)]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in passages.repeated_passages(docs(spark, rows)).collect()}
+    assert got == {i: (3, 39) for i in range(3, 240, 6)}

@@ -7,7 +7,11 @@ lower-cased without outer marks. Windows of ``WINDOW`` template tokens are
 hashed; windows of the documents are joined with windows of the benchmark by
 hash. A benchmark item re-asked with other names or numbers keeps its windows.
 What was joined must then fill its slots consistently: the same value of the
-item has to become the same value in the document wherever it occurs.
+item has to become the same value in the document throughout an occurrence.
+Windows of one occurrence lie about as far from their places in the item; they
+are grouped in half-overlapping bands of that distance, narrower than the item,
+so that copies in a row stay apart. The whole document is tried as one more
+occurrence, for a copy that other words have stretched over several bands.
 
 The documents are scanned where they lie: a task drops every window that is not
 among the benchmark's window hashes, which it holds in blocks of at most
@@ -18,6 +22,7 @@ so only hits are shuffled.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -136,24 +141,24 @@ def _least(length: int) -> int:
     return min(MIN_LITERALS, -(-length // 2))
 
 
-_FIELDS = "pos int, length int, h bigint, n_windows int, slot_at array<int>, slot_value array<string>"
+_FIELDS = "pos int, length int, h bigint, n_windows int, row int, slot_at array<int>, slot_value array<string>"
 
 
-def _rows(key, wanted, canon: Canonicaliser, codes, at, length: int):
-    """Rows of one text's windows of ``length``; ``wanted`` picks hashes, None: all."""
+def _rows(key, wanted, canon: Canonicaliser, codes, at, length: int, row: int = 0):
+    """Rows of one text's windows of ``length``; ``wanted`` picks hashes, None: all; ``row`` tells texts of one id apart."""
     slot = canon.slot[at] if len(at) else np.zeros(0, bool)
     h, good = window_hashes(codes, slot, length, _least(length))
     pick = np.flatnonzero(good if wanted is None else good & wanted(h))
     n = int(good.sum()) if wanted is None else 0
     for p in pick.tolist():
         offs = np.flatnonzero(slot[p:p + length]).tolist()
-        yield (key, p, length, int(h[p].astype(np.int64)), n, offs, [canon.values[at[p + o]] for o in offs])
+        yield (key, p, length, int(h[p].astype(np.int64)), n, row, offs, [canon.values[at[p + o]] for o in offs])
 
 
 def _batch(rows: list[tuple], key_type: pa.DataType) -> pa.RecordBatch:
-    types = [key_type, pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.string())]
+    types = [key_type, pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.string())]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                                      names=["key", "pos", "length", "h", "n_windows", "slot_at", "slot_value"])
+                                      names=["key", "pos", "length", "h", "n_windows", "row", "slot_at", "slot_value"])
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -198,9 +203,10 @@ def document_hits(docs: DataFrame, hashes: np.ndarray, lengths: list[int], id_co
             keys, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             for part in batches_of(texts):
                 rows = []
-                for key, (codes, at) in zip(keys[part], canon.texts(texts[part])):
+                for key, text, (codes, at) in zip(keys[part], texts[part], canon.texts(texts[part])):
+                    row = zlib.crc32((text or "").encode("utf-8", "surrogatepass")) >> 1
                     for length in lengths:
-                        rows += _rows(key, wanted, canon, codes, at, length)
+                        rows += _rows(key, wanted, canon, codes, at, length, row)
                     if len(rows) >= 4096:
                         yield _batch(rows, b.column(0).type)
                         rows = []
@@ -215,9 +221,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document and item it contains: id, item id, n_matched, n_windows, consistency, verbatim.
 
-    A pair counts when at least ``ENOUGH_WINDOWS`` windows of the item, or half of them if that is fewer, occur in
-    the document, and at least ``MIN_CONSISTENCY`` of the filled slots agree with the commonest filling of their
-    value (no slots: 1). ``verbatim``: every filled slot has the item's own value. Null and empty texts, items of fewer
+    A pair counts when in one occurrence at least ``ENOUGH_WINDOWS`` windows of the item, or half of them if that is
+    fewer, occur, and at least ``MIN_CONSISTENCY`` of the filled slots agree with the commonest filling of their
+    value (no slots: 1). ``verbatim``: every filled slot has the item's own value. The figures are those of the best
+    occurrence: a verbatim one before others, then that of most windows. Null and empty texts, items of fewer
     than three tokens and items without a window of enough literal words match nothing; rows of one id are taken
     as one document; null ids come back as null; an empty table gives an empty result; other columns are not read."""
     items = shared_table(benchmark_windows(benchmark, item_col, item_text_col), "benchmark-windows")
@@ -234,25 +241,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = document_hits(docs.limit(0), np.zeros(1, np.uint64), lengths, id_col, text_col)
-    hits = shared_table(found.select("key", "h", F.col("slot_value").alias("filled")), "window-hits")
+    hits = shared_table(found.select("key", "h", "row", F.col("pos").alias("at"), F.col("slot_value").alias("filled")), "window-hits")
     side = items.select("h", F.col("key").alias("item"), "pos", "n_windows", "slot_at", F.col("slot_value").alias("asked"))
-    pairs = hits.join(small_side(side, 200_000), "h")
-    counts = (pairs.groupBy("key", "item").agg(F.countDistinct("pos").alias("n_matched"), F.max("n_windows").alias("n_windows"))
+    half = F.greatest(F.lit(1), F.floor(F.col("n_windows") / 4))  # bands of twice that stay below the item's length
+    band = F.shiftleft(F.col("row").cast("long"), 32) + F.floor((F.col("at") - F.col("pos")) / half) + (1 << 31)
+    pairs = hits.join(small_side(side, 200_000), "h").withColumn("place", F.explode(F.array(F.lit(-1).cast("long"), band, band - 1)))
+    counts = (pairs.groupBy("key", "item", "place")
+              .agg(F.countDistinct("pos").alias("n_matched"), F.max("n_windows").alias("n_windows"))
               .where(F.col("n_matched") >= F.least(F.lit(ENOUGH_WINDOWS), F.ceil(F.col("n_windows") * MIN_SHARE))))
     counts = shared_table(counts, "window-counts")
-    near = pairs.join(counts.select(F.col("key").alias("k"), F.col("item").alias("i")),
-                      F.col("key").eqNullSafe(F.col("k")) & F.col("item").eqNullSafe(F.col("i")), "left_semi")
-    slots = near.select("key", "item", "pos", F.inline(F.arrays_zip("slot_at", "asked", "filled")))
-    one = slots.groupBy("key", "item", "asked", "filled").agg(F.countDistinct(F.col("pos") + F.col("slot_at")).alias("n"))
-    by_value = one.groupBy("key", "item", "asked").agg(F.max("n").alias("best"), F.sum("n").alias("all"),
-                                                       F.min(F.col("asked") == F.col("filled")).alias("same"))
-    fit = by_value.groupBy(F.col("key").alias("k"), F.col("item").alias("i")).agg(
+    same = (F.col("key").eqNullSafe(F.col("k")) & F.col("item").eqNullSafe(F.col("i")) & (F.col("place") == F.col("p")))
+    near = pairs.join(counts.select(F.col("key").alias("k"), F.col("item").alias("i"), F.col("place").alias("p")), same, "left_semi")
+    slots = near.select("key", "item", "place", "pos", F.inline(F.arrays_zip("slot_at", "asked", "filled")))
+    one = slots.groupBy("key", "item", "place", "asked", "filled").agg(F.countDistinct(F.col("pos") + F.col("slot_at")).alias("n"))
+    by_value = one.groupBy("key", "item", "place", "asked").agg(F.max("n").alias("best"), F.sum("n").alias("all"),
+                                                                F.min(F.col("asked") == F.col("filled")).alias("same"))
+    fit = by_value.groupBy(F.col("key").alias("k"), F.col("item").alias("i"), F.col("place").alias("p")).agg(
         (F.sum("best") / F.sum("all")).alias("consistency"), F.min("same").alias("verbatim"))
-    return (counts.join(fit, F.col("key").eqNullSafe(F.col("k")) & F.col("item").eqNullSafe(F.col("i")), "left")
-            .select(F.col("key").alias(id_col), F.col("item").alias("item_id"), "n_matched", "n_windows",
-                    F.coalesce("consistency", F.lit(1.0)).alias("consistency"),
-                    F.coalesce("verbatim", F.lit(True)).alias("verbatim"))
-            .where(F.col("consistency") >= MIN_CONSISTENCY))
+    places = (counts.join(fit, same, "left")
+              .select("key", "item", F.struct(F.coalesce("verbatim", F.lit(True)).alias("verbatim"), "n_matched",
+                                              F.coalesce("consistency", F.lit(1.0)).alias("consistency"), "n_windows").alias("x"))
+              .where(F.col("x.consistency") >= MIN_CONSISTENCY))
+    return (places.groupBy("key", "item").agg(F.max("x").alias("x"))
+            .select(F.col("key").alias(id_col), F.col("item").alias("item_id"), "x.n_matched", "x.n_windows", "x.consistency",
+                    "x.verbatim"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -48,6 +48,17 @@ def test_reparameterised_items_are_caught(spark):
     assert decontam.contaminated(docs(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_each_occurrence_is_checked_by_itself(spark):
+    """A document with an item twice or more, each time with other values, is as contaminated as with one copy."""
+    third = ITEM.replace("Anna", "Olga").replace("12", "70").replace("30", "8").replace("Tom", "Ivo")
+    noise = "some other words that stand before and after it all "
+    rows = [(1, ITEM + " " + noise + SWAPPED), (2, " ".join([SWAPPED, third])), (3, " ".join([SWAPPED, third, ITEM]) + noise),
+            (4, ITEM), (4, SWAPPED), (5, noise)]
+    bench = spark.createDataFrame([(7, ITEM)], "item_id long, text string")
+    got = {r.doc_id: (r.verbatim, r.consistency) for r in decontam.contaminated(docs(spark, rows), bench).collect()}
+    assert got == {1: (True, 1.0), 2: (False, 1.0), 3: (True, 1.0), 4: (True, 1.0)}
+
+
 def test_inconsistent_slots_are_no_match(spark):
     item = "Anna met Anna and Anna saw Anna while Anna told Anna that Anna and Anna went with Anna to see Anna there again"
     names = iter("Bob Carl Dora Emil Fred Gina Hans Ida Jon Kurt Lea Max".split())

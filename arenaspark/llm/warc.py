@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenaspark.llm.common import scratch_path, shared_table
+from arenaspark.llm.common import scratch_path, shared_table, small_side
 
 END = "\r\n\r\n"
 MIN_REVISIT_BYTES = 100
@@ -29,7 +29,7 @@ BROADCAST_ROWS = 200_000
 
 
 def _urn(kind: str, key) -> F.Column:
-    """urn:uuid from a digest of the page id, so that a re-run task writes the same record."""
+    """urn:uuid from a digest of the row's key, so that a re-run task writes the same record."""
     h = F.md5(F.concat(F.lit(f"{kind}:"), key))
     return F.concat(F.lit("<urn:uuid:"), F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-"),
                     F.substring(h, 13, 4), F.lit("-"), F.substring(h, 17, 4), F.lit("-"), F.substring(h, 21, 12), F.lit(">"))
@@ -43,45 +43,76 @@ def _record(kind: str, rid, fields: list[tuple[str, F.Column]], body: F.Column)
     return F.concat(F.concat_ws("\r\n", *lines), F.lit(END), body)
 
 
-def first_copies(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """(id, first_id) of the pages that repeat an earlier page's payload of at least 100 bytes.
+def _row_key(page, url, digest, copy) -> F.Column:
+    """What tells a row from all others: page id, payload digest, url and the number among rows equal in these."""
+    return F.concat_ws(":", F.coalesce(page.cast("string"), F.lit("null")), F.hex(digest),
+                       F.coalesce(F.md5(url), F.lit("null")), copy.cast("string"))
 
-    Digests are computed where the pages are read; only ids and digests are shuffled, and the
-    minimum of a digest is combined map-side, so thousands of copies of one page stay cheap."""
+
+def page_keys(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(id, url, d, large) of every row: the payload's digest, and whether it has at least 100 bytes."""
     body = F.coalesce(F.col(html_col), F.lit(""))
-    keyed = shared_table(pages.where(F.octet_length(body) >= MIN_REVISIT_BYTES)
-                         .select(F.col(id_col).alias("id"), F.unhex(F.sha2(body, 256)).alias("d")), "page-digests")
-    first = keyed.groupBy("d").agg(F.min("id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
-    return keyed.join(first.select("d", "first_id"), "d").where("id > first_id").select("id", "first_id").distinct()
+    return pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.unhex(F.sha2(body, 256)).alias("d"),
+                        (F.octet_length(body) >= MIN_REVISIT_BYTES).alias("large"))
+
+
+def first_copies(keyed: DataFrame) -> DataFrame:
+    """(id, d, first_id, first_url) of the pages that repeat an earlier page's payload of at least 100 bytes.
+
+    Digests are computed where the pages are read; only keys are shuffled, and the minimum of a
+    digest is combined map-side, so thousands of copies of one page stay cheap. A page without an
+    id is neither earlier nor later than another."""
+    large = keyed.where("large and id is not null")
+    first = large.groupBy("d").agg(F.min(F.struct("id", "url")).alias("first"), F.max("id").alias("last")).where("last > first.id")
+    return (large.join(first, "d").where("id > first.id")
+            .select("id", "d", F.col("first.id").alias("first_id"), F.col("first.url").alias("first_url")).distinct())
+
+
+def _numbered(own: DataFrame, keyed: DataFrame) -> DataFrame:
+    """``own`` with ``copy``, the number of a row among equal rows. Equal rows are exchangeable, so they become one
+    row and as many numbers; only they are shuffled."""
+    again = shared_table(keyed.groupBy("id", "url", "d").agg(F.count("*").alias("n")).where("n > 1")
+                         .select(F.col("id").alias("id2"), F.col("url").alias("url2"), F.col("d").alias("d2"), "n"), "equal-rows")
+    if again.isEmpty():
+        return own.withColumn("copy", F.lit(0).cast("long"))
+    again = small_side(again, BROADCAST_ROWS)
+    same = F.col("id").eqNullSafe(F.col("id2")) & F.col("url").eqNullSafe(F.col("url2")) & (F.col("d") == F.col("d2"))
+    equal = (own.join(again, same).dropDuplicates(["id", "url", "d"])
+             .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))))
+    return (own.join(again, same, "left_anti").withColumn("copy", F.lit(0).cast("long"))
+            .unionByName(equal.drop("id2", "url2", "d2", "n")))
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
                    html_col: str = "html") -> None:
     """Write the records of ``pages`` as gzip WARC files under ``path``.
 
-    A null payload is empty, a null url is left out of the headers. Page ids must be unique and not null;
-    line ends in a url are percent-encoded."""
+    A null payload is empty, a null url or page id is left out of the headers. Every row has its own records, rows
+    of one page id and repeated rows too; line ends in a url are percent-encoded."""
     body = F.coalesce(F.col(html_col), F.lit(""))
-    copies = shared_table(first_copies(pages, id_col, html_col), "revisits")
+    keyed = shared_table(page_keys(pages, id_col, url_col, html_col), "page-digests")
+    copies = shared_table(first_copies(keyed), "revisits")
     if copies.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         copies = F.broadcast(copies)
-    own = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), body.alias("body"))
-    rows = own.join(copies, "id", "left")
-    key = F.col("id").cast("string")
+    own = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), body.alias("body"),
+                       F.unhex(F.sha2(body, 256)).alias("d"))
+    rows = _numbered(own, keyed).join(copies, ["id", "d"], "left")
+    page = F.col("id").cast("string")
+    key = _row_key(F.col("id"), F.col("url"), F.col("d"), F.col("copy"))
     url = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
-    target = [("WARC-Target-URI", url), ("X-Page-Id", key)]
-    digest = ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.sha2("body", 256)))
+    target = [("WARC-Target-URI", url), ("X-Page-Id", page)]
+    digest = ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.lower(F.hex("d"))))
     main, again = _urn("response", key), F.col("first_id").isNotNull()
     response = _record("response", main, [*target, digest, ("Content-Type", F.lit("text/html; charset=utf-8"))], F.col("body"))
     revisit = _record("revisit", main, [
         *target, digest, ("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-        ("WARC-Refers-To", _urn("response", F.col("first_id").cast("string")))], F.lit(""))
+        ("WARC-Refers-To", _urn("response", _row_key(F.col("first_id"), F.col("first_url"), F.col("d"), F.lit(0))))], F.lit(""))
     request = _record("request", _urn("request", key), [("WARC-Concurrent-To", main), *target],
                       F.concat(F.lit("GET "), F.coalesce(url, F.lit("/")), F.lit(" HTTP/1.1\r\n\r\n")))
     metadata = _record("metadata", _urn("metadata", key), [
         ("WARC-Concurrent-To", main), ("Content-Type", F.lit("application/warc-fields"))],
-        F.concat(F.lit("pageId: "), key, F.lit("\r\n")))
-    mean = own.agg(F.avg(F.octet_length("body"))).first()[0] or 0.0
+        F.coalesce(F.concat(F.lit("pageId: "), page, F.lit("\r\n")), F.lit("")))
+    mean = pages.select(body.alias("body")).agg(F.avg(F.octet_length("body"))).first()[0] or 0.0
     (rows.select(F.explode(F.array(request, F.when(again, revisit).otherwise(response), metadata)).alias("value"))
      .write.option("lineSep", END).option("compression", "gzip")
      .option("maxRecordsPerFile", max(30, int(3 * FILE_BYTES / (mean + 600)))).text(path))
@@ -155,7 +186,8 @@ def captures(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", ht
     """Write the archives of ``pages``, read them back and assemble the captures.
 
     Adds to each capture payload_bytes, payload_digest (of the full payload: a revisit takes them from the
-    response it refers to) and refers_to (that response's page id, null for responses). One row per page;
+    response it refers to) and refers_to (that response's page id, null for responses). One row per row of ``pages``,
+    repeated ones and those without a page id too (these are always responses);
     an empty table gives an empty result; other columns of ``pages`` are not read."""
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
@@ -165,7 +197,7 @@ def captures(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", ht
     wanted = again.select(F.col("response.refers_to_id").alias("rid")).distinct()
     first = got.select(F.col("response.record_id").alias("rid"), F.col("page_id").alias("first_page"),
                        F.col("response.block_bytes").alias("first_bytes"), F.col("response.block_digest").alias("first_digest"))
-    first = first.join(wanted, "rid", "left_semi")
+    first = first.join(wanted, "rid", "left_semi").dropDuplicates(["rid"])
     return got.join(first, F.col("response.refers_to_id") == F.col("rid"), "left").select(
         F.col("page_id"), F.coalesce("first_bytes", "response.block_bytes").alias("payload_bytes"),
         F.coalesce("first_digest", "response.block_digest").alias("payload_digest"),

@@ -121,6 +121,19 @@ def test_captures_with_copies_nulls_and_hostile_text(spark):
     assert warc.captures(pages(spark, [])).count() == 0
 
 
+def test_null_and_repeated_page_ids(spark):
+    """Every row of the pages is one capture, whatever its id."""
+    x, y = "x" * 120, "y" * 120
+    rows = [(1, "u", x), (1, "u", x), (1, "v", x), (2, "u", x), (2, "u", x), (3, None, x), (1, "u", y), (2, None, y), (None, "u", x),
+            (None, "u", x), (None, None, None), (9, "u", "short"), (9, "u", "short")]
+    got = warc.captures(pages(spark, rows)).collect()
+    want = [(p, len(h or ""), hashlib.sha256((h or "").encode()).hexdigest(), "revisit" if p in (2, 3) else "response",
+             1 if p in (2, 3) else None) for p, _, h in rows]
+    order = lambda t: tuple(str(v) for v in t)
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=order) == sorted(want, key=order)
+    assert len({r.response.record_id for r in got}) == len(rows) and all(r.request and r.metadata for r in got)
+
+
 def test_query_on_pages(spark):
     rows = [(p.page_id, p.url, p.html) for p in read(spark, SF_SMALL, "pages").collect()]
     got = REGISTRY["op4_warc"](spark, SF_SMALL).collect()

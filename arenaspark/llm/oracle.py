@@ -52,3 +52,18 @@ SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, digest AS payload
        CASE WHEN strlen(body) >= 100 AND page_id > first_id THEN first_id END AS refers_to
 FROM (SELECT page_id, body, digest, min(page_id) OVER (PARTITION BY digest) AS first_id
       FROM (SELECT page_id, COALESCE(html, '') AS body, sha256(COALESCE(html, '')) AS digest FROM pages))"""
+
+
+JACCARD_SQL = rf"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM worded),
+sized AS (SELECT doc_id, len(s) AS n FROM sets),
+items AS (SELECT doc_id, unnest(s) AS g FROM sets),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM items x JOIN items y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN sized p ON p.doc_id = a JOIN sized q ON q.doc_id = b WHERE 100 * k >= 80 * (p.n + q.n - k)),
+either AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(node, seen) AS (SELECT a, a FROM either UNION SELECT r.node, e.b FROM reach r JOIN either e ON e.a = r.seen)
+SELECT z.doc_id, CAST(z.n AS BIGINT) AS n_shingles, COALESCE(min(r.seen), z.doc_id) AS component_id
+FROM sized z LEFT JOIN reach r ON r.node = z.doc_id GROUP BY z.doc_id, z.n"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenaspark.llm import decontam, langid, licenses, oracle, packing, passages, pii, quality, simhash, tokenfile, warc
+from arenaspark.llm import decontam, jaccard, langid, licenses, oracle, packing, passages, pii, quality, simhash, tokenfile, warc
 from arenaspark.llm.common import read
 
 
@@ -61,7 +61,12 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(read(spark, sf, "documents"))
 
 
+def op11_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate class of every document by the Jaccard similarity of its 5-word shingles."""
+    return jaccard.jaccard_classes(read(spark, sf, "documents"))
+
+
 REGISTRY = {f.__name__: f for f in (op1_pii, op2_simhash, op3_licenses, op4_warc, op5_packing, op6_quality, op7_tokens,
-                                    op8_decontamination, op9_passages, op10_language)}
+                                    op8_decontamination, op9_passages, op10_language, op11_jaccard)}
 # SQL has no XXH64, Luhn offsets, tokenizers, learned rules, chains or vectors: those queries are tested against brute force
-ORACLE = {"op3_licenses": oracle.licenses_sql(), "op4_warc": oracle.WARC_SQL}
+ORACLE = {"op3_licenses": oracle.licenses_sql(), "op4_warc": oracle.WARC_SQL, "op11_jaccard": oracle.JACCARD_SQL}

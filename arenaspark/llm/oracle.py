@@ -67,3 +67,56 @@ either AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach(node, seen) AS (SELECT a, a FROM either UNION SELECT r.node, e.b FROM reach r JOIN either e ON e.a = r.seen)
 SELECT z.doc_id, CAST(z.n AS BIGINT) AS n_shingles, COALESCE(min(r.seen), z.doc_id) AS component_id
 FROM sized z LEFT JOIN reach r ON r.node = z.doc_id GROUP BY z.doc_id, z.n"""
+
+
+NEGATIVES_SQL = """
+WITH used AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                  CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+           FROM used a JOIN used b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positive AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+             QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 3"""
+
+
+# SQL has no crc32: bytes of the decimal id are folded in, eight shifts each (3988292384 is the polynomial, a fixed value)
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [CAST(0 AS BIGINT) FOR i IN range(8)]),
+    lambda v, z: xor(v >> 1, CAST(3988292384 AS BIGINT) * (v & 1)))), CAST(4294967295 AS BIGINT))"""
+
+TRIE_SQL = f"""
+WITH placed AS (
+  SELECT conv_id, COALESCE(role, '') AS role, COALESCE(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, COALESCE(role, ''),
+           sha256(concat(length(COALESCE(role, '')), ':', COALESCE(role, ''), ':', COALESCE(text, '')))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC} % 6 AS h FROM (SELECT DISTINCT conv_id FROM placed)),
+turns AS (
+  SELECT c.conv_id, 0 AS kind, p.place, p.role, p.text FROM convs c JOIN placed p ON p.conv_id = c.base AND p.place <= c.h
+  UNION ALL SELECT c.conv_id, 1, p.place, p.role, p.text FROM convs c JOIN placed p ON p.conv_id = c.conv_id AND p.place > c.h),
+seqs AS (SELECT convs.conv_id, COALESCE(s, []) AS s FROM convs LEFT JOIN
+           (SELECT conv_id, list(sha256(concat(length(role), ':', role, ':', text)) ORDER BY kind, place) AS s FROM turns GROUP BY conv_id) t
+           ON t.conv_id = convs.conv_id),
+sizes AS (SELECT conv_id, list(length(text) ORDER BY kind, place) AS sizes FROM turns GROUP BY conv_id),
+prefixes AS (SELECT seqs.conv_id, d, s[1:d] AS k, len(s) = d AS is_last, COALESCE(sizes[d], 0) AS chars
+             FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM seqs) seqs LEFT JOIN sizes ON sizes.conv_id = seqs.conv_id),
+nodes AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n, any_value(chars) AS chars,
+                 sha256(COALESCE(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE is_last), '')) AS ends
+          FROM prefixes GROUP BY k, d),
+linked AS (SELECT nodes.*, parent.conv_id AS parent_conv_id FROM nodes LEFT JOIN nodes parent ON nodes.d = parent.d + 1 AND nodes.k[1:nodes.d - 1] = parent.k),
+kids AS (SELECT k[1:d - 1] AS k, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1, 2),
+full_ AS (SELECT linked.*, COALESCE(n_children, 0) AS n_children FROM linked LEFT JOIN kids ON kids.k = linked.k AND kids.d = linked.d),
+gathered AS (SELECT below.up AS k, below.e AS d, sum(CAST(n_children = 0 AS BIGINT)) AS n_leaves, sum((n - 1) * chars) AS saved
+             FROM (SELECT k[1:e] AS up, e, n, n_children, chars FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM full_)) below GROUP BY 1, 2)
+SELECT conv_id, CAST(full_.d AS BIGINT) AS depth, parent_conv_id, CAST(n AS BIGINT) AS n_convs, CAST(n_children AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, ends AS ends_sha256
+FROM full_ JOIN gathered ON gathered.k = full_.k AND gathered.d = full_.d"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenaspark.llm import decontam, jaccard, langid, licenses, oracle, packing, passages, pii, quality, simhash, tokenfile, warc
+from arenaspark.llm import decontam, jaccard, langid, licenses, negatives, oracle, packing, passages, pii, quality, simhash, tokenfile, trie, warc
 from arenaspark.llm.common import read
 
 
@@ -66,7 +66,20 @@ def op11_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.jaccard_classes(read(spark, sf, "documents"))
 
 
+def op12_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Hard negatives of every anchor and positive; ids divisible by 7 take the next label first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(read(spark, sf, "embeddings").withColumn("label", label))
+
+
+def op13_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return trie.prefix_trie(read(spark, sf, "conversations"))
+
+
 REGISTRY = {f.__name__: f for f in (op1_pii, op2_simhash, op3_licenses, op4_warc, op5_packing, op6_quality, op7_tokens,
-                                    op8_decontamination, op9_passages, op10_language, op11_jaccard)}
+                                    op8_decontamination, op9_passages, op10_language, op11_jaccard,
+                                    op12_negatives, op13_trie)}
 # SQL has no XXH64, Luhn offsets, tokenizers, learned rules, chains or vectors: those queries are tested against brute force
-ORACLE = {"op3_licenses": oracle.licenses_sql(), "op4_warc": oracle.WARC_SQL, "op11_jaccard": oracle.JACCARD_SQL}
+ORACLE = {"op3_licenses": oracle.licenses_sql(), "op4_warc": oracle.WARC_SQL, "op11_jaccard": oracle.JACCARD_SQL,
+          "op12_negatives": oracle.NEGATIVES_SQL, "op13_trie": oracle.TRIE_SQL}

@@ -38,6 +38,7 @@ from arenaspark.llm.common import lean, shared_table, small_side
 from arenaspark.llm.components import components
 
 SHINGLE_WORDS, PERCENT = 5, 80
+SIGNATURE_WORDS = 4   # 64-bit words of the parity signature that bounds the difference of two sets
 SCREEN_PART = 20      # the screen asks for one in SCREEN_PART tokens (at least one) beyond what a partner may lack
 STAR_ROUNDS = 3       # star rounds at most; the exhaustive step after them makes the links whole
 WORD_CACHE = 500_000  # word hashes kept per task; restarted when full
@@ -133,42 +134,61 @@ def _ceil_div(a, b: int):
     return F.call_function("div", a + F.lit(b - 1), F.lit(b))
 
 
+def _peeled(sets: DataFrame, percent: int) -> DataFrame:
+    """The sets of which enough tokens occur in another set of ``sets``; the others have no partner."""
+    tokens = sets.select("s", F.explode("toks").alias("t"))
+    common = tokens.groupBy("t").agg(F.count("*").alias("df")).where("df > 1").select("t")
+    held = tokens.join(common, "t", "left_semi").groupBy("s").agg(F.count("*").alias("held"))
+    return sets.join(held, "s").where(F.col("held") >= _ceil_div(F.col("n") * percent, 100)).drop("held")
+
+
 def _forms(sets: DataFrame, percent: int) -> DataFrame:
-    """(s, n, u, ix, pr, r1, r2, h, toks): sets that share enough tokens, with their prefixes under three orders.
+    """(s, n, u, sig, ix, pr, r1, r2, h, toks): sets that share enough tokens, with their prefixes under three orders.
 
     ``u`` tokens occur in no other set; they lead under R1 and R2 and match nothing, so the
     prefixes hold only what follows them."""
     tokens = sets.select("s", F.explode("toks").alias("t"))
     common = tokens.groupBy("t").agg(F.count("*").alias("df")).where("df > 1")
-    rows = tokens.join(common, "t").groupBy("s").agg(
-        F.sort_array(F.collect_list(F.struct("df", "t"))).alias("c1"),
-        F.sort_array(F.collect_list(F.struct("df", F.xxhash64("t").alias("x"), "t"))).alias("c2"))
+    rows = tokens.join(common, "t").groupBy("s").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("c1"))
+    other = F.sort_array(F.transform("c1", lambda c: F.struct(c["df"].alias("df"), F.xxhash64(c["t"]).alias("x"), c["t"].alias("t"))))
     n = F.col("n")
     least = _ceil_div(n * percent, 100)
     pr = n - least + 1
     ix = n - _ceil_div(n * 2 * percent, 100 + percent) + 1
+    # parity of the common tokens per bit: bits that differ prove tokens that differ
+    place = F.transform("c1", lambda c: F.pmod(F.xxhash64(c["t"], F.lit(3)), F.lit(64 * SIGNATURE_WORDS)).cast("int"))
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+
+    def word(w: int):
+        mine = F.filter("place", lambda i: (i >= 64 * w) & (i < 64 * (w + 1)))
+        return F.aggregate(mine, zero, lambda a, i: a.bitwiseXOR(F.call_function("shiftleft", one, i - 64 * w)))
+
+    rows = rows.withColumn("place", place).select("s", "c1", F.array(*[word(w) for w in range(SIGNATURE_WORDS)]).alias("sig"))
     out = sets.join(rows, "s").select(
-        "s", "n", (n - F.size("c1")).alias("u"), ix.alias("ix"), pr.alias("pr"), "c1", "c2", "toks", least.alias("least"))
+        "s", "n", "sig", (n - F.size("c1")).alias("u"), ix.alias("ix"), pr.alias("pr"), "c1", other.alias("c2"), "toks", least.alias("least"))
     left = F.greatest(F.col("pr") - F.col("u"), F.lit(0)).cast("int")
     return out.where("n - u >= least").select(
-        "s", "n", "u", "ix", "pr", F.slice(F.col("c1.t"), F.lit(1), left).alias("r1"),
+        "s", "n", "u", "sig", "ix", "pr", F.slice(F.col("c1.t"), F.lit(1), left).alias("r1"),
         F.slice(F.col("c2.t"), F.lit(1), left).alias("r2"),
         F.slice("toks", F.lit(1), F.col("pr").cast("int")).alias("h"), "toks")
 
 
 def _may_link(percent: int):
-    """Join condition on an index row a and a probe row b of one token: length, rare tokens, position."""
+    """Join condition on an index row a and a probe row b of one token: length, rare tokens, position,
+    and at most |a| + |b| - 2 * need tokens that only one has, rare ones and those of the signature."""
     c = F.col
     need = _ceil_div((c("a_n") + c("b_n")) * percent, 100 + percent)
     order = (c("a_n") < c("b_n")) | ((c("a_n") == c("b_n")) & (c("a") < c("b")))
     rare = F.least(c("a_n") - c("a_u"), c("b_n") - c("b_u")) >= need
     place = (F.least(c("a_at") - c("a_u"), c("b_at") - c("b_u"))
              + F.least(c("a_n") - c("a_at"), c("b_n") - c("b_at"))) >= need
-    return order & (c("a_n") * 100 >= c("b_n") * percent) & rare & place
+    differ = c("a_u") + c("b_u") + sum(F.bit_count(c("a_sig")[w].bitwiseXOR(c("b_sig")[w])) for w in range(SIGNATURE_WORDS))
+    return (order & (c("a_n") * 100 >= c("b_n") * percent) & rare & place
+            & (differ <= c("a_n") + c("b_n") - need * 2))
 
 
 def _side(rows: DataFrame, p: str) -> DataFrame:
-    return rows.select("t", F.col("s").alias(p), *[F.col(x).alias(f"{p}_{x}") for x in ("n", "u", "at", "comp")])
+    return rows.select("t", F.col("s").alias(p), *[F.col(x).alias(f"{p}_{x}") for x in ("n", "u", "sig", "at", "comp")])
 
 
 def _verified(pairs: DataFrame, forms: DataFrame, percent: int) -> DataFrame:
@@ -190,9 +210,11 @@ def _verified(pairs: DataFrame, forms: DataFrame, percent: int) -> DataFrame:
 def set_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(node, root) of every linked set of ``sets`` (s, n, toks): components of the Jaccard links."""
     spark = sets.sparkSession
+    # what only sets without a partner share counts as rare from then on
+    sets = shared_table(_peeled(sets, percent), "jaccard-peeled")
     forms = shared_table(_forms(sets, percent), "jaccard-forms")
-    postings = shared_table(forms.select("s", "n", "u", "ix", F.posexplode("r1").alias("k", "t")).select(
-        "t", "s", "n", "u", (F.col("u") + F.col("k")).alias("at"),
+    postings = shared_table(forms.select("s", "n", "u", "sig", "ix", F.posexplode("r1").alias("k", "t")).select(
+        "t", "s", "n", "u", "sig", (F.col("u") + F.col("k")).alias("at"),
         (F.col("u") + F.col("k") < F.col("ix")).alias("indexed")), "jaccard-postings")
     labels = spark.createDataFrame([], "node bigint, root bigint")
     links = spark.createDataFrame([], "a bigint, b bigint")
@@ -210,7 +232,7 @@ def set_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         # the first hub is the smallest set, later ones are picked by a hash that changes with the round
         rank = F.struct("n", "s") if turn == 0 else F.struct(F.xxhash64("s", F.lit(turn)), "s")
         hub = rows.where("indexed").groupBy("t").agg(
-            F.min_by(F.struct("s", "n", "u", "at", "comp"), rank).alias("hub")).select("t", "hub.*")
+            F.min_by(F.struct("s", "n", "u", "sig", "at", "comp"), rank).alias("hub")).select("t", "hub.*")
         both = _side(hub, "a").join(_side(rows, "b"), "t").where("a_comp <> b_comp").where(_may_link(percent))
         found = shared_table(_verified(both.select("a", "b").distinct(), forms, percent), "jaccard-links")
         if not found.limit(1).count():
@@ -245,11 +267,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marks = shared_table(set_marks(docs, id_col, text_col, shingle, percent)
                          .withColumn("row", F.monotonically_increasing_id()), "jaccard-marks")
     filled = marks.where("n > 0")
-    # order H: leading tokens that another set has among its own leading tokens
-    brief = F.xxhash64("digest")
-    heads = filled.select("row", brief.alias("of"), F.explode("head").alias("t"))
-    shared = heads.groupBy("t").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo <> hi").select("t")
-    hits = heads.select("row", "t").join(shared, "t", "left_semi").groupBy("row").agg(F.count("*").alias("hits"))
+    # order H: leading tokens that another row has among its own; copies pass, too, and are one set from then on
+    heads = filled.select("row", F.explode("head").alias("t"))
+    shared = heads.groupBy("t").agg(F.count("*").alias("rows")).where("rows > 1").select("t")
+    hits = heads.join(shared, "t", "left_semi").groupBy("row").agg(F.count("*").alias("hits"))
     asked = _ceil_div(_ceil_div(F.col("n") * percent, 100), SCREEN_PART)
     live = (filled.select("row", "doc", "n", "digest").join(hits, "row").where(F.col("hits") >= asked)
             .groupBy("digest").agg(F.min("doc").alias("doc")))

@@ -12,8 +12,8 @@ A search starts at a high threshold, which is lowered only for anchors whose
 windows have not filled.
 
 Two searches (positives, then negatives in the score windows these give), each
-of two passes: first every anchor meets one block of rows, whose k-th best
-score bounds the threshold from below, then all blocks at that threshold.
+of two passes: first every anchor meets one block of rows with falling
+thresholds, whose k-th best score then is the threshold for all blocks.
 """
 
 from __future__ import annotations
@@ -28,7 +28,8 @@ from arenaspark.llm.common import release_memory, shared_table
 ANCHOR_EVERY, POSITIVES, NEGATIVES = 50, 5, 3
 ANCHOR_BLOCK, ROW_BLOCK = 2048, 16384   # tile sides: bound the memory of a task, never the result
 SLICE_A, SLICE_B = 512, 4096            # a tile is worked through in slices of so many anchors and rows
-PANEL = 8                               # dimensions accumulated between two prunings
+PANEL = 16                              # dimensions accumulated between two prunings
+SPARSE = 0.05                           # share of live pairs under which they are accumulated one by one
 LOWERINGS = 4                           # steps from the starting threshold down to the floor
 _FIELDS = "rid bigint, w int, vec_id bigint, score bigint"
 _SCORES = (-(1 << 62), 1 << 62)         # windows are open at these ends; larger scores are clipped to them
@@ -73,25 +74,33 @@ def threshold_join(x: np.ndarray, xn: np.ndarray, y: np.ndarray, yn: np.ndarray,
     rows = np.flatnonzero(cut > 0) if np.isfinite(least.min(initial=np.inf)) else np.arange(len(y))
     postings = np.where(np.arange(y.shape[1])[None, :] < cut[:, None], y, 0.0)[rows]
     live = allowed[:, rows]
-    partial = np.zeros(live.shape)
-    for k in range(0, y.shape[1], PANEL):
-        if not len(rows):
-            break
-        end = min(k + PANEL, y.shape[1])
-        partial += x[:, k:end] @ postings[:, k:end].T
+    kind = np.float32 if slack < 2.0 ** 20 * 1e-9 + 1 else np.float64  # whole numbers up to 2^24 are exact in the short form
+    partial = np.zeros(live.shape, kind)
+    need = (least - slack)[:, None]
+    k, width = 0, y.shape[1]
+    while k < width and len(rows) and live.mean() > SPARSE:
+        end = min(k + PANEL, width)
+        partial += x[:, k:end].astype(kind) @ postings[:, k:end].T.astype(kind)
         # what is to come: indexed dimensions after this panel and those omitted
-        first = np.minimum(cut[rows], end)
-        rest = np.where(cut[rows] >= end, yn[rows, end], yn[rows, first])
-        ahead = xn[:, end][:, None] * rest[None, :]
-        short = cut[rows] < end
+        at = np.minimum(cut[rows], end)
+        ahead = xn[:, end][:, None] * yn[rows, at][None, :]
+        short = at < end
         if short.any():  # an omitted part that overlaps this panel is bounded by the norms from the cut on
-            ahead[:, short] = xn[:, first[short]] * rest[short][None, :]
-        live &= partial + ahead + slack >= least[:, None]
+            ahead[:, short] = xn[:, at[short]] * yn[rows[short], at[short]][None, :]
+        live &= partial + ahead >= need
         keep = live.any(axis=0)
         if not keep.all():
             rows, postings, live, partial = rows[keep], postings[keep], live[:, keep], partial[:, keep]
+        k = end
     a, b = np.nonzero(live)
-    b = rows[b]
+    part, b = partial[a, b].astype(np.float64), rows[b]
+    while k < width and len(a):  # few pairs left: only their own dimensions
+        end = min(k + PANEL, width)
+        indexed = np.arange(k, end)[None, :] < cut[b][:, None]
+        part += np.einsum("ij,ij->i", x[a, k:end], np.where(indexed, y[b, k:end], 0.0))
+        at = np.minimum(cut[b], end)
+        stay = part + xn[a, at] * yn[b, at] >= need[a, 0]
+        a, b, part, k = a[stay], b[stay], part[stay], end
     score = _exact(x[a], y[b])
     ok = score >= least[a] if len(score) else np.zeros(0, bool)
     ok = np.asarray(ok, bool)
@@ -109,10 +118,10 @@ def _first(keys: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> np.n
     return order[np.arange(len(order)) - start < k]
 
 
-def fill_windows(x, xn, y, yn, ids, allowed, low, high, k):
+def fill_windows(x, xn, y, yn, ids, allowed, low, high, k, lowerings=LOWERINGS):
     """(anchor, window, row, score): the first ``k`` rows of each window [low, high] (anchors x windows).
 
-    The threshold falls from under the top of the windows to their floor, in ``LOWERINGS``
+    The threshold falls from under the top of the windows to their floor, in ``lowerings``
     steps at most, only for anchors with an unfilled window."""
     wide = low <= high
     floor = np.nextafter(np.where(wide, low, np.inf).min(axis=1, initial=np.inf), -np.inf)
@@ -121,11 +130,11 @@ def fill_windows(x, xn, y, yn, ids, allowed, low, high, k):
     top = np.minimum(np.where(wide, high, -np.inf).max(axis=1, initial=-np.inf), reach)
     open_ = np.flatnonzero(wide.any(axis=1) & (floor <= reach + 1 + 1e-9 * reach))
     out = []
-    for step in range(LOWERINGS + 1):
+    for step in range(lowerings + 1):
         if not len(open_):
             break
         base = np.maximum(floor[open_], -reach[open_])
-        least = floor[open_] if step == LOWERINGS else base + (top[open_] - base) * 0.75 * (1 - step / LOWERINGS)
+        least = floor[open_] if step == lowerings else base + (top[open_] - base) * 0.75 * (1 - step / lowerings)
         a, b, score = threshold_join(x[open_], xn[open_], y, yn, least, allowed[open_])
         full = np.ones(len(open_), bool)
         found = []
@@ -148,7 +157,7 @@ def fill_windows(x, xn, y, yn, ids, allowed, low, high, k):
     return tuple(np.concatenate([np.asarray(o[i], object) if o[3].dtype == object and i == 3 else o[i] for o in out]) for i in range(4))
 
 
-def _tile(order: list[int], same: bool, k: int):
+def _tile(order: list[int], same: bool, k: int, lowerings: int):
     """Search of one tile: anchors with their windows against a block of rows."""
 
     def run(anchors: pa.Table, rows: pa.Table) -> pa.Table:
@@ -166,7 +175,7 @@ def _tile(order: list[int], same: bool, k: int):
                     q = slice(j, j + SLICE_B)
                     allowed = (xl[p][:, None] == yl[q][None, :]) == same
                     allowed &= rid[p][:, None] != number[q][None, :]
-                    a, w, b, s = fill_windows(x[p], xn[p], y[q], yn[q], ids[q], allowed, low[p], high[p], k)
+                    a, w, b, s = fill_windows(x[p], xn[p], y[q], yn[q], ids[q], allowed, low[p], high[p], k, lowerings)
                     parts.append((rid[p][a], w, ids[q][b], s))
         cols = [np.concatenate([c[i] for c in parts]) if parts else np.zeros(0, np.int64) for i in range(4)]
         if cols[3].dtype == object:
@@ -192,7 +201,8 @@ def _search(rows: DataFrame, anchors: DataFrame, blocks: int, groups: int, order
     left = anchors.withColumn("r", F.explode(F.array(F.pmod(F.col("g"), F.lit(blocks))) if seed else
                                              F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = rows.withColumn("g", F.explode(mine))
-    found = left.groupBy("g", "r").cogroup(right.groupBy("g", "r")).applyInArrow(_tile(order, same, k), _FIELDS)
+    found = left.groupBy("g", "r").cogroup(right.groupBy("g", "r")).applyInArrow(
+        _tile(order, same, k, LOWERINGS if seed else 0), _FIELDS)
     place = F.row_number().over(Window.partitionBy("rid", "w").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k)
 

@@ -8,13 +8,17 @@ dropped; the stadium lookup is keyed on (stadium, city) (trap T7).
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arenaspark.functions.exprs import goal_diff, result_code
+from arenaspark.operators.keys import merge_key_map
 from arenaspark.operators.windows import dense_keys
 from arenaspark.session import broadcast_if_small
-from arenaspark.sources.io import write_table
+from arenaspark.sources.tableset import TableSet
 from arenaspark.specs import ContestSpec
 
 
@@ -29,13 +33,15 @@ def entity_names(contests: DataFrame, spec: ContestSpec = ContestSpec()) -> Data
 
 def build_dim_team(contests: DataFrame, team_stats: DataFrame | None = None,
                    win_rate: DataFrame | None = None, titles: DataFrame | None = None,
-                   spec: ContestSpec = ContestSpec()) -> DataFrame:
+                   spec: ContestSpec = ContestSpec(), keys: bool = True) -> DataFrame:
     """team_id, team_name, games_played, win_rate, titles.
 
     When one table carries both games_played and win_rate (the one-aggregate
-    summary), it is joined once.
+    summary), it is joined once. Without ``keys`` there is no team_id.
     """
-    d = dense_keys(entity_names(contests, spec), ["team_name"], "team_id")
+    d = entity_names(contests, spec)
+    if keys:
+        d = dense_keys(d, ["team_name"], "team_id")
     if team_stats is not None and win_rate is None and "win_rate" in team_stats.columns:
         d = d.join(team_stats.select(F.col("team").alias("team_name"), "games_played", "win_rate"),
                    "team_name", "left")
@@ -55,12 +61,16 @@ def build_dim_edition(editions: DataFrame) -> DataFrame:
     return editions.select(*cols).withColumnRenamed("year", "edition_year")
 
 
-def build_dim_stadium(contests: DataFrame, spec: ContestSpec = ContestSpec()) -> DataFrame:
-    """Distinct (stadium, city) pairs with a stadium, keyed 1..n (U6, W7); city null when contests have none."""
+def stadium_names(contests: DataFrame, spec: ContestSpec = ContestSpec()) -> DataFrame:
+    """Distinct (stadium, city) pairs with a stadium (U6); city null when contests have none."""
     city = F.col(spec.city) if spec.city in contests.columns else F.lit(None).cast("string")
-    pairs = (contests.select(F.col(spec.venue).alias("stadium"), city.alias("city"))
-             .where(F.col("stadium").isNotNull()).distinct())
-    return dense_keys(pairs, ["stadium", "city"], "stadium_id")
+    return (contests.select(F.col(spec.venue).alias("stadium"), city.alias("city"))
+            .where(F.col("stadium").isNotNull()).distinct())
+
+
+def build_dim_stadium(contests: DataFrame, spec: ContestSpec = ContestSpec()) -> DataFrame:
+    """The stadium pairs keyed 1..n."""
+    return dense_keys(stadium_names(contests, spec), ["stadium", "city"], "stadium_id")
 
 
 def build_fact_matches(contests: DataFrame, dim_team: DataFrame, dim_stadium: DataFrame | None,
@@ -142,6 +152,35 @@ def star_join(spark: SparkSession, fact: DataFrame, dim_team: DataFrame, stage:
         """, fact=fact, dim=dim_team, stage=stage)
 
 
+def edition_join(spark: SparkSession, fact: DataFrame, dim_team: DataFrame, edition: int) -> DataFrame:
+    """The star join for one edition (J7); on facts partitioned by edition only its folder is opened."""
+    return spark.sql(
+        """
+        SELECT f.date, h.team_name AS home_team, a.team_name AS away_team, f.home_score, f.away_score, f.stage, f.result
+        FROM {fact} f
+        JOIN {dim} h ON f.home_team_id = h.team_id
+        JOIN {dim} a ON f.away_team_id = a.team_id
+        WHERE f.edition_year = {edition}
+        """, fact=fact, dim=dim_team, edition=edition)
+
+
+def title_editions_join(spark: SparkSession, fact: DataFrame, dim_edition: DataFrame, dim_team: DataFrame, winner: str) -> DataFrame:
+    """Contests of the editions that ``winner`` won, per edition.
+
+    The editions come from the dimension at run time; the facts' partitions are pruned by them."""
+    return spark.sql(
+        """
+        SELECT f.edition_year, count(*) AS matches, sum(f.home_score + f.away_score) AS goals,
+               count_if(h.team_name = e.winner OR a.team_name = e.winner) AS winner_matches
+        FROM {fact} f
+        JOIN {editions} e ON f.edition_year = e.edition_year
+        JOIN {dim} h ON f.home_team_id = h.team_id
+        JOIN {dim} a ON f.away_team_id = a.team_id
+        WHERE e.winner = {winner}
+        GROUP BY f.edition_year
+        """, fact=fact, editions=broadcast_if_small(dim_edition, DIM_MAX_ROWS), dim=dim_team, winner=winner)
+
+
 def dim_top(spark: SparkSession, dim_team: DataFrame, min_games: int = 10, k: int = 10) -> DataFrame:
     """WHERE games_played >= k ORDER BY win_rate DESC LIMIT 10 over the dimension."""
     return spark.sql(
@@ -153,42 +192,55 @@ def dim_top(spark: SparkSession, dim_team: DataFrame, min_games: int = 10, k: in
         """, dim=dim_team, min_games=min_games, k=k)
 
 
+FACT_PARTITIONS = {"fact_matches": ["edition_year"]}  # one folder per edition: an edition's queries open no other
+
+
+def keyed_dimension(dim: DataFrame, key_map: DataFrame, natural: list[str], key: str) -> DataFrame:
+    """``dim`` with ``key`` from the key map instead of its own."""
+    d, m = dim.drop(key).alias("d"), broadcast_if_small(key_map, DIM_MAX_ROWS).alias("m")
+    on = reduce(lambda x, y: x & y, [F.col(f"d.{c}").eqNullSafe(F.col(f"m.{c}")) for c in natural])
+    return d.join(m, on).select(f"m.{key}", "d.*")
+
+
 def load_warehouse(spark: SparkSession, contests: DataFrame, editions: DataFrame, stages: list[str],
-                   root: str, spec: ContestSpec = ContestSpec()) -> dict[str, int]:
-    """Build and replace the seven warehouse tables (S6); rows per table.
+                   root: str, spec: ContestSpec = ContestSpec(), stable_keys: bool = False,
+                   extra: Mapping[str, DataFrame] | None = None) -> dict[str, int]:
+    """Build the seven warehouse tables and replace the set as a whole (S6); rows per table.
 
     Dimensions are written first and read back, so the facts look up the
     keys of the written dimensions (each dimension is computed once, and the
-    facts never depend on recomputing it).
+    facts never depend on recomputing it). Keys number the names from 1, or,
+    with ``stable_keys``, are hash keys kept in the tables key_team and
+    key_stadium of the set: a later load adds names and leaves known keys.
+    Facts are partitioned by edition. ``extra`` tables replace or join the seven.
     """
     from arenaspark.operators.contests import A1_COLUMNS, stage_matrix, title_counts, two_sided_summary
 
-    root = root.rstrip("/")
+    target = TableSet(spark, root)
+    had = set(target.tables())
     summary = two_sided_summary(contests, spec)
     stats = summary.select(*A1_COLUMNS)
-    dims = {
-        "dim_team": build_dim_team(contests, summary, None, title_counts(editions), spec),
+    titles = title_counts(editions)
+    tables: dict = {}
+    if stable_keys:
+        def key_map(name: str, names: DataFrame, natural: list[str], key: str) -> DataFrame:
+            return merge_key_map(target.read(name) if name in had else None, names, natural, key)
+
+        place = ["stadium", "city"]
+        tables["key_team"] = lambda _: key_map("key_team", entity_names(contests, spec), ["team_name"], "team_id")
+        tables["key_stadium"] = lambda _: key_map("key_stadium", stadium_names(contests, spec), place, "stadium_id")
+        tables["dim_team"] = lambda t: keyed_dimension(
+            build_dim_team(contests, summary, None, titles, spec, keys=False), t("key_team"), ["team_name"], "team_id")
+        tables["dim_stadium"] = lambda t: keyed_dimension(stadium_names(contests, spec), t("key_stadium"), place, "stadium_id")
+    else:
+        tables["dim_team"] = build_dim_team(contests, summary, None, titles, spec)
+        tables["dim_stadium"] = build_dim_stadium(contests, spec)
+    tables |= {
         "dim_edition": build_dim_edition(editions),
-        "dim_stadium": build_dim_stadium(contests, spec),
-    }
-    counts = write_warehouse(dims, root)
-    dim_team = spark.read.parquet(f"{root}/dim_team")
-    dim_stadium = spark.read.parquet(f"{root}/dim_stadium")
-    facts = {
-        "fact_matches": build_fact_matches(contests, dim_team, dim_stadium, spec),
-        "fact_team_performance": with_team_id(stats, dim_team),
-        "fact_phase_performance": with_team_id(stage_matrix(contests, stages, spec), dim_team),
+        "fact_matches": lambda t: build_fact_matches(contests, t("dim_team"), t("dim_stadium"), spec),
+        "fact_team_performance": lambda t: with_team_id(stats, t("dim_team")),
+        "fact_phase_performance": lambda t: with_team_id(stage_matrix(contests, stages, spec), t("dim_team")),
         "fact_head_to_head": head_to_head(contests, spec),
+        **(extra or {}),
     }
-    counts.update(write_warehouse(facts, root))
-    return counts
-
-
-def write_warehouse(tables: dict[str, DataFrame], root: str, fmt: str = "parquet",
-                    partition_by: dict[str, list[str]] | None = None) -> dict[str, int]:
-    """Replace every table under ``root`` (S6); returns rows written per
-    table, observed during the write (S7)."""
-    partition_by = partition_by or {}
-    return {name: write_table(df, f"{root.rstrip('/')}/{name}", fmt=fmt,
-                              partition_by=partition_by.get(name))
-            for name, df in tables.items()}
+    return target.load(tables, FACT_PARTITIONS)

@@ -19,6 +19,7 @@ from arenaspark.operators import clean, contests as C, model as M, warehouse as
 from arenaspark.operators.windows import pre_event_features
 from arenaspark.session import shared_table
 from arenaspark.sources.io import empty_frame, exists, read_catalog, read_csv, write_csv
+from arenaspark.sources.tableset import TableSet
 
 # File stems the flow looks for (fixed values of the source layout)
 MATCHES_MAIN = "matches_1930_2022"
@@ -159,22 +160,18 @@ def run(spark: SparkSession, raw_root: str, out_root: str, with_model: bool = Tr
     t = build_tables(read_sources(spark, raw_root))
     counts: dict[str, int] = {}
     if t.matches is not None:
-        dim_team = W.build_dim_team(t.matches, t.team_stats, t.win_rate, t.titles)
-        tables = {"dim_team": dim_team, "dim_edition": W.build_dim_edition(t.worldcup)}
+        tables = {"dim_team": W.build_dim_team(t.matches, t.team_stats, t.win_rate, t.titles),
+                  "dim_edition": W.build_dim_edition(t.worldcup)}
         if "stadium" in t.matches.columns:
             tables["dim_stadium"] = W.build_dim_stadium(t.matches)
-        counts.update(W.write_warehouse(tables, f"{out_root}/warehouse"))
-        dim_team_w = spark.read.parquet(f"{out_root}/warehouse/dim_team")
-        dim_stadium_w = (spark.read.parquet(f"{out_root}/warehouse/dim_stadium")
-                         if "dim_stadium" in tables else None)
-        facts = {"fact_matches": W.build_fact_matches(t.matches, dim_team_w, dim_stadium_w)}
+        tables["fact_matches"] = lambda r: W.build_fact_matches(t.matches, r("dim_team"), r("dim_stadium") if "dim_stadium" in tables else None)
         if t.team_stats is not None:
-            facts["fact_team_performance"] = W.with_team_id(t.team_stats, dim_team_w)
+            tables["fact_team_performance"] = lambda r: W.with_team_id(t.team_stats, r("dim_team"))
         if t.phase_performance is not None:
-            facts["fact_phase_performance"] = W.with_team_id(t.phase_performance, dim_team_w)
+            tables["fact_phase_performance"] = lambda r: W.with_team_id(t.phase_performance, r("dim_team"))
         if t.head_to_head is not None:
-            facts["fact_head_to_head"] = t.head_to_head
-        counts.update(W.write_warehouse(facts, f"{out_root}/warehouse"))
+            tables["fact_head_to_head"] = t.head_to_head
+        counts.update(TableSet(spark, f"{out_root}/warehouse").load(tables, W.FACT_PARTITIONS))
     raw_app, scoring_path = f"{raw_root}/compets/{APPEARANCES}.csv", f"{raw_root}/compets/{SCORING}.csv"
     if not exists(spark, raw_app):
         return counts

@@ -652,6 +652,27 @@ FROM {_FACT} f
 JOIN {_DIM_TEAM_PLAIN} h ON f.home_team_id = h.team_id
 JOIN {_DIM_TEAM_PLAIN} a ON f.away_team_id = a.team_id
 WHERE f.stage = '{Q.FINAL_STAGE}'"""),
+        "edition_join": sql(["lf"], f"""
+SELECT f.date, h.team_name AS home_team, a.team_name AS away_team, f.home_score, f.away_score, f.stage, f.result
+FROM {_FACT} f
+JOIN {_DIM_TEAM_PLAIN} h ON f.home_team_id = h.team_id
+JOIN {_DIM_TEAM_PLAIN} a ON f.away_team_id = a.team_id
+WHERE f.edition_year = {Q.JOIN_EDITION}"""),
+        "title_editions_join": sql(["lf", "editions_v"], f"""
+SELECT f.edition_year, count(*) AS matches, CAST(sum(f.home_score + f.away_score) AS BIGINT) AS goals,
+       count(*) FILTER (WHERE h.team_name = e.winner OR a.team_name = e.winner) AS winner_matches
+FROM {_FACT} f JOIN editions_v e ON f.edition_year = e.year
+JOIN {_DIM_TEAM_PLAIN} h ON f.home_team_id = h.team_id
+JOIN {_DIM_TEAM_PLAIN} a ON f.away_team_id = a.team_id
+WHERE e.winner = (SELECT winner FROM editions_v WHERE winner IS NOT NULL GROUP BY winner ORDER BY count(*) DESC, winner LIMIT 1)
+GROUP BY f.edition_year"""),
+        "warehouse_reload": sql(["contests_v"], f"""
+SELECT t.team_name, f.team_name IS NOT NULL AS in_first_load, CASE WHEN f.team_name IS NOT NULL THEN true END AS key_kept,
+       (SELECT count(*) FROM contests_v c WHERE c.home_team = t.team_name) AS home_matches
+FROM (SELECT home_team AS team_name FROM contests_v UNION SELECT away_team FROM contests_v) t
+LEFT JOIN (SELECT home_team AS team_name FROM contests_v WHERE home_team < '{Q.FIRST_LOAD_BELOW}' AND away_team < '{Q.FIRST_LOAD_BELOW}'
+           UNION SELECT away_team FROM contests_v WHERE home_team < '{Q.FIRST_LOAD_BELOW}' AND away_team < '{Q.FIRST_LOAD_BELOW}') f
+  ON f.team_name = t.team_name WHERE t.team_name IS NOT NULL"""),
         "dim_top10_winrate": sql(["lf", "editions_v"], f"""
 SELECT team_name, win_rate, games_played FROM dim_team WHERE games_played >= {Q.MIN_GAMES_DIM}
 ORDER BY win_rate DESC, team_name LIMIT 10""", [("dim_team", _DIM_TEAM_BODY)]),

@@ -21,6 +21,7 @@ from arenaspark.operators import stats as S, warehouse as W, windows as WD
 from arenaspark.plans import bindings as B
 from arenaspark.plans.workspace import workspace as V
 from arenaspark.sources import io
+from arenaspark.sources.tableset import TableSet
 from arenaspark.specs import ContestSpec, PanelSpec, ProfileSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,8 @@ REGISTRY: dict[str, Query] = {}
 # Parameters of the registered queries (the reference's defaults, bound to this data)
 STAGES = ["1-urgent", "2-high", "3-medium", "4-not specified", "5-low"]
 FINAL_STAGE = "1-urgent"
+JOIN_EDITION = 1997
+FIRST_LOAD_BELOW = "J"  # the first of two loads has the contests among names before this one
 LOOKUP_DECADES = [1930, 1990, 2000, 2010]
 MIN_APPEARANCES = 3
 MIN_MATCHES_FACTORS = 10
@@ -494,7 +497,8 @@ def _warehouse(spark, sf) -> tuple[str, dict[str, int]]:
 
 
 def _table(spark, sf, name: str) -> DataFrame:
-    return spark.read.parquet(f"{_warehouse(spark, sf)[0]}/{name}")
+    """A table of the warehouse's current load, found through its manifest."""
+    return TableSet(spark, _warehouse(spark, sf)[0]).read(name)
 
 
 @query("fact_matches")
@@ -530,15 +534,56 @@ def q_dim_top10_winrate(spark, sf):
 
 @query("warehouse_load")
 def q_warehouse_load(spark, sf):
-    """The seven warehouse tables read back after the load (S6): rows, rows
+    """The seven warehouse tables read back after the load through its manifest (S6): rows, rows
     observed during each write (S7), and a content sum over keys and measures."""
-    observed = _warehouse(spark, sf)[1]
+    observed = TableSet(spark, _warehouse(spark, sf)[0]).rows()
     parts = [_table(spark, sf, name).agg(F.count(F.lit(1)).alias("rows"), F.expr(f"sum({e})").cast("long").alias("content"))
              .select(F.lit(name).alias("table"), "rows", F.lit(observed[name]).cast("long").alias("observed"), "content")
              for name, e in WAREHOUSE_SUMS.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
+@query("edition_join")
+def q_edition_join(spark, sf):
+    """The latest full edition's contests by name; one partition of the facts is opened."""
+    return W.edition_join(spark, _table(spark, sf, "fact_matches"), _table(spark, sf, "dim_team"), JOIN_EDITION)
+
+
+@query("title_editions_join")
+def q_title_editions_join(spark, sf):
+    """Contests of the editions that the most frequent winner won; partitions are pruned at run time."""
+    editions = _table(spark, sf, "dim_edition")
+    wins = editions.where("winner IS NOT NULL").groupBy("winner").count()
+    best = wins.agg(F.min_by("winner", F.struct(-F.col("count"), "winner"))).first()[0]
+    return W.title_editions_join(spark, _table(spark, sf, "fact_matches"), editions, _table(spark, sf, "dim_team"), best)
+
+
+@query("warehouse_reload")
+def q_warehouse_reload(spark, sf):
+    """Two loads with stable keys: contests between the first names, then all.
+
+    Per team: whether the first load had it, whether the second left its key, and its home contests
+    found through the second load's keys."""
+    ws = V(spark, sf)
+    c = ws.contests()
+
+    def loads(path: str) -> str:
+        early = c.where((F.col("home_team") < FIRST_LOAD_BELOW) & (F.col("away_team") < FIRST_LOAD_BELOW))
+        W.load_warehouse(spark, early, ws.editions(), STAGES, path, stable_keys=True)
+        TableSet(spark, path).read("key_team").write.parquet(f"{path}-first")
+        W.load_warehouse(spark, c, ws.editions(), STAGES, path, stable_keys=True)
+        return path
+
+    path = ws.once("warehouse-reload", loads)
+    now = TableSet(spark, path)
+    first = spark.read.parquet(f"{path}-first").select("team_name", F.col("team_id").alias("first_id"))
+    home = now.read("fact_matches").groupBy(F.col("home_team_id").alias("team_id")).agg(F.count("*").alias("home_matches"))
+    return (now.read("dim_team").join(first, "team_name", "left").join(home, "team_id", "left")
+            .select("team_name", F.col("first_id").isNotNull().alias("in_first_load"),
+                    (F.col("first_id") == F.col("team_id")).alias("key_kept"),
+                    F.coalesce("home_matches", F.lit(0)).alias("home_matches")))
+
+
 # ----------------------------------------------------- pre-event features
 def _cust_spec():
     return dict(gap=B.CUST_GAP, exceptions=B.CUST_GAP_EXCEPTIONS)

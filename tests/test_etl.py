@@ -5,6 +5,7 @@ import os
 import tempfile
 
 from arenaspark.plans import etl
+from arenaspark.sources.tableset import TableSet
 from conftest import rows
 
 
@@ -106,5 +107,5 @@ def test_optional_columns_may_be_absent(spark):
                                                      "goals_conceded\na,1990,Winner,7,6,15,5\n")
     counts = etl.run(spark, root, f"{root}/out", with_model=False)
     assert counts["fact_matches"] == 1 and counts["dim_stadium"] == 1 and counts["dim_edition"] == 0
-    f = spark.read.parquet(f"{root}/out/warehouse/fact_matches").first()
+    f = TableSet(spark, f"{root}/out/warehouse").read("fact_matches").first()
     assert (f.home_score, f.stage, f.stadium_id) == (1, None, 1)

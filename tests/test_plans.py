@@ -70,7 +70,18 @@ def test_fact_matches_shuffles_no_fact(spark):
 
 def test_star_join_reads_the_written_warehouse(spark):
     files = Q.REGISTRY["star_join_finals"](spark, SF_SMALL).inputFiles()
-    assert files and all("/warehouse/fact_matches/" in f or "/warehouse/dim_team/" in f for f in files)
+    assert files and all("/warehouse/load-" in f and ("/fact_matches/" in f or "/dim_team/" in f) for f in files)
+
+
+def test_one_edition_opens_one_partition(spark):
+    p = finished_plan(Q.REGISTRY["edition_join"](spark, SF_SMALL))
+    filters = p.split("PartitionFilters: [")[1].split("]")[0]
+    assert "edition_year#" in filters and f" = {Q.JOIN_EDITION})" in filters
+
+
+def test_editions_of_a_winner_prune_partitions_at_run_time(spark):
+    p = finished_plan(Q.REGISTRY["title_editions_join"](spark, SF_SMALL))
+    assert "dynamicpruning" in p.lower()
 
 
 def test_correlation_matrix_has_one_aggregate_per_pair(spark):

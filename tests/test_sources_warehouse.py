@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arenaspark.operators import clean, warehouse as W
+from arenaspark.operators.keys import merge_key_map
 from arenaspark.sources import io
+from arenaspark.sources.tableset import TableSet
 from conftest import rows
 
 
@@ -140,6 +142,74 @@ def test_star_schema(spark):
     assert [(r.home_team, r.away_team) for r in fin] == [("a", "b"), ("c", "a")]
     h2h = {(r.team_a, r.team_b): r for r in W.head_to_head(c).collect()}
     assert h2h[("a", "c")].team_a_wins == 1 and h2h[("a", "c")].team_a_goals == 3
-    d = scratch()
-    counts = W.write_warehouse({"dim_team": dim_team, "fact_matches": fact}, d)
+    counts = TableSet(spark, scratch()).load({"dim_team": dim_team, "fact_matches": fact})
     assert counts == {"dim_team": 3, "fact_matches": 3}
+
+
+def test_table_set_is_replaced_whole_or_not_at_all(spark):
+    s = TableSet(spark, scratch())
+    assert s.tables() == [] and s.manifest() is None
+    names = [f"t{i}" for i in range(7)]
+    s.load({n: spark.range(10 + i) for i, n in enumerate(names)})
+    assert s.rows() == {n: 10 + i for i, n in enumerate(names)}
+    held = s.read("t0")                                     # a reader of the first load
+
+    bad = spark.range(5).select(F.raise_error(F.lit("broken source")).alias("id"))
+    for tables in ({**{n: spark.range(3) for n in names[:3]}, "t3": bad}, {"t0": spark.range(1), "t1": lambda read: read("absent")}):
+        try:
+            s.load(tables)
+            raise AssertionError("the load must fail")
+        except AssertionError:
+            raise
+        except Exception:  # noqa: BLE001 - whatever the store or the job raises
+            pass
+        assert {n: s.read(n).count() for n in names} == {n: 10 + i for i, n in enumerate(names)}
+        assert len(s._versions()) == 1                      # nothing of the failed load is left
+
+    s.load({n: spark.range(2) for n in names[1:]} | {"t9": lambda read: read("t1").union(read("t2"))})
+    assert s.tables() == names[1:] + ["t9"] and s.read("t9").count() == 4 and s.read("t3").count() == 2
+    assert held.count() == 10                               # still readable
+    s.load({"t1": spark.range(1)})
+    assert len(s._versions()) == 2 and s.manifest()["previous"] is not None
+    try:
+        s.read("t9")
+        raise AssertionError
+    except KeyError:
+        pass
+
+
+def test_stable_keys_survive_new_names_and_collisions(spark):
+    def names(*n):
+        return spark.createDataFrame([(x,) for x in n], "name string")
+
+    first = merge_key_map(None, names("b", "c", None, "b"), ["name"], "id")
+    one = {r.name: r.id for r in first.collect()}
+    assert len(one) == 3 and len(set(one.values())) == 3
+    two = {r.name: r.id for r in merge_key_map(first, names("a", "b", "d"), ["name"], "id").collect()}
+    assert {k: two[k] for k in one} == one and set(two) == {"a", "b", "c", "d", None} and len(set(two.values())) == 5
+
+    def poor(*cols):  # salt 0 and 1: one value for all; later salts: the real hash, cut to three values
+        *own, salt = cols
+        return F.when(salt < 2, F.lit(7).cast("bigint")).otherwise(F.pmod(F.xxhash64(*own, salt), F.lit(3)))
+
+    forced = merge_key_map(None, names("x", "y", "z"), ["name"], "id", hash_of=poor)
+    a = {r.name: r.id for r in forced.collect()}
+    assert len(set(a.values())) == 3 and a["x"] == 7        # the smallest name keeps the shared hash
+    b = {r.name: r.id for r in merge_key_map(forced, names("w", "x"), ["name"], "id", hash_of=poor).collect()}
+    assert {k: b[k] for k in a} == a and len(set(b.values())) == 4
+
+
+def test_warehouse_reload_with_stable_keys(spark):
+    c = contests(spark).withColumn("stage", F.lit("final"))
+    editions = spark.createDataFrame([(2000, "p", "a", 3)], "year int, host_country string, winner string, teams int")
+    root = scratch()
+    W.load_warehouse(spark, c.where("home_team = 'b'"), editions, ["final"], root, stable_keys=True)
+    s = TableSet(spark, root)
+    old = {r.team_name: r.team_id for r in s.read("dim_team").collect()}
+    assert set(old) == {"b", "c"}
+    W.load_warehouse(spark, c, editions, ["final"], root, stable_keys=True)
+    new = {r.team_name: r.team_id for r in s.read("dim_team").collect()}
+    assert set(new) == {"a", "b", "c"} and all(new[t] == k for t, k in old.items())
+    assert s.rows()["fact_matches"] == 3 and s.rows()["dim_stadium"] == 3
+    keyed = {(r.home_team_id, r.away_team_id) for r in s.read("fact_matches").collect()}
+    assert keyed == {(new["a"], new["b"]), (new["b"], new["c"]), (new["c"], new["a"])}

@@ -15,7 +15,7 @@ from arenaspark.constants import (
 __all__ = [
     "col_of", "literal_map", "harmonise", "normalise_text", "safe_ratio", "result_code",
     "goal_diff", "total_score", "decade_of", "truthy", "stage_score", "outcome_targets",
-    "clip_lower", "round_half_even", "score_label", "decade_label", "two_label",
+    "clip_lower", "round_half_even", "percent_text", "score_label", "decade_label", "two_label",
     "yes_no_flag",
 ]
 
@@ -102,9 +102,38 @@ def clip_lower(c, lo: float) -> Column:
     return F.greatest(col_of(c), F.lit(lo))
 
 
+_SPLITTER = 134217729.0  # 2^27 + 1: splits a double into two halves whose products are exact
+
+
+def _halves(x):
+    big = x * _SPLITTER
+    high = big - (big - x)
+    return high, x - high
+
+
 def round_half_even(c, digits: int) -> Column:
-    """Half-even rounding, like Python's round on decimals."""
-    return F.bround(col_of(c), digits)
+    """Correctly rounded to ``digits`` decimals, ties to even, as Python's round.
+
+    Decided on the binary value: x * 10^digits is taken as a rounded product and
+    its exact error (both factors split in halves), so 0.0125, which lies above
+    its decimal, becomes 0.013 and 0.0625, a true tie, 0.062. Values too large
+    to have that many decimals, infinities and NaN stay.
+    """
+    if not 0 <= digits <= 15:
+        raise ValueError("0 to 15 decimals")
+    x, scale = col_of(c).cast("double"), 10.0 ** digits
+    product = x * scale
+    (xh, xl), (sh, sl) = _halves(x), _halves(scale)
+    error = ((xh * sh - product) + xh * sl + xl * sh) + xl * sl
+    low = F.floor(product).cast("double")
+    part = product - low
+    up = (part > 0.5) | ((part == 0.5) & ((error > 0) | ((error == 0) & (F.pmod(low, F.lit(2.0)) == 1))))
+    return F.when(F.abs(product) < 2.0 ** 52, (low + F.when(up, 1.0).otherwise(0.0)) / scale).otherwise(x)
+
+
+def percent_text(c, digits: int = 1) -> Column:
+    """'12.5%' of a share, correctly rounded (P25)."""
+    return F.format_string(f"%.{digits}f%%", round_half_even(col_of(c).cast("double") * 100, digits))
 
 
 def score_label(home_score, away_score) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arenaspark.functions.exprs import harmonise, normalise_text
-from arenaspark.sources.io import coerce, parse_number
+from arenaspark.sources.io import coerce, first_date_form, parse_date_as, parse_number
 
 
 def lower_headers(df: DataFrame) -> DataFrame:
@@ -48,8 +48,13 @@ def normalise_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
-def parse_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Coerced date parse, bad values -> null (P5)."""
+def parse_dates(df: DataFrame, columns: Iterable[str], order_column: str | None = None) -> DataFrame:
+    """Coerced date parse, bad values -> null (P5).
+
+    With ``order_column`` (a row's place in its source) a text column is read as
+    a whole: the first value that is there gives the form, and values of another
+    form are null. Without it every value is read by the first form it fits.
+    """
     cols = {}
     for c in columns:
         if c not in df.columns:
@@ -59,6 +64,11 @@ def parse_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
             continue
         if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
             cols[c] = F.to_date(F.col(c))
+        elif order_column:
+            text = F.col(c).cast("string")
+            # one number per column: the form of the first value
+            form = df.where(F.col(c).isNotNull()).agg(F.min_by(first_date_form(text), F.col(order_column))).scalar()
+            cols[c] = parse_date_as(text, form)
         else:
             cols[c] = coerce(F.col(c).cast("string"), T.DateType())
     return df.withColumns(cols) if cols else df

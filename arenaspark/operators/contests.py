@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arenaspark.functions.exprs import (
-    decade_of, goal_diff, result_code, safe_ratio, score_label, total_score,
+    decade_of, goal_diff, result_code, round_half_even, safe_ratio, score_label, total_score,
 )
 from arenaspark.specs import ContestSpec
 
@@ -246,13 +246,35 @@ def histogram(df: DataFrame, value: str, bins: int = 15, by: Sequence[str] = ())
     return h.withColumn("bin_start", F.bround(lo + F.col("bin") * width, ROUND))
 
 
+def rounded_histogram(df: DataFrame, value: str, max_bins: int = 15, by: Sequence[str] = (), whole: bool = True) -> DataFrame:
+    """Histogram on a rounded grid, one grid for all groups.
+
+    The step is the smallest of 1, 2, 5 times a power of ten with which the range of
+    ``value`` needs at most ``max_bins`` bins; with ``whole`` it is no fraction, so whole
+    numbers never share a bin by fractions. Bins start at multiples of the step.
+    """
+    bounds = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
+    lo = bounds.select(F.col("lo").cast("double")).scalar()
+    hi = bounds.select(F.col("hi").cast("double")).scalar()
+    ten = F.pow(F.lit(10.0), F.floor(F.log10(F.greatest((hi - lo) / max_bins, F.lit(1e-300)))) - 1)
+    steps = [ten * (m * 10 ** k) for k in range(4) for m in (1, 2, 5)]
+    fits = [F.when((F.floor(hi / w) - F.floor(lo / w) + 1 <= max_bins) & (F.lit(not whole) | (w >= 1)), w) for w in steps]
+    step = F.when(hi > lo, F.coalesce(*fits)).otherwise(F.lit(1.0))
+    if whole:
+        step = F.greatest(step, F.lit(1.0))
+    place = df.where(F.col(value).isNotNull()).withColumn("step", step)
+    h = (place.withColumn("bin_start", F.floor(F.col(value).cast("double") / F.col("step")) * F.col("step"))
+         .groupBy(*by, "step", "bin_start").agg(F.count(F.lit(1)).alias("count")))
+    return h.withColumns({"bin_start": F.bround("bin_start", ROUND), "step": F.bround("step", ROUND)})
+
+
 def overview_kpis(df: DataFrame, spec: ContestSpec = ContestSpec()) -> DataFrame:
     """Rows, distinct home entities, distinct editions, mean total goals."""
     return df.agg(
         F.count(F.lit(1)).alias("total_matches"),
         F.countDistinct(spec.home).alias("total_teams"),
         F.countDistinct(F.year(spec.date)).alias("total_editions"),
-        F.bround(F.avg(total_score(spec.home_score, spec.away_score, zero_fill=True)), 2)
+        round_half_even(F.avg(total_score(spec.home_score, spec.away_score, zero_fill=True)), 2)
         .alias("avg_goals"),
     )
 

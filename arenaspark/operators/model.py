@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arenaspark.constants import MODEL_DEPTH, MODEL_FEATURES, MODEL_SEED, MODEL_TREES
+from arenaspark.functions.exprs import round_half_even
 from arenaspark.session import broadcast_if_small, cut_lineage
 from arenaspark.operators.stats import arg_best, mode_in_top
 
@@ -132,6 +133,31 @@ def training_metrics(model, train: DataFrame, label: str = "target_top4",
     return c.select(acc, F.inline(F.array(*rows)))
 
 
+def classification_report(model, train: DataFrame, label: str = "target_top4",
+                          features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
+    """The whole report (M3): a row per class, accuracy, and the plain and the support-weighted mean of the classes."""
+    m = training_metrics(model, train, label, features)
+    per = m.select(F.col("class").cast("string").alias("row"), "precision", "recall", "f1", "support")
+    n = F.sum("support")
+    plain = m.agg(*[F.bround(F.avg(c), 6).alias(c) for c in ("precision", "recall", "f1")], n.alias("support"))
+    weighted = m.agg(*[F.bround(F.sum(F.col(c) * F.col("support")) / n, 6).alias(c) for c in ("precision", "recall", "f1")], n.alias("support"))
+    right = m.agg(F.max("accuracy").alias("a"), n.alias("support"))
+    return (per.unionByName(right.select(F.lit("accuracy").alias("row"), F.col("a").alias("precision"), F.col("a").alias("recall"),
+                                         F.col("a").alias("f1"), "support"))
+            .unionByName(plain.select(F.lit("macro avg").alias("row"), "precision", "recall", "f1", "support"))
+            .unionByName(weighted.select(F.lit("weighted avg").alias("row"), "precision", "recall", "f1", "support")))
+
+
+def save_model(model: RandomForestClassificationModel, path: str) -> str:
+    """Write the fitted model as a Spark ML artefact."""
+    model.write().overwrite().save(path)
+    return path
+
+
+def load_model(path: str) -> RandomForestClassificationModel:
+    return RandomForestClassificationModel.load(path)
+
+
 def feature_importance(model: RandomForestClassificationModel,
                        features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
     """Importance per feature, largest first (M4). The model holds one number
@@ -151,7 +177,7 @@ def score_outcomes(model, df: DataFrame, entity: str = "team", group: str = "con
     p = predict(model, df.select(*dict.fromkeys([entity, group, strength, *features])), features)
     prob = vector_to_array("probability")[1]
     out = p.select(F.col(entity).alias("team"), F.col(group).alias("confederation"),
-                   F.col(strength).alias("elo_rating"), F.bround(prob * 100, 1).alias("prob_top4"))
+                   F.col(strength).alias("elo_rating"), round_half_even(prob * 100, 1).alias("prob_top4"))
     return out.orderBy(F.desc("prob_top4"), "team") if ranked else out
 
 

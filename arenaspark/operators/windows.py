@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arenaspark.constants import EDITION_GAP, EDITION_GAP_EXCEPTIONS
-from arenaspark.functions.exprs import outcome_targets, yes_no_flag
+from arenaspark.functions.exprs import outcome_targets, round_half_even, yes_no_flag
 from arenaspark.operators.clean import parse_numbers
 from arenaspark.session import shared_table
 from arenaspark.specs import PanelSpec
@@ -94,8 +94,8 @@ def pre_event_features(panel: DataFrame, spec: PanelSpec = PanelSpec(), null_pol
 
     def rate(num):
         # played > 0 is null when poisoned -> 0.0; a poisoned numerator alone stays null
-        return F.bround(F.when(F.col("__p_played") > 0, F.col(num) / F.col("__p_played"))
-                        .otherwise(F.lit(0.0)), 3)
+        return round_half_even(F.when(F.col("__p_played") > 0, F.col(num) / F.col("__p_played"))
+                               .otherwise(F.lit(0.0)), 3)
 
     df = df.withColumns({
         "is_debut": (F.col("wc_appearances") == 0).cast("int"),

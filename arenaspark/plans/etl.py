@@ -9,6 +9,7 @@ shared storage; everything after reads it.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 from arenaspark.operators import clean, contests as C, model as M, warehouse as W
 from arenaspark.operators.windows import pre_event_features
 from arenaspark.session import shared_table
-from arenaspark.sources.io import empty_frame, exists, read_catalog, read_csv, write_csv
+from arenaspark.sources.io import Catalog, empty_frame, exists, read_csv, write_csv
 from arenaspark.sources.tableset import TableSet
 
 # File stems the flow looks for (fixed values of the source layout)
@@ -74,11 +75,15 @@ class Tables:
     ranking: DataFrame | None
 
 
-def read_sources(spark: SparkSession, raw_root: str) -> dict[str, DataFrame]:
-    """Every file of the two source folders; each row knows its place in its file (column ``ORDER``)."""
-    root = raw_root.rstrip("/")
-    return {**read_catalog(spark, f"{root}/matches", order_column=ORDER),
-            **read_catalog(spark, f"{root}/compets", order_column=ORDER)}
+def read_sources(spark: SparkSession, raw_root: str) -> Catalog:
+    """Every file of the two source folders as group.table; each row knows its place in its file (column ``ORDER``)."""
+    return Catalog.read(spark, raw_root, ["matches", "compets"], order_column=ORDER)
+
+
+def _find(catalog: Mapping[str, DataFrame], group: str, stem: str) -> DataFrame | None:
+    """The table of the group, else the one of that name."""
+    own = catalog.get(f"{group}.{stem}")
+    return own if own is not None else catalog.get(stem)
 
 
 def _prep(stem: str, df: DataFrame | None, basic_clean: bool) -> DataFrame | None:
@@ -100,7 +105,7 @@ def _matches(df: DataFrame | None, source: int) -> DataFrame | None:
     if df is None:
         return None
     df = clean.rename(df, SCORE_ALIASES)
-    df = clean.parse_dates(df, ["date"])
+    df = clean.parse_dates(df, ["date"], ORDER if ORDER in df.columns else None)
     df = clean.parse_numbers(df, {"home_score": "int", "away_score": "int"})
     df = df.withColumn("__src", F.lit(source))
     if {"home_score", "away_score"}.issubset(df.columns):
@@ -108,22 +113,23 @@ def _matches(df: DataFrame | None, source: int) -> DataFrame | None:
     return df
 
 
-def build_tables(catalog: dict[str, DataFrame]) -> Tables:
+def build_tables(catalog: Mapping[str, DataFrame]) -> Tables:
     """Clean, harmonise, unify and summarise (the transform step).
 
     Of contests with the same date and sides, the first row of the first source stays. Missing files give
     None; a missing edition file gives an empty typed edition table."""
-    m1 = _matches(_prep(MATCHES_MAIN, catalog.get(MATCHES_MAIN), True), 1)
-    m2 = _matches(_prep(MATCHES_SECOND, catalog.get(MATCHES_SECOND), True), 2)
-    wc = _prep(EDITIONS, clean.rename(clean.lower_headers(catalog[EDITIONS]), {"host": "host_country", "champion": "winner"})
-               if catalog.get(EDITIONS) is not None else None, True)
+    m1 = _matches(_prep(MATCHES_MAIN, _find(catalog, "matches", MATCHES_MAIN), True), 1)
+    m2 = _matches(_prep(MATCHES_SECOND, _find(catalog, "matches", MATCHES_SECOND), True), 2)
+    editions = _find(catalog, "compets", EDITIONS)
+    wc = _prep(EDITIONS, clean.rename(clean.lower_headers(editions), {"host": "host_country", "champion": "winner"})
+               if editions is not None else None, True)
     if wc is not None:
         wc = wc.drop(ORDER)
     elif catalog:
         wc = empty_frame(next(iter(catalog.values())).sparkSession, EDITION_SCHEMA)
     others = {}
     for k in (RANKING, HEAD_TO_HEAD, APPEARANCES, ALLTIME):
-        df = _prep(k, catalog.get(k), False)
+        df = _prep(k, _find(catalog, "compets", k), False)
         others[k] = df.drop(ORDER) if df is not None else None
 
     matches = m1 if m2 is None else m2 if m1 is None else m1.unionByName(m2, allowMissingColumns=True)

@@ -274,7 +274,16 @@ def _pre_event_ctes(policy: str) -> list[tuple[str, str]]:
 
 
 def _rate(c: str) -> str:
-    return f"round_even(CASE WHEN p_played > 0 THEN {c} / p_played ELSE 0.0 END, 3)"
+    # printf rounds the binary value correctly, as Python does; round_even takes the printed decimal
+    return f"CAST(printf('%.3f', CASE WHEN p_played > 0 THEN {c} / p_played ELSE 0.0 END) AS DOUBLE)"
+
+
+def _rounded_step(bounds: str, bins: int, whole: bool) -> str:
+    """Column w: the smallest of 1, 2, 5 times a power of ten that needs at most ``bins`` bins."""
+    grid = f"list_transform([1, 2, 5, 10, 20, 50, 100, 200, 500, 1000, 2000, 5000], lambda m: pow(10.0, floor(log10(greatest((hi - lo) / {bins}, 1e-300))) - 1) * m)"
+    least = " AND w >= 1" if whole else ""
+    pick = f"CASE WHEN hi > lo THEN list_filter({grid}, lambda w: floor(hi / w) - floor(lo / w) + 1 <= {bins}{least})[1] ELSE 1.0 END"
+    return f"SELECT {f'greatest({pick}, 1.0)' if whole else pick} AS w FROM {bounds}"
 
 
 _LAGGED_STREAK = ("CAST(COALESCE(lag(streak) OVER (PARTITION BY team ORDER BY wc_year), 0) AS INTEGER)"
@@ -464,10 +473,45 @@ SELECT decade, bin, count(*) AS count, round_even(lo + bin * width, 6) AS bin_st
                            FROM {_SCORED})) b
   WHERE total_goals IS NOT NULL)
 GROUP BY decade, bin, lo, width"""),
+        "goal_histogram_rounded": sql(["contests_v"], f"""
+SELECT decade, round_even(w, 6) AS step, round_even(floor(total_goals / w) * w, 6) AS bin_start, count(*) AS count
+FROM {_SCORED} s, step WHERE total_goals IS NOT NULL GROUP BY decade, w, floor(total_goals / w) * w""", [
+            ("b", f"SELECT CAST(min(total_goals) AS DOUBLE) AS lo, CAST(max(total_goals) AS DOUBLE) AS hi FROM {_SCORED}"),
+            ("step", _rounded_step("b", 15, True))]),
+        "order_value_histogram": f"""
+WITH b AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders),
+step AS ({_rounded_step("b", Q.VALUE_BINS, False)})
+SELECT o_orderstatus, round_even(w, 6) AS step, round_even(floor(o_totalprice / w) * w, 6) AS bin_start, count(*) AS count
+FROM orders, step GROUP BY o_orderstatus, w, floor(o_totalprice / w) * w""",
+        "half_even_rates": """
+SELECT l_quantity, count(*) AS rows, CAST(printf('%.3f', l_quantity / 80) AS DOUBLE) AS eightieth,
+       CAST(printf('%.3f', l_quantity / 16) AS DOUBLE) AS sixteenth, CAST(printf('%.2f', l_quantity / 8) AS DOUBLE) AS eighth,
+       printf('%.1f%%', l_quantity / 16 * 100) AS share
+FROM (SELECT CAST(l_quantity AS DOUBLE) AS l_quantity FROM lineitem) GROUP BY l_quantity""",
+        "dates_by_column": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 3 THEN CAST(try_strptime(strftime(d, '%d/%m/%Y'), '%m/%d/%Y') AS DATE) ELSE d END AS month_first,
+  CASE WHEN o_orderkey % 3 <> 2 THEN d END AS iso, CASE WHEN o_orderkey % 7 <> 0 THEN d END AS late_start
+FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)""",
+        "csv_multiline": """
+SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_name || chr(10) || 'line "two", ' || p_brand WHEN 1 THEN chr(10) || p_name || chr(10) || chr(10) || p_type
+         WHEN 2 THEN 'say "' || p_name || '"' ELSE p_name END AS note,
+       row_number() OVER (ORDER BY p_partkey) AS place
+FROM part""",
+        "ragged_csv": """
+SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN c_name END AS c_name, CASE WHEN c_custkey % 3 = 1 THEN c_acctbal END AS c_acctbal,
+       CAST(NULL AS VARCHAR) AS note
+FROM customer""",
+        "catalog_sql": """
+SELECT n.n_name AS nation, r.r_name AS region, (SELECT count(*) FROM region) AS regions
+FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
+        "decade_shares": sql(["contests_v"], f"""
+SELECT CAST(decade AS VARCHAR) || 's' AS decade, count(*) AS matches,
+       printf('%.1f%%', 100 * (count(*) FILTER (WHERE home_score > away_score) / count(*))) AS home_win_share
+FROM {_SCORED} WHERE home_score IS NOT NULL AND away_score IS NOT NULL GROUP BY decade"""),
         "overview_kpis": sql(["contests_v", "profile_v"], """
 SELECT count(*) AS total_matches, count(DISTINCT home_team) AS total_teams,
        count(DISTINCT year(date)) AS total_editions,
-       round_even(avg(COALESCE(home_score, 0) + COALESCE(away_score, 0)), 2) AS avg_goals,
+       CAST(printf('%.2f', avg(COALESCE(home_score, 0) + COALESCE(away_score, 0))) AS DOUBLE) AS avg_goals,
        (SELECT team FROM profile_v WHERE titles IS NOT NULL ORDER BY titles DESC, team LIMIT 1) AS most_titles
 FROM contests_v"""),
         "edition_bounds": sql(["panel_v"], """

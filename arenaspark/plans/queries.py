@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arenaspark.constants import ENTITY_ALIASES, MODEL_FEATURES
+from arenaspark.constants import ENTITY_ALIASES, MODEL_DEPTH, MODEL_FEATURES, MODEL_SEED, MODEL_TREES
+from arenaspark.functions import exprs as E
 from arenaspark.operators import clean, contests as C, model as M, panels as P, profiles as R
 from arenaspark.operators import stats as S, warehouse as W, windows as WD
 from arenaspark.plans import bindings as B
@@ -32,6 +33,7 @@ STAGES = ["1-urgent", "2-high", "3-medium", "4-not specified", "5-low"]
 FINAL_STAGE = "1-urgent"
 JOIN_EDITION = 1997
 FIRST_LOAD_BELOW = "J"  # the first of two loads has the contests among names before this one
+VALUE_BINS = 20
 LOOKUP_DECADES = [1930, 1990, 2000, 2010]
 MIN_APPEARANCES = 3
 MIN_MATCHES_FACTORS = 10
@@ -168,6 +170,95 @@ def q_csv_round_trip(spark, sf):
                       {"flag": 0})
 
 
+@query("csv_multiline")
+def q_csv_multiline(spark, sf):
+    """Part texts with quotes and line breaks written as CSV in key order and read back; records keep their order."""
+    name, brand, kind, nl = F.col("p_name"), F.col("p_brand"), F.col("p_type"), F.lit("\n")
+    turn = F.col("p_partkey") % 4
+
+    def write(path: str) -> str:
+        note = (F.when(turn == 0, F.concat(name, nl, F.lit('line "two", '), brand)).when(turn == 1, F.concat(nl, name, nl, nl, kind))
+                .when(turn == 2, F.concat(F.lit('say "'), name, F.lit('"'))).otherwise(name))
+        p = spark.read.parquet(f"{sf}/part.parquet").select("p_partkey", note.alias("note"))
+        # part files hold consecutive ranges of keys, so file order is key order
+        io.write_csv(p.repartitionByRange(4, "p_partkey").sortWithinPartitions("p_partkey"), path)
+        return path
+
+    schema = T.StructType([T.StructField("p_partkey", T.LongType()), T.StructField("note", T.StringType())])
+    back = io.read_csv(spark, V(spark, sf).once("part-notes-csv", write), schema, order_column="order")
+    return WD.dense_keys(back, ["order"], "place").drop("order")
+
+
+@query("ragged_csv")
+def q_ragged_csv(spark, sf):
+    """Customers as text lines of one, two or three fields: short records are padded (S5); an absent second file is an
+    empty typed table (S10)."""
+    schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+                           T.StructField("c_acctbal", T.DoubleType())])
+
+    def write(path: str) -> str:
+        key, n = F.col("c_custkey").cast("string"), F.col("c_custkey") % 3
+        line = F.concat_ws(",", key, F.when(n != 0, F.col("c_name")), F.when(n == 1, F.col("c_acctbal").cast("string")))
+        head = F.lit("c_custkey,c_name,c_acctbal")
+        # every part file starts with the header, as the files of a folder do
+        c = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", line.alias("value")).repartition(3, "c_custkey")
+        c = c.withColumns({"part": F.spark_partition_id(), "n": F.lit(1)})
+        heads = c.select("part").distinct().select(F.lit(None).cast("bigint").alias("c_custkey"), head.alias("value"), "part", F.lit(0).alias("n"))
+        (c.unionByName(heads).repartition(3, "part").sortWithinPartitions("part", "n").select("part", "value")
+         .write.partitionBy("part").text(path))
+        return path
+
+    path = V(spark, sf).once("customer-ragged", write)
+    here = io.read_csv(spark, path, schema)
+    absent = io.read_csv(spark, f"{path}-absent.csv", schema, missing_ok=True)
+    both = here.unionByName(absent)
+    return io.conform(clean.select_present(both, ["c_custkey", "c_name", "c_acctbal", "not_there"]),
+                      {"c_custkey": T.LongType(), "c_name": T.StringType(), "c_acctbal": T.DoubleType(), "note": T.StringType()})
+
+
+@query("catalog_sql")
+def q_catalog_sql(spark, sf):
+    """Two source folders that both hold a table called places, queried by group.table."""
+    def write(path: str) -> str:
+        for group, table, cols in (("nations", "nation", ["n_name", "n_regionkey"]), ("regions", "region", ["r_regionkey", "r_name"])):
+            io.write_csv(spark.read.parquet(f"{sf}/{table}.parquet").select(*cols), f"{path}/{group}/places.csv")
+        return path
+
+    catalog = io.Catalog.read(spark, V(spark, sf).once("catalog", write), ["nations", "regions"])
+    return catalog.sql("""
+        SELECT n.n_name AS nation, r.r_name AS region, (SELECT count(*) FROM {regions.places}) AS regions
+        FROM {nations.places} n JOIN {regions.places} r ON n.n_regionkey = r.r_regionkey""")
+
+
+@query("dates_by_column")
+def q_dates_by_column(spark, sf):
+    """Date columns read as a whole: the first value's form holds for the column (P5)."""
+    day, key = F.col("o_orderdate").cast("date"), F.col("o_orderkey")
+    o = spark.read.parquet(f"{sf}/orders.parquet").select(
+        key, F.when(key % 5 == 3, F.date_format(day, "dd/MM/yyyy")).otherwise(F.date_format(day, "MM/dd/yyyy")).alias("month_first"),
+        F.when(key % 3 == 2, F.date_format(day, "yyyy/MM/dd")).otherwise(day.cast("string")).alias("iso"),
+        F.when(key % 7 != 0, F.date_format(day, "d MMMM yyyy")).alias("late_start"))
+    return clean.parse_dates(o, ["month_first", "iso", "late_start"], "o_orderkey")
+
+
+@query("half_even_rates")
+def q_half_even_rates(spark, sf):
+    """Shares of a quantity, correctly rounded: ties only where the binary value is one (P24); percent text (P25)."""
+    q = F.col("l_quantity").cast("double")
+    l = spark.read.parquet(f"{sf}/lineitem.parquet").groupBy(q.alias("l_quantity")).agg(F.count("*").alias("rows"))
+    q = F.col("l_quantity")
+    return l.select("l_quantity", "rows", E.round_half_even(q / 80, 3).alias("eightieth"), E.round_half_even(q / 16, 3).alias("sixteenth"),
+                    E.round_half_even(q / 8, 2).alias("eighth"), E.percent_text(q / 16).alias("share"))
+
+
+@query("decade_shares")
+def q_decade_shares(spark, sf):
+    """Home wins per decade as decade label and percent text (P25), over contests with both scores."""
+    c = clean.drop_incomplete(C.scored_contests(V(spark, sf).contests()), ["home_score", "away_score"])
+    g = c.groupBy("decade").agg(F.count("*").alias("matches"), F.count_if(F.col("home_score") > F.col("away_score")).alias("wins"))
+    return g.select(E.decade_label("decade").alias("decade"), "matches", E.percent_text(F.col("wins") / F.col("matches")).alias("home_win_share"))
+
+
 @query("unified_matches")
 def q_unified_matches(spark, sf):
     a = V(spark, sf).contests().select(*CONTEST_TIE, "date", "home_team", "away_team",
@@ -198,6 +289,18 @@ def q_score_frequency(spark, sf):
     return C.score_frequency(V(spark, sf).contests(), 10)
 
 
+@query("goal_histogram_rounded")
+def q_goal_histogram_rounded(spark, sf):
+    """At most 15 bins of rounded width, one grid for all decades."""
+    return C.rounded_histogram(C.scored_contests(V(spark, sf).contests()), "total_goals", 15, by=["decade"])
+
+
+@query("order_value_histogram")
+def q_order_value_histogram(spark, sf):
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    return C.rounded_histogram(o, "o_totalprice", VALUE_BINS, by=["o_orderstatus"], whole=False)
+
+
 @query("goal_histogram")
 def q_goal_histogram(spark, sf):
     return C.histogram(C.scored_contests(V(spark, sf).contests()), "total_goals", 15, by=["decade"])
@@ -606,9 +709,6 @@ def q_streaks(spark, sf):
 
 
 # -------------------------------------------------------------------- model
-_MODELS: dict = {}
-
-
 def _training(spark, sf):
     return WD.pre_event_features(V(spark, sf).cust_panel(), null_policy="poison", **_cust_spec())
 
@@ -621,11 +721,18 @@ def _scoring(spark, sf):
 
 
 def _fitted(spark, sf):
-    """(model, checkpointed assembled training set), fitted once per session."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _MODELS:
-        _MODELS[key] = M.fit_outcome_model(_training(spark, sf), return_data=True)
-    return _MODELS[key]
+    """(model, assembled training set) of the source files' state: a saved artefact, fitted only where there is none."""
+    ws = V(spark, sf)
+
+    def load(_):
+        path = ws.artefact(f"outcome-model-{MODEL_TREES}-{MODEL_DEPTH}-{MODEL_SEED}")
+        if not io.exists(spark, f"{path}/forest/data/_SUCCESS"):  # written last
+            model, assembled = M.fit_outcome_model(_training(spark, sf), return_data=True)
+            assembled.write.mode("overwrite").parquet(f"{path}/training")
+            M.save_model(model, f"{path}/forest")
+        return M.load_model(f"{path}/forest"), spark.read.parquet(f"{path}/training")
+
+    return ws.once("outcome-model", load)
 
 
 def _model(spark, sf):
@@ -648,6 +755,13 @@ def q_model_training_metrics(spark, sf):
     return M.training_metrics(model, assembled, label="label")
 
 
+@query("classification_report")
+def q_classification_report(spark, sf):
+    """The report with accuracy, macro and weighted averages (M3)."""
+    model, assembled = _fitted(spark, sf)
+    return M.classification_report(model, assembled, label="label")
+
+
 @query("feature_importance")
 def q_feature_importance(spark, sf):
     return M.feature_importance(_model(spark, sf))
@@ -669,4 +783,4 @@ def q_prediction_summary(spark, sf):
 
 
 # Queries checked only by row count (iterative ML fit: no SQL equivalent)
-NO_ORACLE = {"model_training_metrics", "feature_importance", "outcome_ranking", "prediction_summary"}
+NO_ORACLE = {"model_training_metrics", "classification_report", "feature_importance", "outcome_ranking", "prediction_summary"}

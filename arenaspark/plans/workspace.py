@@ -49,10 +49,17 @@ class Workspace:
         tag = hashlib.sha1(self.sf.encode()).hexdigest()[:10]
         app = spark.sparkContext.applicationId
         base = spark.conf.get("arenaspark.workspace.dir", None) or ensure_checkpoint_dir(spark)
-        self.root = f"{base.rstrip('/')}/arenaspark-views/{app}/{tag}-{state}"
+        self.tag = f"{tag}-{state}"
+        self.root = f"{base.rstrip('/')}/arenaspark-views/{app}/{self.tag}"
         self._done: dict = {}
         self._locks: dict[str, threading.RLock] = {}
 
+    def artefact(self, name: str) -> str:
+        """Folder for what is fitted on this state of the source files. In a named workspace folder
+        (``arenaspark.workspace.dir``) it outlives the session: an unchanged source finds it again."""
+        named = self.spark.conf.get("arenaspark.workspace.dir", None)
+        return f"{named.rstrip('/')}/arenaspark-models/{self.tag}/{name}" if named else f"{self.root}/{name}"
+
     def once(self, name: str, make):
         """What ``make(path)`` returned when first asked for under ``name``; path is a folder of its own."""
         with _LOCK:

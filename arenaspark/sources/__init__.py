@@ -1,3 +1,3 @@
 from arenaspark.sources.io import (  # noqa: F401
-    conform, empty_frame, read_catalog, read_csv, read_tables, write_csv, write_table,
+    Catalog, conform, empty_frame, read_catalog, read_csv, write_csv, write_table,
 )

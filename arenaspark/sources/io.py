@@ -10,12 +10,17 @@ the job (Spark 4 runs with ANSI on). Ragged rows are padded with nulls
 from __future__ import annotations
 
 import os
+import re
+from collections.abc import Iterator, Mapping
+from urllib.parse import unquote
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arenaspark.sources.records import multiline_files, read_records, text_lines
+
 DEFAULT_NULL_TOKENS = ("", "N/A")
 
 
@@ -44,9 +49,14 @@ def _stem(path: str) -> str:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              null_tokens: Iterable[str] = DEFAULT_NULL_TOKENS,
-             missing_ok: bool = False, order_column: str | None = None) -> DataFrame:
+             missing_ok: bool = False, order_column: str | None = None,
+             multi_line: bool | None = None) -> DataFrame:
     """Read one CSV file or folder.
 
+    Records may hold quoted line breaks: ``multi_line`` says whether they do;
+    None looks for lines with an odd number of quotes first (one scan of the
+    text that ends at the first one).
+
     With ``schema``: text read, null tokens -> null, ``try_cast`` to the
     declared type. Without: every column stays a string (no inference pass).
     A missing file gives an empty typed frame when ``missing_ok``.
@@ -60,7 +70,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
         raise FileNotFoundError(f"{path} does not exist")
     reader = (spark.read.option("header", True).option("mode", "PERMISSIVE")
               .option("escape", '"').option("multiLine", False))
-    if schema is not None:
+    if multi_line is None:
+        multi_line = bool(text_lines(spark, path).where("odd = 1").limit(1).count())
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+             F.monotonically_increasing_id().alias("row")]
+    if multi_line:
+        # names come from the head of a file; records are put together by read_records
+        names = ([f.name for f in schema] if schema is not None
+                 else [c.rstrip("\r") for c in reader.option("multiLine", True).csv(path).columns])
+        raw = read_records(spark, path, names)
+        place = [F.col(f"__{c}").alias(c) for c in ("file", "block", "row")]
+    elif schema is not None:
         text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema])
         raw = reader.schema(text_schema).csv(path)
     else:
@@ -68,15 +88,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     tokens = list(null_tokens)
     cols = []
     for f in (schema.fields if schema is not None else
-              [T.StructField(c, T.StringType()) for c in raw.columns]):
+              [T.StructField(c, T.StringType()) for c in raw.columns if not (multi_line and c.startswith("__"))]):
         c = F.col(f"`{f.name}`")
         c = F.when(F.trim(c).isin(tokens), F.lit(None)).otherwise(c)
         if not isinstance(f.dataType, T.StringType):
             c = coerce(c, f.dataType)
         cols.append(c.alias(f.name))
     if order_column:
-        cols.append(F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                             F.monotonically_increasing_id().alias("row")).alias(order_column))
+        cols.append(F.struct(*place).alias(order_column))
     return raw.select(*cols)
 
 
@@ -133,6 +152,34 @@ def parse_date(c, forms=DATE_FORMS) -> "F.Column":
     return F.coalesce(*tries)
 
 
+# Date forms of a column read as a whole; a time of day is a form of its own. A
+# column whose first value can be month first is read month first.
+COLUMN_DATE_FORMS = (
+    (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "yyyy-MM-dd"),
+    (r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$", "yyyy-MM-dd HH:mm:ss"),
+    (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}$", "yyyy-MM-dd'T'HH:mm:ss"),
+    *DATE_FORMS[1:],
+)
+
+
+def first_date_form(c, forms=COLUMN_DATE_FORMS) -> "F.Column":
+    """Number of the first form that the text has and that gives a date, else -1; null for null."""
+    t = F.trim(c)
+    tries = [F.when(t.rlike(shape) & F.try_to_date(F.initcap(t) if "'" not in pattern else t, pattern).isNotNull(), n)
+             for n, (shape, pattern) in enumerate(forms)]
+    return F.when(c.isNotNull(), F.coalesce(*tries, F.lit(-1)))
+
+
+def parse_date_as(c, form, forms=COLUMN_DATE_FORMS) -> "F.Column":
+    """Strict parse with the form of number ``form``: another form is null. Form -1 is read value by value."""
+    t = F.trim(c)
+    out = F.when(form == -1, parse_date(c))
+    for n, (shape, pattern) in enumerate(forms):
+        value = F.try_to_date(F.initcap(t) if "'" not in pattern else t, pattern)
+        out = out.when((form == n) & t.rlike(shape), value)
+    return out
+
+
 def coerce(c, data_type: T.DataType):
     """Coerced parse: a value that does not parse becomes null."""
     if isinstance(data_type, T.DateType):
@@ -146,6 +193,11 @@ def coerce(c, data_type: T.DataType):
     return c.try_cast(data_type)
 
 
+def _decoded(path: str) -> str:
+    """A path without its scheme and escapes, for comparing what Spark and the store report."""
+    return unquote(re.sub(r"^[a-z0-9]+:/+", "/", path))
+
+
 def read_catalog(spark: SparkSession, folder: str,
                  schemas: dict[str, T.StructType] | None = None,
                  fmt: str = "csv", order_column: str | None = None) -> dict[str, DataFrame]:
@@ -157,18 +209,69 @@ def read_catalog(spark: SparkSession, folder: str,
     schemas = schemas or {}
     suffix = ".csv" if fmt == "csv" else ".parquet"
     out = {}
-    for path in _list_files(spark, folder, suffix):
+    paths = _list_files(spark, folder, suffix)
+    # one look at all files for records over several lines
+    spanning = multiline_files(spark, paths) if fmt == "csv" and paths else []
+    for path in paths:
         stem = _stem(path)
         if fmt == "csv":
-            out[stem] = read_csv(spark, path, schemas.get(stem), order_column=order_column)
+            there = any(_decoded(f).startswith(_decoded(path)) for f in spanning)
+            out[stem] = read_csv(spark, path, schemas.get(stem), order_column=order_column, multi_line=there)
         else:
             out[stem] = spark.read.parquet(path)
     return out
 
 
-def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    """Parquet tables ``folder/name.parquet`` (the driver's layout)."""
-    return {n: spark.read.parquet(f"{folder.rstrip('/')}/{n}.parquet") for n in names}
+class Catalog(Mapping):
+    """Tables of several source folders by name, in two levels: ``group.table``.
+
+    Equal names in two groups stay apart. A bare table name finds the one table
+    of that name and is an error when there are several.
+    """
+
+    def __init__(self, spark: SparkSession, groups: Mapping[str, Mapping[str, DataFrame]]):
+        self.spark = spark
+        self._frames = {f"{g}.{t}": df for g, tables in groups.items() for t, df in tables.items()}
+
+    @classmethod
+    def read(cls, spark: SparkSession, root: str, groups: Iterable[str], schemas: dict[str, T.StructType] | None = None,
+             order_column: str | None = None) -> "Catalog":
+        """One group per sub-folder of ``root``."""
+        root = root.rstrip("/")
+        return cls(spark, {g: read_catalog(spark, f"{root}/{g}", schemas, order_column=order_column) for g in groups})
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name in self._frames:
+            return self._frames[name]
+        found = [k for k in self._frames if k.split(".", 1)[1] == name]
+        if len(found) > 1:
+            raise ValueError(f"{name} is in several groups: {sorted(found)}")
+        if not found:
+            raise KeyError(name)
+        return self._frames[found[0]]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._frames)
+
+    def __len__(self) -> int:
+        return len(self._frames)
+
+    def sql(self, text: str, **params) -> DataFrame:
+        """A query in which {group.table} stands for a table; nothing is registered in the session."""
+        names = sorted(set(re.findall(r"\{([^{}]+)\}", text)) - set(params))
+        for i, name in enumerate(names):
+            text = text.replace("{" + name + "}", f"{{catalog_{i}}}")
+        return self.spark.sql(text, **params, **{f"catalog_{i}": self[n] for i, n in enumerate(names)})
+
+    def register(self, prefix: str = "") -> list[str]:
+        """Temporary views ``<prefix><group>__<table>`` of this session, so plain SQL finds the tables by name."""
+        views = []
+        for name, df in self._frames.items():
+            views.append(prefix + re.sub(r"[^0-9A-Za-z_]", "_", name.replace(".", "__", 1)))
+            if len(set(views)) < len(views):
+                raise ValueError(f"two tables would be the view {views[-1]}")
+            df.createOrReplaceTempView(views[-1])
+        return views
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -225,5 +328,6 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> int:
 
     obs = Observation(f"csv_{abs(hash(path)) % 10**8}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
-        .option("header", True).csv(path)
+        .option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False) \
+        .option("ignoreTrailingWhiteSpace", False).csv(path)
     return int(obs.get["rows"])

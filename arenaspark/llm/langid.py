@@ -31,17 +31,19 @@ MAX_LANGUAGES = 5_000
 
 @lru_cache(1)
 def letter_classes() -> np.ndarray:
-    """Class of every code point of the basic plane, last entry: any letter beyond it. 0: no letter.
+    """Class of every code point; 0: no letter. Letters beyond the basic plane share one class.
 
     Case is folded; a-z have classes of their own."""
-    out = np.zeros(0x10001, dtype=np.int32)
+    out = np.zeros(0x110000, dtype=np.int8)
     rest = ALPHABET - 27
     for cp in range(0x10000):
         c = chr(cp)
         if c.isalpha():
             low = c.lower()[:1]
             out[cp] = ord(low) - 96 if "a" <= low <= "z" else 27 + ord(low) % rest
-    out[0x10000] = 27
+    for cp in range(0x10000, 0x110000):  # emoji and digits of the other planes are no letters
+        if chr(cp).isalpha():
+            out[cp] = 27
     return out
 
 
@@ -58,10 +60,10 @@ def trigram_vectors() -> np.ndarray:
 def document_vector(text: str) -> tuple[np.ndarray | None, bool]:
     """(unit vector, has a letter); no vector without a letter. Whole text, any length."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    classes = letter_classes().take(np.minimum(points, 0x10000))
+    classes = letter_classes().take(points)
     if not classes.any():
         return None, False
-    classes = np.concatenate([[0], classes, [0]])
+    classes = np.concatenate([[0], classes, [0]]).astype(np.int32)
     classes = classes[np.append(True, (classes[1:] != 0) | (classes[:-1] != 0))]  # one border between words
     code = (classes[:-2] * ALPHABET + classes[1:-1]) * ALPHABET + classes[2:]
     counts = np.bincount(code, minlength=ALPHABET ** 3)

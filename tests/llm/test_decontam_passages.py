@@ -243,3 +243,26 @@ def test_group_sizes_are_links(spark):
     rows = [(i, " ".join(words(rng, 45) + line + (tail if i % 6 == 3 else words(rng, 6)) + words(rng, 45))) for i in range(240)]
     got = {r.doc_id: (r.class_id, r.n_links) for r in passages.repeated_passages(docs(spark, rows)).collect()}
     assert got == {i: (3, 39) for i in range(3, 240, 6)}
+
+
+def test_pairs_of_texts_that_repeat_a_seed_stay_in_proportion(spark):
+    """60 texts that hold one seed 30 times: a row per text meets a row per text, the pairs and their places are those of all places."""
+    rows = [(k, s, p) for k in range(60) for s, p in [(7, 10 * i + k) for i in range(30)] + [(100 + k // 2, 5)]]
+    own = spark.createDataFrame(rows, "key bigint, seed bigint, place int")
+    got = {(r.a, r.b): (r.a0, r.a1, r.b0, r.b1) for r in passages._pair_rows(own, passages._end_holders(own)).collect()}
+    ends = {7: {0, 59}} | {100 + i: {2 * i, 2 * i + 1} for i in range(30)}
+    places: dict = {}
+    for k, s, p in rows:
+        places.setdefault(s, {}).setdefault(k, []).append(p)
+    want: dict = {}
+    for s, held in places.items():
+        for a in held:
+            for b in held:
+                if a < b and (a in ends[s] or b in ends[s]):
+                    x = want.setdefault((a, b), ([], []))
+                    x[0].extend(held[a])
+                    x[1].extend(held[b])
+    least = passages.MIN_SEED_SPAN // 2
+    want = {k: (min(x), max(x), min(y), max(y)) for k, (x, y) in want.items()
+            if max(x) - min(x) + passages.SEED_WORDS >= least and max(y) - min(y) + passages.SEED_WORDS >= least}
+    assert got == want

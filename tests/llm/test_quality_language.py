@@ -134,3 +134,11 @@ def test_trigram_vectors_bind_and_permute():
     a, letter = langid.document_vector("Ab")
     b, _ = langid.document_vector(" ab ")
     assert letter and np.allclose(a, b)
+
+
+def test_only_letters_count_as_letters():
+    """Emoji and digits beyond the basic plane are no letters; letters there are."""
+    for text in ("😀😃 🚀", "𝟘𝟙𝟚 12", "🀄🂡", "\U0010fffd", " .,"):
+        assert langid.document_vector(text) == (None, False)
+    for text in ("𝒜𝒷𝒸", "𐍈𐌰", "😀 a", "é"):
+        assert langid.document_vector(text)[1]

@@ -207,6 +207,20 @@ def _verified(pairs: DataFrame, forms: DataFrame, percent: int) -> DataFrame:
             .where(both * 100 >= (F.col("a_n") + F.col("b_n") - both) * percent).select("a", "b"))
 
 
+def _merged(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """(node, root) after the links ``found`` (a, b): only links between components so far are searched for paths."""
+    def root_of(side: str) -> DataFrame:
+        return labels.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
+
+    ends = found.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left").select(
+        "a", "b", F.coalesce("a_root", "a").alias("x"), F.coalesce("b_root", "b").alias("y"))
+    ends = shared_table(ends, "jaccard-ends")
+    across = ends.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    over = components(across).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    every = labels.union(ends.select("a", "x")).union(ends.select("b", "y")).distinct()
+    return shared_table(every.join(over, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "jaccard-components")
+
+
 def set_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(node, root) of every linked set of ``sets`` (s, n, toks): components of the Jaccard links."""
     spark = sets.sparkSession
@@ -217,7 +231,6 @@ def set_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         "t", "s", "n", "u", "sig", (F.col("u") + F.col("k")).alias("at"),
         (F.col("u") + F.col("k") < F.col("ix")).alias("indexed")), "jaccard-postings")
     labels = spark.createDataFrame([], "node bigint, root bigint")
-    links = spark.createDataFrame([], "a bigint, b bigint")
 
     def labelled() -> DataFrame:
         """Postings with the component so far, of tokens whose holders are not all of one component."""
@@ -237,8 +250,7 @@ def set_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         found = shared_table(_verified(both.select("a", "b").distinct(), forms, percent), "jaccard-links")
         if not found.limit(1).count():
             break
-        links = shared_table(links.union(found), "jaccard-links")
-        labels = components(links)
+        labels = _merged(labels, found)
     rows = labelled()
     per = rows.groupBy("t", "comp").agg(F.count("*").alias("rows"))
     most = per.groupBy("t").agg(F.max_by("comp", F.struct("rows", "comp")).alias("most"))
@@ -249,7 +261,7 @@ def set_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = shared_table(_verified(pairs[0].union(pairs[1]).distinct(), forms, percent), "jaccard-links")
     if not found.limit(1).count():
         return labels
-    return components(links.union(found))
+    return _merged(labels, found)
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

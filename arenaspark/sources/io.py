@@ -158,7 +158,8 @@ COLUMN_DATE_FORMS = (
     (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "yyyy-MM-dd"),
     (r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$", "yyyy-MM-dd HH:mm:ss"),
     (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}$", "yyyy-MM-dd'T'HH:mm:ss"),
-    *DATE_FORMS[1:],
+    # May is its own short form: whole month names have three letters and more
+    *[(shape.replace("{4,9}", "{3,9}"), pattern) for shape, pattern in DATE_FORMS[1:]],
 )
 
 

@@ -85,6 +85,9 @@ def test_first_value_gives_the_form_of_a_date_column(spark):
     assert got[2] == ["2000-01-02", None, "2000-02-01", "2001-01-01"]   # d: no form at first, so value by value
     assert got[3] == [None, "2000-01-04", None, "2001-05-06"]
     assert got[4] == [None] * 4
+    months = spark.createDataFrame([(1, "2 July 1997"), (2, "1 May 1995"), (3, "1 Jun 1995"), (4, "1 January 1995")], "o int, a string")
+    got = [str(r.a) if r.a else None for r in clean.parse_dates(months, ["a"], "o").orderBy("o").collect()]
+    assert got == ["1997-07-02", "1995-05-01", None, "1995-01-01"]
     by_value = {r.o: r.a for r in clean.parse_dates(df, ["a"]).collect()}
     assert str(by_value[3]) == "2000-02-13"
 

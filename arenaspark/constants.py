@@ -37,7 +37,6 @@ TOP8_EXTRA_STAGES = ["quarter-finals"]
 
 # --- fixed values: truthy words for yes/no text columns ----------------------
 TRUTHY_WORDS = ["true", "yes", "1", "oui"]
-STRICT_TRUTHY_WORDS = ["yes"]
 
 # --- fixed values: consecutive-edition rule ----------------------------------
 EDITION_GAP = 4                      # editions at most this far apart are consecutive

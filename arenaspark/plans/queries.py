@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arenaspark.constants import ENTITY_ALIASES, MODEL_DEPTH, MODEL_FEATURES, MODEL_SEED, MODEL_TREES
+from arenaspark.constants import ENTITY_ALIASES, MODEL_DEPTH, MODEL_FEATURES, MODEL_SEED, MODEL_TREES, UPSET_LIST_STRENGTH
 from arenaspark.functions import exprs as E
 from arenaspark.operators import clean, contests as C, model as M, panels as P, profiles as R
 from arenaspark.operators import stats as S, warehouse as W, windows as WD
@@ -401,25 +401,30 @@ def q_strength_trend(spark, sf):
     return S.trend_line(p, "strength", "phase_score", n=100, min_points=5)
 
 
+def _upset_panel(spark, sf) -> DataFrame:
+    """The panel, checked for what the upset pages need."""
+    return clean.require_columns(V(spark, sf).panel(), [PS.entity, PS.edition, PS.stage, PS.strength], "the upset pages' panel")
+
+
 @query("upset_kpis")
 def q_upset_kpis(spark, sf):
-    return P.upset_kpis(V(spark, sf).panel())
+    return P.upset_kpis(_upset_panel(spark, sf))
 
 
 @query("upsets_by_edition")
 def q_upsets_by_edition(spark, sf):
-    return P.upsets_by_edition(V(spark, sf).panel())
+    return P.upsets_by_edition(_upset_panel(spark, sf))
 
 
 @query("upset_list")
 def q_upset_list(spark, sf):
-    return P.upset_list(V(spark, sf).panel(), max_strength=1800)
+    return P.upset_list(_upset_panel(spark, sf), max_strength=UPSET_LIST_STRENGTH)
 
 
 @query("upset_list_floor")
 def q_upset_list_floor(spark, sf):
     """Upsets with the page's strength floor."""
-    return P.upset_list(V(spark, sf).panel(), max_strength=1800, min_strength=STRENGTH_FLOOR)
+    return P.upset_list(_upset_panel(spark, sf), max_strength=UPSET_LIST_STRENGTH, min_strength=STRENGTH_FLOOR)
 
 
 @query("group_winrate_decade")

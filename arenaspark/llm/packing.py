@@ -1,9 +1,9 @@
 """Best-fit packing of documents into fixed-length sequences (operator 5).
 
 Only the histogram of piece lengths (at most one count per length, so never
-more than the sequence length) is planned, on the driver: lengths are indexed
-by single, pair and triple sums, combinations that fill a gap exactly are
-consumed under their availability counts, and what is left goes best-fit,
+more than the sequence length) is planned, on the driver: the counts
+by length serve as the index of single, pair and triple sums, combinations that
+fill a gap exactly are consumed under their availability counts, and what is left goes best-fit,
 longest first. The plan maps ranks within a length to sequences and offsets;
 ranks are dealt out by Spark: each task numbers its pieces per length while it
 tokenises, and the counts of earlier tasks are added. A length that holds a

@@ -14,8 +14,9 @@ check.
 
 Copies with equal fingerprints are collapsed before the join, so a group of
 thousands of copies is one row; a pair is emitted at its first matching key
-only. How many distinct fingerprints can crowd one key is bounded by the
-Hamming ball around it, and adaptive execution splits a crowded key.
+only. A key holds 32 of the 64 bits, so
+distinct fingerprints that agree in these crowd it; adaptive execution splits a
+crowded key.
 """
 
 from __future__ import annotations

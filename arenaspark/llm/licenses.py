@@ -1,8 +1,10 @@
 """License scans: exact set-similarity join of text blocks with license templates (operator 3, native).
 
-A block is a line; a line longer than twice the longest template is read
-through windows of that length, half overlapping, so no stretch of template
-length is missed. Tokens are ordered by their frequency in the whole corpus,
+Blocks are windows over the words of the whole text, line breaks being white
+space like any other, since notices are wrapped. Templates fall into sizes (8
+words or fewer, 16, 32, ...); for templates of size g a block has 2 g words and
+begins at every multiple of g, so each stretch of g words lies whole in one and
+a short template is not put together from words far apart. Tokens are ordered by their frequency in the whole corpus,
 rarest first. A block contains a template when it holds at least
 ``alpha = ceil(threshold * |T|)`` of its distinct tokens. Filters, all exact:
 
@@ -91,6 +93,12 @@ def _phrase_places(w: Column, phrase: str) -> Column:
     return F.when(F.size(w) >= len(parts), F.filter(starts, hit)).otherwise(F.array().cast("array<int>"))
 
 
+def block_size(template: str) -> int:
+    """Size class of a template: the least power of two, 8 or more, that its words fit in."""
+    n = len(re.findall(r"[0-9A-Za-z]+", template))
+    return max(8, 1 << (n - 1).bit_length())
+
+
 def token_order(docs: DataFrame, vocabulary: list[str], text_col: str = "text") -> dict[str, int]:
     """Rank of every vocabulary token, rarest in the whole corpus first, ties by token.
 
@@ -103,42 +111,43 @@ def token_order(docs: DataFrame, vocabulary: list[str], text_col: str = "text")
 
 def template_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(id, text_hash, line, window, label, containment) of every block that contains a template.
+    """(id, text_hash, size, window, template, label, containment) of every block that contains a template.
 
-    Repeated rows give repeated matches; null texts have none."""
+    Block ``window`` of ``size`` begins at word ``window * size`` and has twice as many words. Repeated rows give
+    repeated matches; null texts have none."""
     rank = token_order(docs, sorted({t for _, text in templates for t in _tokens(text)}), text_col)
     by_rank = {i: t for t, i in rank.items()}
-    index, early, longest = [], set(), 1
+    index, early, least = [], set(), {}
     for no, (label, text) in enumerate(templates):
         order = sorted(rank[t] for t in _tokens(text))
         alpha = math.ceil(threshold * len(order) - 1e-9)
-        longest = max(longest, len(re.findall(r"[0-9A-Za-z]+", text)))
+        size = block_size(text)
+        least[size] = min(alpha, least.get(size, alpha))
         for p, r in enumerate(order[: len(order) - alpha + 1]):
-            index.append((r, no, label, p, len(order), alpha, order))
+            index.append((r, size, no, label, p, len(order), alpha, order))
             early.add(by_rank[r])
-    least = min(x[5] for x in index)
     ranks_of = F.create_map(*[F.lit(x) for kv in rank.items() for x in kv])
 
     some = F.arrays_overlap(F.split(F.lower(text_col), _GAP), F.array(*[F.lit(t) for t in sorted(early)]))
-    lines = (docs.where(some).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"),
-                                     F.posexplode(F.split(fold(F.col(text_col)), "\n")).alias("line", "t"))
-             .select("id", "text_hash", "line", words(F.col("t")).alias("w")).where("size(w) > 0"))
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("w") - longest - 1), F.lit(longest))
-    blocks = (lines.select("*", F.posexplode(starts).alias("window", "at"))
-              .select("id", "text_hash", "line", "window",
-                      F.array_distinct(F.slice("w", F.col("at") + 1, F.lit(2 * longest))).alias("w"))
-              .select("id", "text_hash", "line", "window", F.array_sort(F.filter(
-                  F.transform("w", lambda t: ranks_of[t]), lambda r: r.isNotNull())).alias("own"))
-              .where(F.size("own") >= least))
-    prefix = blocks.select("*", F.posexplode(F.slice("own", 1, F.size("own") - least + 1)).alias("q", "r"))
-    table = _table(docs, index, ("r", "template", "label", "p", "n", "alpha", "tokens"))
+    ranked = (docs.where(some).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"),
+                                      words(fold(F.col(text_col))).alias("w"))
+              .select("id", "text_hash", F.transform("w", lambda t: ranks_of[t]).alias("ranks")))
+    sized = ranked.select("*", F.explode(F.array(*[F.struct(F.lit(g).alias("size"), F.lit(least[g]).alias("least"))
+                                                   for g in sorted(least)])).alias("x")).select("id", "text_hash", "ranks", "x.*")
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("ranks") - F.col("size") - 1), F.col("size"))
+    blocks = (sized.where(F.size("ranks") > 0).select("*", F.posexplode(starts).alias("window", "at"))
+              .select("id", "text_hash", "size", "least", "window", F.array_sort(F.array_distinct(F.filter(
+                  F.slice("ranks", F.col("at") + 1, 2 * F.col("size")), lambda r: r.isNotNull()))).alias("own"))
+              .where(F.size("own") >= F.col("least")))
+    prefix = blocks.select("*", F.posexplode(F.slice("own", F.lit(1), F.size("own") - F.col("least") + 1)).alias("q", "r"))
+    table = _table(docs, index, ("r", "size", "template", "label", "p", "n", "alpha", "tokens"))
     size = F.size("own")
-    hits = (prefix.join(F.broadcast(table), "r")
+    hits = (prefix.join(F.broadcast(table), ["r", "size"])
             .where((size >= F.col("alpha")) & (F.col("q") <= size - F.col("alpha"))
                    & (1 + F.least(F.col("n") - F.col("p") - 1, size - F.col("q") - 1) >= F.col("alpha")))
             .withColumn("common", F.size(F.array_intersect("own", "tokens")))
             .where(F.col("common") >= F.col("alpha")))
-    return (hits.select("id", "text_hash", "line", "window", "template", "label",
+    return (hits.select("id", "text_hash", "size", "window", "template", "label",
                         (F.col("common") / F.col("n")).alias("containment"))
             .withColumnsRenamed({"id": id_col}))
 

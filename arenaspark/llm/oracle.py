@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import math
-import re
 
-from arenaspark.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, _tokens
+from arenaspark.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, _tokens, block_size
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -15,9 +14,8 @@ def _list(values) -> str:
 
 
 def licenses_sql() -> str:
-    longest = max(len(re.findall(r"[0-9A-Za-z]+", t)) for _, t in TEMPLATES)
     templates = ", ".join(
-        f"('{label}', {_list(_tokens(t))}, {len(_tokens(t))}, {math.ceil(THRESHOLD * len(_tokens(t)) - 1e-9)})" for label, t in TEMPLATES)
+        f"('{label}', {block_size(t)}, {_list(_tokens(t))}, {len(_tokens(t))}, {math.ceil(THRESHOLD * len(_tokens(t)) - 1e-9)})" for label, t in TEMPLATES)
     word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
     places, labels = [], []
     for phrase, label in PHRASES:
@@ -31,13 +29,12 @@ worded AS (SELECT doc_id, regexp_extract_all(t, {word}) AS w FROM folded),
 placed AS (SELECT doc_id, w, {", ".join(places)} FROM worded),
 base AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, {every} AS places,
                 list_filter([{", ".join(labels)}], lambda x: x IS NOT NULL) AS own FROM placed),
-lines AS (SELECT doc_id, regexp_extract_all(line, {word}) AS w
-          FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM folded)),
-starts AS (SELECT doc_id, w, unnest(range(0, greatest(0, len(w) - {longest} - 1) + 1, {longest})) AS s FROM lines WHERE len(w) > 0),
-blocks AS (SELECT doc_id, list_distinct(w[s + 1:s + {2 * longest}]) AS b FROM starts),
-templates AS (SELECT * FROM (VALUES {templates}) x(label, tokens, n, alpha)),
+templates AS (SELECT * FROM (VALUES {templates}) x(label, size, tokens, n, alpha)),
+starts AS (SELECT doc_id, w, size, unnest(range(0, greatest(0, len(w) - size - 1) + 1, size)) AS s
+           FROM worded, (SELECT DISTINCT size FROM templates) WHERE len(w) > 0),
+blocks AS (SELECT doc_id, size, list_distinct(w[s + 1:s + 2 * size]) AS b FROM starts),
 found AS (SELECT doc_id, list(DISTINCT label) AS more, max(common / n) AS best
-          FROM (SELECT doc_id, label, n, alpha, len(list_intersect(b, tokens)) AS common FROM blocks, templates)
+          FROM (SELECT doc_id, label, n, alpha, len(list_intersect(b, tokens)) AS common FROM blocks JOIN templates USING (size))
           WHERE common >= alpha GROUP BY doc_id)
 SELECT base.doc_id, n_words, CAST(len(places) AS BIGINT) AS n_base, CAST(list_min(places) - 1 AS BIGINT) AS first_word,
        CAST(list_max(places) - 1 AS BIGINT) AS last_word, COALESCE(array_to_string(list_sort(own), ','), '') AS base_labels,

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import textwrap
 import zlib
 
 import pytest
@@ -35,18 +36,18 @@ def base(text):
 
 def contained(text):
     """(labels, best containment) by comparing every block with every template."""
-    longest = max(len(re.findall(r"[0-9A-Za-z]+", t)) for _, t in licenses.TEMPLATES)
     labels, best = set(), 0.0
-    for line in (text or "").split("\n"):
-        w = words(line)
-        starts = range(0, max(0, len(w) - longest - 1) + 1, longest)
-        for s in starts if w else ():
-            block = set(w[s:s + 2 * longest])
-            for label, t in licenses.TEMPLATES:
-                own = {x for x in re.split(r"[^0-9a-z]+", t.lower()) if x}
-                if len(own & block) >= math.ceil(licenses.THRESHOLD * len(own) - 1e-9):
-                    labels.add(label)
-                    best = max(best, len(own & block) / len(own))
+    w = words(text)
+    for label, t in licenses.TEMPLATES:
+        own = {x for x in re.split(r"[^0-9a-z]+", t.lower()) if x}
+        g = 8
+        while g < len(re.findall(r"[0-9A-Za-z]+", t)):
+            g *= 2
+        for s in range(0, max(0, len(w) - g - 1) + 1, g):
+            block = set(w[s:s + 2 * g])
+            if len(own & block) >= math.ceil(licenses.THRESHOLD * len(own) - 1e-9):
+                labels.add(label)
+                best = max(best, len(own & block) / len(own))
     return labels, best
 
 
@@ -79,7 +80,7 @@ DOCS = [
 
 def test_planted_lines_and_edges(spark):
     df = spark.createDataFrame(DOCS + [DOCS[3]], "doc_id long, text string").withColumns(
-        {c: F.lit(1) for c in ("id", "t", "w", "raw", "label", "template", "tokens", "line", "own", "r", "n", "text_hash")})
+        {c: F.lit(1) for c in ("id", "t", "w", "raw", "label", "template", "tokens", "line", "size", "least", "ranks", "x", "own", "r", "n", "text_hash")})
     rows = licenses.scan_licenses(df).collect()
     assert len(rows) == len(DOCS) + 1
     check(rows, DOCS)
@@ -88,6 +89,26 @@ def test_planted_lines_and_edges(spark):
     assert licenses.scan_licenses(df.limit(0)).count() == 0
 
 
+def test_wrapped_notices_are_found_and_scattered_words_are_not(spark):
+    """Every template wrapped at 40 and 72 columns, with comment marks, between lines of other text."""
+    other = "\n".join(" ".join(f"w{i}{j}" for j in range(11)) for i in range(30))
+    rows, want = [], {}
+    for no, (label, t) in enumerate(licenses.TEMPLATES):
+        for width in (40, 72):
+            for mark in ("", "# ", " * "):
+                doc_id = len(rows)
+                rows.append((doc_id, other[no:] + "\n" + "\n".join(mark + x for x in textwrap.wrap(t, width, break_long_words=False)) + "\n" + other))
+                want[doc_id] = label
+    gaps = " ".join(f"x{i}" for i in range(9))
+    apart = [(1000 + no, f" {gaps} ".join(t.split())) for no, (_, t) in enumerate(licenses.TEMPLATES)]
+    df = spark.createDataFrame(rows + apart, "doc_id long, text string")
+    out = licenses.scan_licenses(df).collect()
+    got = {r.doc_id: set(filter(None, r.labels.split(","))) for r in out}
+    assert all(want[d] in got[d] for d in want) and all(r.score == 1.0 for r in out if r.doc_id in want)
+    assert all(not got[d] for d, _ in apart)
+    check(out, rows + apart)
+
+
 def test_no_python_in_the_plan(spark):
     p = licenses.scan_licenses(read(spark, SF_SMALL, "documents"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", p)

@@ -69,6 +69,55 @@ def test_inconsistent_slots_are_no_match(spark):
     assert [r.doc_id for r in got.collect()] == [2]
 
 
+def test_items_without_literals_and_copies_in_other_letters(spark):
+    """Lists of names, arithmetic and short items as they stand, copies without capitals or all in capitals."""
+    sums = "12 + 7 = 19, 30 - 4 = 26, 5 x 8 = 40, 81 / 9 = 9, 14 + 14 = 28"
+    names = ("Paris London Berlin Madrid Rome", "Anna Ben Carl Dora Emil Fred Gina Hans Ida Jon Kurt Lea")
+    bench = spark.createDataFrame([(1, names[0]), (2, names[1]), (3, sums), (4, ITEM), (5, "What is 5?")], "item_id long, text string")
+    noise = "some other words that stand before and after it all "
+    rows = [(1, noise + names[0] + " " + noise), (2, noise + names[1].lower()), (3, sums + " " + noise), (4, noise + ITEM.lower()),
+            (5, ITEM.upper() + noise), (6, "Rome Paris London Madrid Berlin"), (7, "Otto Emil Rosa Carl Nora Ben Vera Hans Mia Jon"),
+            (8, "1 + 2 = 3, 4 - 1 = 3, 2 x 2 = 4, 6 / 2 = 3"), (9, "and what is 5 " + noise), (10, "what is 6 then")]
+    got = {(r.doc_id, r.item_id): r.verbatim for r in decontam.contaminated(docs(spark, rows), bench).collect()}
+    assert got == dict.fromkeys([(1, 1), (2, 2), (3, 3), (4, 4), (5, 4), (9, 5)], True)
+
+
+def test_window_hashes_are_equal_exactly_for_equal_windows():
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 1 << 63, 4).astype(np.uint64)
+    codes = words[rng.integers(0, 4, 3000)]
+    for length in (1, 3, 8):
+        h = decontam.window_hashes(codes, length)
+        own = [tuple(codes[i:i + length].tolist()) for i in range(len(codes) - length + 1)]
+        assert len(set(zip(h.tolist(), own))) == len(set(h.tolist())) == len(set(own))
+        assert (decontam.window_hashes(codes[100:], length) == h[100:]).all()
+    assert len(decontam.window_hashes(codes[:2], 3)) == 0
+
+
+def test_reparameterised_questions_are_found(spark):
+    """Recall over generated questions whose names, numbers and units are all exchanged: all of them, and no other."""
+    rng = random.Random(8)
+    verbs = words(rng, 400)
+
+    def name():
+        return "".join(rng.choices("abcdefgh", k=5)).title()
+
+    def fill(parts):
+        new = {}
+        return " ".join(new.setdefault(p, name() if p[0] == "N" else str(rng.randint(2, 999))) if p[:1] in "N#" else p for p in parts)
+
+    asked, rows = [], []
+    for i in range(60):
+        parts = rng.sample(verbs, 30)
+        for at in sorted(rng.sample(range(30), 6)):
+            parts[at] = rng.choice(["N1", "N2", "#1", "#2"])
+        asked.append((i, fill(parts)))
+        rows.append((i, " ".join(rng.sample(verbs, 40)) + " " + fill(parts) + " " + " ".join(rng.sample(verbs, 40))))
+    bench = spark.createDataFrame(asked, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs(spark, rows), bench).collect()}
+    assert got == {(i, i) for i in range(60)}
+
+
 def test_blocks_of_hashes_change_nothing(spark, monkeypatch):
     want = {(r.doc_id, r.item_id, r.n_matched) for r in REGISTRY["op8_decontamination"](spark, SF_MID).collect()}
     monkeypatch.setattr(decontam, "BLOCK_HASHES", 400)

@@ -154,20 +154,20 @@ _DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "f
                 "seven": "7", "eight": "8", "nine": "9"}
 _NUMBER_MARKS = {"dot": ".", "point": ".", "dash": "-", "hyphen": "-"}
 _REPEATS = {"double": 2, "triple": 3}
-_TOKEN = "|".join([*_DIGIT_WORDS, *_NUMBER_MARKS, *_REPEATS])
+_TOKEN = "|".join([*_DIGIT_WORDS, *_NUMBER_MARKS, *_REPEATS, "[0-9]++"])
 _SPELLED = re.compile(rf"(?i)(?<![A-Za-z0-9])(?:plus[\s-]{{1,3}})?(?:{_TOKEN})(?:[\s,-]{{1,3}}(?:{_TOKEN}))+(?![A-Za-z0-9])")
-_SPELLED_HINT = re.compile(rf"(?:{'|'.join(_DIGIT_WORDS)})[\s,-]{{1,3}}(?:{_TOKEN})[\s,-]")
-_WORD = re.compile(r"[A-Za-z]+")
-MIN_SPELLED = 4  # digit words in a run before it is read as a number
+_SPELLED_HINT = re.compile(rf"(?:{'|'.join(_DIGIT_WORDS)})[\s,-]{{1,3}}(?:{_TOKEN})[\s,-]|"
+                           rf"(?:dot|point)[\s,-]{{1,3}}(?:{'|'.join(_DIGIT_WORDS)})(?![a-z])")
+_PART = re.compile(r"[A-Za-z]+|[0-9]+")
+MIN_SPELLED = 4  # digit words in a run, figures may stand between them, before it is read as a number
+ADDRESS_MARKS = 3  # or so many spelled dots with a digit word
 
 _DOT = r"(?:[ \t]*[\[({<][ \t]*(?:dot|punkt|punto|\.)[ \t]*[\])}>][ \t]*|[ \t]+dot[ \t]+)"
 _AT = r"(?:[ \t]*[\[({<][ \t]*(?:at|arroba|@)[ \t]*[\])}>][ \t]*|[ \t]+at[ \t]+|@)"
 _AT_CORE = re.compile(rf"(?i)(?P<at>{_AT})[A-Za-z0-9-]+(?:(?:\.|{_DOT})[A-Za-z0-9-]+)+")
 _DOT_RE = re.compile(rf"(?i){_DOT}")
-_LEFT = re.compile(rf"(?i)(?:[A-Za-z0-9_%+-]+(?:\.|{_DOT}))*[A-Za-z0-9._%+-]+$")
 _IP_DOTS = re.compile(rf"(?i)(?<![0-9])[0-9]{{1,3}}(?:(?:\.|{_DOT})[0-9]{{1,3}}){{3}}(?![0-9])")
 _DISGUISE_HINT = re.compile(r"(?i)[\[({<][ \t]*(?:at|arroba|@|dot|punkt|punto|\.)[ \t]*[\])}>]|[ \t]dot[ \t]")
-_LEFT_REACH = 160  # characters before an at-sign searched for the local part's own disguised dots
 
 
 def homoglyph_edits(text: str) -> list[Edit]:
@@ -178,41 +178,74 @@ def homoglyph_edits(text: str) -> list[Edit]:
 
 
 def spelled_digit_edits(text: str) -> list[Edit]:
+    """Runs of digit words, which figures may interrupt. Next to a figure a space or hyphen stays, so that
+    numbers keep their groups; between two figures the source stays as it is."""
     if not _SPELLED_HINT.search(text.lower()):
         return []
     edits = []
     for m in _SPELLED.finditer(text):
-        out, digits, times = [], 0, 1
-        for w in (x.group().lower() for x in _WORD.finditer(m.group())):
+        out, spelled, dots, times = [], 0, 0, 1
+        before, end = "", m.start()  # kind and end of the part before
+        for x in _PART.finditer(m.group()):
+            w, at = x.group().lower(), m.start() + x.start()
             if w in _REPEATS:
                 times = _REPEATS[w]
                 continue
-            out.append("+" if w == "plus" else _DIGIT_WORDS.get(w, _NUMBER_MARKS.get(w, "")) * times)
-            digits += w in _DIGIT_WORDS
-            times = 1
-        if digits >= MIN_SPELLED:
+            kind = "figure" if w[0].isdigit() else "word" if w in _DIGIT_WORDS else "mark"
+            if before == kind == "figure":
+                out.append(text[end:at])
+            elif {before, kind} == {"figure", "word"}:
+                out.append("-" if "-" in text[end:at] else " ")
+            out.append("+" if w == "plus" else _DIGIT_WORDS.get(w, _NUMBER_MARKS.get(w, w)) * times)
+            spelled += kind == "word"
+            dots += _NUMBER_MARKS.get(w) == "."
+            before, end, times = kind, m.start() + x.end(), 1
+        if spelled >= MIN_SPELLED or (spelled and dots >= ADDRESS_MARKS):
             edits.append((m.start(), m.end(), "".join(out)))
     return edits
 
 
+def _local_dots(text: str, end: int, floor: int, dot_at: dict[int, int]) -> list[Span] | None:
+    """Disguised dots inside the local part that ends at ``end``; None without a local part.
+
+    Walks left over the part's characters and the disguised dots between them (``dot_at``: end to start), at most to
+    ``floor``, the end of the address before, so all walks of a text together are linear in it."""
+    out: list[Span] = []
+    at = end
+    while True:
+        stop = at
+        while at > floor and text[at - 1] in _LOCAL:
+            at -= 1
+        if at == stop:  # no character of the local part here: what was taken last is no dot of it
+            return out[:-1] if out else None
+        start = dot_at.get(at, -1)
+        if start < floor or start < 0:
+            return out
+        out.append((start, at))
+        at = start
+
+
 def at_dot_edits(text: str) -> list[Edit]:
     """A bare " at " counts only when a disguised dot follows it; a plain "@" likewise needs no rewriting."""
     if not _DISGUISE_HINT.search(text):
         return []
     edits: dict[int, Edit] = {}
+    dot_at: dict[int, int] | None = None
+    floor = 0
     for m in _AT_CORE.finditer(text):
         at = m.group("at")
         dots = [d.span() for d in _DOT_RE.finditer(text, m.end("at"), m.end())]
         if not dots and (at == "@" or not re.search(r"[\[({<]", at)):
             continue
-        lo = max(0, m.start() - _LEFT_REACH)
-        left = _LEFT.search(text[lo:m.start()])
-        if not left:
+        if dot_at is None:
+            dot_at = {b: a for a, b in (d.span() for d in _DOT_RE.finditer(text))}
+        local = _local_dots(text, m.start(), floor, dot_at)
+        if local is None:
             continue
+        floor = m.end()
         if at != "@":
             edits[m.start("at")] = (m.start("at"), m.end("at"), "@")
-        local = [(lo + a, lo + b) for a, b in (d.span() for d in _DOT_RE.finditer(left.group()))]
-        for a, b in [*((a + left.start(), b + left.start()) for a, b in local), *dots]:
+        for a, b in [*local, *dots]:
             edits[a] = (a, b, ".")
     for m in _IP_DOTS.finditer(text):
         for d in _DOT_RE.finditer(text, m.start(), m.end()):

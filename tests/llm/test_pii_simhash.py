@@ -62,6 +62,13 @@ def test_query_on_documents(spark):
     ("user＠example．com", {"email": ["user＠example．com"]}),
     ("call plus one five five five one two three four five six seven now",
      {"phone": ["plus one five five five one two three four five six seven"]}),
+    ("call plus 4 four 1 one 5 five 5 five 0 zero 1 now", {"phone": ["plus 4 four 1 one 5 five 5 five 0 zero 1"]}),
+    ("card 4111-one one one one-1111-1111 ok", {"card": ["4111-one one one one-1111-1111"]}),
+    ("host 10 dot 0 dot 0 dot one up", {"ip": ["10 dot 0 dot 0 dot one"]}),
+    ("call +44 20 7946 0958 two people", {"phone": ["+44 20 7946 0958"]}),
+    ("one of 12 two 5 men, 3 four", {}),
+    ("x " + " dot ".join(["ab"] * 50) + " at site dot com", {"email": [" dot ".join(["ab"] * 50) + " at site dot com"]}),
+    ("me at ex dot com and you at wy dot org", {"email": ["me at ex dot com", "you at wy dot org"]}),
     ("card " + " ".join(["four"] + ["one"] * 15) + " end", {"card": [" ".join(["four"] + ["one"] * 15)]}),
     ("at 192[.]168[.]0[.]1 x", {"ip": ["192[.]168[.]0[.]1"]}),
     ("one nine two dot one six eight dot zero dot one", {"ip": ["one nine two dot one six eight dot zero dot one"]}),

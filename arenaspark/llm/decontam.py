@@ -28,6 +28,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ ENOUGH_WINDOWS = 6  # 13 words in a row
 MIN_SHARE = 0.5
 MIN_CONSISTENCY = 0.7
 BLOCK_HASHES = 1_000_000
-CACHE_WORDS = 100_000
+CACHE_WORDS = 250_000
 
 # Number words and units.
 _NUMBERS = frozenset(
@@ -70,8 +71,8 @@ def template_tokens(word: str) -> list[tuple[str, str | None]]:
         return []
     low = bare.lower()
     if bare[0].isalpha():  # neither a number in digits nor a quantity
-        if kind := _KNOWN.get(low):
-            return [(kind, low)]
+        if low in _KNOWN:
+            return [(_KNOWN[low], low)]
         if bare[0].isupper() and (len(bare) == 1 or not bare.isupper()):
             return [(_NAME, low)]
     elif m := _NUMBER.fullmatch(bare):
@@ -108,17 +109,18 @@ class Canonicaliser:
             self._reset()
         fresh = list(set().union(*words).difference(self.places))
         if fresh:
-            made = [template_tokens(w) for w in fresh]
+            made = list(map(template_tokens, fresh))
             lens = np.fromiter(map(len, made), np.int64, len(made))
             at = len(self.lens)
             self.starts = np.concatenate([self.starts, len(self.codes) + np.cumsum(lens) - lens])
             self.lens = np.concatenate([self.lens, lens])
-            flat = [x for m in made for x in m]
-            plain = np.fromiter((_code(t if v is None else v) for t, v in flat), np.uint64, len(flat))
+            flat = list(chain.from_iterable(made))
+            digest = xxhash.xxh64_intdigest
+            plain = np.array([digest((t if v is None else v).encode("utf-8", "surrogatepass"), 7) for t, v in flat], np.uint64)
             codes = plain.copy()
             values = np.empty(len(flat), object)
             values[:] = [v for _, v in flat]
-            slot = np.fromiter((v is not None for v in values), bool, len(flat))
+            slot = np.array([v is not None for _, v in flat], bool)
             for i in np.flatnonzero(slot).tolist():
                 codes[i] = _KIND_CODES[flat[i][0]]
             self.codes, self.plain = np.concatenate([self.codes, codes]), np.concatenate([self.plain, plain])

@@ -20,10 +20,13 @@
    all windows of ``MIN_WORDS`` words are grouped by hash, and every holder of a
    window has the passage with the smallest one, so exact passages need no pairing.
    For fuzzy ones these regions are seeded anew with hashes of ``LONG_WORDS`` words,
-   which meet all holders if few hold them and are paired as in 4 otherwise. What
-   this can miss is a passage that is nowhere equal over 50 words, all of whose
-   seeds of either length more than ``FEW_HOLDERS`` texts hold or it has no long
-   one, and which neither end holder has.
+   which meet all holders if few hold them and are paired as in 4 otherwise.
+7. What 4 to 6 leave out is the rest: texts of different classes with seeds in
+   common, and seeds that still lie in no passage, meet every other holder,
+   however many there are. Only the largest class of a seed is not paired within
+   itself, so a group of near copies is no square. A class is therefore whole:
+   no two texts of different classes have seeds in common that span
+   ``MIN_SEED_SPAN // 2`` words and align to a passage.
 """
 
 from __future__ import annotations
@@ -50,6 +53,7 @@ MIN_SEED_SPAN = MIN_WORDS - 2 * SEED_WINDOW  # words from the first to the last
 GAP_COST = 0.1  # per word skipped on either side
 MARGIN = 80  # words taken along before the first and after the last common seed
 FEW_HOLDERS = 32
+SALT_HOLDERS = 200  # holders of one seed that meet the others in one part of the last round's join
 LONG_WORDS, LONG_WINDOW = 31, 20  # 31 + 20 - 1 = 50
 MANY_MATCHES = 64  # pairs of one seed's places in two texts up to which all are taken
 DROP = 8  # an end is extended until it has lost so much against its best
@@ -365,17 +369,13 @@ def _few_holders(own: DataFrame) -> DataFrame:
     return own.groupBy("seed").agg(F.countDistinct("key").alias("holders")).where(F.col("holders") <= FEW_HOLDERS).select("seed")
 
 
-def _same_windows(windows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(passages of every holder of a window of ``MIN_WORDS`` words with the smallest one; key, most other holders)."""
-    first = windows.groupBy("seed").agg(F.min(F.struct("key", "place")).alias("first"), F.max("key").alias("hi"),
-                                        F.countDistinct("key").alias("holders")).where("first.key < hi")
-    own = windows.join(first, "seed")
-    sizes = own.groupBy("key").agg((F.max("holders") - 1).alias("same"))
-    found = own.where("key > first.key").select(
+def _same_windows(windows: DataFrame) -> DataFrame:
+    """Passages of every holder of a window of ``MIN_WORDS`` words with the smallest one."""
+    first = windows.groupBy("seed").agg(F.min(F.struct("key", "place")).alias("first"), F.max("key").alias("hi")).where("first.key < hi")
+    return windows.join(first, "seed").where("key > first.key").select(
         F.col("first.key").alias("a"), F.col("key").alias("b"), F.col("first.place").cast("long").alias("a_start"),
         (F.col("first.place") + MIN_WORDS).cast("long").alias("a_end"), F.col("place").cast("long").alias("b_start"),
         (F.col("place") + MIN_WORDS).cast("long").alias("b_end"), F.lit(MIN_WORDS).cast("long").alias("equal"))
-    return found, sizes
 
 
 def _wider(more: DataFrame, known: DataFrame) -> DataFrame:
@@ -387,23 +387,53 @@ def _wider(more: DataFrame, known: DataFrame) -> DataFrame:
                                 (("a0", "least"), ("a1", "greatest"), ("b0", "least"), ("b1", "greatest"))]))
 
 
-def _pair_rows(left: DataFrame, right: DataFrame, seed_words: int = SEED_WORDS, least: int = MIN_SEED_SPAN // 2) -> DataFrame:
-    """Pairs of two seed tables with ``least`` words spanned by common seeds, and the places these span on both sides.
+def _edges(rows: DataFrame, key: str) -> DataFrame:
+    """(seed, text, first and last place of the seed in it)."""
+    return rows.groupBy("seed", F.col("key").alias(key)).agg(F.min("place").alias(f"{key}0"), F.max("place").alias(f"{key}1"))
 
-    Only the first and last place of a seed in a text count, so a text that repeats a seed is one row of it."""
-    def edges(rows: DataFrame, key: str) -> DataFrame:
-        return rows.groupBy("seed", F.col("key").alias(key)).agg(F.min("place").alias(f"{key}0"), F.max("place").alias(f"{key}1"))
 
-    both = edges(left, "a").join(edges(right, "b"), "seed").where("a <> b")
+def _spanned(both: DataFrame, seed_words: int, least: int) -> DataFrame:
+    """Pairs with ``least`` words spanned by their common seeds, one row of ``both`` each, and the places spanned on both sides."""
     swap = F.col("a") > F.col("b")
-    both = both.select(*[F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in
-                         (("a", "b"), ("b", "a"), ("a0", "b0"), ("a1", "b1"), ("b0", "a0"), ("b1", "a1"))])
+    both = both.where("a <> b").select(*[F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in
+                                         (("a", "b"), ("b", "a"), ("a0", "b0"), ("a1", "b1"), ("b0", "a0"), ("b1", "a1"))])
     return (both.groupBy("a", "b").agg(F.min("a0").alias("a0"), F.max("a1").alias("a1"),
                                        F.min("b0").alias("b0"), F.max("b1").alias("b1"))
             .where(f"a1 - a0 + {seed_words} >= {least} and b1 - b0 + {seed_words} >= {least}")
             .select("a", "b", "a0", "a1", "b0", "b1"))
 
 
+def _pair_rows(left: DataFrame, right: DataFrame, seed_words: int = SEED_WORDS, least: int = MIN_SEED_SPAN // 2) -> DataFrame:
+    """Pairs of two seed tables with ``least`` words spanned by common seeds, and the places these span on both sides.
+
+    Only the first and last place of a seed in a text count, so a text that repeats a seed is one row of it."""
+    return _spanned(_edges(left, "a").join(_edges(right, "b"), "seed"), seed_words, least)
+
+
+def _rest_rows(own: DataFrame, rest: DataFrame, root: DataFrame) -> DataFrame:
+    """Pairs of texts of different classes (``root``: key, class; others are a class by themselves), and of the texts of the
+    seed rows ``rest`` with all others, over common seeds of ``own``.
+
+    Of two texts of different classes one at least is outside the seed's largest class, so the left side leaves that
+    class out and a seed that one class alone holds makes no rows. The left holders of a seed are dealt over parts of
+    about ``SALT_HOLDERS``, each beside all holders."""
+    held = _edges(own, "a").join(root.select(F.col("key").alias("a"), "class"), "a", "left").withColumn("class", F.coalesce("class", "a"))
+    held = held.join(rest.select("seed", F.col("key").alias("a"), F.lit(True).alias("open")).distinct(), ["seed", "a"], "left")
+    held = shared_table(held.withColumn("open", F.coalesce("open", F.lit(False))), "held-seeds")
+    top = (held.groupBy("seed", "class").agg(F.count("*").alias("n"), F.max("open").alias("open"))
+           .groupBy("seed").agg(F.max(F.struct("n", "class")).alias("top"), F.sum("n").alias("n"), F.max("open").alias("any_open"))
+           .where("n > top.n or (any_open and n > 1)")
+           .select("seed", F.col("top.class").alias("top"), F.floor(F.col("n") / SALT_HOLDERS + 1).alias("parts")))
+    held = shared_table(held.join(top, "seed"), "rest-seeds")
+    left = held.where("class <> top or open").withColumn("part", F.pmod(F.xxhash64("a"), "parts")).drop("top", "parts")
+    right = held.select("seed", *[F.col(f"a{x}").alias(f"b{x}") for x in ("", "0", "1")], F.col("class").alias("b_class"),
+                        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    # few small rows make many pairs: a fixed number of parts, which are not merged by their size before the join
+    n = max(own.sparkSession.sparkContext.defaultParallelism, int(own.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    left, right = (x.repartition(n, "seed", "part") for x in (left, right))
+    return _spanned(left.join(right, ["seed", "part"]).where("class <> b_class or open"), SEED_WORDS, MIN_SEED_SPAN // 2)
+
+
 def _passages(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """(a, b, a_start, a_end, b_start, b_end, equal) of the passages of each pair."""
 
@@ -444,8 +474,8 @@ def _uncovered(own: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(members, copies, passages, sizes): ids and keys, texts by key, the passages between texts of different keys, and
-    how many other texts hold the most common window of ``MIN_WORDS`` words that was grouped instead of paired."""
+    """(members, copies, passages, classes): ids and keys, texts by key, the passages between texts of different keys, and
+    the class of every key with a passage. The passages connect every class, but not each two of its texts by themselves."""
     members, copies = _texts_by_key(docs, id_col, text_col)
     copies = shared_table(copies, "copies")
     # one text per key: that of the smallest id; of repeated rows of that id any, they are equal
@@ -466,7 +496,7 @@ def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = shared_table(_dense_seeds(_uncovered(own, _spans(found))), "uncovered-seeds")
     few = shared_table(_few_holders(own), "few-holders")
     wide = shared_table(rest.join(few, "seed", "left_anti"), "wide-seeds")
-    same, sizes = _same_windows(shared_table(_long_seeds(wide, words, MIN_WORDS, 1), "windows"))
+    same = _same_windows(shared_table(_long_seeds(wide, words, MIN_WORDS, 1), "windows"))
     long = shared_table(_long_seeds(wide, words), "long-seeds")
     few_long = long.join(_few_holders(long), "seed", "left_semi")
     more = (_pair_rows(rest.join(few, "seed", "left_semi"), own, least=SEED_WORDS)
@@ -474,25 +504,43 @@ def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .unionByName(_pair_rows(long, _end_holders(long), LONG_WORDS))
             .groupBy("a", "b").agg(F.min("a0").alias("a0"), F.max("a1").alias("a1"), F.min("b0").alias("b0"), F.max("b1").alias("b1")))
     more = shared_table(_wider(more, pairs), "more-pairs")
-    found = found.unionByName(shared_table(_passages(more, words), "more-passages")).unionByName(shared_table(same, "same-windows"))
-    return members, copies, found, sizes
+    found = shared_table(found.unionByName(shared_table(_passages(more, words), "more-passages")).unionByName(same), "paired-passages")
+    root = shared_table(components(found.select("a", "b")).select(F.col("node").alias("key"), F.col("root").alias("class")), "classes")
+    done = (pairs.unionByName(more).groupBy("a", "b").agg(F.min("a0").alias("a0"), F.max("a1").alias("a1"),
+                                                          F.min("b0").alias("b0"), F.max("b1").alias("b1")))
+    left_out = _rest_rows(own, _uncovered(rest, _spans(found)), root)
+    last = shared_table(_passages(shared_table(_wider(left_out, done), "rest-pairs"), words), "rest-passages")
+    return members, copies, found.unionByName(last), _joined_classes(root, last)
+
+
+def _joined_classes(root: DataFrame, last: DataFrame) -> DataFrame:
+    """The classes ``root`` (key, class) after the passages ``last`` join some of them."""
+    def of(key: str) -> DataFrame:
+        return root.select(F.col("key").alias(key), F.col("class").alias(f"{key}_class"))
+
+    links = last.select("a", "b").distinct().join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        "a", "b", F.coalesce("a_class", "a").alias("a_class"), F.coalesce("b_class", "b").alias("b_class"))
+    links = shared_table(links, "class-links")
+    every = root.unionByName(links.select(F.col("a").alias("key"), F.col("a_class").alias("class")))
+    every = every.unionByName(links.select(F.col("b").alias("key"), F.col("b_class").alias("class"))).distinct()
+    again = components(links.where("a_class <> b_class").select(F.col("a_class").alias("a"), F.col("b_class").alias("b")))
+    return shared_table(every.join(again.select(F.col("node").alias("class"), "root"), "class", "left")
+                        .select("key", F.coalesce("root", "class").alias("root")), "joined-classes")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document with a passage of at least 50 words that another document has too.
 
-    Columns: id, class_id (smallest id reachable over common passages or equal texts), n_links (other texts with a
-    passage found in common, plus further copies of the own text), n_copies, spans (``start:end`` in words, merged,
-    comma-joined; the whole text when there are only copies). Words are compared without case and outer marks, a
-    passage may differ in up to a fifth of them. Null and empty texts and texts of fewer than 50 words have no row;
+    Columns: id, class_id (smallest id reachable over common passages or equal texts), n_links (other texts it is
+    linked with, directly or over others: those of its class, plus further copies of the own text), n_copies, spans
+    (``start:end`` in words, merged, comma-joined; the whole text when there are only copies). Words are compared
+    without case and outer marks, a passage may differ in up to a fifth of them. Null and empty texts and texts of fewer than 50 words have no row;
     repeated rows count as copies and give repeated rows; an empty table gives an empty result; other columns are
     not read."""
-    members, copies, found, sizes = shared_passages(docs, id_col, text_col)
+    members, copies, found, root = shared_passages(docs, id_col, text_col)
     found = shared_table(found, "all-passages")
-    root = components(found.select("a", "b"))
-    links = (found.select(F.col("a").alias("key"), F.col("b").alias("other")).union(found.select("b", "a")).distinct()
-             .groupBy("key").agg(F.count("*").alias("links")).join(sizes, "key", "left")
-             .select("key", F.greatest("links", "same").alias("links")))
+    sizes = root.groupBy("root").agg((F.count("*") - 1).alias("links"))
+    links = root.join(sizes, "root")
     # overlapping spans of a text become one
     spans = _spans(found).groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("s"))
     joined = F.aggregate(
@@ -505,8 +553,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     spans = spans.select("key", F.array_join(F.transform(joined, lambda x: F.concat_ws(":", x["start"], x["end"])), ",").alias("spans"))
     long_copies = _long_copies(docs, copies, text_col)
     texts = (copies.join(links, "key", "left").join(long_copies, "key", "left").where("links is not null or n_words is not null")
-             .join(spans, "key", "left").join(root.withColumnRenamed("node", "key"), "key", "left")
-             .withColumn("root", F.coalesce("root", "key")))
+             .join(spans, "key", "left").withColumn("root", F.coalesce("root", "key")))
     named = texts.groupBy("root").agg(F.min("first_id").alias("class_id"))
     texts = texts.join(named, "root").select(
         "key", "class_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.col("n").alias("n_copies"),

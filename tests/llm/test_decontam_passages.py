@@ -1,7 +1,7 @@
 """Operators 8 and 9 against brute force, and their edge cases."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 from hypothesis import given, settings
@@ -315,3 +315,51 @@ def test_pairs_of_texts_that_repeat_a_seed_stay_in_proportion(spark):
     want = {k: (min(x), max(x), min(y), max(y)) for k, (x, y) in want.items()
             if max(x) - min(x) + passages.SEED_WORDS >= least and max(y) - min(y) + passages.SEED_WORDS >= least}
     assert got == want
+
+
+def test_no_link_of_widely_held_seeds_is_left_out(spark):
+    """A common line with two of ten common phrases behind it: only equal pairs of phrases make a passage, and the end
+    holders of every seed mostly have other ones."""
+    rng, hasher = random.Random(4), passages.WordHasher()
+    line, first, second = words(rng, 30), [words(rng, 14) for _ in range(5)], [words(rng, 14) for _ in range(5)]
+    rows = []
+    for i in range(300):
+        part = [*line, *rng.choice(first), *rng.choice(second)]
+        for at in rng.sample(range(10, 44), 2):
+            part[at] = words(rng, 1)[0]
+        rows.append((i, " ".join(words(rng, 90) + part + words(rng, 90))))
+    coded = [hasher(t) for _, t in rows]
+    at = [dict(zip(*(x.tolist() for x in passages.seeds(c)[:2]))) for c in coded]
+    held = Counter(h for own in at for h in own)
+    at = [{h: k for h, k in own.items() if held[h] > 1} for own in at]  # by rule, in a cluster wide enough for a passage
+    at = [{h: k for (h, k), keep in zip(own.items(), passages.dense(np.array(list(own.values())))) if keep} for own in at]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for i in range(len(rows)):
+        for j in range(i):
+            same = at[i].keys() & at[j].keys()
+            if same and all(max(s[h] for h in same) - min(s[h] for h in same) >= 15 for s in (at[i], at[j])):
+                if passages.align(coded[i], coded[j]):
+                    a, b = sorted((find(i), find(j)))
+                    parent[b] = a
+    want = defaultdict(set)
+    for i in range(len(rows)):
+        want[find(i)].add(i)
+    want = {frozenset(s) for s in want.values() if len(s) > 1}
+    got = defaultdict(set)
+    for r in passages.repeated_passages(docs(spark, rows)).collect():
+        got[r.class_id].add(r.doc_id)
+        assert r.class_id >= 0 and r.n_links >= 1
+    assert len(want) >= 20 and all(any(w <= g for g in got.values()) for w in want)
+
+
+def test_every_text_of_a_class_has_the_same_number_of_links(spark):
+    rng = random.Random(80)
+    p = words(rng, 120)
+    rows = [(i, " ".join(words(rng, 30) + [w if rng.random() > 0.05 else "changed" for w in p] + words(rng, 30))) for i in range(80)]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in passages.repeated_passages(docs(spark, rows)).collect()}
+    assert got == {i: (0, 79) for i in range(80)}

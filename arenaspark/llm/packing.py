@@ -25,6 +25,7 @@ from arenaspark.llm.tokens import ids_crc32, public_tokenizer, slices_of, worker
 
 CAPACITY = 2048
 END_ID = 0
+SLICE_BYTES = 1 << 22
 TOKENIZER = "byte_bpe_50k.json"
 
 Group = tuple[int, list[tuple[int, int]]]  # number of sequences, [(length, how many of it in each)]
@@ -140,8 +141,10 @@ def cut_pieces(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 
 def piece_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer_path: str | None = None,
-                capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """One row per piece, with the task that made it and its rank among that task's pieces of its length."""
+                capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """One row per piece, with the task that made it and its rank among that task's pieces of its length.
+
+    ``slice_bytes`` of text are tokenised at once; fewer take less memory and more time."""
     path = tokenizer_path or public_tokenizer(TOKENIZER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +152,7 @@ def piece_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for b in batches:
             texts, keys = b.column(1), b.column(0)
-            for part in slices_of(texts):
+            for part in slices_of(texts, slice_bytes):
                 ids, counts = encoder.encode(texts[part])
                 rows, at = [], 0
                 for k, n in enumerate(counts.tolist(), part.start):
@@ -175,13 +178,13 @@ def piece_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer_path: str | None = None,
-         capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+         capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset (and ids on request).
 
     Null and empty texts are one piece that holds the end id. Repeated rows and null ids are packed like any
     other row; an empty table gives an empty result; other columns are not read."""
     spark = docs.sparkSession
-    pieces = shared_table(piece_table(docs, id_col, text_col, tokenizer_path, capacity, end_id, with_ids), "pieces")
+    pieces = shared_table(piece_table(docs, id_col, text_col, tokenizer_path, capacity, end_id, with_ids, slice_bytes), "pieces")
     per_task = pieces.groupBy("length", "task").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     earlier = shared_table(per_task.select("length", "task", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier")),

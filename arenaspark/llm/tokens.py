@@ -176,7 +176,11 @@ class WordEncoder:
             first = np.cumsum(count) - count
         n = self.lens[at]
         ends = np.cumsum(n)
-        ids = self.flat[np.repeat(self.starts[at] - ends + n, n) + np.arange(int(ends[-1]))]
+        total = int(ends[-1])
+        kind = np.int32 if total + len(self.flat) < 1 << 31 else np.int64  # half the memory where it fits
+        place = np.repeat((self.starts[at] - ends + n).astype(kind), n)
+        place += np.arange(total, dtype=kind)
+        ids = self.flat[place]
         per_text = np.add.reduceat(n, first)
         if special:  # whole texts are no words to remember
             self.flat, self.lens, self.starts = self.flat[:kept[0]], self.lens[:kept[1]], self.starts[:kept[1]]

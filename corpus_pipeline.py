@@ -30,7 +30,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: what is left is packed into sequences of 2048 tokens."""
-    return packing.pack(docs)
+    return packing.pack(docs, slice_bytes=1 << 20)  # the executors still hold memory of the stages before
 
 
 STAGES = [

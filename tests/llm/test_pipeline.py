@@ -3,14 +3,15 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
-from arenaspark.llm import pii, simhash, tokens
+from arenaspark.llm import packing, pii, simhash, tokens
 from arenaspark.llm.common import read
 from arenaspark.llm.queries import REGISTRY
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
 
 
 def brute(spark):
@@ -58,3 +59,23 @@ def test_stages_take_empty_and_odd_tables(spark, k):
     odd = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", "s", 0), (2, "", "en", "s", 0),
                                  (None, "x " * 30, "en", "s", 60), (5, "word " * 20000, "en", "s", 100000)], docs.schema)
     assert P.STAGES[k][1](spark, odd, SF_SMALL).count() >= 0
+
+
+def test_workers_get_small_batches(spark):
+    """A written stage sends its rows to the Python workers in small batches, and the session keeps its setting."""
+    from arenaspark.llm.common import BATCH_ROWS, shared_table
+
+    def rows(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    got = shared_table(spark.range(0, 9000, 1, 1).mapInArrow(rows, "n long"), "batches").collect()
+    assert sum(r.n for r in got) == 9000 and max(r.n for r in got) <= BATCH_ROWS and spark.conf.get(name) == before
+
+
+def test_small_slices_pack_alike(spark):
+    docs = read(spark, SF_MID, "documents").limit(200).coalesce(1)
+    want, got = ({tuple(r) for r in packing.pack(docs, slice_bytes=n).collect()} for n in (1 << 22, 1 << 12))
+    assert got == want and want

@@ -24,7 +24,8 @@
 7. What 4 to 6 leave out is the rest: texts of different classes with seeds in
    common, and seeds that still lie in no passage, meet every other holder,
    however many there are. Only the largest class of a seed is not paired within
-   itself, so a group of near copies is no square. A class is therefore whole:
+   itself, so a group of near copies is no square, and they are joined by two of
+   their seeds that stand far apart, so those of one short line do not meet. A class is therefore whole:
    no two texts of different classes have seeds in common that span
    ``MIN_SEED_SPAN // 2`` words and align to a passage.
 """
@@ -53,7 +54,8 @@ MIN_SEED_SPAN = MIN_WORDS - 2 * SEED_WINDOW  # words from the first to the last
 GAP_COST = 0.1  # per word skipped on either side
 MARGIN = 80  # words taken along before the first and after the last common seed
 FEW_HOLDERS = 32
-SALT_HOLDERS = 200  # holders of one seed that meet the others in one part of the last round's join
+MANY_SEEDS = 64  # seeds of a text up to which the last round joins texts by two of them
+SALT_HOLDERS = 200  # holders of a key that meet the others in one part of the last round's join
 LONG_WORDS, LONG_WINDOW = 31, 20  # 31 + 20 - 1 = 50
 MANY_MATCHES = 64  # pairs of one seed's places in two texts up to which all are taken
 DROP = 8  # an end is extended until it has lost so much against its best
@@ -61,21 +63,25 @@ CACHE_WORDS = 150_000
 _MARKS = ".,;:!?\"'()[]"
 
 
+class _Places(dict):
+    """Word -> its hash, computed at first sight."""
+
+    def __missing__(self, word: str) -> int:
+        value = self[word] = zlib.crc32((word.lower().strip(_MARKS) or word).encode("utf-8", "surrogatepass"))
+        return value
+
+
 class WordHasher:
     """32-bit hashes of the words of texts; case and outer marks do not count."""
 
     def __init__(self) -> None:
-        self.places: dict[str, int] = {}
+        self.places = _Places()
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = (text or "").split()
         if len(self.places) > CACHE_WORDS:
-            self.places = {}
-        known = self.places
-        for w in words:
-            if w not in known:
-                known[w] = zlib.crc32((w.lower().strip(_MARKS) or w).encode("utf-8", "surrogatepass"))
-        return np.fromiter(map(known.__getitem__, words), dtype=np.uint32, count=len(words))
+            self.places = _Places()
+        return np.fromiter(map(self.places.__getitem__, words), dtype=np.uint32, count=len(words))
 
 
 def seeds(words: np.ndarray, length: int = SEED_WORDS, window: int = SEED_WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,22 +90,33 @@ def seeds(words: np.ndarray, length: int = SEED_WORDS, window: int = SEED_WINDOW
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     h = np.full(n, 17, dtype=np.uint64)
+    words = words.astype(np.uint64)
     for j in range(length):
         h = (h ^ words[j:j + n]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(31)
     m = max(1, n - window + 1)
     w = n - m + 1
-    least = h[:m].copy()
-    for j in range(1, w):
-        np.minimum(least, h[j:j + m], out=least)
-    picked = np.zeros(n, dtype=bool)
-    for j in range(w):
-        picked[j:j + m] |= h[j:j + m] == least
-    fresh = np.append(True, h[1:] != h[:-1])
-    starts = np.flatnonzero(fresh)
-    runs = np.diff(np.append(starts, n))
-    keep = picked[starts]
-    return h[starts[keep]].view(np.int64), starts[keep].astype(np.int64), runs[keep]
+    least = _sliding(np.minimum, h, w)
+    # a hash is picked if it is the least of a window that it lies in: the largest of their least ones
+    around = np.zeros(m + 2 * (w - 1), dtype=np.uint64)
+    around[w - 1:w - 1 + m] = least
+    picked = _sliding(np.maximum, around, w) == h
+    picked[1:] &= h[1:] != h[:-1]
+    starts = np.flatnonzero(picked)
+    # a run ends before the next other hash
+    ends = np.append(np.flatnonzero(h[1:] != h[:-1]) + 1, n)
+    runs = ends[np.searchsorted(ends, starts, side="right")] - starts
+    return h[starts].view(np.int64), starts.astype(np.int64), runs
+
+
+def _sliding(pick: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
+    """``pick`` of every ``width`` neighbours, from those of windows half as wide."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        x = pick(x[:-step], x[step:])
+        have += step
+    return x
 
 
 def dense(places: np.ndarray) -> np.ndarray:
@@ -184,14 +201,16 @@ def _common_words(a: np.ndarray, b: np.ndarray) -> int:
 def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     """(words taken, of them equal) of the best common beginning of a and b, mismatches counting twice."""
     n = min(len(a), len(b))
-    at = good = best = taken = equal = 0
-    for at, same in enumerate((a[:n] == b[:n]).tolist(), 1):
-        good += same
-        value = good - 2 * (at - good)
-        if value > best:
-            best, taken, equal = value, at, good
-        if value < best - DROP:
-            break
+    a, b = a[:n], b[:n]
+    good = best = taken = equal = 0
+    for lo in range(0, n, 32):
+        for at, same in enumerate((a[lo:lo + 32] == b[lo:lo + 32]).tolist(), lo + 1):
+            good += same
+            value = good - 2 * (at - good)
+            if value > best:
+                best, taken, equal = value, at, good
+            if value < best - DROP:
+                return taken, equal
     return taken, equal
 
 
@@ -208,12 +227,15 @@ def align(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """Passages common to two word sequences: (start, end in a, start, end in b, equal words)."""
     ha, pa_, ra = seeds(a)
     hb, pb, rb = seeds(b)
+    la, lb = ha.tolist(), hb.tolist()
+    common = set(la).intersection(lb)
     at: dict[int, list[int]] = defaultdict(list)
-    for j, h in enumerate(hb.tolist()):
-        at[h].append(j)
+    for j, h in enumerate(lb):
+        if h in common:
+            at[h].append(j)
     own: dict[int, list[int]] = defaultdict(list)
-    for i, h in enumerate(ha.tolist()):
-        if h in at:
+    for i, h in enumerate(la):
+        if h in common:
             own[h].append(i)
     matches = [(int(pa_[i]), int(pb[j]), SEED_WORDS - 1 + int(min(ra[i], rb[j])))
                for h, left in own.items() for i, j in _partners(left, at[h])]
@@ -239,8 +261,13 @@ def _best_parts(a: np.ndarray, b: np.ndarray, blocks: list[tuple[int, int, int,
     """Passages along a chain: the longest part that is long and equal enough, then the same before and after it.
 
     A part runs from one block to another and is extended at both ends, up to the neighbouring blocks."""
-    x, y, w, gap = np.array(blocks, dtype=np.int64).T
     n = len(blocks)
+    (x0, y0, _, _), (x1, y1, w1, _) = blocks[0], blocks[-1]
+    if min(x1 - x0, y1 - y0) + w1 < MIN_WORDS:  # all parts lie within the widest one
+        beside = _extend(a[:x0][::-1], b[:y0][::-1])[0] + _extend(a[x1 + w1:], b[y1 + w1:])[0]
+        if min(x1 - x0, y1 - y0) + w1 + beside < MIN_WORDS:
+            return []
+    x, y, w, gap = np.array(blocks, dtype=np.int64).T
     left, right = np.zeros((n, 2), np.int64), np.zeros((n, 2), np.int64)  # (words, equal words) of the extensions
     for i in range(n):
         px, py = (x[i - 1] + w[i - 1], y[i - 1] + w[i - 1]) if i else (0, 0)
@@ -414,24 +441,59 @@ def _rest_rows(own: DataFrame, rest: DataFrame, root: DataFrame) -> DataFrame:
     """Pairs of texts of different classes (``root``: key, class; others are a class by themselves), and of the texts of the
     seed rows ``rest`` with all others, over common seeds of ``own``.
 
-    Of two texts of different classes one at least is outside the seed's largest class, so the left side leaves that
-    class out and a seed that one class alone holds makes no rows. The left holders of a seed are dealt over parts of
-    about ``SALT_HOLDERS``, each beside all holders."""
+    Only the pairs of ``_far_pairs`` are compared over all their common seeds."""
     held = _edges(own, "a").join(root.select(F.col("key").alias("a"), "class"), "a", "left").withColumn("class", F.coalesce("class", "a"))
     held = held.join(rest.select("seed", F.col("key").alias("a"), F.lit(True).alias("open")).distinct(), ["seed", "a"], "left")
     held = shared_table(held.withColumn("open", F.coalesce("open", F.lit(False))), "held-seeds")
-    top = (held.groupBy("seed", "class").agg(F.count("*").alias("n"), F.max("open").alias("open"))
-           .groupBy("seed").agg(F.max(F.struct("n", "class")).alias("top"), F.sum("n").alias("n"), F.max("open").alias("any_open"))
-           .where("n > top.n or (any_open and n > 1)")
-           .select("seed", F.col("top.class").alias("top"), F.floor(F.col("n") / SALT_HOLDERS + 1).alias("parts")))
-    held = shared_table(held.join(top, "seed"), "rest-seeds")
-    left = held.where("class <> top or open").withColumn("part", F.pmod(F.xxhash64("a"), "parts")).drop("top", "parts")
-    right = held.select("seed", *[F.col(f"a{x}").alias(f"b{x}") for x in ("", "0", "1")], F.col("class").alias("b_class"),
+    held = shared_table(held.join(_largest_class(held, "seed").select("seed"), "seed", "left_semi"), "rest-seeds")
+    pairs = shared_table(_far_pairs(held, MIN_SEED_SPAN // 2 - SEED_WORDS), "rest-candidates")
+    other = held.select("seed", *[F.col(f"a{x}").alias(f"b{x}") for x in ("", "0", "1")],
+                        F.col("class").alias("b_class"), F.col("open").alias("b_open"))
+    both = pairs.join(held, "a").join(other, ["b", "seed"]).where("class <> b_class or open or b_open")
+    return _spanned(both, SEED_WORDS, MIN_SEED_SPAN // 2)
+
+
+def _largest_class(rows: DataFrame, key: str, needed: str = "true") -> DataFrame:
+    """(key, top, parts) of the keys that make pairs: their largest class, and a part for each ``SALT_HOLDERS`` holders.
+
+    ``needed`` must hold for one of a key's rows."""
+    return (rows.groupBy(key, "class").agg(F.count("*").alias("n"), F.max("open").alias("open"), F.max(F.expr(needed)).alias("needed"))
+            .groupBy(key).agg(F.max(F.struct("n", "class")).alias("top"), F.sum("n").alias("n"), F.max("open").alias("any_open"),
+                              F.max("needed").alias("needed"))
+            .where("needed and (n > top.n or (any_open and n > 1))")
+            .select(key, F.col("top.class").alias("top"), F.floor(F.col("n") / SALT_HOLDERS + 1).alias("parts")))
+
+
+def _far_pairs(held: DataFrame, far: int) -> DataFrame:
+    """(a, b), a < b: all texts that can have seeds in common that start ``far`` words apart.
+
+    Such texts have two seeds in common that stand so far apart in one of them, or one that both repeat so far apart;
+    so the key of a row is two seeds of a text, not one, and of two rows of a key one must be far. Texts
+    that share a short line alone do not meet. A text of more than ``MANY_SEEDS`` seeds meets all holders of each of them
+    instead. Of two texts of different classes one at least is outside the key's largest class, so the left side leaves
+    that class out. The left holders of a key are dealt over parts of about ``SALT_HOLDERS``, each beside all holders."""
+    own = held.groupBy("a", "class").agg(F.sort_array(F.collect_list(F.struct("seed", "a0", "a1", "open"))).alias("x"))
+
+    def two(s, i):
+        return F.transform(F.slice("x", i + 1, F.size("x") - i), lambda t: F.struct(
+            F.xxhash64(s["seed"], t["seed"]).alias("key"), (s["seed"] == t["seed"]).alias("same"),
+            (F.greatest(s["a1"], t["a1"]) - F.least(s["a0"], t["a0"]) >= far).alias("far"), (s["open"] | t["open"]).alias("open")))
+
+    twos = own.where(F.size("x") <= MANY_SEEDS).select("a", "class", F.inline(F.flatten(F.transform("x", two))))
+    ones = own.select("a", "class", (F.size("x") > MANY_SEEDS).alias("far"), F.explode("x").alias("s"))
+    rows = (twos.where("far or not same").select("key", "a", "class", "far", "open")
+            .union(ones.select("s.seed", "a", "class", "far", "s.open")))
+    rows = shared_table(rows, "seed-pairs")
+    rows = shared_table(rows.join(_largest_class(rows, "key", "far"), "key"), "far-pairs")
+    left = rows.where("class <> top or open").withColumn("part", F.pmod(F.xxhash64("a"), "parts")).drop("top", "parts")
+    right = rows.select("key", F.col("a").alias("b"), F.col("class").alias("b_class"), F.col("far").alias("b_far"),
                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
     # few small rows make many pairs: a fixed number of parts, which are not merged by their size before the join
-    n = max(own.sparkSession.sparkContext.defaultParallelism, int(own.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    left, right = (x.repartition(n, "seed", "part") for x in (left, right))
-    return _spanned(left.join(right, ["seed", "part"]).where("class <> b_class or open"), SEED_WORDS, MIN_SEED_SPAN // 2)
+    n = max(held.sparkSession.sparkContext.defaultParallelism, int(held.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    met = [x.repartition(n, "key", "part").join(y.repartition(n, "key", "part"), ["key", "part"])
+           .where("a <> b and (class <> b_class or open)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+           for x, y in ((left.where("far"), right), (left.where("not far"), right.where("b_far")))]
+    return met[0].union(met[1]).distinct()
 
 
 def _passages(pairs: DataFrame, words: DataFrame) -> DataFrame:

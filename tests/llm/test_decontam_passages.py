@@ -363,3 +363,35 @@ def test_every_text_of_a_class_has_the_same_number_of_links(spark):
     rows = [(i, " ".join(words(rng, 30) + [w if rng.random() > 0.05 else "changed" for w in p] + words(rng, 30))) for i in range(80)]
     got = {r.doc_id: (r.class_id, r.n_links) for r in passages.repeated_passages(docs(spark, rows)).collect()}
     assert got == {i: (0, 79) for i in range(80)}
+
+
+def test_only_texts_with_far_seeds_in_common_meet(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(s, f"t{t:02d}", 100 + 6 * s, 100 + 6 * s, t // 2, False) for t in range(40) for s in (0, 1)]  # a short line of all
+    for t in range(40):
+        for s in rng.sample(range(2, 40), 5):
+            at = rng.randrange(60, 160)
+            rows.append((s, f"t{t:02d}", at, at + rng.choice((0, 0, 12)), t // 2, rng.random() < 0.1))
+    held = spark.createDataFrame(rows, "seed long, a string, a0 int, a1 int, class long, open boolean")
+    texts = defaultdict(dict)
+    for s, a, lo, hi, c, o in rows:
+        texts[a][s] = (lo, hi, c, o)
+
+    def far(own, seeds):
+        return max(own[s][1] for s in seeds) - min(own[s][0] for s in seeds) >= 10
+
+    names, due, short = sorted(texts), set(), set()
+    for i, a in enumerate(names):
+        for b in names[i + 1:]:
+            both = [s for s in texts[a] if s in texts[b] and (texts[a][s][2] != texts[b][s][2] or texts[a][s][3] or texts[b][s][3])]
+            if both and far(texts[a], both) and far(texts[b], both):
+                due.add((a, b))
+            if set(both) == {0, 1}:
+                short.add((a, b))
+    assert due and short
+    for most in (64, 3):  # 3: texts of more seeds meet all holders
+        monkeypatch.setattr(passages, "MANY_SEEDS", most)
+        found = {tuple(r) for r in passages._far_pairs(held, 10).collect()}
+        assert due <= found
+        if most == 64:
+            assert not found & short

@@ -112,6 +112,13 @@ class WordEncoder:
         """Ids of a text, as 32-bit integers, from the ids of its parts."""
         return b"".join(map(self.parts.__getitem__, _PART.findall(text)))
 
+    def _letters(self, word: str) -> bytes:
+        """Ids of a word of ASCII letters and the space before it: one part, which need not be kept beside the word."""
+        got = self.parts.get(" " + word)
+        if got is None:
+            got = array("I", [t.id for t in self.parts.tokenize(self.prepare(" " + word, word))]).tobytes()
+        return got
+
     def _add(self, made: list[bytes]) -> range:
         """Append ids; their places."""
         at = len(self.lens)
@@ -124,9 +131,12 @@ class WordEncoder:
     def _places(self, words: list[str]) -> np.ndarray:
         """Place of each word; -1 beside more white space, where the border is not certain."""
         known, part, cut, join = self.places, self.parts.__getitem__, _PART.findall, b"".join
+        letters = self._letters if self.prepare else lambda w: part(" " + w)
         safe, made = [], []
-        for w in words:
-            if w in known:
+        for w in [w for w in words if w not in known]:
+            if w.isalpha() and w.isascii():
+                safe.append(w)
+                made.append(letters(w))
                 continue
             if w[:1] == _FIRST:
                 text = w[1:]

@@ -164,3 +164,13 @@ def test_token_files_edges_and_small_chunks(spark, monkeypatch, tmp_path):
     tokenfile.write_token_files(df, str(tmp_path / "f"))
     back = {r.doc_id: r.ids for r in tokenfile.read_token_files(spark, str(tmp_path / "f"), with_ids=True).collect()}
     assert back[9] == ids_of(WORD, "Word " * 4000) + [2] and back[1] == [2]
+
+
+def test_words_of_plain_letters_are_kept_once():
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        encoder = tokens.WordEncoder(tokens.public_tokenizer(name))
+        texts = ["one Plain mUsic words", "one Plain, words école wordsé straße", "Plain", "x" * 40 + " " + "Qz" * 30]
+        ids, counts = encoder.encode(texts)
+        whole = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == [i for x in whole for i in x] and counts.tolist() == [len(x) for x in whole]
+        assert encoder.lens.size and not {" mUsic", " words"} & set(encoder.parts)

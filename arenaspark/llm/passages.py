@@ -22,12 +22,15 @@
    For fuzzy ones these regions are seeded anew with hashes of ``LONG_WORDS`` words,
    which meet all holders if few hold them and are paired as in 4 otherwise.
 7. What 4 to 6 leave out is the rest: texts of different classes with seeds in
-   common, and seeds that still lie in no passage, meet every other holder,
-   however many there are. Only the largest class of a seed is not paired within
-   itself, so a group of near copies is no square, and they are joined by two of
-   their seeds that stand far apart, so those of one short line do not meet. A class is therefore whole:
-   no two texts of different classes have seeds in common that span
-   ``MIN_SEED_SPAN // 2`` words and align to a passage.
+   common, and seeds that still lie in no passage, meet every other holder of
+   them around whose seed a passage can lie. Seeds of few holders need no more than
+   to stand apart in both texts. Of the others either the words around a seed are
+   alike, as in a passage with no word left out on one side alone, or two seeds
+   stand in order, ``NEAR`` words apart at most but not equally far, and enough of
+   the words around them are in the other text. Both are bounds on what alignment
+   can find there, so a short line that many texts hold makes no pairs.
+   Not met are texts of widely held seeds alone whose passage has over ``NEAR``
+   words without a common seed where words are left out.
 """
 
 from __future__ import annotations
@@ -56,6 +59,12 @@ MARGIN = 80  # words taken along before the first and after the last common seed
 FEW_HOLDERS = 32
 MANY_SEEDS = 64  # seeds of a text up to which the last round joins texts by two of them
 SALT_HOLDERS = 200  # holders of a key that meet the others in one part of the last round's join
+CELL_HOLDERS = 1000  # holders of a key that meet as many others in one part of the join of surroundings
+AROUND = 64  # words on either side of a seed that tell whether a passage can lie there
+MOST_OTHER = 18  # of 30 words beside a seed that may differ in a passage: a fifth of up to 94
+LEAST_SAME = round(MIN_WORDS * MIN_IDENTITY)  # equal words of a passage
+SHIFT = 16  # words by which the surroundings compared are shorter than those they are looked up in
+NEAR = 2 * MAX_GAP  # words between two seeds of a passage with words left out on one side
 LONG_WORDS, LONG_WINDOW = 31, 20  # 31 + 20 - 1 = 50
 MANY_MATCHES = 64  # pairs of one seed's places in two texts up to which all are taken
 DROP = 8  # an end is extended until it has lost so much against its best
@@ -336,14 +345,19 @@ def _dense_seeds(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            ks, ss, ps = [], [], []
             for key, places, own in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
                 p, s = np.asarray(places.values), np.asarray(own.values)
+                if len(p) < 2:
+                    continue  # no cluster
                 order = np.argsort(p, kind="stable")
                 keep = order[dense(p[order])]
                 if len(keep):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(keep), key, np.int64)), pa.array(s[keep]), pa.array(p[keep])],
-                        names=["key", "seed", "place"])
+                    ks.append(np.full(len(keep), key, np.int64))
+                    ss.append(s[keep])
+                    ps.append(p[keep])
+            if ks:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (ks, ss, ps)], names=["key", "seed", "place"])
 
     grouped = rows.groupBy("key").agg(F.collect_list(F.struct("place", "seed")).alias("x"))
     return grouped.select("key", "x.place", "x.seed").mapInArrow(lean(run), "key bigint, seed bigint, place int")
@@ -437,31 +451,237 @@ def _pair_rows(left: DataFrame, right: DataFrame, seed_words: int = SEED_WORDS,
     return _spanned(_edges(left, "a").join(_edges(right, "b"), "seed"), seed_words, least)
 
 
-def _rest_rows(own: DataFrame, rest: DataFrame, root: DataFrame) -> DataFrame:
+def _rest_rows(own: DataFrame, rest: DataFrame, root: DataFrame, words: DataFrame) -> DataFrame:
     """Pairs of texts of different classes (``root``: key, class; others are a class by themselves), and of the texts of the
     seed rows ``rest`` with all others, over common seeds of ``own``.
 
-    Only the pairs of ``_far_pairs`` are compared over all their common seeds."""
-    held = _edges(own, "a").join(root.select(F.col("key").alias("a"), "class"), "a", "left").withColumn("class", F.coalesce("class", "a"))
+    Only the pairs of ``_far_pairs`` over seeds of few holders, of ``_same_surroundings`` and of ``_shifted_pairs`` are
+    compared, over all their common seeds."""
+    held = own.select("seed", F.col("key").alias("a"), "place").join(
+        root.select(F.col("key").alias("a"), "class"), "a", "left").withColumn("class", F.coalesce("class", "a"))
     held = held.join(rest.select("seed", F.col("key").alias("a"), F.lit(True).alias("open")).distinct(), ["seed", "a"], "left")
     held = shared_table(held.withColumn("open", F.coalesce("open", F.lit(False))), "held-seeds")
     held = shared_table(held.join(_largest_class(held, "seed").select("seed"), "seed", "left_semi"), "rest-seeds")
-    pairs = shared_table(_far_pairs(held, MIN_SEED_SPAN // 2 - SEED_WORDS), "rest-candidates")
-    other = held.select("seed", *[F.col(f"a{x}").alias(f"b{x}") for x in ("", "0", "1")],
-                        F.col("class").alias("b_class"), F.col("open").alias("b_open"))
-    both = pairs.join(held, "a").join(other, ["b", "seed"]).where("class <> b_class or open or b_open")
-    return _spanned(both, SEED_WORDS, MIN_SEED_SPAN // 2)
+    edges = held.groupBy("seed", "a", "class", "open").agg(F.min("place").alias("a0"), F.max("place").alias("a1"))
+    few = edges.groupBy("seed").agg(F.count("*").alias("n")).where(F.col("n") <= FEW_HOLDERS).select("seed")
+    pairs = (_far_pairs(edges.join(few, "seed", "left_semi"), MIN_SEED_SPAN // 2 - SEED_WORDS)
+             .union(_same_surroundings(held, words)).union(_shifted_pairs(held, words)).distinct())
+    pairs = shared_table(pairs, "rest-candidates")
+    other = edges.select("seed", *[F.col(f"a{x}").alias(f"b{x}") for x in ("", "0", "1")],
+                         F.col("class").alias("b_class"), F.col("open").alias("b_open"))
+    both = pairs.join(edges, "a").join(other, ["b", "seed"]).where("class <> b_class or open or b_open")
+    return _spanned(both, SEED_WORDS, SEED_WORDS)
 
 
-def _largest_class(rows: DataFrame, key: str, needed: str = "true") -> DataFrame:
-    """(key, top, parts) of the keys that make pairs: their largest class, and a part for each ``SALT_HOLDERS`` holders.
+def _largest_class(rows: DataFrame, key: str, needed: str = "true", holders: int = SALT_HOLDERS) -> DataFrame:
+    """(key, top, parts) of the keys that make pairs: their largest class, and a part for each ``holders`` holders.
 
     ``needed`` must hold for one of a key's rows."""
     return (rows.groupBy(key, "class").agg(F.count("*").alias("n"), F.max("open").alias("open"), F.max(F.expr(needed)).alias("needed"))
             .groupBy(key).agg(F.max(F.struct("n", "class")).alias("top"), F.sum("n").alias("n"), F.max("open").alias("any_open"),
                               F.max("needed").alias("needed"))
             .where("needed and (n > top.n or (any_open and n > 1))")
-            .select(key, F.col("top.class").alias("top"), F.floor(F.col("n") / SALT_HOLDERS + 1).alias("parts")))
+            .select(key, F.col("top.class").alias("top"), F.floor(F.col("n") / holders + 1).alias("parts")))
+
+
+def _met(rows: DataFrame, key: str, more: list[str], of_b: dict) -> DataFrame:
+    """Rows of a key beside one another, those of different classes or open ones; the second's columns ``more`` are ``b_..``,
+    as ``of_b`` says. The holders of a key are dealt over cells of ``CELL_HOLDERS`` by ``CELL_HOLDERS``."""
+    rows = rows.join(_largest_class(rows, key, holders=CELL_HOLDERS), key).withColumns(
+        {"outside": F.expr("class <> top or open"), "own": F.pmod(F.xxhash64("a"), "parts"),
+         "each": F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))})
+    left = rows.where("outside").select(key, "a", "class", "open", *more, F.col("own").alias("x"), F.col("each").alias("y"))
+    right = rows.select(key, F.col("a").alias("b"), F.col("class").alias("b_class"), F.col("outside").alias("b_outside"),
+                        *[of_b.get(c, F.col(c)).alias(f"b_{c}") for c in more], F.col("each").alias("x"), F.col("own").alias("y"))
+    # few small rows make many pairs: a fixed number of parts, which are not merged by their size before the join
+    n = max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return (left.repartition(n, key, "x", "y").hint("merge").join(right.repartition(n, key, "x", "y"), [key, "x", "y"])
+            .where("a <> b and (a < b or not b_outside) and (class <> b_class or open)"))
+
+
+def _surroundings(held: DataFrame, words: DataFrame) -> DataFrame:
+    """(seed, a, class, open, left0.., right0.., n_left, n_right): the ``AROUND`` words on either side of every seed, nearest
+    first, four bits of each word (not zero; zero: no word), and how many there are."""
+    names = [f"{side}{k}" for side in ("left", "right") for k in range(AROUND // 16)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for a, group, seeds_, places, opens, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), *b.columns[2:5],
+                                                            b.column(5).to_pylist()):
+                own, at = np.frombuffer(raw, "<u4"), np.asarray(places.values)
+                counts = np.stack([np.minimum(at, AROUND), np.minimum(len(own) - at - SEED_WORDS, AROUND)], axis=1)
+                rows = np.concatenate([np.asarray(seeds_.values)[:, None], np.asarray(opens.values)[:, None],
+                                       surrounding_codes(own, at).view(np.int64), counts], axis=1)
+                rows = np.unique(rows, axis=0)  # a line that a text repeats is one row while its surroundings are the same
+                out.append(np.concatenate([np.full((len(rows), 2), (a, group)), rows], axis=1))
+            if out:
+                a, group, seed, free, *rest = np.concatenate(out).T.copy()
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (seed, a, group, free != 0, *rest)],
+                                                 names=["seed", "a", "class", "open", *names, "n_left", "n_right"])
+
+    return _by_text(held, words).mapInArrow(
+        lean(run), "seed bigint, a bigint, class bigint, open boolean, " + ", ".join(f"{n} bigint" for n in [*names, "n_left", "n_right"]))
+
+
+def surrounding_codes(words: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Four bits for each of the ``AROUND`` words before (nearest first) and after the seeds at ``places``, 16 words a number.
+
+    They depend on the word and on how far off it is, so two runs of one word each differ in most places."""
+    steps = np.arange(AROUND)
+    at = np.concatenate([places[:, None] - 1 - steps, places[:, None] + SEED_WORDS + steps], axis=1)
+    there = (at >= 0) & (at < len(words))
+    h = (words.astype(np.uint64)[np.where(there, at, 0)] + (np.arange(2 * AROUND, dtype=np.uint64) << np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    bits = np.where(there, (h >> np.uint64(40)) % np.uint64(14) + np.uint64(2), np.uint64(0))
+    return np.bitwise_or.reduce(bits.reshape(len(places), -1, 16) << np.arange(0, 64, 4, dtype=np.uint64), axis=2)
+
+
+def can_span(same: np.ndarray, first: int, last: np.ndarray | int) -> np.ndarray:
+    """For each row of ``same``, whether a passage can lie there that holds the words ``first`` to ``last``: at least ``MIN_WORDS``
+    words from one on, ``MIN_IDENTITY`` of them same.
+
+    A passage begins and ends with three equal words, for an extension gains at each of its ends. What reaches an end
+    of the row may go on there, so less of it need be same."""
+    m = np.ascontiguousarray(same.T)  # a word of all rows after the other
+    width, n = m.shape
+    three = m[2:] & m[1:-1] & m[:-2]
+    least, found = np.empty((first + 1, n), np.int16), np.zeros(n, bool)
+    for gain, loss, inside in ((10 - round(10 * MIN_IDENTITY), round(10 * MIN_IDENTITY), True), (3, 7, False)):
+        step = np.where(m, np.int16(gain), np.int16(-loss))
+        upto = np.zeros((width + 1, n), np.int16)
+        for j in range(width):
+            np.add(upto[j], step[j], out=upto[j + 1])
+        starts = np.where(three[:first + 1], upto[:first + 1], np.int16(1 << 14))
+        least[0] = starts[0]
+        for j in range(first):
+            np.minimum(least[j], starts[j + 1], out=least[j + 1])
+        for j in range(max(MIN_WORDS, first + SEED_WORDS), width + 1):  # it ends before word j
+            found |= three[j - 3] & (j > last) & (upto[j] >= (least[min(first, j - MIN_WORDS)] if inside else 0))
+        if not inside:
+            found |= upto[width] >= np.minimum(least[min(first, width - MIN_WORDS)], 0)
+    return found
+
+
+def diagonal_passage(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """For each two seeds' surroundings (``surrounding_codes``, two times n rows) whether a passage over the seed with no word
+    left out on one side alone can be there."""
+    z = (left ^ right).astype("<u8").view(np.uint8)  # two words a byte
+    same = np.stack([(z & 15) == 0, z < 16], axis=2).reshape(len(z), 2, AROUND)
+    return can_span(np.concatenate([same[:, 0, ::-1], np.ones((len(z), SEED_WORDS), bool), same[:, 1]], axis=1),
+                    AROUND, AROUND + SEED_WORDS - 1)
+
+
+def shifted_passage(a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """For each row of ``near_codes`` of two texts whether a passage over a seed and the one ``apart`` words behind it in ``a`` can be
+    there: enough words of ``a`` stand anywhere around the seeds in ``b``."""
+    held = np.zeros((len(a), 256), bool)
+    np.put_along_axis(held, b.astype(np.int64), True, axis=1)
+    held[:, 0] = False  # no word
+    same = np.take_along_axis(held, a[:, SHIFT:-SHIFT].astype(np.int64), axis=1)
+    return can_span(same, AROUND - SHIFT, AROUND - SHIFT + apart + SEED_WORDS - 1)
+
+
+def near_codes(words: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """A byte for each word from ``AROUND`` before to twice as many behind the seeds at ``places``; zero: no word."""
+    at = places[:, None] + np.arange(-AROUND, 2 * AROUND)
+    there = (at >= 0) & (at < len(words))
+    h = (words.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+    return np.where(there, (h % np.uint64(255) + np.uint64(1))[np.where(there, at, 0)], np.uint64(0)).astype(np.uint8)
+
+
+def _same_surroundings(held: DataFrame, words: DataFrame) -> DataFrame:
+    """(a, b), a < b: the texts with a seed in common around which a passage can lie that leaves no word out on one side alone.
+
+    Of the 30 words after, before or around (15 and 15) the seeds at most ``MOST_OTHER`` may differ, and of all that is known
+    ``LEAST_SAME`` must be equal, which the join tells from the bits of ``_surroundings``; what it lets through is looked at
+    word by word in ``diagonal_passage``."""
+    # numbers that cannot be null: the join's condition is then small enough to be compiled
+    rows = shared_table(_surroundings(held, words), "seed-surroundings").na.fill(0)
+    codes = [f"{side}{k}" for side in ("left", "right") for k in range(AROUND // 16)]
+    ones = 0x1111111111111111
+
+    def marked(c: str):  # a word that is not there is unlike any, and unlike none
+        n = F.col(f"n_{c[:-1]}") - 16 * int(c[-1])
+        return F.when(n >= 16, F.col(c)).when(n <= 0, F.lit(ones)).otherwise(
+            F.col(c).bitwiseOR(F.expr(f"shiftleft({ones}L, cast(4 * (n_{c[:-1]} - {16 * int(c[-1])}) as int))")))
+
+    met = _met(rows, "seed", codes, {c: marked(c) for c in codes})
+
+    def other(c: str, n: int) -> str:  # differing words among the first n of the 16
+        z = f"({c} ^ b_{c})"
+        z = f"({z} | shiftrightunsigned({z}, 2))"
+        return f"bit_count(({z} | shiftrightunsigned({z}, 1)) & {ones & ((1 << 4 * n) - 1)}L)"
+
+    def side(s: str) -> str:
+        return f"{other(s + '0', 16)} + {other(s + '1', 14)}"
+
+    met = met.where(f"({side('right')} <= {MOST_OTHER} or {side('left')} <= {MOST_OTHER} or "
+                    f"{other('left0', 15)} + {other('right0', 15)} <= {MOST_OTHER}) and "
+                    f"{' + '.join(other(c, 16) for c in codes)} <= {2 * AROUND + SEED_WORDS - LEAST_SAME}")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            a, c, *bits = [np.asarray(x) for x in b.columns]
+            bits = np.stack(bits, axis=1).view(np.uint64)
+            keep = diagonal_passage(bits[:, :len(codes)], bits[:, len(codes):])
+            yield _two(a[keep], c[keep])
+
+    return met.select("a", "b", *codes, *[f"b_{c}" for c in codes]).mapInArrow(lean(run), "a bigint, b bigint").distinct()
+
+
+def _shifted_pairs(held: DataFrame, words: DataFrame) -> DataFrame:
+    """(a, b), a < b: the texts with two seeds in common that stand in the same order up to ``NEAR`` words apart in both, but
+    not equally far, if a passage can lie there by ``shifted_passage``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out, codes = [], []
+            for a, group, seeds_, places, opens, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), *b.columns[2:5],
+                                                            b.column(5).to_pylist()):
+                at, words_ = np.asarray(places.values), np.frombuffer(raw, "<u4")
+                order = np.argsort(at, kind="stable")
+                at, own, free = at[order], np.asarray(seeds_.values)[order], np.asarray(opens.values)[order]
+                ends = np.searchsorted(at, at + NEAR, side="right")
+                for k in range(1, int((ends - np.arange(len(at))).max())):
+                    near = np.flatnonzero((at[k:] > at[:-k]) & (at[k:] - at[:-k] <= NEAR))
+                    if len(near):
+                        two = own[near] * np.int64(-7046029254386353131) ^ own[near + k]
+                        out.append(np.stack([two, np.full(len(near), a), np.full(len(near), group), free[near] | free[near + k],
+                                             at[near + k] - at[near]], axis=1))
+                        codes += map(bytes, near_codes(words_, at[near]))
+            if out:
+                key, a, group, free, apart = np.concatenate(out).T.copy()
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key, a, group, free != 0, apart)] + [pa.array(codes, pa.binary())],
+                                                 names=["key", "a", "class", "open", "apart", "codes"])
+
+    rows = _by_text(held, words).mapInArrow(
+        lean(run), "key bigint, a bigint, class bigint, open boolean, apart bigint, codes binary")
+    rows = shared_table(rows.distinct(), "near-seeds")
+    # of a key that all hold equally far apart nobody is shifted
+    uneven = rows.groupBy("key").agg(F.min("apart").alias("lo"), F.max("apart").alias("hi")).where("lo < hi").select("key")
+    met = _met(rows.join(uneven, "key", "left_semi"), "key", ["apart", "codes"], {}).where("apart <> b_apart")
+
+    def fits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            one, two = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in b.columns[2:4])
+            keep = shifted_passage(one, two, np.asarray(b.column(4)))
+            keep[keep] &= shifted_passage(two[keep], one[keep], np.asarray(b.column(5))[keep])
+            yield _two(np.asarray(b.column(0))[keep], np.asarray(b.column(1))[keep])
+
+    return met.select("a", "b", "codes", "b_codes", "apart", "b_apart").mapInArrow(lean(fits), "a bigint, b bigint").distinct()
+
+
+def _two(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Pairs of texts, the smaller key first, each once."""
+    two = np.unique(np.sort(np.stack([a, b], axis=1), axis=1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(two[:, 0].copy()), pa.array(two[:, 1].copy())], names=["a", "b"])
+
+
+def _by_text(held: DataFrame, words: DataFrame) -> DataFrame:
+    """(a, class, seed, place, open, words): one row for each text, its seeds as arrays, ``open`` as numbers."""
+    rows = held.groupBy("a", "class").agg(F.collect_list(F.struct("seed", "place", F.col("open").cast("long").alias("open"))).alias("x"))
+    return rows.join(words.withColumnRenamed("key", "a"), "a").select("a", "class", "x.seed", "x.place", "x.open", "words")
 
 
 def _far_pairs(held: DataFrame, far: int) -> DataFrame:
@@ -570,7 +790,7 @@ def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     root = shared_table(components(found.select("a", "b")).select(F.col("node").alias("key"), F.col("root").alias("class")), "classes")
     done = (pairs.unionByName(more).groupBy("a", "b").agg(F.min("a0").alias("a0"), F.max("a1").alias("a1"),
                                                           F.min("b0").alias("b0"), F.max("b1").alias("b1")))
-    left_out = _rest_rows(own, _uncovered(rest, _spans(found)), root)
+    left_out = _rest_rows(own, _uncovered(rest, _spans(found)), root, words)
     last = shared_table(_passages(shared_table(_wider(left_out, done), "rest-pairs"), words), "rest-passages")
     return members, copies, found.unionByName(last), _joined_classes(root, last)
 
